@@ -1,0 +1,161 @@
+"""A parquet table that can be replaced or merged while it is being read.
+
+Plain parquet folders cannot be rewritten from their own content. Here every write
+goes to new folders ``data/v=<n>/bucket=<b>``, and one small commit file lists the
+folders that make up the table. A reader resolves the newest commit once; a job that
+dies before its commit leaves the table as it was, and its retry overwrites the
+half-written folder.
+
+Buckets are a hash of the key, so a merge rewrites only the buckets its batch touches.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from millrace.operators.schema import widen
+from millrace.operators.upsert import upsert, upsert_sequenced
+from millrace.sources import files
+
+
+@dataclass
+class Commit:
+    version: int = 0
+    schema: StructType | None = None
+    folders: dict[str, list[str]] = field(default_factory=dict)  # bucket -> version folders
+    batches: dict[str, int] = field(default_factory=dict)  # stream -> last batch applied
+
+    def dumps(self) -> str:
+        return json.dumps(
+            {
+                "version": self.version,
+                "schema": json.loads(self.schema.json()) if self.schema else None,
+                "folders": self.folders,
+                "batches": self.batches,
+            }
+        )
+
+    @staticmethod
+    def loads(text: str) -> Commit:
+        raw = json.loads(text)
+        schema = StructType.fromJson(raw["schema"]) if raw["schema"] else None
+        return Commit(raw["version"], schema, raw["folders"], raw["batches"])
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str, *, keys: list[str] | None = None, buckets: int = 1):
+        if buckets > 1 and not keys:
+            raise ValueError("buckets need keys")
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = keys or []
+        self.buckets = buckets
+
+    # -- state ---------------------------------------------------------------
+
+    def commit(self) -> Commit:
+        commits = files.names(self.spark, f"{self.path}/commits")
+        commits = [c for c in commits if c.endswith(".json") and not c.startswith(".")]
+        if not commits:
+            return Commit()
+        return Commit.loads(files.read_text(self.spark, f"{self.path}/commits/{commits[-1]}"))
+
+    def exists(self) -> bool:
+        return self.commit().version > 0
+
+    def seen(self, stream: str, batch: int) -> bool:
+        """Whether this batch of this stream is already part of the table."""
+        return self.commit().batches.get(stream, -1) >= batch
+
+    # -- reading -------------------------------------------------------------
+
+    def read(self) -> DataFrame:
+        return self._read(self.commit(), None)
+
+    def _read(self, commit: Commit, only: set[str] | None) -> DataFrame:
+        if commit.schema is None:
+            raise FileNotFoundError(f"no commit in {self.path}")
+        folders = [
+            f"{self.path}/data/{version}/bucket={bucket}"
+            for bucket, versions in commit.folders.items()
+            if only is None or bucket in only
+            for version in versions
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], commit.schema)
+        scan = self.spark.read.schema(commit.schema).option("basePath", f"{self.path}/data")
+        return scan.parquet(*folders).select(*[F.col(f"`{c}`") for c in commit.schema.names])
+
+    # -- writing -------------------------------------------------------------
+
+    def _bucket(self) -> Column:
+        if self.buckets == 1:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _write(self, df: DataFrame, commit: Commit) -> tuple[str, list[str]]:
+        version = f"v={commit.version + 1:010d}"
+        target = f"{self.path}/data/{version}"
+        out = df.withColumn("bucket", self._bucket())
+        if self.buckets > 1:
+            out = out.hint("rebalance", F.col("bucket"))
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("bucket").parquet(target)
+        written = [n.split("=", 1)[1] for n in files.names(self.spark, target) if n.startswith("bucket=")]
+        return version, written
+
+    def _publish(self, old: Commit, schema: StructType, folders: dict, batch: tuple[str, int] | None) -> Commit:
+        batches = dict(old.batches)
+        if batch:
+            batches[batch[0]] = batch[1]
+        new = Commit(old.version + 1, schema, folders, batches)
+        files.create_text(self.spark, f"{self.path}/commits/{new.version:010d}.json", new.dumps())
+        return new
+
+    def replace(self, df: DataFrame, *, batch: tuple[str, int] | None = None) -> None:
+        """Make ``df`` the whole content; ``df`` may read this very table."""
+        old = self.commit()
+        version, written = self._write(df, old)
+        self._publish(old, df.schema, {b: [version] for b in written}, batch)
+
+    def append(self, df: DataFrame, *, merge_schema: bool = False, batch: tuple[str, int] | None = None) -> None:
+        """Add rows. A new column is refused unless ``merge_schema``; older rows then hold NULL."""
+        old = self.commit()
+        schema = df.schema if old.schema is None else widen(old.schema, df.schema, allow_new=merge_schema)
+        version, written = self._write(df, old)
+        folders = {b: list(v) for b, v in old.folders.items()}
+        for b in written:
+            folders.setdefault(b, []).append(version)
+        self._publish(old, schema, folders, batch)
+
+    def merge(
+        self,
+        updates: DataFrame,
+        *,
+        sequence: str | None = None,
+        batch: tuple[str, int] | None = None,
+    ) -> None:
+        """Upsert by key; with ``sequence`` an older row never replaces a newer one."""
+        if not self.keys:
+            raise ValueError("merge needs keys")
+        old = self.commit()
+        if old.schema is None:
+            start = self.spark.createDataFrame([], updates.schema)
+            touched: set[str] = set()
+        else:
+            # at most `buckets` numbers come back to the driver
+            found = updates.select(self._bucket().cast("string").alias("b")).distinct().collect()
+            touched = {r.b for r in found}
+            start = self._read(old, touched)
+        if sequence:
+            merged = upsert_sequenced(start, updates, self.keys, sequence)
+        else:
+            merged = upsert(start, updates, self.keys)
+        version, written = self._write(merged, old)
+        folders = {b: list(v) for b, v in old.folders.items() if b not in touched}
+        folders.update({b: [version] for b in written})
+        self._publish(old, merged.schema, folders, batch)
