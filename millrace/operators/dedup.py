@@ -36,7 +36,7 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def duplicate_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,7 +50,7 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
         key_counts(df, keys)
         .agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("total_rows"),
+            F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("total_rows"),
             F.count_if(complete).alias("unique_key"),
         )
         .withColumn("duplicate_rows", F.col("total_rows") - F.col("unique_key"))
@@ -59,7 +59,7 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once."""
-    return key_counts(df, keys).filter("rows > 1")
+    return key_counts(df, keys).filter("n_rows > 1")
 
 
 def distinct_per_group(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:

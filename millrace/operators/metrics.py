@@ -60,7 +60,7 @@ def metric_query(
 def filter_values(df: DataFrame, column: str, selected: Column | None = None) -> DataFrame:
     """The choices of a filter: each value with its row count under the other filters."""
     matching = F.count_if(selected) if selected is not None else F.count(F.lit(1))
-    return df.groupBy(column).agg(matching.alias("rows"))
+    return df.groupBy(column).agg(matching.alias("n_rows"))
 
 
 def top_k(df: DataFrame, measure: str, k: int, tie_break: Sequence[str]) -> DataFrame:

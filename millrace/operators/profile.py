@@ -43,13 +43,13 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def value_profile(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of a column with their counts."""
-    return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def shape_profile(df: DataFrame, column: str, patterns: dict[str, tuple[str, int]]) -> DataFrame:
     """Counts per combination of regular-expression extracts: name -> (pattern, group)."""
     parts = [F.regexp_extract(column, p, g).alias(n) for n, (p, g) in patterns.items()]
-    return df.select(*parts).groupBy(*patterns).agg(F.count(F.lit(1)).alias("rows"))
+    return df.select(*parts).groupBy(*patterns).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def range_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -101,7 +101,7 @@ def gate_report(df: DataFrame, *, keys: Sequence[str], not_null: Sequence[str],
     }
     lines = [
         F.struct(
-            F.lit(n).alias("check"),
+            F.lit(n).alias("check_name"),
             c.alias("bad_rows"),
             F.when(c > 0, "FAIL").otherwise("PASS").alias("status"),
         )
@@ -112,7 +112,7 @@ def gate_report(df: DataFrame, *, keys: Sequence[str], not_null: Sequence[str],
 
 def require_gate(report: DataFrame) -> None:
     """Raise if a check of the report failed."""
-    failed = [f"{r.check}: {r.bad_rows}" for r in report.filter("status = 'FAIL'").collect()]
+    failed = [f"{r.check_name}: {r.bad_rows}" for r in report.filter("status = 'FAIL'").collect()]
     if failed:
         raise RuleViolation("; ".join(failed))
 
@@ -137,7 +137,7 @@ def volume_by_day(df: DataFrame, day_column: str, threshold: int) -> DataFrame:
     return (
         date_spine(counts, day_column)
         .join(counts, day_column, "left")
-        .select(day_column, F.coalesce("rows", F.lit(0)).alias("rows_today"))
+        .select(day_column, F.coalesce("n_rows", F.lit(0)).alias("rows_today"))
         .withColumn("status", _status(F.col("rows_today"), threshold))
     )
 
@@ -148,11 +148,11 @@ def table_audit(df: DataFrame, name: str, keys: Sequence[str], measure: str) ->
     for k in keys:
         complete = complete & F.col(k).isNotNull()
     per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(measure).isNull()).alias("nulls")
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(measure).isNull()).alias("nulls")
     )
     return per_key.agg(
         F.lit(name).alias("table_name"),
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("row_count"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("row_count"),
         F.count_if(complete).alias("unique_keys"),
         F.coalesce(F.sum("nulls"), F.lit(0)).cast("bigint").alias("null_values"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import cleaning as c
+from millrace.functions.decimals import half_up_ratio
 from millrace.operators.dedup import drop_duplicates
 from millrace.operators.security import drop_personal
 
@@ -54,13 +55,17 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
 
 
 def closed_case_report(clean: DataFrame) -> DataFrame:
-    """Closed cases with arrests by suspect gender and resolution, most frequent first."""
+    """Closed cases with arrests by suspect gender and resolution, most frequent first.
+
+    Losses are averaged as cents, so the result does not depend on the order of addition.
+    """
     closed = clean.filter((F.col("case_status") == "Closed") & (F.col("num_arrests") > 0))
+    loss = F.col("property_loss_usd").cast("decimal(14,2)")
     return (
         closed.groupBy("suspect_gender", "resolution")
         .agg(
             F.count(F.lit(1)).alias("incident_count"),
-            F.round(F.avg("property_loss_usd"), 2).alias("avg_property_loss_usd"),
+            half_up_ratio(F.sum(loss), F.count(loss), 2, 14).alias("avg_property_loss_usd"),
         )
         .orderBy(F.desc("incident_count"), F.asc_nulls_last("suspect_gender"), "resolution")
     )

@@ -6,7 +6,6 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from millrace.functions.calendar import calendar
 from millrace.operators.dedup import keep_latest
@@ -36,21 +35,37 @@ EXPECTED_ROWS_PER_DAY = 192
 
 PRICES = TableSpec(
     "prices",
-    StructType.fromDDL(
-        "bidding_zone string, timestamp_utc timestamp, price decimal(10,2), currency string, unit string, "
-        "source_file string, ingestion_ts timestamp, silver_processed_ts timestamp"
-    ),
+    {
+        "bidding_zone": "string",
+        "timestamp_utc": "timestamp",
+        "price": "decimal(10,2)",
+        "currency": "string",
+        "unit": "string",
+        "source_file": "string",
+        "ingestion_ts": "timestamp",
+        "silver_processed_ts": "timestamp",
+    },
     keys=("bidding_zone", "timestamp_utc"),
     not_null=("bidding_zone", "timestamp_utc"),
     checks=(Rule("price_valid", "price BETWEEN -1000 AND 10000"),),
 )
 READINGS = TableSpec(
     "sensor_data",
-    StructType.fromDDL(
-        "event_id string, timestamp_utc timestamp, site_name string, country string, bidding_zone string, "
-        "consumption_kwh decimal(10,4), pue decimal(4,3), avg_power_kw decimal(10,2), enqueued_ts timestamp, "
-        "ingestion_ts timestamp, site_id string, reading_interval_s int, silver_processed_ts timestamp"
-    ),
+    {
+        "event_id": "string",
+        "timestamp_utc": "timestamp",
+        "site_name": "string",
+        "country": "string",
+        "bidding_zone": "string",
+        "consumption_kwh": "decimal(10,4)",
+        "pue": "decimal(4,3)",
+        "avg_power_kw": "decimal(10,2)",
+        "enqueued_ts": "timestamp",
+        "ingestion_ts": "timestamp",
+        "site_id": "string",
+        "reading_interval_s": "int",
+        "silver_processed_ts": "timestamp",
+    },
     keys=("event_id",),
     not_null=("event_id", "timestamp_utc", "site_id"),
     checks=(

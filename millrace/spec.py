@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -25,10 +25,10 @@ class TableSpec:
     """What a table promises to its readers."""
 
     name: str
-    schema: StructType
+    columns: Mapping[str, str]
     keys: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
-    checks: tuple[Rule, ...] = field(default_factory=tuple)
+    checks: tuple[Rule, ...] = ()
 
     def rules(self) -> list[Rule]:
         """NOT NULL columns first, then the CHECK rules.
@@ -40,4 +40,4 @@ class TableSpec:
 
     def conform(self, df: DataFrame) -> DataFrame:
         """The declared columns in the declared order and types; a bad cast raises."""
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        return df.select(*[F.col(c).cast(t).alias(c) for c, t in self.columns.items()])

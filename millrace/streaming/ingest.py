@@ -126,5 +126,5 @@ def _drain(
 def ingestion_audit(bronze: DataFrame, by: list[str], ts: str = "ingestion_ts") -> DataFrame:
     """Rows and first and last time per source file or load date."""
     return bronze.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+        F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
