@@ -58,8 +58,9 @@ def range_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     lines = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.col(f"lo_{c}").cast("double").alias("min_value"),
-            F.col(f"hi_{c}").cast("double").alias("max_value"),
+            # adding zero turns a negative zero into zero
+            (F.col(f"lo_{c}").cast("double") + 0.0).alias("min_value"),
+            (F.col(f"hi_{c}").cast("double") + 0.0).alias("max_value"),
         )
         for c in columns
     ]

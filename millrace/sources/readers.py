@@ -44,7 +44,7 @@ def stream_files(
 
 
 def stream_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A parquet table read as a stream of appended files."""
+    """A parquet folder, or a pattern of paths, read as a stream of appended files."""
     return spark.readStream.schema(schema).parquet(path)
 
 

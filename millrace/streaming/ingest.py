@@ -6,7 +6,6 @@ import datetime as dt
 import json
 from collections.abc import Mapping
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -49,43 +48,26 @@ def ingest_json(
     state: str,
     *,
     hints: StructType | None = None,
+    on_new_fields: str = "add",
     files_per_trigger: int = 20,
     as_of: dt.datetime | None = None,
     trigger: Mapping[str, object] | None = None,
-    restarts: int = 8,
 ) -> None:
     """Drain new JSON-lines files into the table, exactly once.
 
     The checkpoint remembers the files; the table remembers the last batch, so a batch
-    that is replayed after a crash is not added twice. A batch with unknown fields stops
-    the run before it writes; the fields are stored and the run starts again, up to
-    ``restarts`` times. ``hints`` fixes the types of known fields from the start.
+    that is replayed after a crash is not added twice. ``hints`` fixes the types of known
+    fields from the start.
+
+    A field the remembered schema does not have is stored there first. With "add" its
+    batch then goes on under the wider schema; with "stop" the run fails before anything
+    of the batch is written, and the next run takes it.
     """
+    if on_new_fields not in ("add", "stop"):
+        raise ValueError(f"on_new_fields is {on_new_fields}")
     memory = SchemaMemory(spark, f"{state}/schema")
     if hints is not None and not memory.load().fields:
         memory.save(hints)
-    for _ in range(restarts):
-        before = len(memory.load().fields)
-        try:
-            _drain(spark, landing, table, state, memory, files_per_trigger, as_of, trigger)
-            return
-        except StreamingQueryException:
-            if len(memory.load().fields) == before:
-                raise
-    raise SchemaChanged(f"the schema of {landing} still grows after {restarts} runs")
-
-
-def _drain(
-    spark: SparkSession,
-    landing: str,
-    table: SnapshotTable,
-    state: str,
-    memory: SchemaMemory,
-    files_per_trigger: int,
-    as_of: dt.datetime | None,
-    trigger: Mapping[str, object] | None,
-) -> None:
-    schema = memory.load()
     checkpoint = f"{state}/checkpoint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -93,10 +75,13 @@ def _drain(
             return
         lines = batch.persist()
         try:
+            schema = memory.load()
             extra = unseen_fields(lines, "value", schema)
             if extra.fields:
-                memory.save(StructType(schema.fields + extra.fields))
-                raise SchemaChanged(f"new fields {extra.names}")
+                schema = StructType(schema.fields + extra.fields)
+                memory.save(schema)
+                if on_new_fields == "stop":
+                    raise SchemaChanged(f"new fields {extra.names}")
             rows = with_audit(parse_with_rescue(lines, "value", schema), as_of)
             table.append(rows, merge_schema=True, batch=(checkpoint, batch_id))
         finally:

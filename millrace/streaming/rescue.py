@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructType
 
 RESCUED = "_rescued_data"
 
@@ -55,6 +55,6 @@ def unseen_fields(df: DataFrame, text: str, schema: StructType) -> StructType:
     )
     found = StructType()
     for row in fits.orderBy("name").collect():
-        kind = "boolean" if row.is_boolean else "bigint" if row.is_long else "double" if row.is_double else "string"
-        found = found.add(row["name"], kind)
+        fitting = [t for ok, t in ((row.is_boolean, BooleanType()), (row.is_long, LongType()), (row.is_double, DoubleType())) if ok]
+        found = found.add(row["name"], (fitting or [StringType()])[0])
     return found
