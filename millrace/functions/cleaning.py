@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -29,6 +30,16 @@ GENDER = {"Male": ("male", "m"), "Female": ("female", "f"), "Other": ("other",)}
 # ambiguous day and month is read month first.
 DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM-dd-yyyy", "dd-MM-yyyy", "MM/dd/yyyy HH:mm")
 
+# What the fields of a date format can look like.
+FIELD_SHAPES = {
+    "yyyy": r"[+-]?\d{4,}",
+    "MM": r"(?:0[1-9]|1[0-2])",
+    "dd": r"(?:0[1-9]|[12]\d|3[01])",
+    "HH": r"(?:[01]\d|2[0-3])",
+    "mm": r"[0-5]\d",
+    "ss": r"[0-5]\d",
+}
+
 # Upper bounds (exclusive) of the age groups.
 AGE_GROUPS = ((18, "Minor"), (30, "Young Adult"), (60, "Adult"))
 
@@ -49,9 +60,22 @@ def parse_boolean(c: Column | str, yes: Sequence[str] = YES, no: Sequence[str] =
     return F.when(word.isin(*yes), True).when(word.isin(*no), False)
 
 
+def shape_of(pattern: str) -> str:
+    """A regular expression that every text in the date format matches; ``.*`` for formats with other parts."""
+    if not re.fullmatch(f"(?:{'|'.join(FIELD_SHAPES)}|[-/:. ])+", pattern):
+        return ".*"
+    escaped = pattern.replace(".", r"\.")
+    return "^" + re.sub("|".join(FIELD_SHAPES), lambda field: FIELD_SHAPES[field[0]], escaped) + "$"
+
+
 def parse_timestamp(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The first format that fits; NULL if none does."""
-    return F.coalesce(*[F.try_to_timestamp(_col(c), F.lit(f)) for f in formats])
+    """The first format that fits; NULL if none does.
+
+    A failed parse throws inside the JVM and is far slower than a match, so each format
+    is tried only on text of its shape.
+    """
+    text = _col(c)
+    return F.coalesce(*[F.when(text.rlike(shape_of(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats])
 
 
 def standardise(c: Column | str, variants: Mapping[str, Sequence[str]], default: str | None = None) -> Column:
@@ -69,7 +93,8 @@ def standardise_gender(c: Column | str) -> Column:
 
 def repair_number(c: Column | str) -> Column:
     """Text to double; ``46792.6.0`` loses its extra ``.0``, other junk becomes NULL."""
-    return F.regexp_replace(_col(c), r"(\.\d+)\.0$", "$1").try_cast("double")
+    text = F.regexp_replace(_col(c), r"(\.\d+)\.0$", "$1")
+    return F.when(text.rlike(r"(?i)\d|nan|inf"), text.try_cast("double"))
 
 
 def review_flag(c: Column | str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.numbering import number_rows
 from millrace.operators.upsert import require_unique
+from millrace.session import materialise
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
@@ -78,8 +79,9 @@ def apply_changes(
     current = dim.filter("is_current").alias("d")
     u = updates.alias("u")
 
-    # Current rows that have an update; never more rows than the batch.
+    # One row per update that meets a current row; from here on only the batch is joined.
     matched = u.join(current, same_key).select(*[F.col(f"u.{c}").alias(c) for c in updates.columns], changed.alias("_changed"))
+    matched = materialise(matched, "matched")
     closing = matched.filter("_changed").select(*keys, F.lit(True).alias("_closing"))
     unseen = updates.join(matched.select(*keys), list(keys), "left_anti")
 
@@ -87,6 +89,7 @@ def apply_changes(
     opened = opened.withColumns(
         {"valid_from": now, "valid_to": F.lit(None).cast(like), "is_current": F.lit(True)}
     )
+    opened = materialise(opened, "opened")
     highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)) + 1).scalar()
     opened = number_rows(opened, order, surrogate, start=highest)
 

@@ -119,13 +119,18 @@ def full_refresh(
     """Rebuild silver and gold from bronze and return the fact.
 
     Every table is written once and read back, so no step is computed twice and a lost
-    executor never reaches back further than the last table.
+    executor never reaches back further than the last table. Rows are sorted by zone and
+    time inside each file, so filters on them skip row groups.
     """
     steps = {
         ("silver", "prices"): lambda: check_table_lazily(prices_silver(bronze_prices, as_of), PRICES),
-        ("silver", "sensor_data"): lambda: check_table_lazily(readings_silver(bronze_readings, as_of), READINGS),
+        ("silver", "sensor_data"): lambda: check_table_lazily(
+            readings_silver(bronze_readings, as_of), READINGS
+        ).sortWithinPartitions("bidding_zone", "timestamp_utc"),
         ("silver", "datacenter"): lambda: datacenter_snapshot(table("silver", "sensor_data"), as_of),
-        ("gold", "consumption_hourly"): lambda: hourly_fact(table("silver", "sensor_data"), table("silver", "prices")),
+        ("gold", "consumption_hourly"): lambda: hourly_fact(
+            table("silver", "sensor_data"), table("silver", "prices")
+        ).sortWithinPartitions("bidding_zone", "date"),
         ("gold", "dim_datacenter"): lambda: table("silver", "datacenter"),
         ("gold", "dim_date"): lambda: calendar(table("gold", "consumption_hourly")),
     }

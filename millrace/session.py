@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans; sizes are left to the cluster.
 BASE_CONF = {
@@ -56,3 +56,15 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write to a fresh table in the shared folder and read it back.
+
+    For a result that feeds several branches of a plan: it is computed once, a lost
+    executor does not bring it back, and its file size tells the optimizer whether it
+    may be broadcast.
+    """
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,59 +1,83 @@
-"""A parquet table that can be replaced or merged while it is being read.
+"""A parquet table that can be replaced, merged or appended to while it is being read.
 
 Plain parquet folders cannot be rewritten from their own content. Here every write
 goes to new folders ``data/v=<n>/bucket=<b>``, and one small commit file lists the
 folders that make up the table. A reader resolves the newest commit once; a job that
-dies before its commit leaves the table as it was, and its retry overwrites the
-half-written folder.
+dies before its commit leaves the table as it was.
 
-Buckets are a hash of the key, so a merge rewrites only the buckets its batch touches.
+Buckets are a hash of the key, so a rewrite is confined to the buckets it concerns.
+
+A table with a ``sequence`` keeps the newest row per key without rewriting itself for
+every batch: batches are appended, readers settle the few buckets that have appended
+rows, and a bucket is rewritten only once its appended bytes have grown to a share of
+its settled bytes.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from millrace.operators.dedup import keep_latest
 from millrace.operators.schema import widen
-from millrace.operators.upsert import upsert, upsert_sequenced
+from millrace.operators.upsert import upsert
+from millrace.session import materialise
 from millrace.sources import files
 
+Folders = dict[str, list[list]]  # bucket -> [version, bytes] in the order of writing
+
 
 @dataclass
 class Commit:
-    version: int = 0
+    number: int = 0
     schema: StructType | None = None
-    folders: dict[str, list[str]] = field(default_factory=dict)  # bucket -> version folders
+    folders: Folders = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)  # stream -> last batch applied
 
     def dumps(self) -> str:
+        schema = json.loads(self.schema.json()) if self.schema else None
         return json.dumps(
-            {
-                "version": self.version,
-                "schema": json.loads(self.schema.json()) if self.schema else None,
-                "folders": self.folders,
-                "batches": self.batches,
-            }
+            {"number": self.number, "schema": schema, "folders": self.folders, "batches": self.batches}
         )
 
     @staticmethod
     def loads(text: str) -> Commit:
         raw = json.loads(text)
         schema = StructType.fromJson(raw["schema"]) if raw["schema"] else None
-        return Commit(raw["version"], schema, raw["folders"], raw["batches"])
+        return Commit(raw["number"], schema, raw["folders"], raw["batches"])
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Rows that are written but not part of the table yet."""
+
+    base: Commit
+    schema: StructType
+    version: str
+    sizes: dict[str, int]  # bucket -> bytes
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, *, keys: list[str] | None = None, buckets: int = 1):
-        if buckets > 1 and not keys:
-            raise ValueError("buckets need keys")
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        *,
+        keys: list[str] | None = None,
+        buckets: int = 1,
+        sequence: str | None = None,
+    ):
+        if (buckets > 1 or sequence) and not keys:
+            raise ValueError("buckets and sequence need keys")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = keys or []
         self.buckets = buckets
+        self.sequence = sequence
 
     # -- state ---------------------------------------------------------------
 
@@ -65,7 +89,7 @@ class SnapshotTable:
         return Commit.loads(files.read_text(self.spark, f"{self.path}/commits/{commits[-1]}"))
 
     def exists(self) -> bool:
-        return self.commit().version > 0
+        return self.commit().number > 0
 
     def seen(self, stream: str, batch: int) -> bool:
         """Whether this batch of this stream is already part of the table."""
@@ -74,21 +98,29 @@ class SnapshotTable:
     # -- reading -------------------------------------------------------------
 
     def read(self) -> DataFrame:
-        return self._read(self.commit(), None)
-
-    def _read(self, commit: Commit, only: set[str] | None) -> DataFrame:
+        commit = self.commit()
+        if not self.sequence:
+            return self._scan(commit, set(commit.folders))
+        open_buckets = {b for b, written in commit.folders.items() if len(written) > 1}
+        settled = self._scan(commit, set(commit.folders) - open_buckets)
+        if not open_buckets:
+            return settled
+        return settled.unionByName(self._newest(self._scan(commit, open_buckets)))
+
+    def _newest(self, df: DataFrame) -> DataFrame:
+        return keep_latest(df, self.keys, self.sequence)
+
+    def _scan(self, commit: Commit, buckets: set[str]) -> DataFrame:
         if commit.schema is None:
             raise FileNotFoundError(f"no commit in {self.path}")
-        folders = [
-            f"{self.path}/data/{version}/bucket={bucket}"
-            for bucket, versions in commit.folders.items()
-            if only is None or bucket in only
-            for version in versions
-        ]
-        if not folders:
-            return self.spark.createDataFrame([], commit.schema)
-        scan = self.spark.read.schema(commit.schema).option("basePath", f"{self.path}/data")
-        return scan.parquet(*folders).select(*[F.col(f"`{c}`") for c in commit.schema.names])
+        written = [(v, b) for b, parts in sorted(commit.folders.items()) if b in buckets for v, _ in parts]
+        return self._folders([f"{self.path}/data/{v}/bucket={b}" for v, b in written], commit.schema)
+
+    def _folders(self, paths: list[str], schema: StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        scan = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+        return scan.select(*[F.col(f"`{c}`") for c in schema.names])
 
     # -- writing -------------------------------------------------------------
 
@@ -97,65 +129,95 @@ class SnapshotTable:
             return F.lit(0)
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _write(self, df: DataFrame, commit: Commit) -> tuple[str, list[str]]:
-        version = f"v={commit.version + 1:010d}"
+    def _write(self, df: DataFrame, base: Commit) -> Staged:
+        # the name is new for every attempt, so concurrent writers cannot touch each other's files
+        version = f"v={base.number + 1:010d}-{uuid.uuid4().hex[:12]}"
         target = f"{self.path}/data/{version}"
         out = df.withColumn("bucket", self._bucket())
         if self.buckets > 1:
             out = out.hint("rebalance", F.col("bucket"))
-        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy("bucket").parquet(target)
-        written = [n.split("=", 1)[1] for n in files.names(self.spark, target) if n.startswith("bucket=")]
-        return version, written
+        out.write.partitionBy("bucket").parquet(target)
+        found = [n for n in files.names(self.spark, target) if n.startswith("bucket=")]
+        sizes = {n.split("=", 1)[1]: files.size(self.spark, f"{target}/{n}") for n in found}
+        return Staged(base, df.schema, version, sizes)
 
-    def _publish(self, old: Commit, schema: StructType, folders: dict, batch: tuple[str, int] | None) -> Commit:
-        batches = dict(old.batches)
+    def _publish(self, base: Commit, schema: StructType, folders: Folders, batch: tuple[str, int] | None) -> None:
+        batches = dict(base.batches)
         if batch:
             batches[batch[0]] = batch[1]
-        new = Commit(old.version + 1, schema, folders, batches)
-        files.create_text(self.spark, f"{self.path}/commits/{new.version:010d}.json", new.dumps())
-        return new
+        new = Commit(base.number + 1, schema, folders, batches)
+        files.create_text(self.spark, f"{self.path}/commits/{new.number:010d}.json", new.dumps())
 
     def replace(self, df: DataFrame, *, batch: tuple[str, int] | None = None) -> None:
         """Make ``df`` the whole content; ``df`` may read this very table."""
-        old = self.commit()
-        version, written = self._write(df, old)
-        self._publish(old, df.schema, {b: [version] for b in written}, batch)
+        base = self.commit()
+        if self.sequence:
+            df = self._newest(df)
+        staged = self._write(df, base)
+        self._publish(base, df.schema, {b: [[staged.version, n]] for b, n in staged.sizes.items()}, batch)
+
+    def stage(self, df: DataFrame, *, merge_schema: bool = False) -> Staged:
+        """Write rows to be added, without showing them to readers yet.
+
+        A new column is refused unless ``merge_schema``; older rows then hold NULL.
+        """
+        base = self.commit()
+        schema = df.schema if base.schema is None else widen(base.schema, df.schema, allow_new=merge_schema)
+        if self.sequence:
+            df = self._newest(df)
+        staged = self._write(df, base)
+        return Staged(base, schema, staged.version, staged.sizes)
+
+    def staged_rows(self, staged: Staged) -> DataFrame:
+        paths = [f"{self.path}/data/{staged.version}/bucket={b}" for b in staged.sizes]
+        return self._folders(paths, staged.schema)
+
+    def publish(self, staged: Staged, *, batch: tuple[str, int] | None = None) -> None:
+        """Make staged rows part of the table."""
+        folders = {b: list(parts) for b, parts in staged.base.folders.items()}
+        for b, n in staged.sizes.items():
+            folders.setdefault(b, []).append([staged.version, n])
+        self._publish(staged.base, staged.schema, folders, batch)
 
     def append(self, df: DataFrame, *, merge_schema: bool = False, batch: tuple[str, int] | None = None) -> None:
-        """Add rows. A new column is refused unless ``merge_schema``; older rows then hold NULL."""
-        old = self.commit()
-        schema = df.schema if old.schema is None else widen(old.schema, df.schema, allow_new=merge_schema)
-        version, written = self._write(df, old)
-        folders = {b: list(v) for b, v in old.folders.items()}
-        for b in written:
-            folders.setdefault(b, []).append(version)
-        self._publish(old, schema, folders, batch)
-
-    def merge(
-        self,
-        updates: DataFrame,
-        *,
-        sequence: str | None = None,
-        batch: tuple[str, int] | None = None,
-    ) -> None:
-        """Upsert by key; with ``sequence`` an older row never replaces a newer one."""
-        if not self.keys:
-            raise ValueError("merge needs keys")
-        old = self.commit()
-        if old.schema is None:
-            start = self.spark.createDataFrame([], updates.schema)
+        """Add rows; in a table with a sequence they replace older rows of their keys."""
+        self.publish(self.stage(df, merge_schema=merge_schema), batch=batch)
+
+    def merge(self, updates: DataFrame, *, batch: tuple[str, int] | None = None) -> None:
+        """Upsert by key: rewrites the buckets that the updates fall into, and only those."""
+        if not self.keys or self.sequence:
+            raise ValueError("merge is for tables with keys and without a sequence")
+        base = self.commit()
+        updates = materialise(updates, "updates")
+        if base.schema is None:
             touched: set[str] = set()
+            start = self.spark.createDataFrame([], updates.schema)
         else:
             # at most `buckets` numbers come back to the driver
             found = updates.select(self._bucket().cast("string").alias("b")).distinct().collect()
             touched = {r.b for r in found}
-            start = self._read(old, touched)
-        if sequence:
-            merged = upsert_sequenced(start, updates, self.keys, sequence)
-        else:
-            merged = upsert(start, updates, self.keys)
-        version, written = self._write(merged, old)
-        folders = {b: list(v) for b, v in old.folders.items() if b not in touched}
-        folders.update({b: [version] for b in written})
-        self._publish(old, merged.schema, folders, batch)
+            start = self._scan(base, touched)
+        merged = upsert(start, updates, self.keys)
+        staged = self._write(merged, base)
+        folders = {b: list(parts) for b, parts in base.folders.items() if b not in touched}
+        folders.update({b: [[staged.version, n]] for b, n in staged.sizes.items()})
+        self._publish(base, merged.schema, folders, batch)
+
+    def compact(self, *, share: float = 0.25, max_folders: int = 64) -> int:
+        """Rewrite buckets whose appended bytes reach a share of their first folder's bytes,
+        or that consist of too many folders. Returns how many buckets were rewritten."""
+        base = self.commit()
+
+        def grown(parts: list[list]) -> bool:
+            added = sum(n for _, n in parts[1:])
+            return len(parts) > max_folders or (len(parts) > 1 and added >= share * parts[0][1])
+
+        buckets = {b for b, parts in base.folders.items() if grown(parts)}
+        if not buckets:
+            return 0
+        rows = self._scan(base, buckets)
+        staged = self._write(self._newest(rows) if self.sequence else rows, base)
+        folders = {b: list(parts) for b, parts in base.folders.items() if b not in buckets}
+        folders.update({b: [[staged.version, n]] for b, n in staged.sizes.items()})
+        self._publish(base, base.schema, folders, None)
+        return len(buckets)

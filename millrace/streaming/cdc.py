@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from millrace.operators.dedup import keep_latest
 from millrace.operators.quality import expect_or_drop, expect_or_fail
 from millrace.sources.snapshots import SnapshotTable
 from millrace.spec import Rule
@@ -22,27 +21,28 @@ def apply_changes_stream(
     changes: DataFrame,
     table: SnapshotTable,
     *,
-    sequence: str,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
+    compact_share: float = 0.25,
 ) -> None:
     """Keep the row with the highest sequence per key of the table.
 
-    Late rows need no watermark: an older sequence never replaces a newer one. A batch
-    that is replayed after a crash is recognised by its number.
+    A batch is appended, not merged into the whole table; a bucket is rewritten once its
+    appended rows are worth it. Late rows need no watermark: an older sequence never
+    replaces a newer one. A batch that is replayed after a crash is recognised by its
+    number.
     """
+    if not table.sequence:
+        raise ValueError("the table needs a sequence")
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def add(batch: DataFrame, batch_id: int) -> None:
         if table.seen(checkpoint, batch_id):
             return
-        newest = keep_latest(batch, table.keys, sequence).persist()
-        try:
-            table.merge(newest, sequence=sequence, batch=(checkpoint, batch_id))
-        finally:
-            newest.unpersist()
+        table.append(batch, batch=(checkpoint, batch_id))
+        table.compact(share=compact_share)
 
     query = (
-        changes.writeStream.foreachBatch(merge)
+        changes.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -24,7 +24,7 @@ def parse_with_rescue(df: DataFrame, text: str, schema: StructType, rescued: str
     )
     fitted = F.array_compact(
         F.array(*[F.when(F.col(f"_typed.`{f.name}`").isNotNull(), F.lit(f.name)) for f in schema.fields])
-    )
+    ).cast("array<string>")
     left_over = F.map_filter("_raw", lambda k, v: v.isNotNull() & ~F.array_contains("_fitted", k))
     whole = F.to_json(F.create_map(F.lit("_line"), F.col("_text")))
     return (
@@ -40,21 +40,27 @@ def parse_with_rescue(df: DataFrame, text: str, schema: StructType, rescued: str
     )
 
 
-def unseen_fields(df: DataFrame, text: str, schema: StructType) -> StructType:
-    """Fields that occur in the text but not in the schema, with the narrowest type that fits all values.
+def unseen_fields(rescued: DataFrame, schema: StructType, column: str = RESCUED) -> StructType:
+    """Fields in the rescued JSON that the schema does not have, with the narrowest type that fits all values.
 
-    One row per unseen field name comes back to the driver.
+    Only rows with rescued data are looked at, usually a few. One row per unseen field
+    name comes back to the driver.
     """
-    known = F.array(*[F.lit(n) for n in schema.names]).cast("array<string>")
-    entries = df.select(F.explode(F.from_json(text, "map<string,string>")).alias("name", "value"))
-    unseen = entries.filter(~F.array_contains(known, F.col("name")) & F.col("value").isNotNull())
-    fits = unseen.groupBy("name").agg(
-        F.every(F.col("value").try_cast("bigint").isNotNull()).alias("is_long"),
-        F.every(F.col("value").try_cast("double").isNotNull()).alias("is_double"),
-        F.every(F.col("value").isin("true", "false")).alias("is_boolean"),
+    known = F.array(*[F.lit(n) for n in [*schema.names, "_line"]])
+    kept = rescued.filter(F.col(column).isNotNull())
+    entries = kept.select(F.explode(F.from_json(column, "map<string,string>")).alias("name", "value"))
+    fits = (
+        entries.filter(~F.array_contains(known, F.col("name")))
+        .groupBy("name")
+        .agg(
+            F.every(F.col("value").isin("true", "false")).alias("boolean"),
+            F.every(F.col("value").try_cast("bigint").isNotNull()).alias("long"),
+            F.every(F.col("value").try_cast("double").isNotNull()).alias("double"),
+        )
     )
+    kinds = {"boolean": BooleanType(), "long": LongType(), "double": DoubleType()}
     found = StructType()
     for row in fits.orderBy("name").collect():
-        fitting = [t for ok, t in ((row.is_boolean, BooleanType()), (row.is_long, LongType()), (row.is_double, DoubleType())) if ok]
+        fitting = [t for kind, t in kinds.items() if row[kind]]
         found = found.add(row["name"], (fitting or [StringType()])[0])
     return found

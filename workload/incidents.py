@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cleaning as c
 from millrace.plans.incidents import clean_incidents, closed_case_report
+from millrace.session import materialise
 from workload.inputs import table
 from workload.registry import case, half_up, units
 
@@ -55,7 +56,8 @@ def _raw(spark, sf):
     lines = table(spark, sf, "lineitem").join(
         table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
-    return lines.select(*[F.expr(e.format(**SPARK_WORDS)).alias(n) for n, e in RAW.items()])
+    raw = lines.select(*[F.expr(e.format(**SPARK_WORDS)).alias(n) for n, e in RAW.items()])
+    return materialise(raw, "incidents")
 
 
 RAW_SQL = (

@@ -216,8 +216,8 @@ def stream_cdc_apply(spark, sf):
         drop=[Rule("no_signup", "event_type <> 'signup'"), Rule("key_present", "user_id IS NOT NULL"), Rule("some", "value > 0")],
         fail=[Rule("value_positive", "value >= 0")],
     )
-    store = SnapshotTable(spark, target, keys=["user_id"], buckets=4)
-    apply_changes_stream(cleaned, store, sequence="ts", checkpoint=checkpoint)
+    store = SnapshotTable(spark, target, keys=["user_id"], buckets=4, sequence="ts")
+    apply_changes_stream(cleaned, store, checkpoint=checkpoint)
     return store.read()
 
 
