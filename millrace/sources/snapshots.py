@@ -1,7 +1,7 @@
 """A parquet table that can be replaced, merged or appended to while it is being read.
 
 Plain parquet folders cannot be rewritten from their own content. Here every write
-goes to new folders ``data/v=<n>/bucket=<b>``, and one small commit file lists the
+goes to new folders ``data/<n>/snapshot_bucket=<b>``, and one small commit file lists the
 folders that make up the table. A reader resolves the newest commit once; a job that
 dies before its commit leaves the table as it was.
 
@@ -28,6 +28,7 @@ from millrace.operators.upsert import upsert
 from millrace.session import materialise
 from millrace.sources import files
 
+BUCKET = "snapshot_bucket"
 Folders = dict[str, list[list]]  # bucket -> [version, bytes] in the order of writing
 
 
@@ -114,13 +115,13 @@ class SnapshotTable:
         if commit.schema is None:
             raise FileNotFoundError(f"no commit in {self.path}")
         written = [(v, b) for b, parts in sorted(commit.folders.items()) if b in buckets for v, _ in parts]
-        return self._folders([f"{self.path}/data/{v}/bucket={b}" for v, b in written], commit.schema)
+        return self._folders([f"{self.path}/data/{v}/{BUCKET}={b}" for v, b in written], commit.schema)
 
     def _folders(self, paths: list[str], schema: StructType) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], schema)
-        scan = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
-        return scan.select(*[F.col(f"`{c}`") for c in schema.names])
+        # recursive lookup: folder names are not columns
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
 
     # -- writing -------------------------------------------------------------
 
@@ -131,13 +132,13 @@ class SnapshotTable:
 
     def _write(self, df: DataFrame, base: Commit) -> Staged:
         # the name is new for every attempt, so concurrent writers cannot touch each other's files
-        version = f"v={base.number + 1:010d}-{uuid.uuid4().hex[:12]}"
+        version = f"{base.number + 1:010d}-{uuid.uuid4().hex[:12]}"
         target = f"{self.path}/data/{version}"
-        out = df.withColumn("bucket", self._bucket())
+        out = df.withColumn(BUCKET, self._bucket())
         if self.buckets > 1:
-            out = out.hint("rebalance", F.col("bucket"))
-        out.write.partitionBy("bucket").parquet(target)
-        found = [n for n in files.names(self.spark, target) if n.startswith("bucket=")]
+            out = out.hint("rebalance", F.col(BUCKET))
+        out.write.partitionBy(BUCKET).parquet(target)
+        found = [n for n in files.names(self.spark, target) if n.startswith(f"{BUCKET}=")]
         sizes = {n.split("=", 1)[1]: files.size(self.spark, f"{target}/{n}") for n in found}
         return Staged(base, df.schema, version, sizes)
 
@@ -169,7 +170,7 @@ class SnapshotTable:
         return Staged(base, schema, staged.version, staged.sizes)
 
     def staged_rows(self, staged: Staged) -> DataFrame:
-        paths = [f"{self.path}/data/{staged.version}/bucket={b}" for b in staged.sizes]
+        paths = [f"{self.path}/data/{staged.version}/{BUCKET}={b}" for b in staged.sizes]
         return self._folders(paths, staged.schema)
 
     def publish(self, staged: Staged, *, batch: tuple[str, int] | None = None) -> None:
