@@ -9,9 +9,9 @@ from pyspark.sql.types import DataType, DateType, NumericType, StringType, Times
 
 
 def order_number(column: Column | str, data_type: DataType) -> Column:
-    """A double or bigint that sorts like the column.
+    """A double that sorts like the column.
 
-    Strings map to their first seven bytes, so long common prefixes share a number.
+    Strings map to their first six bytes, so longer common prefixes share a number.
     """
     c = F.col(column) if isinstance(column, str) else column
     if isinstance(data_type, NumericType):
@@ -24,19 +24,21 @@ def order_number(column: Column | str, data_type: DataType) -> Column:
     if isinstance(data_type, TimestampType):
         return F.unix_micros(c).cast("double")
     if isinstance(data_type, StringType):
-        head = F.substring(F.rpad(F.encode(c, "UTF-8"), 7, F.lit(b"\x00")), 1, 7)
+        head = F.substring(F.rpad(F.encode(c, "UTF-8"), 6, F.lit(b"\x00")), 1, 6)
         return F.conv(F.hex(head), 16, 10).cast("double")
     raise TypeError(f"no order for {data_type.simpleString()}")
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], slots: int) -> dict[str, list[float]]:
-    """Approximate inner quantiles of each column, distinct and ascending, in one pass."""
+def cut_points(
+    df: DataFrame, columns: Sequence[str], slots: int, *, distinct: bool = True
+) -> dict[str, list[float]]:
+    """Approximate inner quantiles of each column, ascending, in one pass."""
     shares = [i / slots for i in range(1, slots)]
     types = {c: df.schema[c].dataType for c in columns}
     row = df.agg(
         *[F.percentile_approx(order_number(c, types[c]), shares, 1000).alias(c) for c in columns]
     ).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    return {c: sorted(set(row[c] or []) if distinct else row[c] or []) for c in columns}
 
 
 def slot_of(number: Column, cuts: Sequence[float]) -> Column:
@@ -51,12 +53,6 @@ def slot_of(number: Column, cuts: Sequence[float]) -> Column:
     return F.when(number.isNull(), F.lit(0)).otherwise(search(0, len(cuts)))
 
 
-def range_slot(df: DataFrame, column: str, slots: int) -> Column:
-    """Slot 0..slots-1 of a column, cut at its approximate quantiles."""
-    cuts = cut_points(df, [column], slots)[column]
-    return slot_of(order_number(column, df.schema[column].dataType), cuts)
-
-
 def interleave(slots: Sequence[Column], bits: int) -> Column:
     """Bits of several small integers taken in turn, the highest bits first."""
     if len(slots) * bits > 62:

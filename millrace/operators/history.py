@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.functions.ordering import cut_points, order_number, slot_of
 from millrace.operators.numbering import number_rows
 from millrace.operators.upsert import require_unique
 from millrace.session import materialise
@@ -120,41 +121,51 @@ def as_of_lookup(
     key: str,
     at: str,
     columns: Sequence[str],
-    slice_unit: str | None = None,
+    many_versions: bool = False,
+    slots: int = 64,
 ) -> DataFrame:
     """Attach the version that was valid at ``at``: ``valid_from <= at < valid_to``; NULL if none.
 
-    By default the join is on the key with the interval as residual condition, right for
-    dimensions with a few versions per key. A key with very many versions and facts
-    should set ``slice_unit`` ("month", "day"): both sides then also join on the time
-    slice, so such a key spreads over many tasks and each fact meets only the versions
-    of its own slice.
+    By default a join on the key with the interval as residual condition: a small
+    dimension is broadcast, and a busy key meets only its few versions. That compares
+    every fact of a key with every version of it, so a key with very many of both needs
+    ``many_versions``, which sweeps over time instead. The versions of a key must not overlap.
     """
-    versions = dim.select(key, *columns, "valid_from", "valid_to")
-    if slice_unit is None:
-        in_force = (F.col(f"f.{at}") >= F.col("v.valid_from")) & (
-            F.col("v.valid_to").isNull() | (F.col(f"f.{at}") < F.col("v.valid_to"))
-        )
-        joined = facts.alias("f").join(
-            versions.alias("v"), (F.col(f"f.{key}") == F.col(f"v.{key}")) & in_force, "left"
-        )
-    else:
-        span = facts.agg(F.min(at).alias("low"), F.max(at).alias("high"))
-        step = F.expr(f"interval 1 {slice_unit}")
-        first = F.date_trunc(slice_unit, F.greatest("valid_from", span.select("low").scalar()))
-        last = F.date_trunc(slice_unit, F.least("valid_to", span.select("high").scalar()))
-        sliced = versions.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
-        sliced = sliced.withColumn("_slice", F.explode(F.sequence("_first", "_last", step)))
-        in_force = (F.col(f"f.{at}") >= F.col("v.valid_from")) & (
-            F.col("v.valid_to").isNull() | (F.col(f"f.{at}") < F.col("v.valid_to"))
-        )
-        joined = (
-            facts.withColumn("_slice", F.date_trunc(slice_unit, at))
-            .alias("f")
-            .join(
-                sliced.alias("v"),
-                (F.col(f"f.{key}") == F.col(f"v.{key}")) & (F.col("f._slice") == F.col("v._slice")) & in_force,
-                "left",
-            )
-        )
+    versions = dim.filter(F.col(key).isNotNull()).select(key, *columns, "valid_from", "valid_to")
+    if many_versions:
+        return _sweep(facts, versions, key, at, columns, slots)
+    in_force = (F.col(f"f.{at}") >= F.col("v.valid_from")) & (
+        F.col("v.valid_to").isNull() | (F.col(f"f.{at}") < F.col("v.valid_to"))
+    )
+    joined = facts.alias("f").join(versions.alias("v"), (F.col(f"f.{key}") == F.col(f"v.{key}")) & in_force, "left")
     return joined.select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{c}") for c in columns])
+
+
+def _sweep(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: Sequence[str], slots: int) -> DataFrame:
+    """Versions and facts in one time order; a fact takes the last version before it.
+
+    Time is cut into slots at quantiles of the fact times, so even a key that holds most
+    rows is sorted in many tasks. What a slot inherits from the slots before it comes from
+    one row per key and slot.
+    """
+    kind = facts.schema[at].dataType
+    cuts = cut_points(facts, [at], slots)[at]
+    version = F.struct(*columns, "valid_from", "valid_to")
+    v = versions.select(
+        F.col(key).alias("_key"), F.col("valid_from").cast(kind).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version")
+    )
+    fact_row = F.struct(*facts.columns)
+    f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), fact_row.alias("_fact"))
+    both = f.unionByName(v, allowMissingColumns=True).withColumn("_slot", slot_of(order_number("_at", kind), cuts))
+
+    per_slot = both.groupBy("_key", "_slot").agg(F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
+    earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = per_slot.select("_key", "_slot", F.last("_last", ignorenulls=True).over(earlier).alias("_inherited"))
+
+    until_here = Window.partitionBy("_key", "_slot").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_found", F.last("_version", ignorenulls=True).over(until_here)).filter("_kind = 1")
+    same = F.col("b._key").eqNullSafe(F.col("i._key")) & (F.col("b._slot") == F.col("i._slot"))
+    joined = found.alias("b").join(inherited.alias("i"), same, "left")
+    last = joined.select("_fact", F.col("_at"), F.coalesce("_found", "_inherited").alias("_v"))
+    valid = F.col("_v.valid_to").isNull() | (F.col("_at") < F.col("_v.valid_to"))
+    return last.select("_fact.*", *[F.when(valid, F.col(f"_v.{c}")).alias(c) for c in columns])

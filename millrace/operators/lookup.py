@@ -21,6 +21,10 @@ def enrich_matched(df: DataFrame, lookup: DataFrame, on: str | Sequence[str]) ->
 
 
 def unmatched(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], report: Sequence[str]) -> DataFrame:
-    """Distinct report columns of rows that have no match."""
+    """Distinct report columns of rows that have no match.
+
+    The lookup's keys are made distinct first, so a key that it repeats often is one row
+    per task before the shuffle.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(lookup.select(*keys), keys, "left_anti").select(*report).distinct()
+    return df.join(lookup.select(*keys).distinct(), keys, "left_anti").select(*report).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from millrace.functions.ordering import range_slot
+from millrace.functions.ordering import cut_points, order_number, slot_of
 
 RANGED = (NumericType, DateType, TimestampType, TimestampNTZType, StringType)
 
@@ -22,18 +22,30 @@ def number_rows(
 
     The key range is cut into slots at approximate quantiles. Rows are numbered inside
     their slot and shifted by the sizes of the slots before it. The cut points decide
-    only how even the slots are: the slot is a function of the key, so a recomputed
-    task gives the same numbers.
+    only how even the slots are: the slot is a function of the row, so a recomputed
+    task gives the same numbers. Rows of a key that fills several slots, or of strings
+    that fill several slots with the same first six bytes, are numbered in no
+    particular order among themselves.
     """
-    if not isinstance(df.schema[key].dataType, RANGED):
+    data_type = df.schema[key].dataType
+    if not isinstance(data_type, RANGED):
         raise TypeError(f"{key} cannot be cut into ranges")
-    slotted = df.withColumn("_slot", range_slot(df, key, slots))
-    sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("_size"))
-    # `slots` rows at most
-    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_slot", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    ties = [F.col(c).asc_nulls_first() for c in df.columns if c != key]
-    inside = Window.partitionBy("_slot").orderBy(F.col(key).asc_nulls_first(), *ties)
+    others = [c for c in df.columns if c != key]
+    number = order_number(key, data_type)
+    cuts = cut_points(df, [key], slots, distinct=False)[key]
+    # A value at two cuts holds more than a slot's share of the rows. It starts a slot of
+    # its own accord, and its rows are spread over parts 0..slots-1 by their other columns.
+    busy = sorted({c for c, following in zip(cuts, cuts[1:]) if c == following})
+    spread = F.pmod(F.xxhash64(*others), F.lit(slots)) if others else F.lit(0)
+    part = F.when(number.isin(busy), spread).otherwise(F.lit(slots)) if busy else F.lit(slots)
+    slotted = df.withColumns({"_slot": slot_of(number, sorted(set(cuts))), "_part": part.cast("int")})
+
+    sizes = slotted.groupBy("_slot", "_part").agg(F.count(F.lit(1)).alias("_size"))
+    # at most slots * (slots + 1) rows
+    before = Window.orderBy("_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_slot", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    ties = [F.col(c).asc_nulls_first() for c in others]
+    inside = Window.partitionBy("_slot", "_part").orderBy(F.col(key).asc_nulls_first(), *ties)
     first = start if isinstance(start, Column) else F.lit(start)
-    number = (F.row_number().over(inside) + F.col("_offset") + first - 1).cast("bigint")
-    return slotted.join(offsets, "_slot").withColumn(name, number).drop("_slot", "_offset")
+    row = (F.row_number().over(inside) + F.col("_offset") + first - 1).cast("bigint")
+    return slotted.join(offsets, ["_slot", "_part"]).withColumn(name, row).drop("_slot", "_part", "_offset")

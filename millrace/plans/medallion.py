@@ -12,9 +12,9 @@ from millrace.operators.dedup import keep_latest
 from millrace.operators.history import open_rows
 from millrace.operators.quality import check_table, expect_or_drop, expect_or_fail
 from millrace.operators.timejoin import hourly_fact
-from millrace.sources.readers import read_table
-from millrace.sources.writers import overwrite
+from millrace.sources.snapshots import SnapshotTable
 from millrace.spec import Rule, TableSpec
+from millrace.streaming.cdc import apply_changes_stream, clean_stream
 
 # Expectations of the pipeline.
 PRICE_DROP = (
@@ -33,6 +33,8 @@ READING_FAIL = (
 GATE_RANGES = (Rule("out_of_range", "NOT (consumption_kwh < 0 OR pue < 1.0 OR pue > 2.0)", null_ok=True),)
 EXPECTED_ROWS_PER_DAY = 192
 
+SILVER_BUCKETS = 16
+
 PRICES = TableSpec(
     "prices",
     {
@@ -104,17 +106,24 @@ def datacenter_snapshot(readings: DataFrame, as_of: dt.datetime | None = None) -
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Folders of the layers."""
+    """Folders of the layers. Readers of a table never see it half written."""
 
+    spark: SparkSession
     root: str
 
-    def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+    def path(self, layer: str, name: str) -> str:
+        return f"{self.root}/{layer}/{name}"
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        return SnapshotTable(self.spark, self.path(layer, name)).read()
+
+    def store(self, df: DataFrame, layer: str, name: str) -> DataFrame:
+        SnapshotTable(self.spark, self.path(layer, name)).replace(df)
+        return self.read(layer, name)
 
 
 def full_refresh(
-    spark: SparkSession, house: Lakehouse, bronze_prices: DataFrame, bronze_readings: DataFrame,
-    as_of: dt.datetime | None = None,
+    house: Lakehouse, bronze_prices: DataFrame, bronze_readings: DataFrame, as_of: dt.datetime | None = None
 ) -> DataFrame:
     """Rebuild silver and gold from bronze and return the fact.
 
@@ -122,25 +131,43 @@ def full_refresh(
     executor never reaches back further than the last table. Rows are sorted by zone and
     time inside each file, so filters on them skip row groups.
     """
-    steps = {
-        ("silver", "prices"): lambda: check_table_lazily(prices_silver(bronze_prices, as_of), PRICES),
-        ("silver", "sensor_data"): lambda: check_table_lazily(
-            readings_silver(bronze_readings, as_of), READINGS
-        ).sortWithinPartitions("bidding_zone", "timestamp_utc"),
-        ("silver", "datacenter"): lambda: datacenter_snapshot(table("silver", "sensor_data"), as_of),
-        ("gold", "consumption_hourly"): lambda: hourly_fact(
-            table("silver", "sensor_data"), table("silver", "prices")
-        ).sortWithinPartitions("bidding_zone", "date"),
-        ("gold", "dim_datacenter"): lambda: table("silver", "datacenter"),
-        ("gold", "dim_date"): lambda: calendar(table("gold", "consumption_hourly")),
-    }
-
-    def table(layer: str, name: str) -> DataFrame:
-        return read_table(spark, house.path(layer, name))
-
-    for (layer, name), build in steps.items():
-        overwrite(build(), house.path(layer, name))
-    return table("gold", "consumption_hourly")
+    silver = check_table_lazily(readings_silver(bronze_readings, as_of), READINGS)
+    silver = silver.sortWithinPartitions("bidding_zone", "timestamp_utc")
+    readings = house.store(silver, "silver", "sensor_data")
+    return _prices_and_gold(house, bronze_prices, readings, as_of)
+
+
+def incremental_refresh(
+    house: Lakehouse, bronze_prices: DataFrame, bronze_readings: DataFrame, as_of: dt.datetime | None = None
+) -> DataFrame:
+    """The same with the readings as a stream: only new ones are read, cleaned and applied to silver by event."""
+    cleaned = clean_stream(
+        bronze_readings,
+        {"pue": "decimal(4,3)", "consumption_kwh": "decimal(10,4)", "avg_power_kw": "decimal(10,2)"},
+        drop=READING_DROP,
+        fail=READING_FAIL,
+    )
+    silver = SnapshotTable(
+        house.spark,
+        house.path("silver", "sensor_data"),
+        keys=list(READINGS.keys),
+        buckets=SILVER_BUCKETS,
+        sequence="ingestion_ts",
+    )
+    apply_changes_stream(cleaned, silver, checkpoint=house.path("state", "sensor_data"))
+    return _prices_and_gold(house, bronze_prices, silver.read(), as_of)
+
+
+def _prices_and_gold(
+    house: Lakehouse, bronze_prices: DataFrame, readings: DataFrame, as_of: dt.datetime | None
+) -> DataFrame:
+    prices = house.store(check_table_lazily(prices_silver(bronze_prices, as_of), PRICES), "silver", "prices")
+    sites = house.store(datacenter_snapshot(readings, as_of), "silver", "datacenter")
+    fact = hourly_fact(readings, prices).sortWithinPartitions("bidding_zone", "date")
+    fact = house.store(fact, "gold", "consumption_hourly")
+    house.store(sites, "gold", "dim_datacenter")
+    house.store(calendar(fact), "gold", "dim_date")
+    return fact
 
 
 def check_table_lazily(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -157,6 +184,7 @@ __all__ = [
     "check_table",
     "datacenter_snapshot",
     "full_refresh",
+    "incremental_refresh",
     "prices_silver",
     "readings_silver",
 ]

@@ -126,18 +126,17 @@ class SnapshotTable:
     # -- writing -------------------------------------------------------------
 
     def _bucket(self) -> Column:
-        if self.buckets == 1:
-            return F.lit(0)
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def _write(self, df: DataFrame, base: Commit) -> Staged:
         # the name is new for every attempt, so concurrent writers cannot touch each other's files
         version = f"{base.number + 1:010d}-{uuid.uuid4().hex[:12]}"
         target = f"{self.path}/data/{version}"
-        out = df.withColumn(BUCKET, self._bucket())
-        if self.buckets > 1:
-            out = out.hint("rebalance", F.col(BUCKET))
-        out.write.partitionBy(BUCKET).parquet(target)
+        if self.buckets == 1:
+            df.write.parquet(f"{target}/{BUCKET}=0")  # keeps the order of rows
+        else:
+            bucketed = df.withColumn(BUCKET, self._bucket()).hint("rebalance", F.col(BUCKET))
+            bucketed.write.partitionBy(BUCKET).parquet(target)
         found = [n for n in files.names(self.spark, target) if n.startswith(f"{BUCKET}=")]
         sizes = {n.split("=", 1)[1]: files.size(self.spark, f"{target}/{n}") for n in found}
         return Staged(base, df.schema, version, sizes)

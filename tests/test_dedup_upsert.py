@@ -77,8 +77,17 @@ def test_numbers_are_dense_and_follow_the_key(spark, slots):
 
 
 def test_numbers_for_strings_and_repeated_keys(spark):
-    df = spark.createDataFrame([("site-%02d" % (i % 30), i) for i in range(100)], "k string, v int")
-    got = [(r.k, r.n) for r in number_rows(df, "k", "n").orderBy("n").collect()]
+    df = spark.createDataFrame([("%02d-site" % (i % 30), i) for i in range(100)], "k string, v int")
+    got = [(r.k, r.n) for r in number_rows(df, "k", "n", slots=8).orderBy("n").collect()]
     assert [n for _, n in got] == list(range(1, 101))
     assert [k for k, _ in got] == sorted(k for k, _ in got)
     assert number_rows(df.limit(0), "k", "n").count() == 0
+
+
+def test_numbers_of_a_busy_key_are_spread_and_stay_dense(spark):
+    """Two thirds of the rows hold two keys; the order of keys is kept."""
+    key = F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 3 == 1, 1000).otherwise(F.col("id"))
+    df = spark.range(3000).select(key.alias("k"), "id")
+    got = [(r.k, r.n) for r in number_rows(df, "k", "n", slots=8).orderBy("n").collect()]
+    assert [n for _, n in got] == list(range(1, 3001))
+    assert [k for k, _ in got] == sorted(k for k, _ in got)

@@ -63,8 +63,8 @@ def test_as_of_lookup_takes_the_version_in_force(spark):
         "site_id string, at timestamp",
     )
     expected = [None, "one", "one", "two", "two", None]
-    for unit in (None, "month", "day"):
-        found = as_of_lookup(facts, dim, key="site_id", at="at", columns=["site_name"], slice_unit=unit)
+    for many in (False, True):
+        found = as_of_lookup(facts, dim, key="site_id", at="at", columns=["site_name"], many_versions=many)
         assert [r.site_name for r in found.orderBy("site_id", "at").collect()] == expected
 
 
@@ -81,3 +81,24 @@ def test_open_rows_keep_the_time_type(spark):
     df = open_rows(spark.range(1), D1, "timestamp_ntz")
     assert dict(df.dtypes)["valid_to"] == "timestamp_ntz"
     assert df.filter(F.col("valid_from") == F.lit(D1)).count() == 1
+
+
+def test_the_sweep_agrees_with_the_join_for_a_hot_key_with_gaps(spark):
+    """A third of facts and versions belong to one key; every third version ended early."""
+    hour = F.expr("timestamp'2026-01-01 00:00:00' + make_dt_interval(0, cast(id as int) % 500, 0, 0)")
+    site = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 101 == 0, F.lit(None)).otherwise((F.col("id") % 17).cast("string"))
+    facts = spark.range(3000).select("id", site.alias("site_id"), hour.alias("at"))
+    begin = F.expr("timestamp'2026-01-01 00:00:00' + make_dt_interval(0, cast(h as int), 0, 0)")
+    versions = spark.range(0, 500, 5).withColumnRenamed("id", "h").select(
+        F.explode(F.array(F.lit("hot"), F.lit("3"), F.lit("5"))).alias("site_id"),
+        F.col("h").cast("string").alias("site_name"),
+        begin.alias("valid_from"),
+        F.when(F.col("h") < 480, begin + F.when(F.col("h") % 3 == 0, F.expr("interval 2 hours")).otherwise(F.expr("interval 5 hours"))).alias("valid_to"),
+    ).filter("site_id <> '5' or valid_to is not null")
+    versions = versions.filter("valid_to is not null or site_name = '495'")
+    options = {"key": "site_id", "at": "at", "columns": ["site_name"]}
+    plain = as_of_lookup(facts, versions, **options)
+    swept = as_of_lookup(facts, versions, many_versions=True, slots=8, **options)
+    assert plain.count() == 3000
+    assert rows(swept.select(plain.columns)) == rows(plain)
+    assert plain.filter("site_name is not null").count() > 500

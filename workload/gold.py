@@ -11,10 +11,10 @@ from millrace.operators.history import current_rows
 from millrace.operators.metrics import filter_values, star
 from millrace.operators.timejoin import fill_rate, hourly_fact, time_bucket_join
 from millrace.plans import dashboard
-from millrace.plans.medallion import Lakehouse, datacenter_snapshot, full_refresh
+from millrace.plans.medallion import Lakehouse, datacenter_snapshot, full_refresh, incremental_refresh
 from millrace.session import fresh_folder
-from millrace.sources.readers import read_json
-from millrace.sources.writers import export_json
+from millrace.sources.readers import read_json, stream_files
+from millrace.sources.writers import export_json, land_partitions
 from workload.inputs import (
     QUARTER_PRICES_SQL,
     READINGS_SQL,
@@ -193,13 +193,8 @@ BRONZE_READING = (
 )
 
 
-@case(fact_sql() + f"select {FACT_COLUMNS} from fact")
-def medallion_full_refresh(spark, sf):
-    """JSON bronze to gold. Every price arrives twice, first as a forecast of 0, then final."""
-    house = Lakehouse(fresh_folder(spark, "lakehouse"))
-    export_json(readings(spark, sf), house.path("bronze", "sensor_data"))
-    bronze_readings = read_json(spark, house.path("bronze", "sensor_data"), BRONZE_READING)
-
+def _bronze_prices(spark, sf):
+    """Every price arrives twice, first as a forecast of 0, then final."""
     delivered = prices(spark, sf).withColumns(
         {
             "delivery": F.explode(F.array(F.lit(0), F.lit(5))),
@@ -209,10 +204,32 @@ def medallion_full_refresh(spark, sf):
         }
     )
     minutes = F.make_dt_interval(F.lit(0), F.lit(0), F.col("delivery"), F.lit(0))
-    bronze_prices = delivered.withColumns(
+    return delivered.withColumns(
         {
             "price": F.when(F.col("delivery") == 5, F.col("price")).otherwise(F.lit(0).cast("decimal(10,2)")),
             "ingestion_ts": F.col("timestamp_utc") + minutes,
         }
     ).drop("delivery")
-    return full_refresh(spark, house, bronze_prices, bronze_readings, SNAPSHOT)
+
+
+@case(fact_sql() + f"select {FACT_COLUMNS} from fact")
+def medallion_full_refresh(spark, sf):
+    """JSON bronze to gold."""
+    house = Lakehouse(spark, fresh_folder(spark, "lakehouse"))
+    export_json(readings(spark, sf), house.path("bronze", "sensor_data"))
+    bronze_readings = read_json(spark, house.path("bronze", "sensor_data"), BRONZE_READING)
+    return full_refresh(house, _bronze_prices(spark, sf), bronze_readings, SNAPSHOT)
+
+
+@case(fact_sql() + f"select {FACT_COLUMNS} from fact")
+def medallion_incremental_refresh(spark, sf):
+    """Readings land in two halves of the month, the pipeline runs after each; some readings land twice."""
+    house = Lakehouse(spark, fresh_folder(spark, "lakehouse"))
+    landing = house.path("bronze", "sensor_data")
+    rows = readings(spark, sf).withColumn("day", F.to_date("timestamp_utc"))
+    halves = (rows.filter("day < date'2024-01-17'"), rows.filter("day >= date'2024-01-14'"))
+    for number, half in enumerate(halves):
+        land_partitions(half.drop("day").withColumn("zone", F.col("bidding_zone")), f"{landing}/{number}", ["zone"])
+        stream = stream_files(spark, landing, BRONZE_READING, files_per_trigger=None)
+        fact_rows = incremental_refresh(house, _bronze_prices(spark, sf), stream, SNAPSHOT)
+    return fact_rows
