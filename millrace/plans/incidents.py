@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import cleaning as c
-from millrace.functions.decimals import half_up_ratio
+from millrace.functions.decimals import half_up_mean, to_units
 from millrace.operators.dedup import drop_duplicates
 from millrace.operators.security import drop_personal
 
@@ -60,12 +60,12 @@ def closed_case_report(clean: DataFrame) -> DataFrame:
     Losses are averaged as cents, so the result does not depend on the order of addition.
     """
     closed = clean.filter((F.col("case_status") == "Closed") & (F.col("num_arrests") > 0))
-    loss = F.col("property_loss_usd").cast("decimal(14,2)")
+    cents = to_units(F.col("property_loss_usd").cast("decimal(14,2)"), 2)
     return (
         closed.groupBy("suspect_gender", "resolution")
         .agg(
             F.count(F.lit(1)).alias("incident_count"),
-            half_up_ratio(F.sum(loss), F.count(loss), 2, 14).alias("avg_property_loss_usd"),
+            half_up_mean(F.sum(cents), F.count(cents), 2, 2, 14).alias("avg_property_loss_usd"),
         )
         .orderBy(F.desc("incident_count"), F.asc_nulls_last("suspect_gender"), "resolution")
     )

@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from millrace.operators.dedup import keep_latest
 from millrace.operators.schema import widen
 from millrace.operators.upsert import upsert
-from millrace.session import materialise
+from millrace.session import fresh_folder
 from millrace.sources import files
 
 BUCKET = "snapshot_bucket"
@@ -188,20 +188,24 @@ class SnapshotTable:
         if not self.keys or self.sequence:
             raise ValueError("merge is for tables with keys and without a sequence")
         base = self.commit()
-        updates = materialise(updates, "updates")
+        scratch = fresh_folder(self.spark, "updates")
+        updates.write.parquet(scratch)  # read several times below
+        stored = self.spark.read.schema(updates.schema).parquet(scratch)
         if base.schema is None:
             touched: set[str] = set()
             start = self.spark.createDataFrame([], updates.schema)
         else:
             # at most `buckets` numbers come back to the driver
-            found = updates.select(self._bucket().cast("string").alias("b")).distinct().collect()
+            number = self._bucket() if self.buckets > 1 else F.lit(0)
+            found = stored.select(number.cast("string").alias("b")).distinct().collect()
             touched = {r.b for r in found}
             start = self._scan(base, touched)
-        merged = upsert(start, updates, self.keys)
+        merged = upsert(start, stored, self.keys)
         staged = self._write(merged, base)
         folders = {b: list(parts) for b, parts in base.folders.items() if b not in touched}
         folders.update({b: [[staged.version, n]] for b, n in staged.sizes.items()})
         self._publish(base, merged.schema, folders, batch)
+        files.delete(self.spark, scratch)
 
     def compact(self, *, share: float = 0.25, max_folders: int = 64) -> int:
         """Rewrite buckets whose appended bytes reach a share of their first folder's bytes,

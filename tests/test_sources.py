@@ -8,9 +8,9 @@ from millrace.operators.schema import SchemaMismatch
 from millrace.sources import files
 from millrace.sources.messages import READING_SCHEMA, message_stream, parse_messages
 from millrace.sources.price_documents import price_points, root_tag
-from millrace.sources.readers import read_csv, read_table, with_audit, with_provenance
+from millrace.sources.readers import read_csv, read_json, read_table, stream_table, with_audit, with_provenance
 from millrace.sources.snapshots import SnapshotTable
-from millrace.sources.writers import clone, land_partitions, overwrite, seed_once, stream_to_files, truncate
+from millrace.sources.writers import clone, drop_table, export_json, land_partitions, overwrite, seed_once, stream_to_files, truncate
 from tests.conftest import rows
 
 PUBLICATION = """<?xml version="1.0" encoding="UTF-8"?>
@@ -142,3 +142,26 @@ def test_small_files(spark, folder):
     assert files.names(spark, f"{folder}/missing") == [] and files.exists(spark, f"{folder}/a")
     with pytest.raises(Exception, match="exist"):
         files.create_text(spark, f"{folder}/a/x.json", "again")
+
+
+@pytest.mark.parametrize("trigger", [{"availableNow": True}, {"once": True}, {"processingTime": "1 second"}])
+def test_every_trigger_copies_the_table_once(spark, folder, trigger):
+    overwrite(spark.range(5).toDF("id"), f"{folder}/t")
+    stream = stream_table(spark, f"{folder}/t", "id bigint")
+    query = stream_to_files(stream, f"{folder}/copy", f"{folder}/c", trigger=trigger)
+    if "processingTime" in trigger:
+        query.processAllAvailable()
+        query.stop()
+    query.awaitTermination()
+    assert read_table(spark, f"{folder}/copy").count() == 5
+
+
+def test_values_json_and_drop(spark, folder):
+    """Rows given inline, appended to a table, exported, and the table dropped."""
+    values = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b') AS t(id, label)")
+    export_json(values, f"{folder}/json")
+    assert rows(read_json(spark, f"{folder}/json", "id int, label string")) == [(1, "a"), (2, "b")]
+    assert rows(read_json(spark, f"{folder}/json").select("id")) == [(1,), (2,)]
+    values.createOrReplaceTempView("inline_values")
+    assert read_table(spark, "inline_values").count() == 2
+    drop_table(spark, "never_there")

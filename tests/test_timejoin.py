@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import ROUND_HALF_UP, Decimal as D
+from decimal import Decimal as D
 from fractions import Fraction
 
 import hypothesis.strategies as st
@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from pyspark.sql import functions as F
 
 from millrace.functions.calendar import calendar, date_spine
-from millrace.functions.decimals import half_up_ratio
+from millrace.functions.decimals import from_units, half_up_mean, to_units
 from millrace.operators.timejoin import fill_rate, hourly_fact, time_bucket_join
 from tests.conftest import rows
 
@@ -70,11 +70,25 @@ def test_fact_is_the_average_over_all_pairs(spark, readings, prices):
         assert got[s, z, hour].avg_consumption_kwh == (_half_up(sum(kwhs) / len(kwhs), 2) if kwhs else None)
 
 
-def test_ratio_rounds_once(spark):
-    cases = [("0.015", 3, "0.01"), ("0.014999", 1, "0.01"), ("-0.005", 1, "-0.01"), ("1", 8, "0.13"), ("1", 0, None), (None, 2, None)]
-    df = spark.createDataFrame([(D(n) if n else None, d) for n, d, _ in cases], "n decimal(20,6), d bigint")
-    got = [r[0] for r in df.select(half_up_ratio(F.col("n"), F.col("d"), 2)).collect()]
-    assert got == [D(e).quantize(D("0.01"), ROUND_HALF_UP) if e else None for _, _, e in cases]
+def test_means_round_once_and_away_from_zero(spark):
+    # units of 1e-4, count, mean in 1e-2
+    cases = [(150, 3, "0.01"), (149, 1, "0.01"), (150, 1, "0.02"), (-50, 1, "-0.01"), (-49, 1, "0.00"), (10000, 8, "0.13"), (1, 0, None), (None, 2, None)]
+    df = spark.createDataFrame([(n, d) for n, d, _ in cases], "n bigint, d bigint")
+    got = [r[0] for r in df.select(half_up_mean(F.col("n"), F.col("d"), 4, 2)).collect()]
+    assert got == [D(e) if e else None for _, _, e in cases]
+
+
+def test_units_there_and_back(spark):
+    df = spark.createDataFrame([(D("-12.3456"),), (D("0.0001"),), (None,)], "x decimal(10,4)")
+    got = [r[0] for r in df.select(from_units(to_units(F.col("x"), 4), 4, 10)).collect()]
+    assert got == [D("-12.3456"), D("0.0001"), None]
+
+
+def test_cost_beyond_bigint_products(spark):
+    """A product of units over 64 bits takes the wide path."""
+    readings = spark.createDataFrame([("A", "PL", at(i % 60), D("999999.9999"), None, None) for i in range(2000)], READING)
+    prices = spark.createDataFrame([("PL", at(i % 60), D("99999.99")) for i in range(500)], PRICE)
+    assert hourly_fact(readings, prices).first().cost_per_hour == D("99999989.99")
 
 
 def test_calendar_and_spine(spark):

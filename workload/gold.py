@@ -13,8 +13,8 @@ from millrace.operators.timejoin import fill_rate, hourly_fact, time_bucket_join
 from millrace.plans import dashboard
 from millrace.plans.medallion import Lakehouse, datacenter_snapshot, full_refresh, incremental_refresh
 from millrace.session import fresh_folder
-from millrace.sources.readers import read_json, stream_files
-from millrace.sources.writers import export_json, land_partitions
+from millrace.sources.readers import read_json, read_table, stream_files
+from millrace.sources.writers import export_json, insert_overwrite, land_partitions
 from workload.inputs import (
     QUARTER_PRICES_SQL,
     READINGS_SQL,
@@ -30,6 +30,17 @@ FACT_COLUMNS = f"""site_id, bidding_zone, strftime(date, '%Y-%m-%d') as date, ho
     {units("kwh_u", 2)} as avg_consumption_kwh, {units("kw_u", 2)} as avg_power_kw,
     {units("pue_u", 3)} as avg_pue, {units("cost_u", 2)} as cost_per_hour"""
 
+FACT_TYPES = {
+    "site_id": "string",
+    "bidding_zone": "string",
+    "date": "date",
+    "hour": "int",
+    "consumption_kwh": "decimal(10,4)",
+    "avg_power_kw": "decimal(10,2)",
+    "pue": "decimal(4,3)",
+    "cost_per_hour": "decimal(10,2)",
+}
+
 
 @case(fact_sql() + f"select {FACT_COLUMNS} from fact")
 def hourly_cost_fact(spark, sf):
@@ -41,6 +52,20 @@ def hourly_cost_fact_quarter_prices(spark, sf):
     return hourly_fact(readings(spark, sf), quarter_prices(spark, sf))
 
 
+@case(
+    fact_sql().replace(half_up("sum(kwh_u)", 4, "count(kwh_u)", 2), half_up("sum(kwh_u)", 4, "count(kwh_u)", 4))
+    + f"""select site_id, bidding_zone, strftime(date, '%Y-%m-%d') as date, hour, {units("kwh_u", 4)} as consumption_kwh,
+    {units("kw_u", 2)} as avg_power_kw, {units("pue_u", 3)} as pue, {units("cost_u", 2)} as cost_per_hour from fact"""
+)
+def hourly_cost_fact_stored_types(spark, sf):
+    """The fact inserted into a table with declared types."""
+    path = fresh_folder(spark, "fact")
+    rows = hourly_fact(readings(spark, sf), prices(spark, sf), energy_digits=4)
+    renamed = rows.withColumnsRenamed({"avg_consumption_kwh": "consumption_kwh", "avg_pue": "pue"})
+    insert_overwrite(renamed, path, FACT_TYPES)
+    return read_table(spark, path)
+
+
 @case(
     f"""with {READINGS_SQL}, {QUARTER_PRICES_SQL}
     select cast(event_id as varchar) as event_id, site_id, {units("price_u", 2)} as price

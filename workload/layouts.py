@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from millrace.functions.decimals import half_up_ratio
+from millrace.functions.decimals import half_up_mean, to_units
 from millrace.operators.layout import (
     append_clustered,
     cluster,
@@ -46,14 +46,14 @@ TICKETS = "sum(cast(round(l_extendedprice * 100) as bigint))"
     )
 )
 def layout_selective_query(spark, sf):
-    amount = F.col("l_extendedprice").cast("decimal(12,2)")
+    cents = to_units(F.col("l_extendedprice").cast("decimal(12,2)"), 2)
     out = None
     for name, path in _layouts(spark, sf).items():
         hits = spark.read.parquet(path).filter((F.col("l_partkey") == 500) & F.col("l_shipdate").between(FIRST, LAST))
         row = hits.agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("orders"),
-            half_up_ratio(F.sum(amount), F.count(amount), 2, 12).alias("avg_ticket"),
+            half_up_mean(F.sum(cents), F.count(cents), 2, 2, 12).alias("avg_ticket"),
         )
         out = row if out is None else out.unionByName(row)
     return out

@@ -288,3 +288,21 @@ def sql_function_policies(spark, sf):
 @case("select c_custkey, c_nationkey, c_acctbal, c_mktsegment from customer")
 def pii_drop(spark, sf):
     return drop_personal(table(spark, sf, "customer"), ["c_name", "c_phone", "c_address"])
+
+
+@case(
+    """select o_orderkey, strftime(o_orderdate + interval 30 day, '%Y-%m-%d') as due_date, floor(o_totalprice / 1000) as thousands,
+           case o_orderstatus when 'O' then 'open' when 'F' then 'filled' else 'pending' end as status_word,
+           cast(quarter(o_orderdate) as int) as quarter
+    from orders"""
+)
+def scalar_functions_orders(spark, sf):
+    words = F.array(F.lit("open"), F.lit("filled"), F.lit("pending"))
+    position = F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "F", 2).otherwise(3)
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.date_add("o_orderdate", 30).alias("due_date"),
+        F.floor(F.col("o_totalprice") / 1000).cast("double").alias("thousands"),
+        F.element_at(words, position).alias("status_word"),
+        F.quarter("o_orderdate").alias("quarter"),
+    )
