@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
+# Quantile slots of a scale. Finer orders come from cutting them evenly: a search over
+# thousands of cut points would not fit into generated code.
+COARSE = 64
+
 
 def order_number(column: Column | str, data_type: DataType) -> Column:
     """A double that sorts like the column.
@@ -29,16 +34,56 @@ def order_number(column: Column | str, data_type: DataType) -> Column:
     raise TypeError(f"no order for {data_type.simpleString()}")
 
 
-def cut_points(
-    df: DataFrame, columns: Sequence[str], slots: int, *, distinct: bool = True
-) -> dict[str, list[float]]:
-    """Approximate inner quantiles of each column, ascending, in one pass."""
+@dataclass(frozen=True)
+class Scale:
+    """Least and greatest number of a column and its approximate inner quantiles, ascending."""
+
+    low: float | None
+    high: float | None
+    quantiles: list[float]
+
+    @property
+    def cuts(self) -> list[float]:
+        return sorted(set(self.quantiles))
+
+    @property
+    def busy(self) -> list[float]:
+        """Numbers that lie at two quantiles: each holds more than a slot's share of the rows."""
+        return sorted({q for q, following in zip(self.quantiles, self.quantiles[1:]) if q == following})
+
+    def slot(self, number: Column, fine_bits: int = 0) -> Column:
+        """The slot of a number, never falling as the number grows; 0 for NULL.
+
+        Slots between two quantiles hold about the same number of rows. With ``fine_bits``
+        each is cut evenly into ``2**fine_bits`` more, which refines the order without
+        more quantiles.
+        """
+        coarse = slot_of(number, self.cuts)
+        if not fine_bits or self.low is None:
+            return coarse
+        edges = [self.low, *self.cuts, self.high]
+        lows = F.array(*[F.lit(float(e)) for e in edges[:-1]])
+        widths = F.array(*[F.lit(float(h - l)) for l, h in zip(edges, edges[1:])])
+        width = F.element_at(widths, coarse + 1)
+        share = F.when(width > 0, (number - F.element_at(lows, coarse + 1)) / width).otherwise(0.0)
+        fine = F.least(F.lit(2**fine_bits - 1), F.greatest(F.lit(0), F.floor(share * 2**fine_bits)))
+        return (coarse * 2**fine_bits + F.coalesce(fine, F.lit(0))).cast("int")
+
+
+def scales(df: DataFrame, columns: Sequence[str], slots: int = COARSE) -> dict[str, Scale]:
+    """The scale of each column, all from one pass; only quantiles come to the driver."""
     shares = [i / slots for i in range(1, slots)]
-    types = {c: df.schema[c].dataType for c in columns}
-    row = df.agg(
-        *[F.percentile_approx(order_number(c, types[c]), shares, 1000).alias(c) for c in columns]
-    ).first()
-    return {c: sorted(set(row[c] or []) if distinct else row[c] or []) for c in columns}
+    numbers = {c: order_number(c, df.schema[c].dataType) for c in columns}
+    aggregates = [
+        a.alias(f"{i}{part}")
+        for i, n in enumerate(numbers.values())
+        for part, a in (("low", F.min(n)), ("high", F.max(n)), ("cuts", F.percentile_approx(n, shares or [0.5], 1000)))
+    ]
+    row = df.agg(*aggregates).first()
+    return {
+        c: Scale(row[f"{i}low"], row[f"{i}high"], list(row[f"{i}cuts"] or []) if shares else [])
+        for i, c in enumerate(columns)
+    }
 
 
 def slot_of(number: Column, cuts: Sequence[float]) -> Column:

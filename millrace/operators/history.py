@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.ordering import cut_points, order_number, slot_of
+from millrace.functions.ordering import COARSE, order_number, scales
 from millrace.operators.numbering import number_rows
 from millrace.operators.upsert import require_unique
 from millrace.session import materialise
@@ -122,7 +122,7 @@ def as_of_lookup(
     at: str,
     columns: Sequence[str],
     many_versions: bool = False,
-    slots: int = 64,
+    slots: int = COARSE,
 ) -> DataFrame:
     """Attach the version that was valid at ``at``: ``valid_from <= at < valid_to``; NULL if none.
 
@@ -149,14 +149,14 @@ def _sweep(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: Se
     one row per key and slot.
     """
     kind = facts.schema[at].dataType
-    cuts = cut_points(facts, [at], slots)[at]
+    scale = scales(facts, [at], slots)[at]
     version = F.struct(*columns, "valid_from", "valid_to")
     v = versions.select(
         F.col(key).alias("_key"), F.col("valid_from").cast(kind).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version")
     )
     fact_row = F.struct(*facts.columns)
     f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), fact_row.alias("_fact"))
-    both = f.unionByName(v, allowMissingColumns=True).withColumn("_slot", slot_of(order_number("_at", kind), cuts))
+    both = f.unionByName(v, allowMissingColumns=True).withColumn("_slot", scale.slot(order_number("_at", kind)))
 
     per_slot = both.groupBy("_key", "_slot").agg(F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions.ordering import cut_points, interleave, order_number, slot_of
+from millrace.functions.ordering import COARSE, interleave, order_number, scales
 
 
 def scatter(df: DataFrame, n_files: int) -> DataFrame:
@@ -15,24 +15,30 @@ def scatter(df: DataFrame, n_files: int) -> DataFrame:
     return df.repartition(n_files)
 
 
-def z_value(df: DataFrame, keys: Sequence[str], bits: int = 4) -> Column:
-    """Interleaved quantile slots of one to four columns."""
+def z_value(df: DataFrame, keys: Sequence[str], bits: int) -> Column:
+    """Interleaved slots of one to four columns, ``2**bits`` slots each."""
     if not 1 <= len(keys) <= 4:
         raise ValueError("one to four clustering keys")
-    cuts = cut_points(df, keys, 2**bits)
-    slots = [slot_of(order_number(k, df.schema[k].dataType), cuts[k]) for k in keys]
-    return interleave(slots, bits)
+    coarse = min(bits, COARSE.bit_length() - 1)
+    found = scales(df, keys, 2**coarse)
+    numbers = {k: order_number(k, df.schema[k].dataType) for k in keys}
+    return interleave([found[k].slot(numbers[k], bits - coarse) for k in keys], bits)
 
 
-def cluster(df: DataFrame, keys: Sequence[str], n_files: int, bits: int = 4) -> DataFrame:
+def bits_for(n_files: int, n_keys: int) -> int:
+    """Bits per key so that the curve has several cells for every file."""
+    return min(62 // n_keys, max(4, math.ceil(math.log2(max(n_files, 2)) / n_keys) + 2))
+
+
+def cluster(df: DataFrame, keys: Sequence[str], n_files: int, bits: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted along the Z curve of the keys.
 
     A hash of the row comes second in the range, so that rows with equal keys, however
     many, are still cut into several files.
     """
-    spread = F.xxhash64(*df.columns)
+    z = z_value(df, keys, bits or bits_for(n_files, len(keys)))
     return (
-        df.withColumns({"_z": z_value(df, keys, bits), "_spread": spread})
+        df.withColumns({"_z": z, "_spread": F.xxhash64(*df.columns)})
         .repartitionByRange(n_files, "_z", "_spread")
         .sortWithinPartitions("_z", *keys)
         .drop("_z", "_spread")

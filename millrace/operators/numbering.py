@@ -5,43 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from millrace.functions.ordering import cut_points, order_number, slot_of
+from millrace.functions.ordering import COARSE, order_number, scales
 
 RANGED = (NumericType, DateType, TimestampType, TimestampNTZType, StringType)
 
 
 def number_rows(
-    df: DataFrame,
-    key: str,
-    name: str,
-    *,
-    start: Column | int = 1,
-    slots: int = 64,
+    df: DataFrame, key: str, name: str, *, start: Column | int = 1, slots: int = COARSE, fine_bits: int = 6
 ) -> DataFrame:
     """Number rows in the order of ``key``, from ``start`` on; equal keys go by the other columns.
 
-    The key range is cut into slots at approximate quantiles. Rows are numbered inside
-    their slot and shifted by the sizes of the slots before it. The cut points decide
-    only how even the slots are: the slot is a function of the row, so a recomputed
-    task gives the same numbers. Rows of a key that fills several slots, or of strings
-    that fill several slots with the same first six bytes, are numbered in no
-    particular order among themselves.
+    The key range is cut into slots at approximate quantiles, and these evenly into
+    ``2**fine_bits`` more. Rows are numbered inside their slot and shifted by the sizes of
+    the slots before it. The cuts decide only how even the slots are: the slot is a
+    function of the row, so a recomputed task gives the same numbers.
+
+    Rows without a key come first. They, rows of a key that fills several quantiles, and
+    strings that do so with the same first six bytes, are spread by a hash and numbered in
+    no particular order among themselves.
     """
     data_type = df.schema[key].dataType
     if not isinstance(data_type, RANGED):
         raise TypeError(f"{key} cannot be cut into ranges")
     others = [c for c in df.columns if c != key]
     number = order_number(key, data_type)
-    cuts = cut_points(df, [key], slots, distinct=False)[key]
-    # A value at two cuts holds more than a slot's share of the rows. It starts a slot of
-    # its own accord, and its rows are spread over parts 0..slots-1 by their other columns.
-    busy = sorted({c for c, following in zip(cuts, cuts[1:]) if c == following})
-    spread = F.pmod(F.xxhash64(*others), F.lit(slots)) if others else F.lit(0)
-    part = F.when(number.isin(busy), spread).otherwise(F.lit(slots)) if busy else F.lit(slots)
-    slotted = df.withColumns({"_slot": slot_of(number, sorted(set(cuts))), "_part": part.cast("int")})
+    scale = scales(df, [key], slots)[key]
+    # A busy number is a cut, so it is the first of its slot, and NULLs are the first of
+    # slot 0: their parts 0..slots-1 come before the part `slots` with the other rows.
+    spread = number.isNull() | number.isin(scale.busy) if scale.busy else number.isNull()
+    part = F.when(spread, F.pmod(F.xxhash64(*df.columns), F.lit(slots))).otherwise(slots)
+    slotted = df.withColumns({"_slot": scale.slot(number, fine_bits), "_part": part.cast("int")})
 
     sizes = slotted.groupBy("_slot", "_part").agg(F.count(F.lit(1)).alias("_size"))
-    # at most slots * (slots + 1) rows
+    # one row per slot and part: some thousands
     before = Window.orderBy("_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slot", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     ties = [F.col(c).asc_nulls_first() for c in others]

@@ -12,8 +12,9 @@ from millrace.operators.schema import check_same_columns
 
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Replace a parquet folder, schema included."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Replace a parquet folder (anything with a slash) or a catalog table, schema included."""
+    writer = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
+    writer.save(path) if "/" in path else writer.saveAsTable(path)
 
 
 def append(df: DataFrame, path: str, *, merge_schema: bool = False) -> None:

@@ -91,3 +91,12 @@ def test_numbers_of_a_busy_key_are_spread_and_stay_dense(spark):
     got = [(r.k, r.n) for r in number_rows(df, "k", "n", slots=8).orderBy("n").collect()]
     assert [n for _, n in got] == list(range(1, 3001))
     assert [k for k, _ in got] == sorted(k for k, _ in got)
+
+
+def test_rows_without_a_key_come_first(spark):
+    df = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), "id")
+    got = [(r.k, r.n) for r in number_rows(df, "k", "n", slots=8).orderBy("n").collect()]
+    assert [n for _, n in got] == list(range(1, 301))
+    assert [k for k, _ in got] == [None] * 100 + [i for i in range(300) if i % 3]
+    only_null = spark.range(50).select(F.lit(None).cast("int").alias("k"), "id")
+    assert sorted(r.n for r in number_rows(only_null, "k", "n").collect()) == list(range(1, 51))

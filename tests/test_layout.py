@@ -2,8 +2,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.ordering import cut_points, interleave, order_number, slot_of
-from millrace.operators.layout import append_clustered, cluster, compact, layout_report, scatter, skipping_report, write_layout
+from millrace.functions.ordering import Scale, interleave, order_number, scales, slot_of
+from millrace.operators.layout import append_clustered, bits_for, cluster, compact, layout_report, scatter, skipping_report, write_layout
 from tests.conftest import rows
 
 
@@ -34,7 +34,24 @@ def test_order_numbers_follow_the_order(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     numbers = [r[0] for r in df.orderBy("w").select(order_number("w", df.schema["w"].dataType)).collect()]
     assert numbers == sorted(numbers) and len(set(numbers)) == len(words)
-    assert cut_points(_orders(spark), ["restaurant", "day"], 4)["restaurant"]
+
+
+def test_fine_slots_never_fall_and_are_even(spark):
+    df = spark.range(5000).select((F.col("id") * F.col("id")).cast("double").alias("x"))
+    scale = scales(df, ["x"], 8)["x"]
+    slots = [r.s for r in df.select("x", scale.slot(F.col("x"), 3).alias("s")).orderBy("x").collect()]
+    assert slots == sorted(slots) and slots[0] == 0 and slots[-1] == 63
+    assert len(set(slots)) == 64
+    flat = Scale(1.0, 1.0, [1.0, 1.0, 1.0])
+    assert flat.busy == [1.0] and flat.cuts == [1.0]
+    assert spark.range(1).select(flat.slot(F.lit(1.0), 3)).first()[0] == 8
+    empty = scales(df.limit(0), ["x"], 8)["x"]
+    assert spark.range(1).select(empty.slot(F.lit(None).cast("double"), 3)).first()[0] == 0
+
+
+def test_bits_grow_with_the_files():
+    assert bits_for(8, 1) == 5 and bits_for(32, 2) == 5
+    assert bits_for(400_000, 2) == 12 and bits_for(400_000, 4) == 7
 
 
 def test_clustered_files_are_skipped_and_answers_agree(spark, folder):
