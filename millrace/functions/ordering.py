@@ -36,8 +36,9 @@ def order_number(column: Column | str, data_type: DataType) -> Column:
 
 @dataclass(frozen=True)
 class Scale:
-    """Least and greatest number of a column and its approximate inner quantiles, ascending."""
+    """Rows, least and greatest number of a column, and its approximate inner quantiles, ascending."""
 
+    rows: int
     low: float | None
     high: float | None
     quantiles: list[float]
@@ -51,23 +52,22 @@ class Scale:
         """Numbers that lie at two quantiles: each holds more than a slot's share of the rows."""
         return sorted({q for q, following in zip(self.quantiles, self.quantiles[1:]) if q == following})
 
-    def slot(self, number: Column, fine_bits: int = 0) -> Column:
-        """The slot of a number, never falling as the number grows; 0 for NULL.
+    def slot(self, number: Column) -> Column:
+        """The slot of a number, never falling as the number grows; 0 for NULL."""
+        return slot_of(number, self.cuts)
 
-        Slots between two quantiles hold about the same number of rows. With ``fine_bits``
-        each is cut evenly into ``2**fine_bits`` more, which refines the order without
-        more quantiles.
-        """
-        coarse = slot_of(number, self.cuts)
+    def fine_slot(self, number: Column, slot: Column, fine_bits: int) -> Column:
+        """A slot cut evenly into ``2**fine_bits`` more, which refines the order without
+        more quantiles. ``slot`` is a column that holds ``self.slot(number)`` already."""
         if not fine_bits or self.low is None:
-            return coarse
+            return slot
         edges = [self.low, *self.cuts, self.high]
         lows = F.array(*[F.lit(float(e)) for e in edges[:-1]])
         widths = F.array(*[F.lit(float(h - l)) for l, h in zip(edges, edges[1:])])
-        width = F.element_at(widths, coarse + 1)
-        share = F.when(width > 0, (number - F.element_at(lows, coarse + 1)) / width).otherwise(0.0)
+        width = F.element_at(widths, slot + 1)
+        share = F.when(width > 0, (number - F.element_at(lows, slot + 1)) / width).otherwise(0.0)
         fine = F.least(F.lit(2**fine_bits - 1), F.greatest(F.lit(0), F.floor(share * 2**fine_bits)))
-        return (coarse * 2**fine_bits + F.coalesce(fine, F.lit(0))).cast("int")
+        return (slot * 2**fine_bits + F.coalesce(fine, F.lit(0))).cast("int")
 
 
 def scales(df: DataFrame, columns: Sequence[str], slots: int = COARSE) -> dict[str, Scale]:
@@ -79,9 +79,9 @@ def scales(df: DataFrame, columns: Sequence[str], slots: int = COARSE) -> dict[s
         for i, n in enumerate(numbers.values())
         for part, a in (("low", F.min(n)), ("high", F.max(n)), ("cuts", F.percentile_approx(n, shares or [0.5], 1000)))
     ]
-    row = df.agg(*aggregates).first()
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates).first()
     return {
-        c: Scale(row[f"{i}low"], row[f"{i}high"], list(row[f"{i}cuts"] or []) if shares else [])
+        c: Scale(row["rows"], row[f"{i}low"], row[f"{i}high"], list(row[f"{i}cuts"] or []) if shares else [])
         for i, c in enumerate(columns)
     }
 

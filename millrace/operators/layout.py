@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.ordering import COARSE, interleave, order_number, scales
 
@@ -15,14 +15,16 @@ def scatter(df: DataFrame, n_files: int) -> DataFrame:
     return df.repartition(n_files)
 
 
-def z_value(df: DataFrame, keys: Sequence[str], bits: int) -> Column:
-    """Interleaved slots of one to four columns, ``2**bits`` slots each."""
+def with_z_value(df: DataFrame, name: str, keys: Sequence[str], bits: int) -> DataFrame:
+    """Add the interleaved slots of one to four columns, ``2**bits`` slots each."""
     if not 1 <= len(keys) <= 4:
         raise ValueError("one to four clustering keys")
     coarse = min(bits, COARSE.bit_length() - 1)
     found = scales(df, keys, 2**coarse)
     numbers = {k: order_number(k, df.schema[k].dataType) for k in keys}
-    return interleave([found[k].slot(numbers[k], bits - coarse) for k in keys], bits)
+    slotted = df.withColumns({f"_slot_{k}": found[k].slot(numbers[k]) for k in keys})
+    fine = [found[k].fine_slot(numbers[k], F.col(f"_slot_{k}"), bits - coarse) for k in keys]
+    return slotted.withColumn(name, interleave(fine, bits)).drop(*[f"_slot_{k}" for k in keys])
 
 
 def bits_for(n_files: int, n_keys: int) -> int:
@@ -36,9 +38,9 @@ def cluster(df: DataFrame, keys: Sequence[str], n_files: int, bits: int | None =
     A hash of the row comes second in the range, so that rows with equal keys, however
     many, are still cut into several files.
     """
-    z = z_value(df, keys, bits or bits_for(n_files, len(keys)))
     return (
-        df.withColumns({"_z": z, "_spread": F.xxhash64(*df.columns)})
+        with_z_value(df, "_z", keys, bits or bits_for(n_files, len(keys)))
+        .withColumn("_spread", F.xxhash64(*df.columns))
         .repartitionByRange(n_files, "_z", "_spread")
         .sortWithinPartitions("_z", *keys)
         .drop("_z", "_spread")

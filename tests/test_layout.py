@@ -39,14 +39,16 @@ def test_order_numbers_follow_the_order(spark):
 def test_fine_slots_never_fall_and_are_even(spark):
     df = spark.range(5000).select((F.col("id") * F.col("id")).cast("double").alias("x"))
     scale = scales(df, ["x"], 8)["x"]
-    slots = [r.s for r in df.select("x", scale.slot(F.col("x"), 3).alias("s")).orderBy("x").collect()]
+    slotted = df.withColumn("s", scale.slot(F.col("x")))
+    fine = slotted.select("x", scale.fine_slot(F.col("x"), F.col("s"), 3).alias("s"))
+    slots = [r.s for r in fine.orderBy("x").collect()]
     assert slots == sorted(slots) and slots[0] == 0 and slots[-1] == 63
     assert len(set(slots)) == 64
-    flat = Scale(1.0, 1.0, [1.0, 1.0, 1.0])
+    flat = Scale(4, 1.0, 1.0, [1.0, 1.0, 1.0])
     assert flat.busy == [1.0] and flat.cuts == [1.0]
-    assert spark.range(1).select(flat.slot(F.lit(1.0), 3)).first()[0] == 8
+    assert spark.range(1).select(flat.fine_slot(F.lit(1.0), flat.slot(F.lit(1.0)), 3)).first()[0] == 8
     empty = scales(df.limit(0), ["x"], 8)["x"]
-    assert spark.range(1).select(empty.slot(F.lit(None).cast("double"), 3)).first()[0] == 0
+    assert spark.range(1).select(empty.slot(F.lit(None).cast("double"))).first()[0] == 0
 
 
 def test_bits_grow_with_the_files():
