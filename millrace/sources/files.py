@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -17,11 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def names(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a folder; none if the folder is missing."""
+    """Names directly below a folder without hidden ones; none if the folder is missing."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+    found = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n for n in found if not n.startswith("."))
 
 
 def size(spark: SparkSession, path: str) -> int:
@@ -40,13 +43,28 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file that must not exist yet; a second creator gets an error."""
-    fs, p = _fs(spark, path)
-    stream = fs.create(p, False)
+    """Create a file that must not exist yet; a second creator gets an error.
+
+    The text is written under another name first, so nobody reads half a file.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    fs, final = _fs(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{final.getName()}.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(draft, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.NONE  # refuses an existing target
+    qualified = fs.makeQualified(final)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(draft), qualified, options)
+    except Exception:
+        fs.delete(draft, False)
+        raise
 
 
 def delete(spark: SparkSession, path: str) -> bool:

@@ -84,7 +84,6 @@ class SnapshotTable:
 
     def commit(self) -> Commit:
         commits = files.names(self.spark, f"{self.path}/commits")
-        commits = [c for c in commits if c.endswith(".json") and not c.startswith(".")]
         if not commits:
             return Commit()
         return Commit.loads(files.read_text(self.spark, f"{self.path}/commits/{commits[-1]}"))
@@ -114,8 +113,11 @@ class SnapshotTable:
     def _scan(self, commit: Commit, buckets: set[str]) -> DataFrame:
         if commit.schema is None:
             raise FileNotFoundError(f"no commit in {self.path}")
-        written = [(v, b) for b, parts in sorted(commit.folders.items()) if b in buckets for v, _ in parts]
-        return self._folders([f"{self.path}/data/{v}/{BUCKET}={b}" for v, b in written], commit.schema)
+        wanted = [(v, b) for b, parts in sorted(commit.folders.items()) if b in buckets for v, _ in parts]
+        return self._folders([self._folder(v, b) for v, b in wanted], commit.schema)
+
+    def _folder(self, version: str, bucket: str) -> str:
+        return f"{self.path}/data/{version}/{BUCKET}={bucket}"
 
     def _folders(self, paths: list[str], schema: StructType) -> DataFrame:
         if not paths:
@@ -169,8 +171,7 @@ class SnapshotTable:
         return Staged(base, schema, staged.version, staged.sizes)
 
     def staged_rows(self, staged: Staged) -> DataFrame:
-        paths = [f"{self.path}/data/{staged.version}/{BUCKET}={b}" for b in staged.sizes]
-        return self._folders(paths, staged.schema)
+        return self._folders([self._folder(staged.version, b) for b in staged.sizes], staged.schema)
 
     def publish(self, staged: Staged, *, batch: tuple[str, int] | None = None) -> None:
         """Make staged rows part of the table."""
@@ -207,21 +208,33 @@ class SnapshotTable:
         self._publish(base, merged.schema, folders, batch)
         files.delete(self.spark, scratch)
 
-    def compact(self, *, share: float = 0.25, max_folders: int = 64) -> int:
-        """Rewrite buckets whose appended bytes reach a share of their first folder's bytes,
-        or that consist of too many folders. Returns how many buckets were rewritten."""
-        base = self.commit()
-
-        def grown(parts: list[list]) -> bool:
-            added = sum(n for _, n in parts[1:])
-            return len(parts) > max_folders or (len(parts) > 1 and added >= share * parts[0][1])
+    def compact(
+        self, *, share: float = 0.25, max_folders: int = 64, small_bytes: int = 256 * 1024 * 1024, at_least: int = 16
+    ) -> int:
+        """Rewrite what has become costly to read. Returns how many buckets were rewritten.
 
-        buckets = {b for b, parts in base.folders.items() if grown(parts)}
-        if not buckets:
+        With a sequence: buckets whose appended bytes reach a share of their first folder's
+        bytes, or that consist of too many folders. Otherwise: the small folders of a
+        bucket, once there are enough of them; large ones are never touched again.
+        Whether there is anything to do is known from the commit alone.
+        """
+        base = self.commit()
+        chosen: Folders = {}
+        for bucket, parts in base.folders.items():
+            if self.sequence:
+                added = sum(n for _, n in parts[1:])
+                if len(parts) > max_folders or (len(parts) > 1 and added >= share * parts[0][1]):
+                    chosen[bucket] = parts
+            else:
+                small = [p for p in parts if p[1] < small_bytes]
+                if len(small) >= at_least:
+                    chosen[bucket] = small
+        if not chosen:
             return 0
-        rows = self._scan(base, buckets)
+        rows = self._folders([self._folder(v, b) for b, parts in chosen.items() for v, _ in parts], base.schema)
         staged = self._write(self._newest(rows) if self.sequence else rows, base)
-        folders = {b: list(parts) for b, parts in base.folders.items() if b not in buckets}
-        folders.update({b: [[staged.version, n]] for b, n in staged.sizes.items()})
+        folders = {b: [p for p in parts if p not in chosen.get(b, [])] for b, parts in base.folders.items()}
+        for b, n in staged.sizes.items():
+            folders[b].append([staged.version, n])
         self._publish(base, base.schema, folders, None)
-        return len(buckets)
+        return len(chosen)

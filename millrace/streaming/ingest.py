@@ -26,7 +26,7 @@ class SchemaMemory:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _latest(self) -> str | None:
-        kept = [n for n in files.names(self.spark, self.path) if n.endswith(".json") and not n.startswith(".")]
+        kept = files.names(self.spark, self.path)
         return kept[-1] if kept else None
 
     def load(self) -> StructType:
@@ -63,6 +63,7 @@ def ingest_json(
     unknown fields end up in its rescued data, so the common case costs no extra pass.
     If there are any, the schema is widened and stored; with "add" the batch is written
     again, with "stop" the run fails with the batch unpublished, and the next run takes it.
+    Many small batches are compacted on the way.
     """
     if on_new_fields not in ("add", "stop"):
         raise ValueError(f"on_new_fields is {on_new_fields}")
@@ -86,6 +87,7 @@ def ingest_json(
             if on_new_fields == "stop":
                 raise SchemaChanged(f"new fields {extra.names}")
         table.publish(staged, batch=(checkpoint, batch_id))
+        table.compact()
 
     lines = (
         spark.readStream.format("text")

@@ -31,7 +31,7 @@ class Generation:
 
 
 def current_generation(spark: SparkSession, root: str) -> Generation:
-    kept = [n for n in files.names(spark, f"{root}/current") if not n.startswith(".")]
+    kept = files.names(spark, f"{root}/current")
     return Generation(root, int(kept[-1]) if kept else 0)
 
 

@@ -121,6 +121,19 @@ def test_sequence_table_appends_settles_and_compacts(spark, folder):
     assert rows(table.read()) == expected
 
 
+def test_small_appends_are_compacted_and_large_ones_left(spark, folder):
+    table = SnapshotTable(spark, folder)
+    table.append(spark.range(50000).toDF("id"))
+    for i in range(4):
+        table.append(spark.range(i, i + 1).toDF("id"))
+    limit = table.commit().folders["0"][0][1]
+    assert table.compact(small_bytes=limit, at_least=5) == 0
+    assert table.compact(small_bytes=limit, at_least=4) == 1
+    parts = table.commit().folders["0"]
+    assert len(parts) == 2 and parts[0][1] == limit
+    assert table.read().count() == 50004
+
+
 def test_staged_rows_stay_hidden_and_late_commits_lose(spark, folder):
     table = SnapshotTable(spark, folder)
     table.append(spark.range(3).toDF("id"))
