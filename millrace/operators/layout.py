@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -57,21 +58,20 @@ def append_clustered(df: DataFrame, path: str, keys: Sequence[str], n_files: int
 
 
 def layout_report(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
-    """Files and bytes per table, from the file metadata that every scan carries."""
+    """Files and bytes per table. Files are listed, not opened."""
     parts = []
     for name, path in tables.items():
-        seen = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
         parts.append(
-            seen.agg(
+            listing.load(path)
+            .select("length")
+            .agg(
                 F.lit(name).alias("table_name"),
                 F.count(F.lit(1)).alias("num_files"),
-                F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint").alias("size_in_bytes"),
+                F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_in_bytes"),
             )
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def skipping_report(
@@ -100,10 +100,7 @@ def skipping_report(
                 F.coalesce(F.sum(F.when(~hit, F.col("bytes"))), F.lit(0)).cast("bigint").alias("bytes_pruned"),
             )
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 256 * 1024 * 1024) -> None:

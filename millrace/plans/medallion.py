@@ -12,6 +12,7 @@ from millrace.operators.dedup import keep_latest
 from millrace.operators.history import open_rows
 from millrace.operators.quality import check_table, expect_or_drop, expect_or_fail
 from millrace.operators.timejoin import hourly_fact
+from millrace.session import side_by_side
 from millrace.sources.snapshots import SnapshotTable
 from millrace.spec import Rule, TableSpec
 from millrace.streaming.cdc import apply_changes_stream, clean_stream
@@ -133,8 +134,10 @@ def full_refresh(
     """
     silver = check_table_lazily(readings_silver(bronze_readings, as_of), READINGS)
     silver = silver.sortWithinPartitions("bidding_zone", "timestamp_utc")
-    readings = house.store(silver, "silver", "sensor_data")
-    return _prices_and_gold(house, bronze_prices, readings, as_of)
+    readings, prices = side_by_side(
+        lambda: house.store(silver, "silver", "sensor_data"), lambda: _store_prices(house, bronze_prices, as_of)
+    )
+    return _gold(house, prices, readings, as_of)
 
 
 def incremental_refresh(
@@ -155,19 +158,25 @@ def incremental_refresh(
         sequence="ingestion_ts",
     )
     apply_changes_stream(cleaned, silver, checkpoint=house.path("state", "sensor_data"))
-    return _prices_and_gold(house, bronze_prices, silver.read(), as_of)
+    return _gold(house, _store_prices(house, bronze_prices, as_of), silver.read(), as_of)
 
 
-def _prices_and_gold(
-    house: Lakehouse, bronze_prices: DataFrame, readings: DataFrame, as_of: dt.datetime | None
-) -> DataFrame:
-    prices = house.store(check_table_lazily(prices_silver(bronze_prices, as_of), PRICES), "silver", "prices")
-    sites = house.store(datacenter_snapshot(readings, as_of), "silver", "datacenter")
-    fact = hourly_fact(readings, prices).sortWithinPartitions("bidding_zone", "date")
-    fact = house.store(fact, "gold", "consumption_hourly")
-    house.store(sites, "gold", "dim_datacenter")
-    house.store(calendar(fact), "gold", "dim_date")
-    return fact
+def _store_prices(house: Lakehouse, bronze_prices: DataFrame, as_of: dt.datetime | None) -> DataFrame:
+    return house.store(check_table_lazily(prices_silver(bronze_prices, as_of), PRICES), "silver", "prices")
+
+
+def _gold(house: Lakehouse, prices: DataFrame, readings: DataFrame, as_of: dt.datetime | None) -> DataFrame:
+    def consumption() -> DataFrame:
+        fact = hourly_fact(readings, prices).sortWithinPartitions("bidding_zone", "date")
+        fact = house.store(fact, "gold", "consumption_hourly")
+        house.store(calendar(fact), "gold", "dim_date")
+        return fact
+
+    def sites() -> None:
+        house.store(datacenter_snapshot(readings, as_of), "silver", "datacenter")
+        house.store(house.read("silver", "datacenter"), "gold", "dim_datacenter")
+
+    return side_by_side(consumption, sites)[0]
 
 
 def check_table_lazily(df: DataFrame, spec: TableSpec) -> DataFrame:

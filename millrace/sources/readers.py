@@ -36,7 +36,7 @@ def stream_files(
     fmt: str = "json",
     files_per_trigger: int | None = 20,
 ) -> DataFrame:
-    """Incremental scan of a landing folder. Nested partition folders are found too."""
+    """Incremental scan of a landing folder and the folders in it; folder names are not columns."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -52,6 +52,18 @@ class Commit:
         return Commit(raw["number"], schema, raw["folders"], raw["batches"])
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """An identity that lives and dies with a checkpoint.
+
+    Batch numbers mean something only within one checkpoint: after its loss they start
+    again, over other files.
+    """
+    path = f"{checkpoint}/stream-id"
+    if not files.exists(spark, path):
+        files.create_text(spark, path, uuid.uuid4().hex)
+    return files.read_text(spark, path)
+
+
 @dataclass(frozen=True)
 class Staged:
     """Rows that are written but not part of the table yet."""

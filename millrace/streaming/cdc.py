@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from millrace.operators.quality import expect_or_drop, expect_or_fail
-from millrace.sources.snapshots import SnapshotTable
+from millrace.sources.snapshots import SnapshotTable, stream_id
 from millrace.spec import Rule
 
 
@@ -35,10 +35,12 @@ def apply_changes_stream(
     if not table.sequence:
         raise ValueError("the table needs a sequence")
 
+    stream = stream_id(table.spark, checkpoint)
+
     def add(batch: DataFrame, batch_id: int) -> None:
-        if table.seen(checkpoint, batch_id):
+        if table.seen(stream, batch_id):
             return
-        table.append(batch, batch=(checkpoint, batch_id))
+        table.append(batch, batch=(stream, batch_id))
         table.compact(share=compact_share)
 
     query = (

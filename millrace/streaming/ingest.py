@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from millrace.sources import files
 from millrace.sources.readers import with_audit
-from millrace.sources.snapshots import SnapshotTable
+from millrace.sources.snapshots import SnapshotTable, stream_id
 from millrace.streaming.rescue import parse_with_rescue, unseen_fields
 
 
@@ -56,7 +56,8 @@ def ingest_json(
     """Drain new JSON-lines files into the table, exactly once.
 
     The checkpoint remembers the files; the table remembers the last batch, so a batch
-    that is replayed after a crash is not added twice. ``hints`` fixes the types of known
+    that is replayed after a crash is not added twice. Without its checkpoint a table gets
+    every file again: drop both together, as ``safe_reload`` does. ``hints`` fixes the types of known
     fields from the start.
 
     A batch is written under the remembered schema and looked at before it is published:
@@ -71,9 +72,10 @@ def ingest_json(
     if hints is not None and not memory.load().fields:
         memory.save(hints)
     checkpoint = f"{state}/checkpoint"
+    stream = stream_id(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if table.seen(checkpoint, batch_id):
+        if table.seen(stream, batch_id):
             return
         schema = memory.load()
         while True:
@@ -86,7 +88,7 @@ def ingest_json(
             memory.save(schema)
             if on_new_fields == "stop":
                 raise SchemaChanged(f"new fields {extra.names}")
-        table.publish(staged, batch=(checkpoint, batch_id))
+        table.publish(staged, batch=(stream, batch_id))
         table.compact()
 
     lines = (

@@ -6,6 +6,7 @@ import pathlib
 import pytest
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
+from millrace.sources import files
 from millrace.sources.readers import stream_files
 from millrace.sources.snapshots import SnapshotTable
 from millrace.spec import Rule
@@ -84,6 +85,17 @@ def test_a_replayed_batch_is_not_added_twice(spark, folder):
     assert table.read().count() == 1
 
 
+def test_a_lost_checkpoint_repeats_files_but_loses_none(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/bronze")
+    for i in range(3):
+        put(folder, f"{i}.json", {"id": i, "price": 1.0})
+    run(spark, folder, table, hints=HINTS, files_per_trigger=1)
+    files.delete(spark, f"{folder}/state/checkpoint")
+    put(folder, "new.json", {"id": 9, "price": 1.0})
+    run(spark, folder, table, hints=HINTS, files_per_trigger=1)
+    assert sorted(r.id for r in table.read().collect()) == [0, 0, 1, 1, 2, 2, 9]
+
+
 def test_rescue_keeps_siblings_and_nested_values(spark):
     schema = StructType().add("a", LongType()).add("b", StringType())
     df = spark.createDataFrame([('{"a": "x", "b": "y"}',), ('{"a": 1, "c": {"d": [1]}}',), ('{"a": 1}',), ("[1]",)], "v string")
