@@ -31,12 +31,8 @@ class TableSpec:
     checks: tuple[Rule, ...] = ()
 
     def rules(self) -> list[Rule]:
-        """NOT NULL columns first, then the CHECK rules.
-
-        A CHECK passes on NULL, as SQL defines it; NULLs are the business of NOT NULL.
-        """
-        present = [Rule(f"{c}_not_null", f"`{c}` IS NOT NULL") for c in self.not_null]
-        return present + [Rule(r.name, r.predicate, True) for r in self.checks]
+        """NOT NULL columns first, then the CHECK rules, which must be true: NULL breaks them too."""
+        return [*[Rule(f"{c}_not_null", f"`{c}` IS NOT NULL") for c in self.not_null], *self.checks]
 
     def conform(self, df: DataFrame) -> DataFrame:
         """The declared columns in the declared order and types; a bad cast raises."""

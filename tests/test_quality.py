@@ -88,10 +88,10 @@ def test_table_rules_refuse_a_bad_insert_and_leave_the_table(spark, folder):
 
     path = f"{folder}/prices"
     overwrite(q.check_table(batch(100.0), PRICES), path)
-    for bad in (batch(99999.0), batch(5.0, None)):
+    for bad in (batch(99999.0), batch(5.0, None), batch(None)):
         with pytest.raises(q.RuleViolation):
             append(q.check_table(bad, PRICES), path)
-    append(q.check_table(batch(None), PRICES), path)
+    append(q.check_table(batch(-1000.0), PRICES), path)
     assert read_table(spark, path).count() == 2
 
 
