@@ -54,9 +54,11 @@ def price_points(df: DataFrame, document: str, keep: list[str] | None = None) ->
         F.explode("p.Point").alias("point"),
     )
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.col("minutes") * (F.col("point.position") - 1), F.lit(0))
+    # a timestamp without zone as text, untouched by the session's zone
+    text = F.translate((F.col("start") + step).cast("string"), " ", "T")
     return points.select(
         *keep,
-        F.date_format(F.col("start") + step, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"),
+        F.concat(text, F.lit("Z")).alias("timestamp_utc"),
         F.col("point.`price.amount`").alias("price"),
         "currency",
         "unit",
