@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.ordering import COARSE, interleave, order_number, scales
 
+TARGET_BYTES = 256 * 1024 * 1024
+
 
 def scatter(df: DataFrame, n_files: int) -> DataFrame:
     """The unclustered baseline: rows spread evenly, every file spans the whole key range."""
@@ -103,7 +105,7 @@ def skipping_report(
     return reduce(DataFrame.unionByName, parts)
 
 
-def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 256 * 1024 * 1024) -> None:
+def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES) -> None:
     """Merge small files into files of about ``target_bytes`` without a shuffle.
 
     The scan itself packs files into read partitions of that size, and each partition
@@ -125,6 +127,6 @@ def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 2
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def files_for(total_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+def files_for(total_bytes: int, target_bytes: int = TARGET_BYTES) -> int:
     """How many files a rewrite of that size should have."""
     return max(1, math.ceil(total_bytes / target_bytes))

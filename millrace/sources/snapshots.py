@@ -15,41 +15,62 @@ its settled bytes.
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import uuid
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators.dedup import keep_latest
+from millrace.operators.layout import TARGET_BYTES, cluster, files_for
 from millrace.operators.schema import widen
 from millrace.operators.upsert import upsert
 from millrace.session import fresh_folder
 from millrace.sources import files
 
 BUCKET = "snapshot_bucket"
-Folders = dict[str, list[list]]  # bucket -> [version, bytes] in the order of writing
 
 
-@dataclass
+class Part(NamedTuple):
+    """One written folder of a bucket, its bytes, and the keys its rows are clustered by."""
+
+    version: str
+    bytes: int
+    clustered: list[str]
+
+
+Folders = dict[str, list[Part]]  # by bucket, in the order of writing
+
+
+@dataclass(frozen=True)
 class Commit:
     number: int = 0
     schema: StructType | None = None
     folders: Folders = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)  # stream -> last batch applied
+    cluster: list[str] = field(default_factory=list)  # keys for rows that are still to be clustered
 
     def dumps(self) -> str:
         schema = json.loads(self.schema.json()) if self.schema else None
         return json.dumps(
-            {"number": self.number, "schema": schema, "folders": self.folders, "batches": self.batches}
+            {
+                "number": self.number,
+                "schema": schema,
+                "folders": self.folders,
+                "batches": self.batches,
+                "cluster": self.cluster,
+            }
         )
 
     @staticmethod
     def loads(text: str) -> Commit:
         raw = json.loads(text)
         schema = StructType.fromJson(raw["schema"]) if raw["schema"] else None
-        return Commit(raw["number"], schema, raw["folders"], raw["batches"])
+        folders = {b: [Part(*p) for p in parts] for b, parts in raw["folders"].items()}
+        return Commit(raw["number"], schema, folders, raw["batches"], raw["cluster"])
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -70,8 +91,7 @@ class Staged:
 
     base: Commit
     schema: StructType
-    version: str
-    sizes: dict[str, int]  # bucket -> bytes
+    parts: dict[str, Part]  # by bucket
 
 
 class SnapshotTable:
@@ -123,15 +143,12 @@ class SnapshotTable:
         return keep_latest(df, self.keys, self.sequence)
 
     def _scan(self, commit: Commit, buckets: set[str]) -> DataFrame:
-        if commit.schema is None:
-            raise FileNotFoundError(f"no commit in {self.path}")
-        wanted = [(v, b) for b, parts in sorted(commit.folders.items()) if b in buckets for v, _ in parts]
-        return self._folders([self._folder(v, b) for v, b in wanted], commit.schema)
-
-    def _folder(self, version: str, bucket: str) -> str:
-        return f"{self.path}/data/{version}/{BUCKET}={bucket}"
+        return self._rows({b: parts for b, parts in commit.folders.items() if b in buckets}, commit.schema)
 
-    def _folders(self, paths: list[str], schema: StructType) -> DataFrame:
+    def _rows(self, folders: Folders, schema: StructType | None) -> DataFrame:
+        if schema is None:
+            raise FileNotFoundError(f"no commit in {self.path}")
+        paths = [f"{self.path}/data/{p.version}/{BUCKET}={b}" for b, parts in sorted(folders.items()) for p in parts]
         if not paths:
             return self.spark.createDataFrame([], schema)
         # recursive lookup: folder names are not columns
@@ -142,7 +159,7 @@ class SnapshotTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _write(self, df: DataFrame, base: Commit) -> Staged:
+    def _write(self, df: DataFrame, base: Commit, clustered: list[str] | None = None) -> Staged:
         # the name is new for every attempt, so concurrent writers cannot touch each other's files
         version = f"{base.number + 1:010d}-{uuid.uuid4().hex[:12]}"
         target = f"{self.path}/data/{version}"
@@ -152,23 +169,33 @@ class SnapshotTable:
             bucketed = df.withColumn(BUCKET, self._bucket()).hint("rebalance", F.col(BUCKET))
             bucketed.write.partitionBy(BUCKET).parquet(target)
         found = [n for n in files.names(self.spark, target) if n.startswith(f"{BUCKET}=")]
-        sizes = {n.split("=", 1)[1]: files.size(self.spark, f"{target}/{n}") for n in found}
-        return Staged(base, df.schema, version, sizes)
-
-    def _publish(self, base: Commit, schema: StructType, folders: Folders, batch: tuple[str, int] | None) -> None:
-        batches = dict(base.batches)
-        if batch:
-            batches[batch[0]] = batch[1]
-        new = Commit(base.number + 1, schema, folders, batches)
+        parts = {
+            n.split("=", 1)[1]: Part(version, files.size(self.spark, f"{target}/{n}"), clustered or []) for n in found
+        }
+        return Staged(base, df.schema, parts)
+
+    def _publish(
+        self, base: Commit, schema: StructType, folders: Folders, batch: tuple[str, int] | None = None
+    ) -> None:
+        batches = base.batches | ({batch[0]: batch[1]} if batch else {})
+        folders = {b: parts for b, parts in folders.items() if parts}
+        self._commit(dataclasses.replace(base, number=base.number + 1, schema=schema, folders=folders, batches=batches))
+
+    def _commit(self, new: Commit) -> None:
         files.create_text(self.spark, f"{self.path}/commits/{new.number:010d}.json", new.dumps())
 
+    def _swap(self, old: Folders, staged: Staged, schema: StructType, batch: tuple[str, int] | None = None) -> None:
+        """Publish staged rows in place of some parts of the table they were made from."""
+        folders = {b: [p for p in parts if p not in old.get(b, [])] for b, parts in staged.base.folders.items()}
+        for b, part in staged.parts.items():
+            folders[b] = [*folders.get(b, []), part]
+        self._publish(staged.base, schema, folders, batch)
+
     def replace(self, df: DataFrame, *, batch: tuple[str, int] | None = None) -> None:
         """Make ``df`` the whole content; ``df`` may read this very table."""
         base = self.commit()
-        if self.sequence:
-            df = self._newest(df)
-        staged = self._write(df, base)
-        self._publish(base, df.schema, {b: [[staged.version, n]] for b, n in staged.sizes.items()}, batch)
+        staged = self._write(self._newest(df) if self.sequence else df, base)
+        self._swap(base.folders, staged, df.schema, batch)
 
     def stage(self, df: DataFrame, *, merge_schema: bool = False) -> Staged:
         """Write rows to be added, without showing them to readers yet.
@@ -177,20 +204,15 @@ class SnapshotTable:
         """
         base = self.commit()
         schema = df.schema if base.schema is None else widen(base.schema, df.schema, allow_new=merge_schema)
-        if self.sequence:
-            df = self._newest(df)
-        staged = self._write(df, base)
-        return Staged(base, schema, staged.version, staged.sizes)
+        staged = self._write(self._newest(df) if self.sequence else df, base)
+        return dataclasses.replace(staged, schema=schema)
 
     def staged_rows(self, staged: Staged) -> DataFrame:
-        return self._folders([self._folder(staged.version, b) for b in staged.sizes], staged.schema)
+        return self._rows({b: [part] for b, part in staged.parts.items()}, staged.schema)
 
     def publish(self, staged: Staged, *, batch: tuple[str, int] | None = None) -> None:
         """Make staged rows part of the table."""
-        folders = {b: list(parts) for b, parts in staged.base.folders.items()}
-        for b, n in staged.sizes.items():
-            folders.setdefault(b, []).append([staged.version, n])
-        self._publish(staged.base, staged.schema, folders, batch)
+        self._swap({}, staged, staged.schema, batch)
 
     def append(self, df: DataFrame, *, merge_schema: bool = False, batch: tuple[str, int] | None = None) -> None:
         """Add rows; in a table with a sequence they replace older rows of their keys."""
@@ -204,49 +226,62 @@ class SnapshotTable:
         scratch = fresh_folder(self.spark, "updates")
         updates.write.parquet(scratch)  # read several times below
         stored = self.spark.read.schema(updates.schema).parquet(scratch)
-        if base.schema is None:
-            touched: set[str] = set()
-            start = self.spark.createDataFrame([], updates.schema)
-        else:
-            # at most `buckets` numbers come back to the driver
-            number = self._bucket() if self.buckets > 1 else F.lit(0)
-            found = stored.select(number.cast("string").alias("b")).distinct().collect()
-            touched = {r.b for r in found}
-            start = self._scan(base, touched)
-        merged = upsert(start, stored, self.keys)
-        staged = self._write(merged, base)
-        folders = {b: list(parts) for b, parts in base.folders.items() if b not in touched}
-        folders.update({b: [[staged.version, n]] for b, n in staged.sizes.items()})
-        self._publish(base, merged.schema, folders, batch)
+        # at most `buckets` numbers come back to the driver
+        number = self._bucket() if self.buckets > 1 else F.lit(0)
+        touched = {r.b for r in stored.select(number.cast("string").alias("b")).distinct().collect()}
+        old = {b: parts for b, parts in base.folders.items() if b in touched}
+        merged = upsert(self._rows(old, base.schema or updates.schema), stored, self.keys)
+        self._swap(old, self._write(merged, base), merged.schema, batch)
         files.delete(self.spark, scratch)
 
+    # -- maintenance ---------------------------------------------------------
+
     def compact(
-        self, *, share: float = 0.25, max_folders: int = 64, small_bytes: int = 256 * 1024 * 1024, at_least: int = 16
+        self, *, share: float = 0.25, max_folders: int = 64, small_bytes: int = TARGET_BYTES, at_least: int = 16
     ) -> int:
         """Rewrite what has become costly to read. Returns how many buckets were rewritten.
 
         With a sequence: buckets whose appended bytes reach a share of their first folder's
         bytes, or that consist of too many folders. Otherwise: the small folders of a
-        bucket, once there are enough of them; large ones are never touched again.
+        bucket, once there are enough of them; large and clustered ones are left alone.
         Whether there is anything to do is known from the commit alone.
         """
         base = self.commit()
-        chosen: Folders = {}
+        old: Folders = {}
         for bucket, parts in base.folders.items():
             if self.sequence:
-                added = sum(n for _, n in parts[1:])
-                if len(parts) > max_folders or (len(parts) > 1 and added >= share * parts[0][1]):
-                    chosen[bucket] = parts
+                added = sum(p.bytes for p in parts[1:])
+                if len(parts) > max_folders or (len(parts) > 1 and added >= share * parts[0].bytes):
+                    old[bucket] = parts
             else:
-                small = [p for p in parts if p[1] < small_bytes]
+                small = [p for p in parts if p.bytes < small_bytes and not p.clustered]
                 if len(small) >= at_least:
-                    chosen[bucket] = small
-        if not chosen:
+                    old[bucket] = small
+        if not old:
+            return 0
+        rows = self._rows(old, base.schema)
+        self._swap(old, self._write(self._newest(rows) if self.sequence else rows, base), base.schema)
+        return len(old)
+
+    def cluster_by(self, *keys: str) -> None:
+        """Declare up to four clustering keys. No file is touched; ``optimize`` applies them."""
+        if self.buckets > 1 or self.sequence or len(keys) > 4:
+            raise ValueError("clustering takes up to four keys and a table without buckets and sequence")
+        base = self.commit()
+        self._commit(dataclasses.replace(base, number=base.number + 1, cluster=list(keys)))
+
+    def optimize(self, *, full: bool = False, target_bytes: int = TARGET_BYTES) -> int:
+        """Cluster the parts that are not clustered yet; returns how many were rewritten.
+
+        Parts clustered by earlier keys stay as they are, unless ``full``.
+        """
+        base = self.commit()
+        if not base.cluster:
+            raise ValueError("declare clustering keys first")
+        todo = [p for p in base.folders.get("0", []) if not p.clustered or (full and p.clustered != base.cluster)]
+        if not todo:
             return 0
-        rows = self._folders([self._folder(v, b) for b, parts in chosen.items() for v, _ in parts], base.schema)
-        staged = self._write(self._newest(rows) if self.sequence else rows, base)
-        folders = {b: [p for p in parts if p not in chosen.get(b, [])] for b, parts in base.folders.items()}
-        for b, n in staged.sizes.items():
-            folders[b].append([staged.version, n])
-        self._publish(base, base.schema, folders, None)
-        return len(chosen)
+        n_files = files_for(sum(p.bytes for p in todo), target_bytes)
+        rows = cluster(self._rows({"0": todo}, base.schema), base.cluster, n_files)
+        self._swap({"0": todo}, self._write(rows, base, base.cluster), base.schema)
+        return len(todo)

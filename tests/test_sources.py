@@ -126,11 +126,11 @@ def test_small_appends_are_compacted_and_large_ones_left(spark, folder):
     table.append(spark.range(50000).toDF("id"))
     for i in range(4):
         table.append(spark.range(i, i + 1).toDF("id"))
-    limit = table.commit().folders["0"][0][1]
+    limit = table.commit().folders["0"][0].bytes
     assert table.compact(small_bytes=limit, at_least=5) == 0
     assert table.compact(small_bytes=limit, at_least=4) == 1
     parts = table.commit().folders["0"]
-    assert len(parts) == 2 and parts[0][1] == limit
+    assert len(parts) == 2 and parts[0].bytes == limit
     assert table.read().count() == 50004
 
 
@@ -178,3 +178,25 @@ def test_values_json_and_drop(spark, folder):
     values.createOrReplaceTempView("inline_values")
     assert read_table(spark, "inline_values").count() == 2
     drop_table(spark, "never_there")
+
+
+def test_changed_clustering_keys_apply_to_new_rows_until_a_full_rewrite(spark, folder):
+    table = SnapshotTable(spark, folder)
+    rows_of = ("(id * 7919) % 1000 as restaurant", "(id * 104729) % 1000 as customer")
+    table.append(spark.range(20000).selectExpr(*rows_of))
+    with pytest.raises(ValueError):
+        table.optimize()
+    table.cluster_by("restaurant")
+    first_bytes = table.commit().folders["0"][0].bytes
+    assert table.optimize(target_bytes=first_bytes // 8) == 1 and table.optimize() == 0
+    clustered = table.commit().folders["0"][0]
+    ranges = table.read().groupBy("_metadata.file_path").agg({"restaurant": "max", "*": "count"}).count()
+    assert ranges >= 6
+    table.append(spark.range(20000, 20100).selectExpr(*rows_of))
+    table.cluster_by("customer")
+    assert table.optimize() == 1
+    parts = table.commit().folders["0"]
+    assert clustered in parts and [p.clustered for p in parts] == [["restaurant"], ["customer"]]
+    assert table.optimize(full=True) == 1
+    assert [p.clustered for p in table.commit().folders["0"]] == [["customer"], ["customer"]]
+    assert table.read().count() == 20100
