@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-# Quantile slots of a scale. Finer orders come from cutting them evenly: a search over
-# thousands of cut points would not fit into generated code.
-COARSE = 64
+# Slots of a scale: the default and the most that are cut.
+SLOTS, MOST_SLOTS = 64, 4096
 
 
 def order_number(column: Column | str, data_type: DataType) -> Column:
@@ -36,11 +36,8 @@ def order_number(column: Column | str, data_type: DataType) -> Column:
 
 @dataclass(frozen=True)
 class Scale:
-    """Rows, least and greatest number of a column, and its approximate inner quantiles, ascending."""
+    """Approximate inner quantiles of a column, ascending."""
 
-    rows: int
-    low: float | None
-    high: float | None
     quantiles: list[float]
 
     @property
@@ -52,50 +49,32 @@ class Scale:
         """Numbers that lie at two quantiles: each holds more than a slot's share of the rows."""
         return sorted({q for q, following in zip(self.quantiles, self.quantiles[1:]) if q == following})
 
-    def slot(self, number: Column) -> Column:
-        """The slot of a number, never falling as the number grows; 0 for NULL."""
-        return slot_of(number, self.cuts)
-
-    def fine_slot(self, number: Column, slot: Column, fine_bits: int) -> Column:
-        """A slot cut evenly into ``2**fine_bits`` more, which refines the order without
-        more quantiles. ``slot`` is a column that holds ``self.slot(number)`` already."""
-        if not fine_bits or self.low is None:
-            return slot
-        edges = [self.low, *self.cuts, self.high]
-        lows = F.array(*[F.lit(float(e)) for e in edges[:-1]])
-        widths = F.array(*[F.lit(float(h - l)) for l, h in zip(edges, edges[1:])])
-        width = F.element_at(widths, slot + 1)
-        share = F.when(width > 0, (number - F.element_at(lows, slot + 1)) / width).otherwise(0.0)
-        fine = F.least(F.lit(2**fine_bits - 1), F.greatest(F.lit(0), F.floor(share * 2**fine_bits)))
-        return (slot * 2**fine_bits + F.coalesce(fine, F.lit(0))).cast("int")
-
-
-def scales(df: DataFrame, columns: Sequence[str], slots: int = COARSE) -> dict[str, Scale]:
-    """The scale of each column, all from one pass; only quantiles come to the driver."""
+
+def scales(df: DataFrame, columns: Sequence[str], slots: int = SLOTS) -> dict[str, Scale]:
+    """The scale of each column, all from one pass; only the quantiles come to the driver."""
+    if slots < 2:
+        return {c: Scale([]) for c in columns}
     shares = [i / slots for i in range(1, slots)]
-    numbers = {c: order_number(c, df.schema[c].dataType) for c in columns}
-    aggregates = [
-        a.alias(f"{i}{part}")
-        for i, n in enumerate(numbers.values())
-        for part, a in (("low", F.min(n)), ("high", F.max(n)), ("cuts", F.percentile_approx(n, shares or [0.5], 1000)))
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates).first()
-    return {
-        c: Scale(row["rows"], row[f"{i}low"], row[f"{i}high"], list(row[f"{i}cuts"] or []) if shares else [])
-        for i, c in enumerate(columns)
-    }
-
-
-def slot_of(number: Column, cuts: Sequence[float]) -> Column:
-    """How many cut points lie at or below the number, by binary search in plain CASE branches."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(number < F.lit(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
-
-    return F.when(number.isNull(), F.lit(0)).otherwise(search(0, len(cuts)))
+    numbers = [order_number(c, df.schema[c].dataType) for c in columns]
+    found = [F.percentile_approx(n, shares, max(1000, 10 * slots)).alias(str(i)) for i, n in enumerate(numbers)]
+    row = df.agg(*found).first()
+    return {c: Scale(list(row[str(i)] or [])) for i, c in enumerate(columns)}
+
+
+def with_slot(df: DataFrame, name: str, number: Column, scale: Scale) -> DataFrame:
+    """Add how many cuts lie at or below the number; 0 for NULL.
+
+    The bucketizer searches an array inside the JVM. Comparing with every cut in SQL
+    expressions would outgrow what the JVM compiles.
+    """
+    if not scale.cuts:
+        return df.withColumn(name, F.lit(0))
+    infinity = float("inf")
+    bucketizer = Bucketizer(
+        splits=[-infinity, *scale.cuts, infinity], inputCol="_number", outputCol="_bucket", handleInvalid="keep"
+    )
+    numbered = df.withColumn("_number", F.coalesce(number, F.lit(-infinity)))
+    return bucketizer.transform(numbered).withColumn(name, F.col("_bucket").cast("int")).drop("_number", "_bucket")
 
 
 def interleave(slots: Sequence[Column], bits: int) -> Column:

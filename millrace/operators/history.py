@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.ordering import COARSE, order_number, scales
+from millrace.functions.ordering import SLOTS, order_number, scales, with_slot
 from millrace.operators.numbering import number_rows
 from millrace.operators.upsert import require_unique
 from millrace.session import materialise
@@ -122,7 +122,7 @@ def as_of_lookup(
     at: str,
     columns: Sequence[str],
     many_versions: bool = False,
-    slots: int = COARSE,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Attach the version that was valid at ``at``: ``valid_from <= at < valid_to``; NULL if none.
 
@@ -156,7 +156,7 @@ def _sweep(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: Se
     )
     fact_row = F.struct(*facts.columns)
     f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), fact_row.alias("_fact"))
-    both = f.unionByName(v, allowMissingColumns=True).withColumn("_slot", scale.slot(order_number("_at", kind)))
+    both = with_slot(f.unionByName(v, allowMissingColumns=True), "_slot", order_number("_at", kind), scale)
 
     per_slot = both.groupBy("_key", "_slot").agg(F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.ordering import COARSE, interleave, order_number, scales
+from millrace.functions.ordering import MOST_SLOTS, interleave, order_number, scales, with_slot
 
 TARGET_BYTES = 256 * 1024 * 1024
 
@@ -22,17 +22,17 @@ def with_z_value(df: DataFrame, name: str, keys: Sequence[str], bits: int) -> Da
     """Add the interleaved slots of one to four columns, ``2**bits`` slots each."""
     if not 1 <= len(keys) <= 4:
         raise ValueError("one to four clustering keys")
-    coarse = min(bits, COARSE.bit_length() - 1)
-    found = scales(df, keys, 2**coarse)
-    numbers = {k: order_number(k, df.schema[k].dataType) for k in keys}
-    slotted = df.withColumns({f"_slot_{k}": found[k].slot(numbers[k]) for k in keys})
-    fine = [found[k].fine_slot(numbers[k], F.col(f"_slot_{k}"), bits - coarse) for k in keys]
-    return slotted.withColumn(name, interleave(fine, bits)).drop(*[f"_slot_{k}" for k in keys])
+    found = scales(df, keys, 2**bits)
+    slots = [f"_slot_{k}" for k in keys]
+    for k, slot in zip(keys, slots):
+        df = with_slot(df, slot, order_number(k, df.schema[k].dataType), found[k])
+    return df.withColumn(name, interleave([F.col(s) for s in slots], bits)).drop(*slots)
 
 
 def bits_for(n_files: int, n_keys: int) -> int:
     """Bits per key so that the curve has several cells for every file."""
-    return min(62 // n_keys, max(4, math.ceil(math.log2(max(n_files, 2)) / n_keys) + 2))
+    most = MOST_SLOTS.bit_length() - 1
+    return min(most, 62 // n_keys, max(4, math.ceil(math.log2(max(n_files, 2)) / n_keys) + 2))
 
 
 def cluster(df: DataFrame, keys: Sequence[str], n_files: int, bits: int | None = None) -> DataFrame:
@@ -105,13 +105,23 @@ def skipping_report(
     return reduce(DataFrame.unionByName, parts)
 
 
-def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES) -> None:
-    """Merge small files into files of about ``target_bytes`` without a shuffle.
+def compact(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    target_bytes: int = TARGET_BYTES,
+    keys: Sequence[str] | None = None,
+) -> None:
+    """Merge small files into files of about ``target_bytes``.
 
-    The scan itself packs files into read partitions of that size, and each partition
-    becomes one file. The order inside a source file is kept, so a clustered table
-    stays clustered.
+    Without keys there is no shuffle: the scan packs files into read partitions of that
+    size, the largest first, and each partition becomes one file. That mixes files of a
+    clustered table, which is therefore given its ``keys`` and clustered anew.
     """
+    if keys:
+        total = layout_report(spark, {"source": source}).first().size_in_bytes
+        write_layout(cluster(spark.read.parquet(source), keys, files_for(total, target_bytes)), target)
+        return
     wanted = {
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.files.openCostInBytes": "0",

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from millrace.functions.ordering import COARSE, order_number, scales
+from millrace.functions.ordering import MOST_SLOTS, SLOTS, order_number, scales, with_slot
 
+ROWS_PER_SLOT = 1_000_000
 RANGED = (NumericType, DateType, TimestampType, TimestampNTZType, StringType)
 
 
 def number_rows(
-    df: DataFrame, key: str, name: str, *, start: Column | int = 1, slots: int = COARSE, rows_per_slot: int = 1_000_000
+    df: DataFrame, key: str, name: str, *, start: Column | int = 1, slots: int | None = None
 ) -> DataFrame:
     """Number rows in the order of ``key``, from ``start`` on; equal keys go by the other columns.
 
-    The key range is cut into slots at approximate quantiles, and these evenly into more
-    if they would exceed ``rows_per_slot``. Rows are numbered inside their slot and shifted
-    by the sizes of the slots before it. The cuts decide only how even the slots are: the
-    slot is a function of the row, so a recomputed task gives the same numbers.
+    The key range is cut into slots at approximate quantiles, by default one per million
+    rows between 64 and 4096. Rows are numbered inside their slot and shifted by the sizes
+    of the slots before it. The cuts decide only how even the slots are: the slot is a
+    function of the row, so a recomputed task gives the same numbers.
 
     Rows without a key come first. They, rows of a key that fills several quantiles, and
     strings that do so with the same first six bytes, are spread by a hash and numbered in
@@ -29,6 +28,8 @@ def number_rows(
     data_type = df.schema[key].dataType
     if not isinstance(data_type, RANGED):
         raise TypeError(f"{key} cannot be cut into ranges")
+    if slots is None:
+        slots = min(MOST_SLOTS, max(SLOTS, df.count() // ROWS_PER_SLOT))
     others = [c for c in df.columns if c != key]
     number = order_number(key, data_type)
     scale = scales(df, [key], slots)[key]
@@ -36,9 +37,7 @@ def number_rows(
     # slot 0: their parts 0..slots-1 come before the part `slots` with the other rows.
     spread = number.isNull() | number.isin(scale.busy) if scale.busy else number.isNull()
     part = F.when(spread, F.pmod(F.xxhash64(*df.columns), F.lit(slots))).otherwise(slots)
-    fine_bits = max(0, math.ceil(math.log2(max(scale.rows, 1) / (slots * rows_per_slot))))
-    slotted = df.withColumns({"_slot": scale.slot(number), "_part": part.cast("int")})
-    slotted = slotted.withColumn("_slot", scale.fine_slot(number, F.col("_slot"), fine_bits))
+    slotted = with_slot(df.withColumn("_part", part.cast("int")), "_slot", number, scale)
 
     sizes = slotted.groupBy("_slot", "_part").agg(F.count(F.lit(1)).alias("_size"))
     # one row per slot and part: some thousands

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.ordering import Scale, interleave, order_number, scales, slot_of
+from millrace.functions.ordering import Scale, interleave, order_number, scales, with_slot
 from millrace.operators.layout import append_clustered, bits_for, cluster, compact, layout_report, scatter, skipping_report, write_layout
 from tests.conftest import rows
 
@@ -22,11 +22,13 @@ def test_bits_are_taken_in_turn(spark):
         assert r.z == int(want, 2)
 
 
-def test_slots_count_the_cut_points_at_or_below(spark):
-    df = spark.createDataFrame([(float(x),) for x in range(-3, 12)] + [(None,)], "x double")
-    cuts = [0.0, 2.0, 2.5, 7.0]
-    for r in df.select("x", slot_of(F.col("x"), cuts).alias("s")).collect():
-        assert r.s == (0 if r.x is None else sum(c <= r.x for c in cuts))
+def test_slots_count_the_cuts_at_or_below(spark):
+    df = spark.createDataFrame([(float(x),) for x in range(-3, 12)] + [(None,), (float("inf"),)], "x double")
+    scale = Scale([0.0, 2.0, 2.0, 2.5, 7.0])
+    assert scale.busy == [2.0] and scale.cuts == [0.0, 2.0, 2.5, 7.0]
+    for r in with_slot(df, "s", F.col("x"), scale).select("x", "s").collect():
+        assert r.s == (0 if r.x is None else sum(c <= r.x for c in scale.cuts))
+    assert {r.s for r in with_slot(df, "s", F.col("x"), Scale([])).collect()} == {0}
 
 
 def test_order_numbers_follow_the_order(spark):
@@ -36,24 +38,18 @@ def test_order_numbers_follow_the_order(spark):
     assert numbers == sorted(numbers) and len(set(numbers)) == len(words)
 
 
-def test_fine_slots_never_fall_and_are_even(spark):
-    df = spark.range(5000).select((F.col("id") * F.col("id")).cast("double").alias("x"))
-    scale = scales(df, ["x"], 8)["x"]
-    slotted = df.withColumn("s", scale.slot(F.col("x")))
-    fine = slotted.select("x", scale.fine_slot(F.col("x"), F.col("s"), 3).alias("s"))
-    slots = [r.s for r in fine.orderBy("x").collect()]
-    assert slots == sorted(slots) and slots[0] == 0 and slots[-1] == 63
-    assert len(set(slots)) == 64
-    flat = Scale(4, 1.0, 1.0, [1.0, 1.0, 1.0])
-    assert flat.busy == [1.0] and flat.cuts == [1.0]
-    assert spark.range(1).select(flat.fine_slot(F.lit(1.0), flat.slot(F.lit(1.0)), 3)).first()[0] == 8
-    empty = scales(df.limit(0), ["x"], 8)["x"]
-    assert spark.range(1).select(empty.slot(F.lit(None).cast("double"))).first()[0] == 0
+def test_slots_are_even(spark):
+    df = spark.range(50000).select((F.col("id") * F.col("id")).cast("double").alias("x"))
+    for slots in (8, 1024):
+        slotted = with_slot(df, "s", F.col("x"), scales(df, ["x"], slots)["x"])
+        sizes = [r["count"] for r in slotted.groupBy("s").count().collect()]
+        assert len(sizes) >= slots * 0.98 and max(sizes) < 2 * 50000 / slots
+    assert scales(df.limit(0), ["x"], 8)["x"].cuts == []
 
 
 def test_bits_grow_with_the_files():
     assert bits_for(8, 1) == 5 and bits_for(32, 2) == 5
-    assert bits_for(400_000, 2) == 12 and bits_for(400_000, 4) == 7
+    assert bits_for(400_000, 2) == 12 and bits_for(400_000, 1) == 12 and bits_for(400_000, 4) == 7
 
 
 def test_clustered_files_are_skipped_and_answers_agree(spark, folder):
@@ -61,11 +57,15 @@ def test_clustered_files_are_skipped_and_answers_agree(spark, folder):
     paths = {n: f"{folder}/{n}" for n in ("baseline", "zorder", "zorder_compacted")}
     write_layout(scatter(df, 32), paths["baseline"])
     write_layout(cluster(df, ["restaurant", "day"], 32), paths["zorder"])
-    compact(spark, paths["zorder"], paths["zorder_compacted"], 64 * 1024)
+    size = layout_report(spark, {"zorder": paths["zorder"]}).first().size_in_bytes
+    compact(spark, paths["zorder"], paths["zorder_compacted"], size // 12, ["restaurant", "day"])
+    compact(spark, paths["baseline"], f"{folder}/compacted", 64 * 1024)
+    assert 1 < layout_report(spark, {"t": f"{folder}/compacted"}).first().num_files < 32
     report = {r.table_name: r for r in skipping_report(spark, paths, {"restaurant": (273, 273)}).collect()}
     assert report["baseline"].files_read == report["baseline"].files_total == 32
     assert report["zorder"].files_read <= 12
     assert report["zorder"].bytes_pruned > 0
+    assert report["zorder_compacted"].files_read <= report["zorder_compacted"].files_total // 2
     answers = {
         n: rows(spark.read.parquet(p).filter("restaurant = 273 and day between '2025-06-01' and '2025-06-30'").agg(F.count("*"), F.avg("amount")))
         for n, p in paths.items()
