@@ -2,49 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+
+from millrace.session import materialise
 
-from millrace.functions.ordering import MOST_SLOTS, SLOTS, order_number, scales, with_slot
 
-ROWS_PER_SLOT = 1_000_000
-RANGED = (NumericType, DateType, TimestampType, TimestampNTZType, StringType)
+def sortable(data_type: DataType) -> bool:
+    """Whether Spark can order values of the type: no map or variant at any depth."""
+    if isinstance(data_type, StructType):
+        return all(sortable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, ArrayType):
+        return sortable(data_type.elementType)
+    return not isinstance(data_type, (MapType, VariantType))
 
 
 def number_rows(
-    df: DataFrame, key: str, name: str, *, start: Column | int = 1, slots: int | None = None
+    df: DataFrame, key: str, name: str, *, start: Column | int = 1, within: Sequence[str] = ()
 ) -> DataFrame:
     """Number rows in the order of ``key``, from ``start`` on; equal keys go by the other columns.
 
-    The key range is cut into slots at approximate quantiles, by default one per million
-    rows between 64 and 4096. Rows are numbered inside their slot and shifted by the sizes
-    of the slots before it. The cuts decide only how even the slots are: the slot is a
-    function of the row, so a recomputed task gives the same numbers.
-
-    Rows without a key come first. They, rows of a key that fills several quantiles, and
-    strings that do so with the same first six bytes, are spread by a hash and numbered in
-    no particular order among themselves.
+    NULL comes first, NaN last. With ``within`` every group of those columns is numbered by
+    itself. Rows are range-partitioned by the whole order and written once, with their place
+    in their partition; a partition then adds what lies before it, which takes one small row
+    per partition and group. Rows that are alike in every column are told apart by their
+    place in the input, so even they are spread over the tasks.
     """
-    data_type = df.schema[key].dataType
-    if not isinstance(data_type, RANGED):
-        raise TypeError(f"{key} cannot be cut into ranges")
-    if slots is None:
-        slots = min(MOST_SLOTS, max(SLOTS, df.count() // ROWS_PER_SLOT))
-    others = [c for c in df.columns if c != key]
-    number = order_number(key, data_type)
-    scale = scales(df, [key], slots)[key]
-    # A busy number is a cut, so it is the first of its slot, and NULLs are the first of
-    # slot 0: their parts 0..slots-1 come before the part `slots` with the other rows.
-    spread = number.isNull() | number.isin(scale.busy) if scale.busy else number.isNull()
-    part = F.when(spread, F.pmod(F.xxhash64(*df.columns), F.lit(slots))).otherwise(slots)
-    slotted = with_slot(df.withColumn("_part", part.cast("int")), "_slot", number, scale)
-
-    sizes = slotted.groupBy("_slot", "_part").agg(F.count(F.lit(1)).alias("_size"))
-    # one row per slot and part: some thousands
-    before = Window.orderBy("_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_slot", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    ties = [F.col(c).asc_nulls_first() for c in others]
-    inside = Window.partitionBy("_slot", "_part").orderBy(F.col(key).asc_nulls_first(), *ties)
+    order = [*within, key, *(f.name for f in df.schema.fields if f.name not in {key, *within} and sortable(f.dataType))]
+    ascending = [F.col(f"`{c}`").asc_nulls_first() for c in order]
+    place = _unused(df, "_place")
+    placed = (
+        df.withColumn(place, F.monotonically_increasing_id())
+        .repartitionByRange(*ascending, place)
+        .sortWithinPartitions(*ascending, place)
+        .withColumn(place, F.monotonically_increasing_id())  # the task above 33 bits for the row in it
+    )
+    stored = materialise(placed, "numbered").alias("r")
+
+    task = F.shiftright(F.col(place), 33)
+    groups = [F.col(f"`{c}`") for c in within]
+    parts = stored.groupBy(task.alias("_task"), *groups).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*groups).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).alias("o")
+    same = task == F.col("o._task")
+    for c in within:
+        same = same & F.col(f"r.`{c}`").eqNullSafe(F.col(f"o.`{c}`"))
     first = start if isinstance(start, Column) else F.lit(start)
-    row = (F.row_number().over(inside) + F.col("_offset") + first - 1).cast("bigint")
-    return slotted.join(offsets, ["_slot", "_part"]).withColumn(name, row).drop("_slot", "_part", "_offset")
+    number = F.col(f"r.{place}") - F.col("o._first") + F.col("o._before") + first
+    return stored.join(offsets, same).select(
+        *[F.col(f"r.`{c}`") for c in df.columns], number.cast("bigint").alias(name)
+    )
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name

@@ -69,16 +69,16 @@ def test_sequenced_upsert_never_goes_back(spark):
     assert rows(upsert_sequenced(result, updates, ["k"], "seq")) == expected
 
 
-@pytest.mark.parametrize("slots", [None, 1, 4, 500])
-def test_numbers_are_dense_and_follow_the_key(spark, slots):
-    df = spark.range(1000).select((F.col("id") * 7919 % 1000 - 500).alias("k"))
-    got = rows(number_rows(df, "k", "n", start=11, slots=slots).orderBy("k"))
+@pytest.mark.parametrize("parts", [1, 4, 50])
+def test_numbers_are_dense_and_follow_the_key(spark, parts):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000 - 500).alias("k")).repartition(parts)
+    got = rows(number_rows(df, "k", "n", start=11).orderBy("k"))
     assert sorted(got) == [(k - 500, k + 11) for k in range(1000)]
 
 
 def test_numbers_for_strings_and_repeated_keys(spark):
     df = spark.createDataFrame([("%02d-site" % (i % 30), i) for i in range(100)], "k string, v int")
-    got = [(r.k, r.n) for r in number_rows(df, "k", "n", slots=8).orderBy("n").collect()]
+    got = [(r.k, r.n) for r in number_rows(df, "k", "n").orderBy("n").collect()]
     assert [n for _, n in got] == list(range(1, 101))
     assert [k for k, _ in got] == sorted(k for k, _ in got)
     assert number_rows(df.limit(0), "k", "n").count() == 0
@@ -88,15 +88,34 @@ def test_numbers_of_a_busy_key_are_spread_and_stay_dense(spark):
     """Two thirds of the rows hold two keys; the order of keys is kept."""
     key = F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 3 == 1, 1000).otherwise(F.col("id"))
     df = spark.range(3000).select(key.alias("k"), "id")
-    got = [(r.k, r.n) for r in number_rows(df, "k", "n", slots=8).orderBy("n").collect()]
+    got = [(r.k, r.n) for r in number_rows(df, "k", "n").orderBy("n").collect()]
     assert [n for _, n in got] == list(range(1, 3001))
     assert [k for k, _ in got] == sorted(k for k, _ in got)
 
 
 def test_rows_without_a_key_come_first(spark):
     df = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), "id")
-    got = [(r.k, r.n) for r in number_rows(df, "k", "n", slots=8).orderBy("n").collect()]
+    got = [(r.k, r.n) for r in number_rows(df, "k", "n").orderBy("n").collect()]
     assert [n for _, n in got] == list(range(1, 301))
     assert [k for k, _ in got] == [None] * 100 + [i for i in range(300) if i % 3]
     only_null = spark.range(50).select(F.lit(None).cast("int").alias("k"), "id")
     assert sorted(r.n for r in number_rows(only_null, "k", "n").collect()) == list(range(1, 51))
+
+
+def test_numbers_of_long_strings_and_odd_numbers(spark):
+    names = [f"Customer#000{i:06d}" for i in range(500)]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "k string").repartition(7)
+    assert [r.k for r in number_rows(df, "k", "n").orderBy("n").collect()] == names
+    odd = [float("nan"), float("inf"), -float("inf"), 0.0, 1.5, None] * 40
+    got = number_rows(spark.createDataFrame([(x,) for x in odd], "k double"), "k", "n").orderBy("n").collect()
+    assert [r.n for r in got] == list(range(1, 241))
+    assert [str(r.k) for r in got] == [x for x in ("None", "-inf", "0.0", "1.5", "inf", "nan") for _ in range(40)]
+
+
+def test_numbers_start_anew_in_every_group(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("g"), F.lit("same").alias("k"), F.lit(None).cast("map<int,int>").alias("m"))
+    df = df.unionByName(df.withColumn("g", F.lit(None).cast("long")).limit(10))
+    got = number_rows(df, "k", "n", start=0, within=["g"])
+    assert rows(got.groupBy("g").agg(F.min("n"), F.max("n"), F.count_distinct("n"))) == [
+        (None, 0, 9, 10), (0, 0, 99, 100), (1, 0, 99, 100), (2, 0, 99, 100),
+    ]
