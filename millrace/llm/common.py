@@ -39,3 +39,13 @@ def portions(lengths: Sequence[int], most: int) -> Iterator[slice]:
         total += n
     if first < len(lengths):
         yield slice(first, len(lengths))
+
+
+def with_text(rows: DataFrame, text: Column, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from the struct ``doc``, with another text; ``n_chars`` follows it."""
+    new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return rows.select(*[(col_in_doc(c) if new.get(c) is None else new[c]).alias(c) for c in docs.columns])
+
+
+def col_in_doc(name: str) -> Column:
+    return F.col("doc")[name]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import spm
+from millrace.llm import mixing, slots, spm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_sainte_lague_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query
+def op9_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
+    return slots.shard_documents(table(spark, sf, "documents"))[0]
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return spm.encode_documents(table(spark, sf, "documents"), public_tokenizers.path(PIECES))

@@ -261,15 +261,15 @@ class Encoder:
             yield from map(self._join, split)
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def _encoder(shared: Broadcast) -> Encoder:
+def _encoder(path: str, shared: Broadcast) -> Encoder:
     """One encoder for each worker process and model."""
-    if shared.id not in _encoders:
+    if path not in _encoders:
         _encoders.clear()
-        _encoders[shared.id] = Encoder(shared.value)
-    return _encoders[shared.id]
+        _encoders[path] = Encoder(shared.value)
+    return _encoders[path]
 
 
 def encoding(spark: SparkSession, model_path: str) -> Callable[[Column | str], Column]:
@@ -278,7 +278,7 @@ def encoding(spark: SparkSession, model_path: str) -> Callable[[Column | str], C
 
     @F.pandas_udf("n_tokens long, ids string, decoded string")
     def encode(texts: pd.Series) -> pd.DataFrame:
-        encoder = _encoder(shared)
+        encoder = _encoder(model_path, shared)
         rows = list(encoder.encode_all(texts))
         return pd.DataFrame(
             {"n_tokens": [i.count(" ") + 1 for i, _ in rows], "ids": [i for i, _ in rows], "decoded": [d for _, d in rows]}
@@ -293,7 +293,7 @@ def digests(spark: SparkSession, model_path: str) -> Callable[[Column | str], Co
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(texts: pd.Series) -> pd.DataFrame:
-        encoder = _encoder(shared)
+        encoder = _encoder(model_path, shared)
         rows = []
         for ids, decoded in encoder.encode_all(texts):
             rows.append((
