@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A word, wherever an operator speaks of words: a run of anything but these six spaces.
 # Fixed value, given by the contracts.
@@ -49,3 +49,21 @@ def with_text(rows: DataFrame, text: Column, docs: DataFrame) -> DataFrame:
 
 def col_in_doc(name: str) -> Column:
     return F.col("doc")[name]
+
+
+def row_key() -> Column:
+    """128 bits that stand for doc_id and text, never NULL; a null text counts as an empty one."""
+    return F.md5(
+        F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col("text"), F.lit("")))
+    )
+
+
+def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents whose ``row_key`` is among ``keys``, one row for each key, with all columns.
+
+    The one shuffle of whole rows serves both the join and the choice among repeated rows.
+    """
+    key, n = unused(docs, "_key"), unused(docs, "_n")
+    same = Window.partitionBy(key).orderBy(F.xxhash64(*[col(c) for c in docs.columns if c in ("doc_id", "text", "lang", "source")]))
+    kept = docs.withColumn(key, row_key()).join(keys.select(F.col("row_key").alias(key)), key)
+    return kept.withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1).select(*[col(c) for c in docs.columns])

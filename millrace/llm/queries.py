@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import mixing, slots, spm
+from millrace.llm import mixing, simhash, slots, spm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,6 +29,11 @@ def op1_sainte_lague_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@query
+def op8_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.report(table(spark, sf, "documents"))
+
+
 @query
 def op9_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
     return slots.shard_documents(table(spark, sf, "documents"))[0]
