@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import mixing, simhash, slots, spm
+from millrace.llm import langid, mixing, quality, simhash, slots, spm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,16 @@ def op9_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
     return slots.shard_documents(table(spark, sf, "documents"))[0]
 
 
+@query
+def op2_kernel_language(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.predict_documents(table(spark, sf, "documents"))
+
+
+@query
+def op4_byte_cnn_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return spm.encode_documents(table(spark, sf, "documents"), public_tokenizers.path(PIECES))
