@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import html, langid, mixing, quality, simhash, slots, spm
+from millrace.llm import html, langid, mixing, quality, simhash, sketch, slots, spm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op6_tag_path_text(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return spm.encode_documents(table(spark, sf, "documents"), public_tokenizers.path(PIECES))
+
+
+@query
+def op10_bottom_k_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    return sketch.fingerprint_documents(table(spark, sf, "documents"))
