@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import html, langid, mixing, quality, simhash, sketch, slots, spm
+from millrace.llm import ann, html, langid, mixing, quality, simhash, sketch, slots, spm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,6 +49,11 @@ def op4_byte_cnn_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op5_learned_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op6_tag_path_text(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract(table(spark, sf, "pages"))
