@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import ann, html, langid, mixing, quality, simhash, sketch, slots, spm
+from millrace.llm import ann, html, langid, mixing, quality, simhash, sketch, slots, spm, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op2_kernel_language(spark: SparkSession, sf: str) -> DataFrame:
     return langid.predict_documents(table(spark, sf, "documents"))
 
 
+@query
+def op3_fm_index_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.report(table(spark, sf, "documents"))
+
+
 @query
 def op4_byte_cnn_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
