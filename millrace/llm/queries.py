@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import ann, html, langid, mixing, quality, simhash, sketch, slots, spm, substring
+from millrace.llm import ann, html, langid, mixing, quality, simhash, sketch, slots, spm, sql, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_sainte_lague_mix": sql.mix(),
+    "op3_fm_index_dedup": sql.repeats(),
+    "op9_virtual_slots": sql.shards(),
+}
 PIECES = "piece_bpe_32k.model"
 
 
