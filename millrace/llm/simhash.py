@@ -25,7 +25,7 @@ SEED = 42
 FAN = 8  # entries under a node
 KEY_ROWS = 4096  # a key with more fingerprints is cut by further bits
 TASK_ROWS = 1 << 16
-FRONTIER = 1 << 20  # pairs of query and node looked at together
+FRONTIER = 1 << 17  # pairs of query and node looked at together
 
 
 def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -156,13 +156,11 @@ def links(codes: DataFrame, bits: int = BITS, key_rows: int = KEY_ROWS) -> DataF
     with more than ``key_rows`` codes is replaced by ``bits + 1`` keys with more bits, on
     which the same holds, until keys are small or nearly all bits are in the key.
     """
-    spark = codes.sparkSession
     masks = [0]
     waiting, ready = codes.select("code", F.lit(0).cast("long").alias("mask")), []
     while masks:
-        finer = [(_signed(m), _signed(c)) for m in masks for c in _cuts(m, bits + 1)]
-        cuts = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))  # a few masks
-        keyed = waiting.join(cuts, "mask").select("code", F.col("finer").alias("mask"))
+        finer = [x for m in masks for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(c)) for c in _cuts(m, bits + 1)]))]
+        keyed = waiting.select("code", F.explode(F.element_at(F.create_map(*finer), F.col("mask"))).alias("mask"))
         keyed = materialise(keyed.withColumn("value", F.col("code").bitwiseAND(F.col("mask"))), "keys")
         counted = keyed.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         busy = counted.filter(F.col("n") > key_rows).select("mask", "value", F.lit(True).alias("busy"))
