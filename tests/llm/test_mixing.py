@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import random
+from fractions import Fraction
+
+import pytest
+
+from millrace.llm import mixing
+from millrace.llm.common import words
+
+
+def naive(votes, seats, most):
+    got = [0] * len(votes)
+    for _ in range(min(seats, sum(m for v, m in zip(votes, most) if v > 0))):
+        i = max((i for i in range(len(votes)) if got[i] < most[i] and votes[i] > 0), key=lambda i: (Fraction(votes[i]) / (2 * got[i] + 1), -i))
+        got[i] += 1
+    return got
+
+
+def test_seats_go_to_the_highest_quotients():
+    rng = random.Random(2)
+    for _ in range(300):
+        n = rng.randrange(1, 9)
+        votes = [rng.choice([0, rng.randrange(1, 1000), 7]) for _ in range(n)]
+        most = [rng.randrange(0, 40) for _ in range(n)]
+        seats = rng.randrange(0, 90)
+        assert mixing.apportion(votes, seats, most) == naive(votes, seats, most)
+
+
+def test_targets_share_what_lies_above_the_bound():
+    got = mixing.targets({0: 10, 1: 100, 2: 0}, {0: 3, 1: 1, 2: 2}, 165.0)
+    assert got == {0: 20.0, 1: 145.0, 2: 0.0}
+    assert mixing.targets({}, {}, 0.0) == {}
+
+
+def check(rows, got):
+    size = {}
+    for _, text, _, source, _ in rows:
+        size[source] = size.get(source, 0) + len(words(text))
+    assert len(got) == len(rows)
+    taken, target = {}, {}
+    by_id = {}
+    for doc_id, text, _, source, _ in rows:
+        by_id.setdefault(doc_id, []).append((len(words(text)), size[source], source))
+    for r in got:
+        fits = [s for n, t, s in by_id[r.doc_id] if n == r.size and t == r.source_size]
+        assert fits and 0 <= r.taken <= 2 * r.size
+        taken[fits[0]] = taken.get(fits[0], 0) + r.taken
+        target[fits[0]] = r.target
+    for s in size:
+        assert abs(taken[s] - target[s]) <= mixing.BLOCK
+    assert abs(sum(target.values()) - 1.5 * sum(size.values())) < 1e-6
+
+
+def test_whole_rows(odd_rows, odd_docs, no_docs):
+    got = mixing.mix(odd_docs).collect()
+    check(odd_rows, got)
+    again = mixing.mix(odd_docs.repartition(7)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
+    assert mixing.mix(no_docs).count() == 0
+
+
+def test_a_source_of_many_shards(monkeypatch, odd_rows, odd_docs):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 500)
+    check(odd_rows, mixing.mix(odd_docs, block=16).collect())
+
+
+def test_documents_of_the_mix(odd_rows, odd_docs, no_docs):
+    mixed = mixing.mixed_documents(odd_docs)
+    assert mixed.columns == odd_docs.columns
+    got = mixed.collect()
+    want = sum(r.taken for r in mixing.mix(odd_docs).collect())
+    assert sum(len(words(r.text)) for r in got) == want
+    texts = {text for _, text, *_ in odd_rows}
+    assert any(r.text in texts for r in got)
+    assert all(r.n_chars in (len(r.text), 9) or r.text in texts for r in got)
+    assert mixing.mixed_documents(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("text", [None, ""])
+def test_sources_without_words(spark, text):
+    df = spark.createDataFrame([(1, text, "a"), (2, text, None)], "doc_id long, text string, source string")
+    assert [(r.size, r.target, r.taken) for r in mixing.mix(df).collect()] == [(0, 0.0, 0)] * 2
