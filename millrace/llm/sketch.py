@@ -40,7 +40,7 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
             F.array().cast("array<long>")
         )
 
-    # one step that names the hashes, so that they are computed once
+    # one more lambda names the hashes, so that they are computed once
     return F.flatten(F.transform(F.array(hashes), runs))
 
 
@@ -84,10 +84,14 @@ def distinct_shingles(a: Column, k: int = K) -> Column:
 
 
 def containment(a: Column, b: Column, k: int = K) -> Column:
-    """Share of the first set that is in the second: common over the first, by resemblance and sizes."""
-    r = resemblance(a, b, k)
-    sizes = distinct_shingles(a, k) + distinct_shingles(b, k)
-    return F.when(F.size(a) == 0, 1.0).otherwise(F.least(F.lit(1.0), r / (1 + r) * sizes / distinct_shingles(a, k)))
+    """Share of the first set that is in the second, among the hashes up to where both sketches are complete.
+
+    Rough where the first set is much smaller than the second: then few of its hashes lie so low.
+    """
+    top = F.lit(2**63 - 1)
+    upto = F.least(*[F.when(F.size(x) < k, top).otherwise(F.element_at(x, -1)) for x in (a, b)])
+    low = F.filter(a, lambda h: h <= upto)
+    return F.when(F.size(a) == 0, 1.0).when(F.size(low) == 0, 0.0).otherwise(F.size(F.array_intersect(low, b)) / F.size(low))
 
 
 def written(a: Column) -> Column:
