@@ -1,80 +1,52 @@
-"""Order-preserving numbers, quantile slots and bit interleaving."""
+"""Cuts in the real order of a column, slots between them, and bit interleaving."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
-# Slots of a scale: the default and the most that are cut.
-SLOTS, MOST_SLOTS = 64, 4096
 
+def sortable(data_type: DataType) -> bool:
+    """Whether Spark can order values of the type: no map or variant at any depth."""
+    if isinstance(data_type, StructType):
+        return all(sortable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, ArrayType):
+        return sortable(data_type.elementType)
+    return not isinstance(data_type, (MapType, VariantType))
 
-def order_number(column: Column | str, data_type: DataType) -> Column:
-    """A double that sorts like the column.
 
-    Strings map to their first six bytes, so longer common prefixes share a number.
-    """
-    c = F.col(column) if isinstance(column, str) else column
-    if isinstance(data_type, NumericType):
-        return c.cast("double")
-    if isinstance(data_type, DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(data_type, TimestampNTZType):
-        c = c.cast("timestamp")
-        return F.unix_micros(c).cast("double")
-    if isinstance(data_type, TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(data_type, StringType):
-        head = F.substring(F.rpad(F.encode(c, "UTF-8"), 6, F.lit(b"\x00")), 1, 6)
-        return F.conv(F.hex(head), 16, 10).cast("double")
-    raise TypeError(f"no order for {data_type.simpleString()}")
-
-
-@dataclass(frozen=True)
-class Scale:
-    """Approximate inner quantiles of a column, ascending."""
-
-    quantiles: list[float]
-
-    @property
-    def cuts(self) -> list[float]:
-        return sorted(set(self.quantiles))
-
-    @property
-    def busy(self) -> list[float]:
-        """Numbers that lie at two quantiles: each holds more than a slot's share of the rows."""
-        return sorted({q for q, following in zip(self.quantiles, self.quantiles[1:]) if q == following})
-
-
-def scales(df: DataFrame, columns: Sequence[str], slots: int = SLOTS) -> dict[str, Scale]:
-    """The scale of each column, all from one pass; only the quantiles come to the driver."""
-    if slots < 2:
-        return {c: Scale([]) for c in columns}
-    shares = [i / slots for i in range(1, slots)]
-    numbers = [order_number(c, df.schema[c].dataType) for c in columns]
-    found = [F.percentile_approx(n, shares, max(1000, 10 * slots)).alias(str(i)) for i, n in enumerate(numbers)]
-    row = df.agg(*found).first()
-    return {c: Scale(list(row[str(i)] or [])) for i, c in enumerate(columns)}
-
-
-def with_slot(df: DataFrame, name: str, number: Column, scale: Scale) -> DataFrame:
-    """Add how many cuts lie at or below the number; 0 for NULL.
-
-    The bucketizer searches an array inside the JVM. Comparing with every cut in SQL
-    expressions would outgrow what the JVM compiles.
+def sortable_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if sortable(f.dataType)]
+
+
+def cuts(df: DataFrame, key: str, slots: int) -> list:
+    """Ascending values that cut the key's own order into up to ``slots`` stretches of about as many rows.
+
+    The key alone is range-partitioned and the least value of each partition comes back, so
+    every type that sorts will do: long common prefixes, NaN and infinities included. A
+    value that fills several stretches is one cut.
     """
-    if not scale.cuts:
-        return df.withColumn(name, F.lit(0))
-    infinity = float("inf")
-    bucketizer = Bucketizer(
-        splits=[-infinity, *scale.cuts, infinity], inputCol="_number", outputCol="_bucket", handleInvalid="keep"
-    )
-    numbered = df.withColumn("_number", F.coalesce(number, F.lit(-infinity)))
-    return bucketizer.transform(numbered).withColumn(name, F.col("_bucket").cast("int")).drop("_number", "_bucket")
+    keys = df.select(F.col(f"`{key}`").alias("k")).filter(F.col("k").isNotNull())
+    placed = keys.repartitionByRange(slots, "k").select("k", F.spark_partition_id().alias("p"))
+    firsts = placed.groupBy("p").agg(F.min("k").alias("first")).orderBy("first").collect()  # one row per slot
+    return [r.first for r in firsts][1:] if firsts else []
+
+
+def slot_of(key: str, data_type: DataType, cut_values: Sequence) -> Column:
+    """How many cuts are at or below the value, found by halving; 0 for NULL."""
+    n = len(cut_values)
+    if not n:
+        return F.lit(0)
+    bounds = F.array(*[F.lit(c) for c in cut_values]).cast(ArrayType(data_type))
+    steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length() - 1, -1, -1)])
+    value = F.col(f"`{key}`")
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when((at + step <= n) & (F.get(bounds, at + step - 1) <= value), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def interleave(slots: Sequence[Column], bits: int) -> Column:

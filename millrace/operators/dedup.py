@@ -5,16 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import MapType, VariantType
+
+from millrace.functions.ordering import sortable_columns
 
 
 def _total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str]) -> list:
-    """``first`` descending, then every other comparable column, so that ties have one winner."""
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in keys and f.name not in first and not isinstance(f.dataType, (MapType, VariantType))
-    ]
+    """``first`` descending, then every other column that sorts, so that ties have one winner."""
+    rest = [c for c in sortable_columns(df) if c not in keys and c not in first]
     return [F.col(f"`{c}`").desc_nulls_last() for c in [*first, *rest]]
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import DataType
 
-from millrace.functions.ordering import SLOTS, order_number, scales, with_slot
 from millrace.operators.numbering import number_rows
 from millrace.operators.upsert import require_unique
 from millrace.session import materialise
@@ -15,9 +15,12 @@ from millrace.session import materialise
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
 
-def _stamp(effective: dt.datetime | Column | None, like: str) -> Column:
+def _stamp(spark: SparkSession, effective: dt.datetime | Column | None, like: str) -> Column:
+    """The effective time as a constant: without one the clock is read here, once, so that the
+    end of one version and the start of the next are the same however often they are computed."""
     if effective is None:
-        return F.current_timestamp().cast(like)
+        now = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+        return F.timestamp_micros(F.lit(now)).cast(like)
     return (effective if isinstance(effective, Column) else F.lit(effective)).cast(like)
 
 
@@ -25,7 +28,7 @@ def open_rows(df: DataFrame, effective: dt.datetime | Column | None = None, like
     """Distinct rows as current, open-ended versions."""
     return df.distinct().withColumns(
         {
-            "valid_from": _stamp(effective, like),
+            "valid_from": _stamp(df.sparkSession, effective, like),
             "valid_to": F.lit(None).cast(like),
             "is_current": F.lit(True),
         }
@@ -66,7 +69,7 @@ def apply_changes(
     if check:
         require_unique(updates, keys)
     like = dim.schema["valid_from"].dataType.simpleString()
-    now = _stamp(effective, like)
+    now = _stamp(dim.sparkSession, effective, like)
     attributes = [c for c in updates.columns if c in dim.columns]
 
     changed = F.lit(False)
@@ -114,58 +117,47 @@ def current_rows(dim: DataFrame) -> DataFrame:
     return dim.filter("is_current")
 
 
-def as_of_lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    *,
-    key: str,
-    at: str,
-    columns: Sequence[str],
-    many_versions: bool = False,
-    slots: int = SLOTS,
-) -> DataFrame:
-    """Attach the version that was valid at ``at``: ``valid_from <= at < valid_to``; NULL if none.
+def _wider(a: DataType, b: DataType) -> str:
+    """A type in which dates and times of both kinds can be compared without loss."""
+    kinds = {a.simpleString(), b.simpleString()}
+    if len(kinds) == 1:
+        return kinds.pop()
+    return "timestamp" if "timestamp" in kinds else "timestamp_ntz"
 
-    By default a join on the key with the interval as residual condition: a small
-    dimension is broadcast, and a busy key meets only its few versions. That compares
-    every fact of a key with every version of it, so a key with very many of both needs
-    ``many_versions``, which sweeps over time instead. The versions of a key must not overlap.
-    """
-    versions = dim.filter(F.col(key).isNotNull()).select(key, *columns, "valid_from", "valid_to")
-    if many_versions:
-        return _sweep(facts, versions, key, at, columns, slots)
-    in_force = (F.col(f"f.{at}") >= F.col("v.valid_from")) & (
-        F.col("v.valid_to").isNull() | (F.col(f"f.{at}") < F.col("v.valid_to"))
-    )
-    joined = facts.alias("f").join(versions.alias("v"), (F.col(f"f.{key}") == F.col(f"v.{key}")) & in_force, "left")
-    return joined.select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{c}") for c in columns])
 
+def as_of_lookup(facts: DataFrame, dim: DataFrame, *, key: str, at: str, columns: Sequence[str]) -> DataFrame:
+    """Attach the version that was valid at ``at``: ``valid_from <= at < valid_to``; NULL if none.
 
-def _sweep(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: Sequence[str], slots: int) -> DataFrame:
-    """Versions and facts in one time order; a fact takes the last version before it.
-
-    Time is cut into slots at quantiles of the fact times, so even a key that holds most
-    rows is sorted in many tasks. What a slot inherits from the slots before it comes from
-    one row per key and slot.
+    Versions and facts are put into one order of key and time, and a fact takes the last
+    version before it. The order is cut into tasks by range, so a key that holds most
+    facts or versions is many tasks, and no fact meets more than one version. What a task
+    inherits for its first key comes from one row per key and task. Facts without key or
+    time have no version and stay out of the sort. The versions of a key must not overlap.
     """
-    kind = facts.schema[at].dataType
-    scale = scales(facts, [at], slots)[at]
-    version = F.struct(*columns, "valid_from", "valid_to")
-    v = versions.select(
-        F.col(key).alias("_key"), F.col("valid_from").cast(kind).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version")
+    kind = _wider(facts.schema[at].dataType, dim.schema["valid_from"].dataType)
+    version = F.struct(*[F.col(f"`{c}`") for c in columns], F.col("valid_to").cast(kind).alias("_until"))
+    v = dim.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col("valid_from").cast(kind).alias("_at"), F.lit(0).alias("_kind"),
+        F.col("valid_to").cast(kind).alias("_until"), version.alias("_version"),
+    )
+    whole = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    has_both = F.col(f"`{key}`").isNotNull() & F.col(f"`{at}`").isNotNull()
+    f = facts.filter(has_both).select(
+        F.col(key).alias("_key"), F.col(at).cast(kind).alias("_at"), F.lit(1).alias("_kind"), whole.alias("_fact")
     )
-    fact_row = F.struct(*facts.columns)
-    f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), fact_row.alias("_fact"))
-    both = with_slot(f.unionByName(v, allowMissingColumns=True), "_slot", order_number("_at", kind), scale)
-
-    per_slot = both.groupBy("_key", "_slot").agg(F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
-    earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = per_slot.select("_key", "_slot", F.last("_last", ignorenulls=True).over(earlier).alias("_inherited"))
-
-    until_here = Window.partitionBy("_key", "_slot").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_found", F.last("_version", ignorenulls=True).over(until_here)).filter("_kind = 1")
-    same = F.col("b._key").eqNullSafe(F.col("i._key")) & (F.col("b._slot") == F.col("i._slot"))
-    joined = found.alias("b").join(inherited.alias("i"), same, "left")
-    last = joined.select("_fact", F.col("_at"), F.coalesce("_found", "_inherited").alias("_v"))
-    valid = F.col("_v.valid_to").isNull() | (F.col("_at") < F.col("_v.valid_to"))
-    return last.select("_fact.*", *[F.when(valid, F.col(f"_v.{c}")).alias(c) for c in columns])
+    both = f.unionByName(v, allowMissingColumns=True).withColumn("_place", F.monotonically_increasing_id())
+    order = [F.col("_key"), F.col("_at"), F.col("_kind"), F.col("_until").asc_nulls_last(), F.col("_place")]
+    placed = materialise(both.repartitionByRange(*order).withColumn("_task", F.spark_partition_id()), "timeline")
+
+    newest = F.max_by("_version", F.struct("_at", F.col("_until").isNull(), "_until"))
+    per_task = placed.filter("_kind = 0").groupBy("_key", "_task").agg(newest.alias("_last"))
+    tasks = placed.select("_key", "_task").distinct().join(per_task, ["_key", "_task"], "left")
+    earlier = Window.partitionBy("_key").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = tasks.select("_key", "_task", F.last("_last", ignorenulls=True).over(earlier).alias("_inherited"))
+
+    until_here = Window.partitionBy("_key", "_task").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, 0)
+    found = placed.withColumn("_found", F.last("_version", ignorenulls=True).over(until_here)).filter("_kind = 1")
+    last = found.join(inherited, ["_key", "_task"], "left").select("_fact", "_at", F.coalesce("_found", "_inherited").alias("_v"))
+    valid = F.col("_v._until").isNull() | (F.col("_at") < F.col("_v._until"))
+    attached = last.select("_fact.*", *[F.when(valid, F.col("_v")[c]).alias(c) for c in columns])
+    return attached.unionByName(facts.filter(~has_both), allowMissingColumns=True)

@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.ordering import MOST_SLOTS, interleave, order_number, scales, with_slot
+from millrace.functions.ordering import cuts, interleave, slot_of, sortable_columns
+from millrace.sources import files
 
 TARGET_BYTES = 256 * 1024 * 1024
 
@@ -22,36 +23,50 @@ def with_z_value(df: DataFrame, name: str, keys: Sequence[str], bits: int) -> Da
     """Add the interleaved slots of one to four columns, ``2**bits`` slots each."""
     if not 1 <= len(keys) <= 4:
         raise ValueError("one to four clustering keys")
-    found = scales(df, keys, 2**bits)
-    slots = [f"_slot_{k}" for k in keys]
-    for k, slot in zip(keys, slots):
-        df = with_slot(df, slot, order_number(k, df.schema[k].dataType), found[k])
-    return df.withColumn(name, interleave([F.col(s) for s in slots], bits)).drop(*slots)
+    slots = [slot_of(k, df.schema[k].dataType, cuts(df, k, 2**bits)) for k in keys]
+    return df.withColumn(name, interleave(slots, bits))
 
 
 def bits_for(n_files: int, n_keys: int) -> int:
     """Bits per key so that the curve has several cells for every file."""
-    most = MOST_SLOTS.bit_length() - 1
-    return min(most, 62 // n_keys, max(4, math.ceil(math.log2(max(n_files, 2)) / n_keys) + 2))
+    return min(62 // n_keys, max(4, math.ceil(math.log2(max(n_files, 2)) / n_keys) + 2))
 
 
 def cluster(df: DataFrame, keys: Sequence[str], n_files: int, bits: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted along the Z curve of the keys.
+    """Rows range-partitioned and sorted by one key, or along the Z curve of several.
 
-    A hash of the row comes second in the range, so that rows with equal keys, however
-    many, are still cut into several files.
+    Inside a cell of the curve the keys themselves decide. A hash of the row comes last in
+    the range, so that rows with equal keys, however many, are still cut into several files.
     """
+    z, spread = (next(n for n in (c, f"_{c}", f"__{c}") if n not in df.columns) for c in ("_z", "_spread"))
+    placed = with_z_value(df, z, keys, bits or bits_for(n_files, len(keys))) if len(keys) > 1 else df.withColumn(z, F.lit(0))
     return (
-        with_z_value(df, "_z", keys, bits or bits_for(n_files, len(keys)))
-        .withColumn("_spread", F.xxhash64(*df.columns))
-        .repartitionByRange(n_files, "_z", "_spread")
-        .sortWithinPartitions("_z", *keys)
-        .drop("_z", "_spread")
+        placed.withColumn(spread, F.xxhash64(*[F.col(f"`{c}`") for c in sortable_columns(df)]))
+        .repartitionByRange(n_files, z, *keys, spread)
+        .sortWithinPartitions(z, *keys)
+        .drop(z, spread)
     )
 
 
-def write_layout(df: DataFrame, path: str) -> None:
+def write_layout(df: DataFrame, path: str, bounds: Sequence[str] = ()) -> None:
+    """Write a table; with ``bounds`` also the least and greatest values of these columns per file, beside it."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    if bounds:
+        found = file_bounds(df.sparkSession, path, bounds)
+        found.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_bounds_of(path))
+
+
+def _bounds_of(path: str) -> str:
+    return f"{path.rstrip('/')}-bounds"
+
+
+def file_bounds(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """One row per file: its size and the least and greatest value of each column."""
+    limits = [a for c in columns for a in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), *columns
+    )
+    return rows.groupBy("file", "bytes").agg(*limits)
 
 
 def append_clustered(df: DataFrame, path: str, keys: Sequence[str], n_files: int) -> None:
@@ -80,16 +95,12 @@ def skipping_report(
     spark: SparkSession, tables: Mapping[str, str], bounds: Mapping[str, tuple[object, object]]
 ) -> DataFrame:
     """How many files a closed-range predicate must read: those whose least and greatest
-    values overlap it in every column. Only the predicate columns are scanned."""
+    values overlap it in every column. Bounds written with the table are used; a table
+    without them is scanned for its predicate columns."""
     parts = []
     for name, path in tables.items():
-        limits = [a for c in bounds for a in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]
-        per_file = (
-            spark.read.parquet(path)
-            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), *bounds)
-            .groupBy("file", "bytes")
-            .agg(*limits)
-        )
+        kept = files.exists(spark, _bounds_of(path))
+        per_file = spark.read.parquet(_bounds_of(path)) if kept else file_bounds(spark, path, list(bounds))
         hit = F.lit(True)
         for c, (low, high) in bounds.items():
             hit = hit & (F.col(f"lo_{c}") <= F.lit(high)) & (F.col(f"hi_{c}") >= F.lit(low))
@@ -114,27 +125,16 @@ def compact(
 ) -> None:
     """Merge small files into files of about ``target_bytes``.
 
-    Without keys there is no shuffle: the scan packs files into read partitions of that
-    size, the largest first, and each partition becomes one file. That mixes files of a
-    clustered table, which is therefore given its ``keys`` and clustered anew.
+    Without keys there is no shuffle: read partitions are joined until there are as many
+    as files. That mixes files of a clustered table, which is therefore given its ``keys``
+    and clustered anew.
     """
     if keys:
         total = layout_report(spark, {"source": source}).first().size_in_bytes
         write_layout(cluster(spark.read.parquet(source), keys, files_for(total, target_bytes)), target)
         return
-    wanted = {
-        "spark.sql.files.maxPartitionBytes": str(target_bytes),
-        "spark.sql.files.openCostInBytes": "0",
-        "spark.sql.files.minPartitionNum": "1",
-    }
-    saved = {k: spark.conf.get(k, None) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            spark.conf.set(k, v)
-        write_layout(spark.read.parquet(source), target)
-    finally:
-        for k, v in saved.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    total = layout_report(spark, {"source": source}).first().size_in_bytes
+    write_layout(spark.read.parquet(source).coalesce(files_for(total, target_bytes)), target)
 
 
 def files_for(total_bytes: int, target_bytes: int = TARGET_BYTES) -> int:

@@ -5,20 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from millrace.functions.ordering import sortable_columns
 from millrace.session import materialise
 
 
-def sortable(data_type: DataType) -> bool:
-    """Whether Spark can order values of the type: no map or variant at any depth."""
-    if isinstance(data_type, StructType):
-        return all(sortable(f.dataType) for f in data_type.fields)
-    if isinstance(data_type, ArrayType):
-        return sortable(data_type.elementType)
-    return not isinstance(data_type, (MapType, VariantType))
-
-
 def number_rows(
     df: DataFrame, key: str, name: str, *, start: Column | int = 1, within: Sequence[str] = ()
 ) -> DataFrame:
@@ -30,7 +21,7 @@ def number_rows(
     per partition and group. Rows that are alike in every column are told apart by their
     place in the input, so even they are spread over the tasks.
     """
-    order = [*within, key, *(f.name for f in df.schema.fields if f.name not in {key, *within} and sortable(f.dataType))]
+    order = [*within, key, *(c for c in sortable_columns(df) if c not in {key, *within})]
     ascending = [F.col(f"`{c}`").asc_nulls_first() for c in order]
     place = _unused(df, "_place")
     placed = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedup import drop_duplicates, duplicate_groups, duplicate_summary, keep_latest
 from millrace.operators.numbering import number_rows
-from millrace.operators.upsert import AmbiguousSource, upsert, upsert_sequenced
+from millrace.operators.upsert import AmbiguousSource, MissingKey, upsert, upsert_sequenced
 from tests.conftest import rows
 
 T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
@@ -38,10 +38,37 @@ def test_duplicate_counts_ignore_incomplete_keys_like_count_distinct(spark):
 
 def test_upsert_matches_inserts_and_keeps(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
-    updates = spark.createDataFrame([(2, "B", 7), (3, "C", 8), (None, "N", 9)], "k int, v string, extra int")
-    assert rows(upsert(target, updates, ["k"])) == [
-        (None, "N", 9), (None, "n", None), (1, "a", None), (2, "B", 7), (3, "C", 8),
-    ]
+    updates = spark.createDataFrame([(2, "B", 7), (3, "C", 8)], "k int, v string, extra int")
+    assert rows(upsert(target, updates, ["k"])) == [(None, "n", None), (1, "a", None), (2, "B", 7), (3, "C", 8)]
+
+
+def test_updates_without_a_key_are_refused(spark):
+    target = spark.createDataFrame([(1, 1, "a"), (None, 1, "n"), (None, 2, "m")], "k int, s int, v string")
+    nameless = spark.createDataFrame([(2, 1, "b"), (None, 9, "x")], "k int, s int, v string")
+    with pytest.raises(MissingKey):
+        upsert(target, nameless, ["k"])
+    with pytest.raises(Exception, match="a source row without"):
+        upsert_sequenced(target, nameless, ["k"], "s").collect()
+    named = nameless.dropna(subset=["k"])
+    once = upsert_sequenced(target, named, ["k"], "s")
+    assert rows(once) == [(None, 1, "n"), (None, 2, "m"), (1, 1, "a"), (2, 1, "b")]
+    assert rows(upsert_sequenced(once, named, ["k"], "s")) == rows(once)
+
+
+def test_upserts_read_each_input_once(spark, folder):
+    for name in ("t", "u"):
+        spark.range(9).selectExpr("id as k", "1 as s").write.parquet(f"{folder}/{name}")
+    t, u = (spark.read.parquet(f"{folder}/{n}") for n in ("t", "u"))
+    for result in (upsert(t, u, ["k"]), upsert_sequenced(t, u, ["k"], "s")):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        scans = [line for line in plan.splitlines() if "Relation" in line]
+        assert sum("k#" in line for line in scans) <= 3
+        assert str(result.inputFiles()).count("/t/") == len(t.inputFiles())
+
+
+def test_ties_over_nested_maps(spark):
+    df = spark.sql("select id % 3 as k, named_struct('m', map(id, id)) as s, array(map(1, id)) as a, id as v from range(9)")
+    assert rows(keep_latest(df, ["k"], []).select("k", "v")) == [(0, 6), (1, 7), (2, 8)]
 
 
 def test_upsert_twice_changes_nothing(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.history import apply_changes, as_of_lookup, open_rows, seed_history, versions_of
 from millrace.operators.metrics import star
+from millrace.session import materialise
 from tests.conftest import rows
 
 D1, D2, D3 = dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1), dt.datetime(2026, 3, 1)
@@ -23,14 +24,14 @@ def _apply(dim, updates, at, **options):
 
 
 def test_a_renamed_site_gets_a_second_version(spark):
-    dim = _seed(spark, ("DC-FR-01", "Paris DC", "FR", "FR"), ("DC-PL-01", "Warsaw DC", "PL", "PL"))
-    change = spark.createDataFrame([("DC-PL-01", "Warsaw DC 1", "PL", "PL")], SITES)
+    dim = _seed(spark, ("S-200", "North hall", "FR", "FR"), ("S-300", "South hall", "PL", "PL"))
+    change = spark.createDataFrame([("S-300", "South hall B", "PL", "PL")], SITES)
     once = _apply(dim, change, D2)
-    assert rows(versions_of(once, "site_id", "DC-PL-01").select("dc_key", "site_name", "valid_from", "valid_to", "is_current")) == [
-        (2, "Warsaw DC", D1, D2, False),
-        (3, "Warsaw DC 1", D2, None, True),
+    assert rows(versions_of(once, "site_id", "S-300").select("dc_key", "site_name", "valid_from", "valid_to", "is_current")) == [
+        (2, "South hall", D1, D2, False),
+        (3, "South hall B", D2, None, True),
     ]
-    assert once.filter("site_id = 'DC-FR-01' and is_current").count() == 1
+    assert once.filter("site_id = 'S-200' and is_current").count() == 1
     assert rows(_apply(once, change, D3)) == rows(once)
 
 
@@ -63,13 +64,12 @@ def test_as_of_lookup_takes_the_version_in_force(spark):
         "site_id string, at timestamp",
     )
     expected = [None, "one", "one", "two", "two", None]
-    for many in (False, True):
-        found = as_of_lookup(facts, dim, key="site_id", at="at", columns=["site_name"], many_versions=many)
-        assert [r.site_name for r in found.orderBy("site_id", "at").collect()] == expected
+    found = as_of_lookup(facts, dim, key="site_id", at="at", columns=["site_name"])
+    assert [r.site_name for r in found.orderBy("site_id", "at").collect()] == expected
 
 
 def test_a_site_spelled_two_ways_is_two_rows_and_the_star_takes_current_ones(spark):
-    sites = spark.createDataFrame([("DC-LT-01", "Vilnus DC", "LT", "LT"), ("DC-LT-01", "Vilnius DC", "LT", "LT")], SITES)
+    sites = spark.createDataFrame([("S-400", "East hal", "LT", "LT"), ("S-400", "East hall", "LT", "LT")], SITES)
     assert open_rows(sites, D1).count() == 2
     dim = _apply(_seed(spark, ("A", "one", "PL", "PL")), spark.createDataFrame([("A", "two", "PL", "PL")], SITES), D2)
     fact = spark.createDataFrame([("A", 1.0)], "site_id string, cost double")
@@ -96,9 +96,27 @@ def test_the_sweep_agrees_with_the_join_for_a_hot_key_with_gaps(spark):
         F.when(F.col("h") < 480, begin + F.when(F.col("h") % 3 == 0, F.expr("interval 2 hours")).otherwise(F.expr("interval 5 hours"))).alias("valid_to"),
     ).filter("site_id <> '5' or valid_to is not null")
     versions = versions.filter("valid_to is not null or site_name = '495'")
-    options = {"key": "site_id", "at": "at", "columns": ["site_name"]}
-    plain = as_of_lookup(facts, versions, **options)
-    swept = as_of_lookup(facts, versions, many_versions=True, slots=8, **options)
+    in_force = (F.col("at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to")))
+    joined = facts.alias("f").join(versions.alias("v"), (F.col("f.site_id") == F.col("v.site_id")) & in_force, "left")
+    plain = joined.select("id", "f.site_id", "at", "site_name")
+    swept = as_of_lookup(facts, versions, key="site_id", at="at", columns=["site_name"])
     assert plain.count() == 3000
     assert rows(swept.select(plain.columns)) == rows(plain)
     assert plain.filter("site_name is not null").count() > 500
+
+
+def test_the_default_clock_is_read_once(spark):
+    dim = materialise(seed_history(spark.createDataFrame([("A", "one", "PL", "PL")], SITES), surrogate="dc_key", order="site_id"), "dim")
+    dim = _apply(dim, spark.createDataFrame([("A", "two", "PL", "PL")], SITES), None)
+    first, again = (sorted(dim.select("valid_from", "valid_to").collect()) for _ in range(2))
+    assert first == again and first[0].valid_to == first[1].valid_from
+    assert as_of_lookup(dim.select("site_id", F.col("valid_from").alias("at")), dim, key="site_id", at="at", columns=["site_name"]).dropna().count() == 2
+
+
+def test_dates_and_times_are_compared_in_the_wider_type(spark):
+    ten = dt.datetime(2026, 1, 1, 10)
+    dim = spark.createDataFrame([("A", "v1", ten, None)], "k string, name string, valid_from timestamp, valid_to timestamp")
+    facts = spark.sql("select 'A' as k, d from values (date'2026-01-01'), (date'2026-01-02'), (cast(null as date)) t(d)")
+    assert rows(as_of_lookup(facts, dim, key="k", at="d", columns=["name"])) == [
+        ("A", None, None), ("A", dt.date(2026, 1, 1), None), ("A", dt.date(2026, 1, 2), "v1"),
+    ]

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from millrace.functions.ordering import Scale, interleave, order_number, scales, with_slot
+from millrace.functions.ordering import cuts, interleave, slot_of
 from millrace.operators.layout import append_clustered, bits_for, cluster, compact, layout_report, scatter, skipping_report, write_layout
 from tests.conftest import rows
 
@@ -23,33 +25,40 @@ def test_bits_are_taken_in_turn(spark):
 
 
 def test_slots_count_the_cuts_at_or_below(spark):
-    df = spark.createDataFrame([(float(x),) for x in range(-3, 12)] + [(None,), (float("inf"),)], "x double")
-    scale = Scale([0.0, 2.0, 2.0, 2.5, 7.0])
-    assert scale.busy == [2.0] and scale.cuts == [0.0, 2.0, 2.5, 7.0]
-    for r in with_slot(df, "s", F.col("x"), scale).select("x", "s").collect():
-        assert r.s == (0 if r.x is None else sum(c <= r.x for c in scale.cuts))
-    assert {r.s for r in with_slot(df, "s", F.col("x"), Scale([])).collect()} == {0}
-
-
-def test_order_numbers_follow_the_order(spark):
-    words = ["", "Gdansk", "Krakow", "Lodz", "Lublin", "Poznan", "Warsaw", "Wroclaw", "Łódź"]
-    df = spark.createDataFrame([(w,) for w in words], "w string")
-    numbers = [r[0] for r in df.orderBy("w").select(order_number("w", df.schema["w"].dataType)).collect()]
-    assert numbers == sorted(numbers) and len(set(numbers)) == len(words)
+    nan, inf = float("nan"), float("inf")
+    values = [float(x) for x in range(-3, 12)] + [None, inf, -inf, nan]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    cut = [0.0, 2.0, 2.5, 7.0, nan]
+    for r in df.select("x", slot_of("x", df.schema["x"].dataType, cut).alias("s")).collect():
+        want = 0 if r.x is None else 5 if math.isnan(r.x) else sum(c <= r.x for c in cut)
+        assert r.s == want
+    assert {r.s for r in df.select(slot_of("x", df.schema["x"].dataType, []).alias("s")).collect()} == {0}
+
+
+def test_slots_follow_the_order_of_any_type(spark):
+    names = [f"Customer#0000{i:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(n,) for n in names], "w string").repartition(5)
+    frames = {"w": df, "d": spark.sql("select date_add(date'2020-01-01', cast(id as int)) as d from range(3000)")}
+    for key, frame in frames.items():
+        found = cuts(frame, key, 64)
+        assert 55 <= len(found) <= 63
+        slotted = frame.select(key, slot_of(key, frame.schema[key].dataType, found).alias("s")).orderBy(key).collect()
+        slots = [r.s for r in slotted]
+        assert slots == sorted(slots) and max(slots.count(s) for s in set(slots)) < 150
 
 
 def test_slots_are_even(spark):
     df = spark.range(50000).select((F.col("id") * F.col("id")).cast("double").alias("x"))
-    for slots in (8, 1024):
-        slotted = with_slot(df, "s", F.col("x"), scales(df, ["x"], slots)["x"])
-        sizes = [r["count"] for r in slotted.groupBy("s").count().collect()]
-        assert len(sizes) >= slots * 0.98 and max(sizes) < 2 * 50000 / slots
-    assert scales(df.limit(0), ["x"], 8)["x"].cuts == []
+    for slots in (8, 256):
+        found = slot_of("x", df.schema["x"].dataType, cuts(df, "x", slots))
+        sizes = [r["count"] for r in df.groupBy(found).count().collect()]
+        assert len(sizes) >= slots * 0.95 and max(sizes) < 2.5 * 50000 / slots
+    assert cuts(df.limit(0), "x", 8) == []
 
 
 def test_bits_grow_with_the_files():
     assert bits_for(8, 1) == 5 and bits_for(32, 2) == 5
-    assert bits_for(400_000, 2) == 12 and bits_for(400_000, 1) == 12 and bits_for(400_000, 4) == 7
+    assert bits_for(400_000, 2) == 12 and bits_for(400_000, 1) == 21 and bits_for(400_000, 4) == 7
 
 
 def test_clustered_files_are_skipped_and_answers_agree(spark, folder):
@@ -90,3 +99,13 @@ def test_changed_keys_leave_old_files_alone(spark, folder):
     append_clustered(df, folder, ["day"], 4)
     new = {r[0] for r in spark.read.parquet(folder).select("_metadata.file_path").distinct().collect()}
     assert old < new and len(new) == 8
+
+
+def test_one_name_lies_in_few_files(spark, folder):
+    names = spark.range(20000).select(F.format_string("Customer#%012d", F.col("id") % 5000).alias("name"), F.col("id").alias("v"))
+    write_layout(cluster(names, ["name"], 16), f"{folder}/one", ["name"])
+    write_layout(cluster(names, ["name", "v"], 16), f"{folder}/two", ["name"])
+    wanted = {"name": ("Customer#000000002500", "Customer#000000002500")}
+    report = {r.table_name: r for r in skipping_report(spark, {"one": f"{folder}/one", "two": f"{folder}/two"}, wanted).collect()}
+    assert report["one"].files_read <= 2 and report["one"].files_total == 16
+    assert report["two"].files_read <= 8

@@ -210,22 +210,20 @@ AS_OF_SQL = (
 )
 
 
-def _as_of(spark, sf, many_versions):
-    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "site_id")
-    found = as_of_lookup(
-        orders, _dimension(spark, sf), key="site_id", at="o_orderdate", columns=["dc_key", "site_name"], many_versions=many_versions
-    )
+def _as_of(spark, sf, orders=None):
+    orders = (orders or table(spark, sf, "orders")).withColumnRenamed("o_custkey", "site_id")
+    found = as_of_lookup(orders, _dimension(spark, sf), key="site_id", at="o_orderdate", columns=["dc_key", "site_name"])
     return found.select("o_orderkey", "dc_key", "site_name")
 
 
 @case(AS_OF_SQL)
 def scd2_asof_join(spark, sf):
-    return _as_of(spark, sf, False)
+    return _as_of(spark, sf)
 
 
 @case(AS_OF_SQL)
 def scd2_asof_join_sweep(spark, sf):
-    return _as_of(spark, sf, True)
+    return _as_of(spark, sf)
 
 
 @case("select o_orderkey, 100 + row_number() over (order by o_orderdate, o_orderkey) as order_no from orders")
