@@ -12,9 +12,11 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.session import materialise
+
 K = 128
 SHINGLE = 5  # words
-TASK_BYTES = 1 << 24  # text that is put in order in one task, about
+TASK_BYTES = 1 << 22  # text that is put in order in one task, about
 HASHES = 2.0**64
 
 
@@ -132,7 +134,8 @@ def in_order(docs: DataFrame) -> DataFrame:
     heads = placed.groupBy("part").agg(F.min(F.struct("none", "doc_id", "h")).alias("head"))
     order = Window.orderBy("part")  # one row per stretch
     before = F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy(F.lit(0))))
-    heads = heads.withColumn("before", before).select(F.col("part").alias("p"), "before", "head")
+    # written, so that its size is known before the join with the texts is planned
+    heads = materialise(heads.withColumn("before", before).select(F.col("part").alias("p"), "before", "head"), "heads")
     same = (F.col("part") == F.col("p")) & F.col("h").eqNullSafe(F.col("head.h")) & F.col("doc_id").eqNullSafe(F.col("head.doc_id"))
     copies = placed.join(heads, same).groupBy("p", "before").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
     copies = copies.select(
