@@ -5,15 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.calendar import calendar
 from millrace.operators.dedup import keep_latest
 from millrace.operators.history import open_rows
 from millrace.operators.quality import check_table, expect_or_drop, expect_or_fail
 from millrace.operators.timejoin import hourly_fact
-from millrace.session import side_by_side
-from millrace.sources.snapshots import SnapshotTable
+from millrace.session import materialise, side_by_side
+from millrace.sources import files
+from millrace.sources.batches import BatchTable
+from millrace.sources.writers import overwrite
 from millrace.spec import Rule, TableSpec
 from millrace.streaming.cdc import apply_changes_stream, clean_stream
 
@@ -34,8 +36,7 @@ READING_FAIL = (
 GATE_RANGES = (Rule("out_of_range", "NOT (consumption_kwh < 0 OR pue < 1.0 OR pue > 2.0)", null_ok=True),)
 EXPECTED_ROWS_PER_DAY = 192
 
-SILVER_BUCKETS = 16
-
+# Columns, types and rules of the silver tables.
 PRICES = TableSpec(
     "prices",
     {
@@ -107,7 +108,7 @@ def datacenter_snapshot(readings: DataFrame, as_of: dt.datetime | None = None) -
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Folders of the layers. Readers of a table never see it half written."""
+    """Folders of the layers."""
 
     spark: SparkSession
     root: str
@@ -115,12 +116,18 @@ class Lakehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def readings(self) -> BatchTable:
+        """Silver readings as they came, whichever refresh wrote them; ``read`` gives the newest of each event."""
+        return BatchTable(self.spark, self.path("silver", "sensor_data"))
+
     def read(self, layer: str, name: str) -> DataFrame:
-        return SnapshotTable(self.spark, self.path(layer, name)).read()
+        if (layer, name) == ("silver", "sensor_data"):
+            return keep_latest(self.readings().read(), READINGS.keys, "ingestion_ts")
+        return self.spark.read.parquet(self.path(layer, name))
 
     def store(self, df: DataFrame, layer: str, name: str) -> DataFrame:
-        SnapshotTable(self.spark, self.path(layer, name)).replace(df)
-        return self.read(layer, name)
+        overwrite(df, self.path(layer, name))
+        return self.spark.read.schema(df.schema).parquet(self.path(layer, name))
 
 
 def full_refresh(
@@ -129,54 +136,139 @@ def full_refresh(
     """Rebuild silver and gold from bronze and return the fact.
 
     Every table is written once and read back, so no step is computed twice and a lost
-    executor never reaches back further than the last table. Rows are sorted by zone and
-    time inside each file, so filters on them skip row groups.
+    executor never reaches back further than the last table. The readings become the only
+    batch of their table, so incremental refreshes can go on from there.
     """
     silver = check_table_lazily(readings_silver(bronze_readings, as_of), READINGS)
-    silver = silver.sortWithinPartitions("bidding_zone", "timestamp_utc")
-    readings, prices = side_by_side(
-        lambda: house.store(silver, "silver", "sensor_data"), lambda: _store_prices(house, bronze_prices, as_of)
-    )
-    return _gold(house, prices, readings, as_of)
+
+    def store_readings() -> DataFrame:
+        house.readings().replace(silver.sortWithinPartitions("bidding_zone", "timestamp_utc"))
+        return house.readings().read()
+
+    prices = check_table_lazily(prices_silver(bronze_prices, as_of), PRICES)
+    readings, prices = side_by_side(store_readings, lambda: house.store(prices, "silver", "prices"))
+
+    def consumption() -> DataFrame:
+        _write_slices(house, hourly_fact(readings, prices), "static")
+        return _dates(house)
+
+    def sites() -> None:
+        house.store(house.store(datacenter_snapshot(readings, as_of), "silver", "datacenter"), "gold", "dim_datacenter")
+
+    return side_by_side(consumption, sites)[0]
 
 
 def incremental_refresh(
     house: Lakehouse, bronze_prices: DataFrame, bronze_readings: DataFrame, as_of: dt.datetime | None = None
 ) -> DataFrame:
-    """The same with the readings as a stream: only new ones are read, cleaned and applied to silver by event."""
+    """The same with the readings as a stream: only new ones are read, cleaned and added to silver.
+
+    The rules of the table hold here as in the full refresh. The fact is recomputed for the
+    zones and dates that new readings or changed prices touch; a second stream, over the
+    files of silver, remembers which readings it has already seen.
+    """
     cleaned = clean_stream(
         bronze_readings,
-        {"pue": "decimal(4,3)", "consumption_kwh": "decimal(10,4)", "avg_power_kw": "decimal(10,2)"},
-        drop=READING_DROP,
+        {"pue": "decimal(4,3)", "consumption_kwh": "decimal(10,4)"},
+        drop=[*READING_DROP, Rule("time_present", "timestamp_utc IS NOT NULL")],
         fail=READING_FAIL,
     )
-    silver = SnapshotTable(
-        house.spark,
-        house.path("silver", "sensor_data"),
-        keys=list(READINGS.keys),
-        buckets=SILVER_BUCKETS,
-        sequence="ingestion_ts",
+    silver = check_table_lazily(cleaned.withColumn("silver_processed_ts", _processed(as_of)), READINGS)
+    changed = _changed_prices(house, check_table_lazily(prices_silver(bronze_prices, as_of), PRICES))
+    apply_changes_stream(silver, house.readings(), checkpoint=house.path("state", "sensor_data"))
+    if not house.readings().exists():
+        house.readings().replace(house.spark.createDataFrame([], silver.schema))
+    if not files.exists(house.spark, house.path("gold", "consumption_hourly")):
+        _write_slices(house, hourly_fact(house.read("silver", "sensor_data").limit(0), house.read("silver", "prices")), "static")
+
+    def refresh(batch: DataFrame, number: int) -> None:
+        new = batch.select("event_id", "site_id", "site_name", "country", "bidding_zone")
+        rows = materialise(new, "new-readings")
+        _refresh_slices(house, _slices_of(house, rows.select("event_id")))
+        _add_sites(house, rows, as_of)
+
+    new_files = house.spark.readStream.schema(silver.schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    query = (
+        new_files.parquet(house.readings().path)
+        .writeStream.foreachBatch(refresh)
+        .option("checkpointLocation", house.path("state", "consumption_hourly"))
+        .trigger(availableNow=True)
+        .start()
     )
-    apply_changes_stream(cleaned, silver, checkpoint=house.path("state", "sensor_data"))
-    return _gold(house, _store_prices(house, bronze_prices, as_of), silver.read(), as_of)
+    query.awaitTermination()
+    if changed is not None:
+        _refresh_slices(house, changed)
+    return _dates(house)
 
 
-def _store_prices(house: Lakehouse, bronze_prices: DataFrame, as_of: dt.datetime | None) -> DataFrame:
-    return house.store(check_table_lazily(prices_silver(bronze_prices, as_of), PRICES), "silver", "prices")
+SLICE = ("bidding_zone", "date")
 
 
-def _gold(house: Lakehouse, prices: DataFrame, readings: DataFrame, as_of: dt.datetime | None) -> DataFrame:
-    def consumption() -> DataFrame:
-        fact = hourly_fact(readings, prices).sortWithinPartitions("bidding_zone", "date")
-        fact = house.store(fact, "gold", "consumption_hourly")
-        house.store(calendar(fact), "gold", "dim_date")
-        return fact
+def _day(ts: str) -> Column:
+    return F.to_date(ts).alias("date")
 
-    def sites() -> None:
-        house.store(datacenter_snapshot(readings, as_of), "silver", "datacenter")
-        house.store(house.read("silver", "datacenter"), "gold", "dim_datacenter")
 
-    return side_by_side(consumption, sites)[0]
+def _write_slices(house: Lakehouse, fact: DataFrame, mode: str) -> None:
+    """One folder per zone and date; in dynamic mode only those that the rows have are replaced."""
+    rows = fact.hint("rebalance", *[F.col(c) for c in SLICE])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*SLICE)
+    writer.parquet(house.path("gold", "consumption_hourly"))
+
+
+def _dates(house: Lakehouse) -> DataFrame:
+    fact = house.read("gold", "consumption_hourly")
+    fact = fact.select("site_id", "bidding_zone", F.col("date").cast("date").alias("date"), *[c for c in fact.columns if c not in ("site_id", *SLICE)])
+    house.store(calendar(fact), "gold", "dim_date")
+    return fact
+
+
+def _changed_prices(house: Lakehouse, prices: DataFrame) -> DataFrame | None:
+    """Store the new prices; the zones and dates in which they differ from the stored ones, None before any."""
+    key = ["bidding_zone", "timestamp_utc", "price"]
+    before = None
+    if files.exists(house.spark, house.path("silver", "prices")):
+        before = materialise(house.read("silver", "prices").select(*key), "prices-before")
+    after = house.store(prices, "silver", "prices").select(*key)
+    if before is None:
+        return None
+    differ = before.exceptAll(after).unionByName(after.exceptAll(before))
+    return materialise(differ.select("bidding_zone", _day("timestamp_utc")).distinct(), "price-slices")
+
+
+def _slices_of(house: Lakehouse, events: DataFrame) -> DataFrame:
+    """Zones and dates that any version of these events lies in."""
+    versions = house.readings().read().join(events.distinct(), "event_id", "left_semi")
+    return materialise(versions.select("bidding_zone", _day("timestamp_utc")).distinct(), "slices")
+
+
+def _refresh_slices(house: Lakehouse, slices: DataFrame) -> None:
+    """Recompute the fact of these zones and dates.
+
+    An event counts where its newest version lies, so the events that ever lay in the slices
+    are settled first.
+    """
+    everything = house.readings().read().withColumn("date", F.to_date("timestamp_utc"))
+    events = everything.join(slices, list(SLICE), "left_semi").select("event_id").distinct()
+    latest = keep_latest(everything.join(events, "event_id", "left_semi"), READINGS.keys, "ingestion_ts")
+    readings = latest.join(slices, list(SLICE), "left_semi").drop("date")
+    prices = house.read("silver", "prices").withColumn("date", F.to_date("timestamp_utc"))
+    prices = prices.join(slices, list(SLICE), "left_semi").drop("date")
+    fact = materialise(hourly_fact(readings, prices), "fact-slices")
+    _write_slices(house, fact, "dynamic")
+    # slices that lost their last reading
+    for zone, date in slices.join(fact.select(*SLICE), list(SLICE), "left_anti").collect():
+        files.delete(house.spark, f"{house.path('gold', 'consumption_hourly')}/bidding_zone={zone}/date={date}")
+
+
+def _add_sites(house: Lakehouse, rows: DataFrame, as_of: dt.datetime | None) -> None:
+    """New sites join the dimension; known ones keep their rows."""
+    found = datacenter_snapshot(rows, as_of)
+    if files.exists(house.spark, house.path("silver", "datacenter")):
+        known = materialise(house.read("silver", "datacenter"), "sites-before")
+        key = ["site_id", "site_name", "country", "bidding_zone"]
+        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in key]
+        found = known.unionByName(found.alias("n").join(known.alias("k"), same, "left_anti"))
+    house.store(house.store(found, "silver", "datacenter"), "gold", "dim_datacenter")
 
 
 def check_table_lazily(df: DataFrame, spec: TableSpec) -> DataFrame:

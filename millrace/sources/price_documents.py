@@ -31,12 +31,12 @@ def price_points(df: DataFrame, document: str, keep: list[str] | None = None) ->
     """Explode TimeSeries, Period and Point of each document.
 
     A point lies ``position - 1`` steps after the start of its period; a step is 15
-    minutes for ``PT15M``, otherwise an hour. Absent positions stay absent. Documents
-    of another kind, such as acknowledgements, give no rows.
+    minutes for ``PT15M``, otherwise an hour. Absent positions stay absent. Any namespace
+    prefix will do. Documents of another kind, such as acknowledgements, give no rows.
     """
     keep = keep or []
     parsed = df.filter(root_tag(document) == PUBLICATION).select(
-        *keep, F.from_xml(document, DOCUMENT_SCHEMA).alias("doc")
+        *keep, F.from_xml(document, DOCUMENT_SCHEMA, {"ignoreNamespace": "true"}).alias("doc")
     )
     series = parsed.select(*keep, F.explode("doc.TimeSeries").alias("s"))
     periods = series.select(

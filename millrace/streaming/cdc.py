@@ -1,4 +1,4 @@
-"""Change capture into a keyed table, and the cleaning step before it."""
+"""Change capture into a table of batches, and the cleaning step before it."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from millrace.operators.dedup import keep_latest
 from millrace.operators.quality import expect_or_drop, expect_or_fail
-from millrace.sources.snapshots import SnapshotTable, stream_id
+from millrace.sources.batches import BatchTable, run_of
 from millrace.spec import Rule
 
 
@@ -18,30 +19,18 @@ def clean_stream(df: DataFrame, casts: Mapping[str, str], drop: Sequence[Rule],
 
 
 def apply_changes_stream(
-    changes: DataFrame,
-    table: SnapshotTable,
-    *,
-    checkpoint: str,
-    trigger: Mapping[str, object] | None = None,
-    compact_share: float = 0.25,
+    changes: DataFrame, table: BatchTable, *, checkpoint: str, trigger: Mapping[str, object] | None = None
 ) -> None:
-    """Keep the row with the highest sequence per key of the table.
+    """Add every change to the table, exactly once.
 
-    A batch is appended, not merged into the whole table; a bucket is rewritten once its
-    appended rows are worth it. Late rows need no watermark: an older sequence never
-    replaces a newer one. A batch that is replayed after a crash is recognised by its
-    number.
+    A batch is written and nothing is rewritten, whatever the size of the table. Late rows
+    need no watermark: ``current`` lets the highest sequence of a key win, in whatever
+    order the changes came.
     """
-    if not table.sequence:
-        raise ValueError("the table needs a sequence")
+    run = run_of(table.spark, checkpoint)
 
-    stream = stream_id(table.spark, checkpoint)
-
-    def add(batch: DataFrame, batch_id: int) -> None:
-        if table.seen(stream, batch_id):
-            return
-        table.append(batch, batch=(stream, batch_id))
-        table.compact(share=compact_share)
+    def add(batch: DataFrame, number: int) -> None:
+        table.write(batch, run, number)
 
     query = (
         changes.writeStream.foreachBatch(add)
@@ -50,3 +39,15 @@ def apply_changes_stream(
         .start()
     )
     query.awaitTermination()
+
+
+def current(table: BatchTable, keys: Sequence[str], sequence: str) -> DataFrame:
+    """The newest row of every key."""
+    return keep_latest(table.read(), keys, sequence)
+
+
+def settle(table: BatchTable, target: str, keys: Sequence[str], sequence: str) -> DataFrame:
+    """Write the current rows to a fresh folder, for readers that come often."""
+    rows = current(table, keys, sequence)
+    rows.write.mode("errorifexists").parquet(target)
+    return table.spark.read.schema(rows.schema).parquet(target)

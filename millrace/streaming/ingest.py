@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from millrace.sources import files
+from millrace.sources.batches import BatchTable, run_of
 from millrace.sources.readers import with_audit
-from millrace.sources.snapshots import SnapshotTable, stream_id
 from millrace.streaming.rescue import parse_with_rescue, unseen_fields
 
 
@@ -44,7 +44,7 @@ class SchemaMemory:
 def ingest_json(
     spark: SparkSession,
     landing: str,
-    table: SnapshotTable,
+    table: BatchTable,
     state: str,
     *,
     hints: StructType | None = None,
@@ -55,16 +55,16 @@ def ingest_json(
 ) -> None:
     """Drain new JSON-lines files into the table, exactly once.
 
-    The checkpoint remembers the files; the table remembers the last batch, so a batch
-    that is replayed after a crash is not added twice. Without its checkpoint a table gets
-    every file again: drop both together, as ``safe_reload`` does. ``hints`` fixes the types of known
-    fields from the start.
+    The checkpoint remembers the files; a batch that is replayed after a crash overwrites
+    what it wrote before. Without its checkpoint a table gets every file again: drop both
+    together, as ``safe_reload`` does. ``hints`` fixes the types of known fields from the
+    start; an object that is used as a map, with ids as keys, is to be declared as a map
+    there, so that its keys never become columns.
 
-    A batch is written under the remembered schema and looked at before it is published:
-    unknown fields end up in its rescued data, so the common case costs no extra pass.
-    If there are any, the schema is widened and stored; with "add" the batch is written
-    again, with "stop" the run fails with the batch unpublished, and the next run takes it.
-    Many small batches are compacted on the way.
+    A batch is written under the remembered schema and then looked at: unknown fields end
+    up in its rescued data, so the common case costs no extra pass. If there are any, the
+    schema is widened and stored; with "add" the batch is written again, with "stop" it is
+    taken back and the run fails, and the next run takes it with the new fields.
     """
     if on_new_fields not in ("add", "stop"):
         raise ValueError(f"on_new_fields is {on_new_fields}")
@@ -72,24 +72,20 @@ def ingest_json(
     if hints is not None and not memory.load().fields:
         memory.save(hints)
     checkpoint = f"{state}/checkpoint"
-    stream = stream_id(spark, checkpoint)
+    run = run_of(spark, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if table.seen(stream, batch_id):
-            return
+    def write(batch: DataFrame, number: int) -> None:
         schema = memory.load()
         while True:
-            rows = with_audit(parse_with_rescue(batch, "value", schema), as_of)
-            staged = table.stage(rows, merge_schema=True)
-            extra = unseen_fields(table.staged_rows(staged), schema)
+            written = table.write(with_audit(parse_with_rescue(batch, "value", schema), as_of), run, number)
+            extra = unseen_fields(written, schema)
             if not extra.fields:
-                break
+                return
             schema = StructType(schema.fields + extra.fields)
             memory.save(schema)
             if on_new_fields == "stop":
+                table.remove(run, number)
                 raise SchemaChanged(f"new fields {extra.names}")
-        table.publish(staged, batch=(stream, batch_id))
-        table.compact()
 
     lines = (
         spark.readStream.format("text")

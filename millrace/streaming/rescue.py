@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructType
+from pyspark.sql.types import StructType
 
 RESCUED = "_rescued_data"
 
@@ -43,24 +43,22 @@ def parse_with_rescue(df: DataFrame, text: str, schema: StructType, rescued: str
 def unseen_fields(rescued: DataFrame, schema: StructType, column: str = RESCUED) -> StructType:
     """Fields in the rescued JSON that the schema does not have, with the narrowest type that fits all values.
 
-    Only rows with rescued data are looked at, usually a few. One row per unseen field
-    name comes back to the driver.
+    Only rows with rescued data are looked at, usually a few. Types are merged in Spark;
+    one row comes back, with the fields that become columns.
     """
     known = F.array(*[F.lit(n) for n in [*schema.names, "_line"]])
     kept = rescued.filter(F.col(column).isNotNull())
     entries = kept.select(F.explode(F.from_json(column, "map<string,string>")).alias("name", "value"))
-    fits = (
-        entries.filter(~F.array_contains(known, F.col("name")))
-        .groupBy("name")
-        .agg(
-            F.every(F.col("value").isin("true", "false")).alias("boolean"),
-            F.every(F.col("value").try_cast("bigint").isNotNull()).alias("long"),
-            F.every(F.col("value").try_cast("double").isNotNull()).alias("double"),
-        )
+    value = F.col("value")
+    kind = (
+        F.when(F.every(value.isin("true", "false")), "boolean")
+        .when(F.every(value.try_cast("bigint").isNotNull()), "long")
+        .when(F.every(value.try_cast("double").isNotNull()), "double")
+        .otherwise("string")
     )
-    kinds = {"boolean": BooleanType(), "long": LongType(), "double": DoubleType()}
+    fits = entries.filter(~F.array_contains(known, F.col("name"))).groupBy("name").agg(kind.alias("kind"))
+    merged = fits.agg(F.array_sort(F.collect_list(F.struct("name", "kind"))).alias("fields")).first()
     found = StructType()
-    for row in fits.orderBy("name").collect():
-        fitting = [t for kind, t in kinds.items() if row[kind]]
-        found = found.add(row["name"], (fitting or [StringType()])[0])
+    for field in merged.fields or []:
+        found = found.add(field.name, field.kind)
     return found

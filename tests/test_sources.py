@@ -1,16 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 
 from millrace.operators.schema import SchemaMismatch
 from millrace.sources import files
+from millrace.sources.batches import BatchTable
 from millrace.sources.messages import READING_SCHEMA, message_stream, parse_messages
 from millrace.sources.price_documents import price_points, root_tag
 from millrace.sources.readers import read_csv, read_json, read_table, stream_table, with_audit, with_provenance
-from millrace.sources.snapshots import SnapshotTable
-from millrace.sources.writers import clone, drop_table, export_json, land_partitions, overwrite, seed_once, stream_to_files, truncate
+from millrace.sources.writers import append, clone, drop_table, export_json, land_partitions, overwrite, seed_once, stream_to_files, truncate
 from tests.conftest import rows
 
 PUBLICATION = """<?xml version="1.0" encoding="UTF-8"?>
@@ -49,6 +50,13 @@ def test_price_points(spark):
     ]
 
 
+def test_price_points_with_a_prefix(spark):
+    prefixed = re.sub(r"<(/?)(?=[A-Zmcpterds])", r"<\1p:", PUBLICATION).replace("xmlns=", "xmlns:p=")
+    assert "<p:Point>" in prefixed
+    plain, other = (price_points(spark.createDataFrame([(t,)], "body string"), "body") for t in (PUBLICATION, prefixed))
+    assert rows(plain) == rows(other) and plain.count() == 4
+
+
 def test_messages(spark, folder):
     body = '{"event_id": "e1", "schema_version": 1, "site_id": "DC-PL-01", "consumption_kwh": 12.5, "pue": "x"}'
     envelopes = spark.createDataFrame(
@@ -88,65 +96,29 @@ def test_seed_clone_truncate(spark, folder):
     assert seed_once(df, f"{folder}/t")
 
 
-def test_snapshot_table_is_rewritten_from_itself(spark, folder):
-    table = SnapshotTable(spark, folder, keys=["k"], buckets=4)
-    table.replace(spark.range(100).selectExpr("id as k", "id * 2 as v"))
-    before = table.read()
-    table.replace(table.read().selectExpr("k", "v + 1 as v").filter("k < 50"))
-    assert table.read().count() == 50
-    assert before.count() == 100
-    table.merge(spark.createDataFrame([(3, -1), (1000, -2)], "k bigint, v bigint"))
-    assert table.read().count() == 51
-    assert rows(table.read().filter("v < 0")) == [(1000, -2), (3, -1)]
-
-
-def test_a_merge_rewrites_only_touched_buckets(spark, folder):
-    table = SnapshotTable(spark, folder, keys=["k"], buckets=8)
-    table.replace(spark.range(1000).selectExpr("id as k", "id as v"))
-    first = table.commit().folders
-    table.merge(spark.createDataFrame([(3, -1)], "k bigint, v bigint"))
-    assert sum(first[b] != parts for b, parts in table.commit().folders.items()) == 1
-
-
-def test_sequence_table_appends_settles_and_compacts(spark, folder):
-    table = SnapshotTable(spark, folder, keys=["k"], buckets=2, sequence="seq")
-    schema = "k int, seq int, v string"
-    table.append(spark.createDataFrame([(k, 1, "a") for k in range(20)] + [(0, 3, "c"), (0, 2, "b")], schema))
-    table.append(spark.createDataFrame([(0, 2, "late"), (1, 2, "new")], schema))
-    expected = rows(spark.createDataFrame([(0, 3, "c"), (1, 2, "new")] + [(k, 1, "a") for k in range(2, 20)], schema))
-    assert rows(table.read()) == expected
-    assert table.compact(share=1e9) == 0
-    assert table.compact(share=0.0) >= 1
-    assert all(len(parts) == 1 for parts in table.commit().folders.values())
-    assert rows(table.read()) == expected
-
-
-def test_small_appends_are_compacted_and_large_ones_left(spark, folder):
-    table = SnapshotTable(spark, folder)
-    table.append(spark.range(50000).toDF("id"))
-    for i in range(4):
-        table.append(spark.range(i, i + 1).toDF("id"))
-    limit = table.commit().folders["0"][0].bytes
-    assert table.compact(small_bytes=limit, at_least=5) == 0
-    assert table.compact(small_bytes=limit, at_least=4) == 1
-    parts = table.commit().folders["0"]
-    assert len(parts) == 2 and parts[0].bytes == limit
-    assert table.read().count() == 50004
-
-
-def test_staged_rows_stay_hidden_and_late_commits_lose(spark, folder):
-    table = SnapshotTable(spark, folder)
-    table.append(spark.range(3).toDF("id"))
-    staged = table.stage(spark.range(2).toDF("id"))
-    assert table.staged_rows(staged).count() == 2 and table.read().count() == 3
-    table.append(spark.range(1).toDF("id"))
-    with pytest.raises(Exception, match="exist"):
-        table.publish(staged)
-    assert table.read().count() == 4
+def test_batches_are_overwritten_by_their_replay(spark, folder):
+    table = BatchTable(spark, folder)
+    assert not table.exists()
+    first = spark.createDataFrame([(1, "a")], "k int, v string")
+    table.write(first, "r", 0)
+    assert rows(table.write(first, "r", 0)) == [(1, "a")]
+    table.write(spark.createDataFrame([(2, 7)], "k int, extra int"), "r", 1)
+    table.write(first, "other", 0)
+    assert table.exists() and rows(table.read().select("k", "v", "extra")) == [(1, "a", None), (1, "a", None), (2, None, 7)]
+    table.remove("r", 1)
+    assert table.read().count() == 2
+    table.replace(spark.createDataFrame([(5, "z")], "k int, v string"))
+    assert rows(table.read()) == [(5, "z")]
+
+
+def test_appends_of_other_columns_are_refused_or_merged(spark, folder):
+    overwrite(spark.createDataFrame([(1, "a")], "k int, v string"), f"{folder}/t")
+    wider = spark.createDataFrame([(2, "b", 3)], "k int, v string, extra int")
     with pytest.raises(SchemaMismatch):
-        table.append(spark.createDataFrame([(1, "x")], "id bigint, extra string"))
-    table.append(spark.createDataFrame([(9, "x")], "id bigint, extra string"), merge_schema=True)
-    assert table.read().filter("extra is null").count() == 4
+        append(wider, f"{folder}/t")
+    append(wider, f"{folder}/t", merge_schema=True)
+    merged = spark.read.option("mergeSchema", True).parquet(f"{folder}/t")
+    assert rows(merged.select("k", "v", "extra")) == [(1, "a", None), (2, "b", 3)]
 
 
 def test_small_files(spark, folder):
@@ -178,25 +150,3 @@ def test_values_json_and_drop(spark, folder):
     values.createOrReplaceTempView("inline_values")
     assert read_table(spark, "inline_values").count() == 2
     drop_table(spark, "never_there")
-
-
-def test_changed_clustering_keys_apply_to_new_rows_until_a_full_rewrite(spark, folder):
-    table = SnapshotTable(spark, folder)
-    rows_of = ("(id * 7919) % 1000 as restaurant", "(id * 104729) % 1000 as customer")
-    table.append(spark.range(20000).selectExpr(*rows_of))
-    with pytest.raises(ValueError):
-        table.optimize()
-    table.cluster_by("restaurant")
-    first_bytes = table.commit().folders["0"][0].bytes
-    assert table.optimize(target_bytes=first_bytes // 8) == 1 and table.optimize() == 0
-    clustered = table.commit().folders["0"][0]
-    ranges = table.read().groupBy("_metadata.file_path").agg({"restaurant": "max", "*": "count"}).count()
-    assert ranges >= 6
-    table.append(spark.range(20000, 20100).selectExpr(*rows_of))
-    table.cluster_by("customer")
-    assert table.optimize() == 1
-    parts = table.commit().folders["0"]
-    assert clustered in parts and [p.clustered for p in parts] == [["restaurant"], ["customer"]]
-    assert table.optimize(full=True) == 1
-    assert [p.clustered for p in table.commit().folders["0"]] == [["customer"], ["customer"]]
-    assert table.read().count() == 20100

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType
 
 from millrace.operators.quality import gate_report, require_gate
-from millrace.session import fresh_folder
+from millrace.session import fresh_folder, materialise
+from millrace.sources.batches import BatchTable
 from millrace.sources.messages import message_stream, parse_messages
 from millrace.sources.price_documents import price_points
 from millrace.sources.readers import read_csv, stream_files, stream_table, with_audit, with_provenance
-from millrace.sources.snapshots import SnapshotTable
 from millrace.sources.writers import land_partitions, stream_to_files
 from millrace.spec import Rule
-from millrace.streaming.cdc import apply_changes_stream, clean_stream
-from millrace.streaming.ingest import ingest_json, ingestion_audit
+from millrace.streaming.cdc import apply_changes_stream, clean_stream, current
+from millrace.streaming.ingest import SchemaChanged, ingest_json, ingestion_audit
 from millrace.streaming.reload import current_generation, safe_reload
 from millrace.streaming.rescue import parse_with_rescue
 from workload.inputs import table
@@ -127,7 +128,7 @@ def json_rescue(spark, sf):
 def file_stream_ingest(spark, sf):
     """JSON files to bronze; the second run finds nothing new."""
     landing = _land(spark, sf, "landing", *EVENT_HINTS.names)
-    bronze = SnapshotTable(spark, fresh_folder(spark, "bronze"))
+    bronze = BatchTable(spark, fresh_folder(spark, "bronze"))
     state = fresh_folder(spark, "state")
     for _ in range(2):
         ingest_json(spark, landing, bronze, state, hints=EVENT_HINTS, files_per_trigger=FILES_PER_TRIGGER)
@@ -141,7 +142,7 @@ def file_stream_ingest(spark, sf):
 def stream_schema_evolution(spark, sf):
     """From mid month on the files carry two more fields; earlier rows hold NULL there."""
     landing, bronze, state = (fresh_folder(spark, n) for n in ("landing", "bronze", "state"))
-    store = SnapshotTable(spark, bronze)
+    store = BatchTable(spark, bronze)
     events = _event_text(spark, sf)
     early = events.filter("day < date'2024-01-16'").select("event_id", "value", "day")
     late = events.filter("day >= date'2024-01-16'").select("event_id", "value", "user_id", "event_type", "day")
@@ -151,16 +152,38 @@ def stream_schema_evolution(spark, sf):
     return store.read().select("event_id", "value", "user_id", "event_type")
 
 
+@case(
+    """select 'first run' as run, true::varchar as stopped, cast(0 as bigint) as n_rows union all
+    select 'second run', false::varchar, count(*) from events where value is not null"""
+)
+def stream_schema_stop(spark, sf):
+    """Files with a field the schema does not have: the first run stops with nothing added, the second takes them."""
+    landing, store, state = _land(spark, sf, "landing", *EVENT_HINTS.names), BatchTable(spark, fresh_folder(spark, "bronze")), fresh_folder(spark, "state")
+    hints = StructType([f for f in EVENT_HINTS.fields if f.name != "value"])
+    out = None
+    for name in ("first run", "second run"):
+        try:
+            ingest_json(spark, landing, store, state, hints=hints, on_new_fields="stop", files_per_trigger=FILES_PER_TRIGGER)
+            stopped = False
+        except StreamingQueryException as error:
+            stopped = SchemaChanged.__name__ in str(error)
+        rows = store.read().filter("value is not null") if store.exists() else spark.range(0)
+        row = rows.agg(F.lit(name).alias("run"), F.lit(stopped).alias("stopped"), F.count(F.lit(1)).alias("n_rows"))
+        row = materialise(row, "run")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @case("select count(*) as rows_before, count(*) as rows_after, count(distinct event_id) as unique_events from events")
 def safe_full_reload(spark, sf):
     landing, root = _land(spark, sf, "landing", *EVENT_HINTS.names), fresh_folder(spark, "bronze")
 
     def ingest(generation):
-        store = SnapshotTable(spark, generation.table)
+        store = BatchTable(spark, generation.table)
         ingest_json(spark, landing, store, generation.state, hints=EVENT_HINTS, files_per_trigger=FILES_PER_TRIGGER)
 
     def read(generation):
-        return SnapshotTable(spark, generation.table).read()
+        return BatchTable(spark, generation.table).read()
 
     ingest(current_generation(spark, root))
     before, after = safe_reload(spark, root, ingest, read)
@@ -216,32 +239,42 @@ def stream_cdc_apply(spark, sf):
         drop=[Rule("no_signup", "event_type <> 'signup'"), Rule("key_present", "user_id IS NOT NULL"), Rule("some", "value > 0")],
         fail=[Rule("value_positive", "value >= 0")],
     )
-    store = SnapshotTable(spark, target, keys=["user_id"], buckets=4, sequence="ts")
+    store = BatchTable(spark, target)
     apply_changes_stream(cleaned, store, checkpoint=checkpoint)
-    return store.read()
+    return current(store, ["user_id"], "ts")
 
 
 def _documents(spark, sf):
     """One market document per order, by status: quarter hours, hours, or an acknowledgement without prices.
 
-    A document has four points; the third is left out for urgent orders.
+    A document has four points; the third is left out for urgent orders. Those of high
+    priority have a namespace prefix.
     """
     start = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm'Z'")
     price = F.col("o_totalprice").cast("decimal(12,2)")
 
-    def point(position):
-        body = F.concat(
-            F.lit(f"<Point><position>{position}</position><price.amount>"), price + position, F.lit("</price.amount></Point>")
-        )
-        return F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(body) if position == 3 else body
-
     resolution = F.when(F.col("o_orderstatus") == "O", "PT15M").otherwise("PT60M")
-    publication = F.concat(
-        F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<Publication_MarketDocument xmlns="urn:market:publication"><TimeSeries>'),
-        F.lit("<currency_Unit.name>EUR</currency_Unit.name><price_Measure_Unit.name>MWH</price_Measure_Unit.name>"),
-        F.lit("<Period><timeInterval><start>"), start, F.lit("</start></timeInterval><resolution>"), resolution,
-        F.lit("</resolution>"), *[point(i) for i in (1, 2, 3, 4)], F.lit("</Period></TimeSeries></Publication_MarketDocument>"),
-    )
+
+    def document(p, name):
+        """With a namespace prefix for every element, or none."""
+
+        def point(position):
+            body = F.concat(
+                F.lit(f"<{p}Point><{p}position>{position}</{p}position><{p}price.amount>"),
+                price + position,
+                F.lit(f"</{p}price.amount></{p}Point>"),
+            )
+            return F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(body) if position == 3 else body
+
+        return F.concat(
+            F.lit(f'<?xml version="1.0" encoding="UTF-8"?>\n<{p}Publication_MarketDocument {name}="urn:market:publication"><{p}TimeSeries>'),
+            F.lit(f"<{p}currency_Unit.name>EUR</{p}currency_Unit.name><{p}price_Measure_Unit.name>MWH</{p}price_Measure_Unit.name>"),
+            F.lit(f"<{p}Period><{p}timeInterval><{p}start>"), start, F.lit(f"</{p}start></{p}timeInterval><{p}resolution>"), resolution,
+            F.lit(f"</{p}resolution>"), *[point(i) for i in (1, 2, 3, 4)],
+            F.lit(f"</{p}Period></{p}TimeSeries></{p}Publication_MarketDocument>"),
+        )
+
+    publication = F.when(F.col("o_orderpriority") == "2-HIGH", document("m:", "xmlns:m")).otherwise(document("", "xmlns"))
     acknowledgement = F.lit('<Acknowledgement_MarketDocument xmlns="urn:market:acknowledgement"><Reason/></Acknowledgement_MarketDocument>')
     body = F.when(F.col("o_orderstatus") == "P", acknowledgement).otherwise(publication)
     return table(spark, sf, "orders").select("o_orderkey", body.alias("body"))

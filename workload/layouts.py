@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.decimals import half_up_mean, to_units
 from millrace.operators.layout import (
+    append_clustered,
     cluster,
+    file_bounds,
     compact,
     layout_report,
     scatter,
@@ -16,7 +18,6 @@ from millrace.operators.layout import (
     write_layout,
 )
 from millrace.session import fresh_folder
-from millrace.sources.snapshots import SnapshotTable
 from workload.inputs import table
 from workload.registry import case, half_up, units
 
@@ -73,11 +74,7 @@ def layout_skipping_report(spark, sf):
 def layout_changed_keys(spark, sf):
     """A table clustered by part; a later batch is clustered by supplier, without a rewrite of the old files."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag")
-    store = SnapshotTable(spark, fresh_folder(spark, "changed-keys"))
-    store.append(lines.filter(F.col("l_shipdate") < F.lit(LAST)))
-    store.cluster_by("l_partkey", "l_shipdate")
-    store.optimize()
-    store.append(lines.filter(F.col("l_shipdate") >= F.lit(LAST)))
-    store.cluster_by("l_suppkey")
-    store.optimize()
-    return store.read().groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"))
+    path = fresh_folder(spark, "changed-keys")
+    write_layout(cluster(lines.filter(F.col("l_shipdate") < F.lit(LAST)), ["l_partkey", "l_shipdate"], 8), path)
+    append_clustered(lines.filter(F.col("l_shipdate") >= F.lit(LAST)), path, ["l_suppkey"], 4)
+    return spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -18,7 +18,6 @@ from millrace.operators.numbering import number_rows
 from millrace.operators.upsert import upsert, upsert_sequenced
 from millrace.session import fresh_folder, materialise
 from millrace.sources.readers import read_table
-from millrace.sources.snapshots import SnapshotTable
 from millrace.sources.writers import clone, overwrite, seed_once, truncate
 from workload.inputs import table
 from workload.registry import case, units
@@ -61,7 +60,9 @@ def distinct_parts_per_flag(spark, sf):
     qualify row_number() over (partition by text order by doc_id desc) = 1"""
 )
 def drop_duplicate_texts(spark, sf):
-    return drop_duplicates(table(spark, sf, "documents"), ["text"]).drop("text")
+    # 256 bits stand for the text, which is neither shuffled nor sorted
+    docs = table(spark, sf, "documents").withColumn("digest", F.sha2("text", 256)).drop("text")
+    return drop_duplicates(docs, ["digest"]).drop("digest")
 
 
 REPRICED_SQL = f"""with repriced as (
@@ -101,10 +102,11 @@ def upsert_scd1(spark, sf):
 
 @case(UPSERT_SQL)
 def snapshot_table_merge(spark, sf):
-    store = SnapshotTable(spark, fresh_folder(spark, "orders"), keys=["o_orderkey"], buckets=8)
-    store.replace(_booked(spark, sf))
-    store.merge(_repriced(spark, sf))
-    return store.read()
+    """Through stored tables: the merged one is written beside the old one."""
+    old, new = fresh_folder(spark, "orders"), fresh_folder(spark, "orders-merged")
+    overwrite(_booked(spark, sf), old)
+    overwrite(upsert(read_table(spark, old), _repriced(spark, sf), ["o_orderkey"]), new)
+    return read_table(spark, new)
 
 
 @case(
@@ -113,14 +115,14 @@ def snapshot_table_merge(spark, sf):
         qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1)
     select event_id, strftime(ts, {STAMP}) as ts, user_id, event_type, value from (
         select * from target union all
-        select event_id, ts, user_id, event_type, value from events where event_type = 'view')
+        select event_id, ts, user_id, event_type, value from events)
     qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"""
 )
 def upsert_sequenced_events(spark, sf):
-    """Views of the whole month against the state at mid month: some are late, some are new."""
+    """All events against the state at mid month: some are late, some are new."""
     events = table(spark, sf, "events").drop("props")
     target = keep_latest(events.filter("ts < timestamp'2024-01-16 00:00:00'"), ["user_id"], "ts")
-    return upsert_sequenced(target, events.filter("event_type = 'view'"), ["user_id"], "ts")
+    return upsert_sequenced(target, events, ["user_id"], "ts")
 
 
 SEED, CHANGE = dt.datetime(1995, 1, 1), dt.datetime(1998, 6, 1)
@@ -255,3 +257,37 @@ def clone_and_truncate(spark, sf):
         for name, path in (("clone", copy), ("truncated", origin))
     ]
     return counts[0].unionByName(counts[1])
+
+
+@case("select c_custkey, row_number() over (order by c_name, c_custkey) as name_no from customer")
+def customers_numbered_by_name(spark, sf):
+    customers = table(spark, sf, "customer").select("c_name", "c_custkey")
+    return number_rows(customers, "c_name", "name_no").select("c_custkey", "name_no")
+
+
+@case(
+    DIM_SQL
+    + """select o_orderkey, d.dc_key, d.site_name from orders o left join dim d on d.site_id = o.o_custkey
+    and cast(o.o_orderdate as date) >= d.valid_from and (d.valid_to is null or cast(o.o_orderdate as date) < d.valid_to)"""
+)
+def scd2_asof_dates(spark, sf):
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    return _as_of(spark, sf, orders)
+
+
+@case("select count(*) as facts, count(*) as with_version, cast(0 as bigint) as overlaps from customer")
+def scd2_default_clock(spark, sf):
+    """Two batches stamped by the clock: the moment of the change has exactly one version per site."""
+    rows = _site_rows(spark, sf, F.col("c_name"), F.col("c_mktsegment"))
+    dim = materialise(seed_history(rows, surrogate="dc_key", order="site_id"), "dim")
+    renamed = rows.withColumn("site_name", F.concat("site_name", F.lit(" II")))
+    dim = _apply(dim, renamed, None)
+    facts = dim.filter("is_current").select("site_id", F.col("valid_from").alias("at"))
+    found = as_of_lookup(facts, dim, key="site_id", at="at", columns=["dc_key", "valid_to"])
+    closed = dim.filter("not is_current").select("site_id", F.col("valid_to").alias("end"))
+    together = found.join(closed, "site_id")
+    return together.agg(
+        F.count(F.lit(1)).alias("facts"),
+        F.count_if(F.col("dc_key").isNotNull() & F.col("valid_to").isNull()).alias("with_version"),
+        F.count_if(F.col("end") != F.col("at")).alias("overlaps"),
+    )

@@ -18,7 +18,7 @@ from millrace.operators.quality import (
     volume_alert,
     volume_by_day,
 )
-from millrace.operators.schema import add_column, drop_column, merge_append, rename_column
+from millrace.operators.schema import SchemaMismatch, add_column, drop_column, merge_append, rename_column
 from millrace.operators.security import (
     REGIONAL_FILTER,
     SITE_ID_MASK,
@@ -27,8 +27,8 @@ from millrace.operators.security import (
     drop_personal,
     row_filter,
 )
-from millrace.session import fresh_folder
-from millrace.sources.snapshots import SnapshotTable
+from millrace.session import fresh_folder, materialise
+from millrace.sources.writers import append, overwrite
 from millrace.spec import Rule
 from workload.inputs import fact, fact_sql, table
 from workload.registry import case, half_up, units
@@ -228,10 +228,38 @@ def schema_merge_append(spark, sf):
 @case(MERGED_SQL)
 def schema_merge_stored(spark, sf):
     """The same through a stored table: its first files lack the column that came later."""
-    store = SnapshotTable(spark, fresh_folder(spark, "documents"))
-    store.append(table(spark, sf, "documents").select("doc_id", "lang"))
-    store.append(table(spark, sf, "labels").select("doc_id", "quality"), merge_schema=True)
-    return store.read()
+    path = fresh_folder(spark, "documents")
+    overwrite(table(spark, sf, "documents").select("doc_id", "lang"), path)
+    append(table(spark, sf, "labels").select("doc_id", "quality"), path, merge_schema=True)
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+@case(
+    """select 'documents' as step, 'stored' as outcome, count(*) as n_rows from documents union all
+    select 'labels', 'refused', count(*) from documents union all
+    select 'labels, other types', 'stored', 2 * count(*) from documents union all
+    select 'labels, as the table', 'stored', count(*) from labels"""
+)
+def schema_refused_append(spark, sf):
+    """An append of other columns is refused and leaves the table; an overwrite may have any."""
+    path, out = fresh_folder(spark, "documents"), None
+    docs, labels = table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels").select("doc_id", "quality")
+    steps = {
+        "documents": lambda: overwrite(docs, path),
+        "labels": lambda: append(labels, path),
+        "labels, other types": lambda: append(docs, path),
+        "labels, as the table": lambda: overwrite(labels, path),
+    }
+    for step, run in steps.items():
+        try:
+            run()
+            outcome = "stored"
+        except SchemaMismatch:
+            outcome = "refused"
+        row = spark.read.parquet(path).agg(F.lit(step).alias("step"), F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("n_rows"))
+        row = materialise(row, "step")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @case(
