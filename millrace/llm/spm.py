@@ -18,16 +18,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import sentencepiece
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import portions
 
 SPACE = "▁"  # how the model writes a space
 NONE = np.int64(1) << 40  # rank of a pair that is no piece
-WORDS_KEPT = 400_000  # distinct words a worker remembers before it starts anew
+WORDS_KEPT = 250_000  # distinct words a task remembers before it starts anew
 SYMBOLS_AT_ONCE = 1 << 18
-CHARACTERS_AT_ONCE = 1 << 22
+CHARACTERS_AT_ONCE = 1 << 21
 
 
 @dataclass
@@ -51,7 +50,6 @@ class Model:
         self.other = len(self.pieces)
         self.byte_of = {int(i): b for b, i in enumerate(self.byte_ids)}
         self.written = [str(i) for i in range(self.other)]
-        self.plain = [p.replace(SPACE, " ") for p in self.pieces]
 
     def character(self, symbol: int) -> str:
         return chr(symbol - self.other)
@@ -203,11 +201,12 @@ def _decode_part(model: Model, ids: Iterable[int]) -> str:
 
 
 class Encoder:
-    """Encodes texts; remembers the words it has met."""
+    """Encodes texts; remembers the ids of words it has met."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, tuple[str, str]] = {}
+        self.known: dict[str, str] = {}
+        self.other: dict[str, str] = {}  # words whose ids do not decode to the word itself
 
     def split(self, text: str) -> list[str]:
         """Words with their spaces in front."""
@@ -230,14 +229,17 @@ class Encoder:
         symbols, bounds = merge_words(model, words)
         odd = set(np.flatnonzero(np.add.reduceat(symbols >= model.other, bounds[:-1])).tolist())
         symbols, bounds = symbols.tolist(), bounds.tolist()
-        written, plain = model.written, model.plain
+        written, plain = model.written, model.pieces
         for k, w in enumerate(words):
             ids = symbols[bounds[k] : bounds[k + 1]]
             if k in odd:
                 ids = spell(model, ids)
-                self.known[w] = (" ".join([written[i] for i in ids]), _decode_part(model, ids))
+                decoded = _decode_part(model, ids)
             else:
-                self.known[w] = (" ".join([written[i] for i in ids]), "".join([plain[i] for i in ids]))
+                decoded = "".join([plain[i] for i in ids])
+            self.known[w] = " ".join([written[i] for i in ids])
+            if decoded.replace(SPACE, " ") != w.replace(SPACE, " "):
+                self.other[w] = decoded
 
     def encode(self, text: str | None) -> tuple[str, str]:
         """Ids with the end id in decimal, joined by a space, and the decoded text."""
@@ -246,9 +248,10 @@ class Encoder:
         return self._join(parts)
 
     def _join(self, parts: list[str]) -> tuple[str, str]:
-        known = [self.known[w] for w in parts]
-        ids = " ".join([i for i, _ in known] + [str(self.model.end)])
-        return ids, "".join([d for _, d in known])[1:]
+        known, other = self.known, self.other
+        ids = " ".join([known[w] for w in parts] + [str(self.model.end)])
+        decoded = "".join([other.get(w, w) for w in parts] if other else parts)
+        return ids, decoded[1:].replace(SPACE, " ")
 
     def encode_all(self, texts: Sequence[str | None]) -> Iterator[tuple[str, str]]:
         """``encode`` for many texts, some at a time, so that merges run over many words."""
@@ -256,33 +259,24 @@ class Encoder:
         for part in portions([len(t) for t in texts], CHARACTERS_AT_ONCE):
             if len(self.known) > WORDS_KEPT:
                 self.known.clear()
+                self.other.clear()
             split = [self.split(t) for t in texts[part]]
             self.learn(itertools.chain.from_iterable(split))
             yield from map(self._join, split)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(path: str, shared: Broadcast) -> Encoder:
-    """One encoder for each worker process and model."""
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = Encoder(shared.value)
-    return _encoders[path]
-
-
 def encoding(spark: SparkSession, model_path: str) -> Callable[[Column | str], Column]:
     """A column function: text to (n_tokens, ids, decoded)."""
     shared = spark.sparkContext.broadcast(load(model_path))  # the vocabulary: some MB
 
     @F.pandas_udf("n_tokens long, ids string, decoded string")
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        encoder = _encoder(model_path, shared)
-        rows = list(encoder.encode_all(texts))
-        return pd.DataFrame(
-            {"n_tokens": [i.count(" ") + 1 for i, _ in rows], "ids": [i for i, _ in rows], "decoded": [d for _, d in rows]}
-        )
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(shared.value)  # what it remembers goes with the task
+        for texts in batches:
+            rows = list(encoder.encode_all(texts))
+            yield pd.DataFrame(
+                {"n_tokens": [i.count(" ") + 1 for i, _ in rows], "ids": [i for i, _ in rows], "decoded": [d for _, d in rows]}
+            )
 
     return encode
 
@@ -292,16 +286,18 @@ def digests(spark: SparkSession, model_path: str) -> Callable[[Column | str], Co
     shared = spark.sparkContext.broadcast(load(model_path))
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digest(texts: pd.Series) -> pd.DataFrame:
-        encoder = _encoder(model_path, shared)
-        rows = []
-        for ids, decoded in encoder.encode_all(texts):
-            rows.append((
-                ids.count(" ") + 1,
-                hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest(),
-            ))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(shared.value)
+        for texts in batches:
+            rows = [
+                (
+                    ids.count(" ") + 1,
+                    hashlib.sha256(ids.encode()).hexdigest(),
+                    hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest(),
+                )
+                for ids, decoded in encoder.encode_all(texts)
+            ]
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digest
 

@@ -30,20 +30,22 @@ WINDOW = 35  # words; at most 62
 ANCHOR = 8  # words
 BUSY = 2000  # distinct segments of an anchor beyond which its windows are dealt out one by one
 SHARD_WORDS = 1 << 19
-CHARACTERS_AT_ONCE = 1 << 22
-WORDS_KEPT = 1_000_000
+CHARACTERS_AT_ONCE = 1 << 20
+WORDS_KEPT = 400_000
 STEP, OTHER_STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd numbers, the bases of two rolling hashes
 
 
-class _Hashes(dict):
-    """64 bits for every word met."""
+class Hashes(dict):
+    """64 bits for every word met; a task has its own."""
 
     def __missing__(self, word: bytes) -> int:
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
 
-
-_hashes = _Hashes()
+    def of(self, lists: list[list[bytes]]) -> np.ndarray:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        return np.fromiter((self[w] for ws in lists for w in ws), dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,12 +72,6 @@ class _Rolling:
         return _mix(plain + (end - first).astype(np.uint64))
 
 
-def _word_hashes(lists: list[list[bytes]]) -> np.ndarray:
-    if len(_hashes) > WORDS_KEPT:
-        _hashes.clear()
-    return np.fromiter((_hashes[w] for ws in lists for w in ws), dtype=np.uint64)
-
-
 def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
     """For each run of ``width`` values the place of its least, of equals the first."""
     place, size = np.arange(len(values)), 1
@@ -92,11 +88,13 @@ def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
-def segments(lists: list[list[bytes]], window: int = WINDOW, anchor: int = ANCHOR) -> dict[str, np.ndarray]:
+def segments(
+    lists: list[list[bytes]], hashes: Hashes, window: int = WINDOW, anchor: int = ANCHOR
+) -> dict[str, np.ndarray]:
     """The segments of some documents: anchor and segment hash, document, first word and number of windows."""
     lengths = np.array([len(ws) for ws in lists], dtype=np.int64)
     starts = np.cumsum(lengths) - lengths
-    hashed = _word_hashes(lists)
+    hashed = hashes.of(lists)
     n = len(hashed) - window + 1
     none = np.zeros(0, dtype=np.int64)
     if n < 1:
@@ -133,11 +131,12 @@ def _document_keys() -> list[Column]:
 
 def _find_segments(window: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             h1, h2 = (batch.column(c).to_numpy() for c in ("h1", "h2"))
             for part in portions([len(t or "") for t in texts], CHARACTERS_AT_ONCE):
-                got = segments([words(t) for t in texts[part]], window)
+                got = segments([words(t) for t in texts[part]], hashes, window)
                 doc = got.pop("doc")
                 columns = {"h1": h1[part][doc], "h2": h2[part][doc], "first": got["first"], "windows": got["windows"]}
                 columns |= {c: got[c].view(np.int64) for c in ("anchor", "segment")}
@@ -156,6 +155,7 @@ def _find_pieces(window: int):
     """The words of the wanted segments of each document; of a busy anchor, of each window by itself."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
         for batch in batches:
             texts, wanted = batch.column("text").to_pylist(), batch.column("wanted")
             for part in portions([len(t or "") for t in texts], CHARACTERS_AT_ONCE):
@@ -166,7 +166,7 @@ def _find_pieces(window: int):
                         end = s["first"] + s["windows"] + window - 1
                         if s["busy"]:
                             own = ws[s["first"] : end]
-                            hashed = _word_hashes([own])
+                            hashed = hashes.of([own])
                             at = np.arange(s["windows"])
                             a, b = (_Rolling(hashed, base).runs(at, at + window).view(np.int64) for base in (STEP, OTHER_STEP))
                             for i in at.tolist():
