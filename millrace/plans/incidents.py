@@ -28,8 +28,11 @@ PERSONAL = (
 
 
 def clean_incidents(raw: DataFrame) -> DataFrame:
-    """Repair every messy column and keep one row per incident."""
-    df = drop_personal(raw, PERSONAL)
+    """One row per incident, with every messy column repaired.
+
+    Repeats go first, by their raw values, so that only rows that stay are parsed.
+    """
+    df = drop_duplicates(drop_personal(raw, PERSONAL), ["incident_id"])
     df = df.withColumns(
         {
             "incident_datetime": c.parse_timestamp("incident_datetime"),
@@ -51,7 +54,7 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
             "property_loss_usd": c.non_negative("property_loss_usd"),
         }
     )
-    return drop_duplicates(df, ["incident_id"])
+    return df
 
 
 def closed_case_report(clean: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from millrace.functions.calendar import calendar
 from millrace.operators.history import current_rows
@@ -12,7 +12,7 @@ from millrace.operators.metrics import filter_values, star
 from millrace.operators.timejoin import fill_rate, hourly_fact, time_bucket_join
 from millrace.plans import dashboard
 from millrace.plans.medallion import Lakehouse, datacenter_snapshot, full_refresh, incremental_refresh
-from millrace.session import fresh_folder
+from millrace.session import fresh_folder, materialise
 from millrace.sources.readers import read_json, read_table, stream_files
 from millrace.sources.writers import export_json, insert_overwrite, land_partitions
 from workload.inputs import (
@@ -59,6 +59,10 @@ def hourly_cost_fact_quarter_prices(spark, sf):
 )
 def hourly_cost_fact_stored_types(spark, sf):
     """The fact inserted into a table with declared types."""
+    return _stored_fact(spark, sf)
+
+
+def _stored_fact(spark, sf):
     path = fresh_folder(spark, "fact")
     rows = hourly_fact(readings(spark, sf), prices(spark, sf), energy_digits=4)
     renamed = rows.withColumnsRenamed({"avg_consumption_kwh": "consumption_kwh", "avg_pue": "pue"})
@@ -101,8 +105,8 @@ def dim_date(spark, sf):
 
 
 def _star(spark, sf):
-    rows = fact(spark, sf)
-    return star(rows, calendar(rows))
+    """The dates of the dimension come from the readings, so the fact is computed once."""
+    return star(fact(spark, sf), calendar(readings(spark, sf).select(F.to_date("timestamp_utc").alias("date"))))
 
 
 @case(
@@ -246,15 +250,88 @@ def medallion_full_refresh(spark, sf):
     return full_refresh(house, _bronze_prices(spark, sf), bronze_readings, SNAPSHOT)
 
 
+def _land_half(house, rows, number):
+    """Readings of one half of the month as JSON files; those of three days are in both."""
+    rows = rows.withColumn("day", F.to_date("timestamp_utc"))
+    half = rows.filter("day < date'2024-01-17'") if number == 0 else rows.filter("day >= date'2024-01-14'")
+    landing = house.path("bronze", "sensor_data")
+    land_partitions(half.drop("day").withColumn("zone", F.col("bidding_zone")), f"{landing}/{number}", ["zone"])
+    return half
+
+
+def _incremental(spark, sf, house):
+    stream = stream_files(spark, house.path("bronze", "sensor_data"), BRONZE_READING, files_per_trigger=None)
+    return incremental_refresh(house, _bronze_prices(spark, sf), stream, SNAPSHOT)
+
+
 @case(fact_sql() + f"select {FACT_COLUMNS} from fact")
 def medallion_incremental_refresh(spark, sf):
     """Readings land in two halves of the month, the pipeline runs after each; some readings land twice."""
     house = Lakehouse(spark, fresh_folder(spark, "lakehouse"))
-    landing = house.path("bronze", "sensor_data")
-    rows = readings(spark, sf).withColumn("day", F.to_date("timestamp_utc"))
-    halves = (rows.filter("day < date'2024-01-17'"), rows.filter("day >= date'2024-01-14'"))
-    for number, half in enumerate(halves):
-        land_partitions(half.drop("day").withColumn("zone", F.col("bidding_zone")), f"{landing}/{number}", ["zone"])
-        stream = stream_files(spark, landing, BRONZE_READING, files_per_trigger=None)
-        fact_rows = incremental_refresh(house, _bronze_prices(spark, sf), stream, SNAPSHOT)
+    for number in (0, 1):
+        _land_half(house, readings(spark, sf), number)
+        fact_rows = _incremental(spark, sf, house)
     return fact_rows
+
+
+def _full_then_incremental(spark, sf):
+    house = Lakehouse(spark, fresh_folder(spark, "lakehouse"))
+    half = _land_half(house, readings(spark, sf), 0)
+    full_refresh(house, _bronze_prices(spark, sf), half.drop("day"), SNAPSHOT)
+    _land_half(house, readings(spark, sf), 1)
+    return house, _incremental(spark, sf, house)
+
+
+@case(fact_sql() + f"select {FACT_COLUMNS} from fact")
+def medallion_full_then_incremental(spark, sf):
+    """A full refresh over the first half, then the stream over both halves in the same folder."""
+    return _full_then_incremental(spark, sf)[1]
+
+
+@case(f"with {READINGS_SQL} select count(*) as n_rows, count(distinct event_id) as events, count(distinct site_id) as sites from readings")
+def medallion_silver_events(spark, sf):
+    """Silver after the same: one row for each event, one current row for each site."""
+    house, _ = _full_then_incremental(spark, sf)
+    sites = house.read("gold", "dim_datacenter").filter("is_current").agg(F.count(F.lit(1))).scalar()
+    return house.read("silver", "sensor_data").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("events"), F.any_value(sites).alias("sites")
+    )
+
+
+@case(
+    f"""with {READINGS_SQL} select distinct bidding_zone, strftime(ts, '%Y-%m-%d') as date from readings
+    where cast(ts as date) >= date '2024-01-14'"""
+)
+def medallion_touched_slices(spark, sf):
+    """Zones and dates whose files the second run wrote: those of the readings that were new to it."""
+    house = Lakehouse(spark, fresh_folder(spark, "lakehouse"))
+    seen = []
+    for number in (0, 1):
+        _land_half(house, readings(spark, sf), number)
+        _incremental(spark, sf, house)
+        files = house.read("gold", "consumption_hourly").select("bidding_zone", "date", F.col("_metadata.file_name").alias("file"))
+        seen.append(materialise(files.distinct(), "fact-files"))
+    return seen[1].join(seen[0], "file", "left_anti").select("bidding_zone", "date").distinct()
+
+
+@case(
+    """select * from (values ('consumption_kwh', 'decimal(10,4)'), ('cost_per_hour', 'decimal(10,2)'), ('date', 'date'),
+        ('hour', 'int')) t(column_name, data_type) where (select count(*) from events) > 0"""
+)
+def stored_fact_types(spark, sf):
+    """Types that the stored fact has, as its files say."""
+    stored = _stored_fact(spark, sf)
+    kinds = spark.createDataFrame(stored.dtypes, "column_name string, data_type string")
+    return kinds.filter(F.col("column_name").isin("consumption_kwh", "cost_per_hour", "date", "hour"))
+
+
+@case(
+    fact_sql()
+    + f"""select cast(row_number() over (order by total desc, bidding_zone) as int) as position, bidding_zone,
+    {units("total", 2)} as total_cost from (select bidding_zone, sum(cost_u) as total from fact group by 1)"""
+)
+def zones_in_order_of_cost(spark, sf):
+    """The order of a report as part of its rows."""
+    totals = dashboard.total_cost_by_zone(fact(spark, sf))
+    order = Window.orderBy(F.col("total_cost").desc(), "bidding_zone")  # a handful of zones
+    return totals.select(F.row_number().over(order).alias("position"), "bidding_zone", "total_cost")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cleaning as c
 from millrace.plans.incidents import clean_incidents, closed_case_report
-from millrace.session import materialise
 from workload.inputs import table
 from workload.registry import case, half_up, units
 
@@ -56,8 +55,7 @@ def _raw(spark, sf):
     lines = table(spark, sf, "lineitem").join(
         table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
-    raw = lines.select(*[F.expr(e.format(**SPARK_WORDS)).alias(n) for n, e in RAW.items()])
-    return materialise(raw, "incidents")
+    return lines.select(*[F.expr(e.format(**SPARK_WORDS)).alias(n) for n, e in RAW.items()])
 
 
 RAW_SQL = (
@@ -90,24 +88,22 @@ def _gender_sql(gender: str) -> str:
     when lower(trim({gender})) in ('female', 'f') then 'Female' when lower(trim({gender})) = 'other' then 'Other' end"""
 
 
-CLEAN_SQL = f"""with {RAW_SQL}, typed as (
+CLEAN_SQL = f"""with {RAW_SQL}, one as (
+    select * from raw qualify row_number() over (partition by incident_id order by line desc nulls last,
+        incident_datetime desc nulls last, reported_online desc nulls last, num_arrests desc nulls last,
+        property_loss_usd desc nulls last, case_status desc nulls last, resolution desc nulls last,
+        suspect_age desc nulls last, victim_age desc nulls last, suspect_gender desc nulls last, victim_gender desc nulls last) = 1),
+typed as (
     select incident_id, line, {WHEN_SQL} as incident_datetime, {ONLINE_SQL} as reported_online,
            cast(case when num_arrests is null then 0 when num_arrests < 0 then null else num_arrests end as int) as num_arrests,
            {LOSS_SQL} as loss, {STATUS_SQL} as case_status, {RESOLUTION_SQL} as resolution,
            {_gender_sql("suspect_gender")} as suspect_gender, {_gender_sql("victim_gender")} as victim_gender,
            case when num_arrests < 0 then 'NEEDS_REVIEW' end as num_arrests_flag,
            {_band_sql("suspect_age")} as suspect_age_group, {_band_sql("victim_age")} as victim_age_group
-    from raw),
-repaired as (
-    select * exclude (loss), case when loss >= 0 then loss end as property_loss_usd,
-           case when loss < 0 then 'NEEDS_REVIEW' end as property_loss_usd_flag from typed),
+    from one),
 clean as (
-    select * from repaired qualify row_number() over (partition by incident_id order by line desc nulls last,
-        incident_datetime desc nulls last, reported_online desc nulls last, num_arrests desc nulls last,
-        property_loss_usd desc nulls last, case_status desc nulls last, resolution desc nulls last,
-        suspect_gender desc nulls last, victim_gender desc nulls last, num_arrests_flag desc nulls last,
-        suspect_age_group desc nulls last, victim_age_group desc nulls last,
-        property_loss_usd_flag desc nulls last) = 1)
+    select * exclude (loss), case when loss >= 0 then loss end as property_loss_usd,
+           case when loss < 0 then 'NEEDS_REVIEW' end as property_loss_usd_flag from typed)
 """
 
 

@@ -17,7 +17,7 @@ from millrace.operators.layout import (
     skipping_report,
     write_layout,
 )
-from millrace.session import fresh_folder
+from millrace.session import fresh_folder, materialise
 from workload.inputs import table
 from workload.registry import case, half_up, units
 
@@ -31,7 +31,7 @@ def _layouts(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
     paths = {n: fresh_folder(spark, n) for n in ("baseline", "clustered", "compacted")}
     write_layout(scatter(lines, N_FILES), paths["baseline"])
-    write_layout(cluster(lines, KEYS, N_FILES), paths["clustered"])
+    write_layout(cluster(lines, KEYS, N_FILES), paths["clustered"], KEYS)
     compact(spark, paths["baseline"], paths["compacted"])
     return paths
 
@@ -60,14 +60,49 @@ def layout_selective_query(spark, sf):
     return out
 
 
-@case()
+@case(
+    " union all ".join(
+        f"select '{name}' as table_name, count(*) as n_rows, 'true' as has_files from lineitem" for name in ("baseline", "clustered", "compacted")
+    )
+)
 def layout_files_report(spark, sf):
-    return layout_report(spark, _layouts(spark, sf))
+    """Files and bytes differ from layout to layout, the rows in them do not."""
+    paths = _layouts(spark, sf)
+    report = layout_report(spark, paths)
+    counts = None
+    for name, path in paths.items():
+        row = spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        counts = row if counts is None else counts.unionByName(row)
+    has_files = (F.col("num_files") > 0) & (F.col("size_in_bytes") > 0)
+    return report.join(counts, "table_name").select("table_name", "n_rows", has_files.alias("has_files"))
 
 
-@case()
+@case(
+    " union all ".join(
+        f"""select '{name}' as table_name, count(*) as matching_rows, 'true' as fewer_files from lineitem
+        where l_partkey = 500 and l_shipdate between timestamp '1996-01-01' and timestamp '1998-12-31'"""
+        for name in ("baseline", "clustered", "compacted")
+    )
+)
 def layout_skipping_report(spark, sf):
-    return skipping_report(spark, _layouts(spark, sf), {"l_partkey": (500, 500), "l_shipdate": (FIRST, LAST)})
+    """The rows that match in the files a predicate must read, and whether clustering leaves fewer of them."""
+    paths = _layouts(spark, sf)
+    bounds = {"l_partkey": (500, 500), "l_shipdate": (FIRST, LAST)}
+    report = materialise(skipping_report(spark, paths, bounds), "skipping")
+    matches = (F.col("l_partkey") == 500) & F.col("l_shipdate").between(FIRST, LAST)
+    out = None
+    for name, path in paths.items():
+        limits = file_bounds(spark, path, list(bounds))
+        kept = limits.filter(
+            (F.col("lo_l_partkey") <= 500) & (F.col("hi_l_partkey") >= 500)
+            & (F.col("lo_l_shipdate") <= F.lit(LAST)) & (F.col("hi_l_shipdate") >= F.lit(FIRST))
+        )
+        rows = spark.read.parquet(path).filter(matches).select(F.col("_metadata.file_path").alias("file"))
+        row = rows.join(kept, "file", "left_semi").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("matching_rows"))
+        out = row if out is None else out.unionByName(row)
+    few = report.filter("table_name = 'clustered'").select(F.col("files_read").alias("few")).first().few
+    judged = report.select("table_name", ((F.lit(few) <= F.col("files_read")) & (F.col("files_read") <= F.col("files_total"))).alias("fewer_files"))
+    return out.join(judged, "table_name")
 
 
 @case("select l_returnflag, count(*) as n_rows from lineitem group by 1")

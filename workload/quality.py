@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace.operators.metrics import apply_filters
 from millrace.operators.profile import null_profile, range_profile, shape_profile, table_shape, value_profile
 from millrace.operators.quality import (
+    RuleViolation,
+    check_table,
     expect_or_drop,
     expect_or_fail,
     gate_report,
@@ -29,7 +32,7 @@ from millrace.operators.security import (
 )
 from millrace.session import fresh_folder, materialise
 from millrace.sources.writers import append, overwrite
-from millrace.spec import Rule
+from millrace.spec import Rule, TableSpec
 from workload.inputs import fact, fact_sql, table
 from workload.registry import case, half_up, units
 
@@ -127,6 +130,43 @@ def expect_fail_passes(spark, sf):
     return expect_or_fail(table(spark, sf, "lineitem"), rules).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@case(
+    f"""select rule, case when failed > 0 then 'stopped' else 'passed' end as outcome, failed from (
+        {' union all '.join(
+            f"select '{r.name}' as rule, count(*) - count(*) filter ({h}) as failed from lineitem" for r, h in zip(LINE_RULES, HOLDS))}
+        union all select 'positive', count(*) filter (not l_quantity > 0) from lineitem)"""
+)
+def expect_fail_stops(spark, sf):
+    """Each rule as one that must hold: whether the job stops, and for how many rows it would."""
+    lines, out = table(spark, sf, "lineitem"), None
+    for rule in [*LINE_RULES, Rule("positive", "l_quantity > 0")]:
+        try:
+            expect_or_fail(lines, [rule]).write.format("noop").mode("overwrite").save()
+            outcome = "passed"
+        except PySparkException as error:
+            outcome = "stopped" if rule.name in str(error) else str(error)
+        row = rule_metrics(lines, [rule]).select("rule", F.lit(outcome).alias("outcome"), "failed")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@case("select count(*) as in_lineitem, count(*) as accepted, cast(0 as bigint) as refused from lineitem where l_quantity between 1 and 45")
+def rejected_insert(spark, sf):
+    """A batch with rows outside a table's CHECK is refused as a whole; the rows inside are taken."""
+    spec = TableSpec("lines", {"l_orderkey": "bigint", "l_quantity": "decimal(10,2)"}, not_null=("l_orderkey",), checks=(LINE_RULES[0],))
+    path, lines = fresh_folder(spark, "lines"), table(spark, sf, "lineitem")
+    try:
+        overwrite(check_table(lines, spec), path)
+    except RuleViolation:
+        overwrite(check_table(expect_or_drop(lines, [LINE_RULES[0]]), spec), path)
+    kept = spark.read.parquet(path)
+    return kept.agg(
+        F.count_if(F.col("l_orderkey").isNotNull()).alias("in_lineitem"),
+        F.count(F.lit(1)).alias("accepted"),
+        F.count_if(~F.col("l_quantity").between(1, 45)).alias("refused"),
+    )
+
+
 @case(
     " union all ".join(
         f"select '{r.name}' as rule, count(*) filter ({h}) as passed, count(*) - count(*) filter ({h}) as failed from lineitem"
@@ -180,23 +220,30 @@ def volume_alert_one_day(spark, sf):
     return volume_alert(_by_day(spark, sf), "day", dt.date(2024, 1, 15), 192)
 
 
-@case("select cast(0 as bigint) as rows_today, 'TRIGGERED' as status")
+@case(
+    """select count(*) as rows_today, case when count(*) < 192 then 'TRIGGERED' else 'OK' end as status
+    from events where cast(ts as date) = (select max(cast(ts as date)) from events)"""
+)
 def volume_alert_today(spark, sf):
-    """All events lie in the past, so today has none."""
-    return volume_alert(_by_day(spark, sf), "day", None, 192)
+    """The events are moved in time so that the last of their days is today."""
+    days = _by_day(spark, sf)
+    moved = days.withColumn("last", days.agg(F.max("day")).scalar())
+    return volume_alert(moved.select(F.date_add(F.current_date(), F.datediff("day", "last")).alias("day")), "day", None, 192)
 
 
 @case(
-    """with days as (select unnest(generate_series(min(cast(ts as date)), max(cast(ts as date)), interval 1 day)) as day
-                     from events where event_type = 'error' and value > 30)
+    """with days as (select unnest(generate_series(min(cast(ts as date)), max(cast(ts as date)), interval 1 day)) as day from events),
+    limits as (select count(*) // count(distinct cast(ts as date)) as usual from events)
     select strftime(d.day, '%Y-%m-%d') as day, count(e.ts) as rows_today,
-           case when count(e.ts) < 18 then 'TRIGGERED' else 'OK' end as status
-    from days d left join events e on cast(e.ts as date) = d.day and e.event_type = 'error' and e.value > 30
-    group by d.day"""
+           case when count(e.ts) < usual then 'TRIGGERED' else 'OK' end as status
+    from days d left join events e on cast(e.ts as date) = d.day, limits
+    group by d.day, usual"""
 )
 def volume_alert_by_day(spark, sf):
-    errors = table(spark, sf, "events").filter("event_type = 'error' and value > 30")
-    return volume_by_day(errors.select(F.to_date("ts").alias("day")), "day", 18)
+    """All events; a day is short if it has less than the mean of the days."""
+    days = _by_day(spark, sf)
+    rows, covered = days.agg(F.count(F.lit(1)), F.count_distinct("day")).first()
+    return volume_by_day(days, "day", rows // covered)
 
 
 @case(
@@ -282,9 +329,21 @@ def row_filter_members(spark, sf):
     return seen.groupBy("bidding_zone").agg(F.avg("cost_per_hour").alias("avg_cost"))
 
 
-@case(fact_sql() + "select site_id, bidding_zone from fact where false")
+@case(
+    fact_sql()
+    + """select count(*) as all_rows, count(*) filter (bidding_zone = 'PL') as seen_by_members, cast(0 as bigint) as seen_by_others from fact"""
+)
 def row_filter_others(spark, sf):
-    return row_filter(fact(spark, sf), "bidding_zone", [REGIONAL_FILTER], {"Poland"}).select("site_id", "bidding_zone")
+    """What the same fact shows to members of both groups and to others."""
+    rows = fact(spark, sf).select("bidding_zone")
+    views = {
+        "all_rows": rows,
+        "seen_by_members": row_filter(rows, "bidding_zone", [REGIONAL_FILTER], {"Poland", "admins"}),
+        "seen_by_others": row_filter(rows, "bidding_zone", [REGIONAL_FILTER], {"Poland"}),
+    }
+    parts = [view.withColumn("view", F.lit(name)) for name, view in views.items()]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return both.agg(*[F.count_if(F.col("view") == name).alias(name) for name in views])
 
 
 @case(fact_sql() + f"select {MASKED} as site_id, bidding_zone, {AVG_COST} as avg_cost from fact group by 1, 2")
