@@ -22,7 +22,7 @@ from millrace.llm.common import WORD, col, with_text, words
 from millrace.session import materialise
 
 BLOCK = 64  # words
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 SHARD_ROWS = 1 << 16
 SHARD_BYTES = 1 << 24
 TIMES = 2  # how often a word may be taken
@@ -190,7 +190,7 @@ def mix(
     blocks times the block size. A null or empty text has size 0 and gives nothing; repeated
     rows are documents of their own; other columns are left out. Reruns agree.
 
-    The driver sees one row per source. A shard holds about two million words, 16 MB or
+    The driver sees one row per source. A shard holds about a million words, 16 MB or
     65,536 rows, so a source with a third of all rows is many shards.
     """
     rows = _with_quotas(docs.select("doc_id", "source", "text"), weights, share, block, seed)
