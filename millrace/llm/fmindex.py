@@ -60,7 +60,7 @@ class FMIndex:
             later = np.zeros(n, dtype=np.int64)
             later[: n - h] = rank[h:] + 1
             key = rank * (n + 2) + later
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             sorted_key = key[order]
             rank = np.empty(n, dtype=np.int64)
             rank[order] = np.cumsum(np.r_[0, sorted_key[1:] != sorted_key[:-1]]) if n else 0
