@@ -222,6 +222,26 @@ def table_stream_copy(spark, sf):
     return spark.read.parquet(target)
 
 
+TRIGGERS = {"once": {"once": True}, "processing time": {"processingTime": "1 second"}, "available now": {"availableNow": True}}
+
+
+@case(" union all ".join(f"select '{name}' as trigger, count(*) as n_rows, count(distinct event_id) as events from events" for name in TRIGGERS))
+def stream_triggers(spark, sf):
+    """The same table copied under each trigger, exactly once."""
+    out, schema = None, table(spark, sf, "events").schema
+    for name, trigger in TRIGGERS.items():
+        target, checkpoint = fresh_folder(spark, "copy"), fresh_folder(spark, "checkpoint")
+        query = stream_to_files(stream_table(spark, f"{sf}/events.parque[t]", schema), target, checkpoint, trigger=trigger)
+        if "processingTime" in trigger:
+            query.processAllAvailable()
+            query.stop()
+        query.awaitTermination()
+        counts = (F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("events"))
+        row = spark.read.parquet(target).agg(F.lit(name).alias("trigger"), *counts)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @case(
     f"""select user_id, event_id, strftime(ts, {STAMP}) as ts, event_type, cast(value as double) as value from events
     where event_type <> 'signup' and value > 0

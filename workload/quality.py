@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace.operators.metrics import apply_filters
-from millrace.operators.profile import null_profile, range_profile, shape_profile, table_shape, value_profile
+from millrace.operators.profile import column_groups, null_profile, range_profile, shape_profile, table_shape, value_profile
 from millrace.operators.quality import (
     RuleViolation,
     check_table,
@@ -53,6 +53,19 @@ def null_profile_documents(spark, sf):
     return null_profile(_labelled(spark, sf))
 
 
+KINDS = {"doc_id": "numeric", "text": "string", "lang": "string", "source": "string", "n_chars": "numeric", "quality": "numeric", "toxic": "numeric"}
+
+
+@case(" union all ".join(f"select '{c}' as column_name, '{kind}' as kind, count({c}) as n_values from {LABELLED}" for c, kind in KINDS.items()))
+def values_by_column_kind(spark, sf):
+    """Columns grouped by the kind of their type; how many values each has, in one pass."""
+    rows = _labelled(spark, sf)
+    kinds = [(c, kind) for kind, columns in column_groups(rows).items() for c in columns]
+    counts = rows.agg(*[F.count(c).alias(c) for c, _ in kinds])
+    lines = [F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("kind"), F.col(c).alias("n_values")) for c, kind in kinds]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 @case(
     " union all ".join(
         f"select '{c}' as column_name, count(*) - count({c}) as nulls, "
@@ -150,21 +163,25 @@ def expect_fail_stops(spark, sf):
     return out
 
 
-@case("select count(*) as in_lineitem, count(*) as accepted, cast(0 as bigint) as refused from lineitem where l_quantity between 1 and 45")
+@case(
+    f"""with inside as (select count(*) as n from lineitem where {HOLDS[0]})
+    select 'rows inside the rule' as batch, 'stored' as outcome, n as n_rows from inside union all
+    select 'all rows', 'refused', n from inside"""
+)
 def rejected_insert(spark, sf):
-    """A batch with rows outside a table's CHECK is refused as a whole; the rows inside are taken."""
+    """A batch with rows outside a table's CHECK is refused as a whole and leaves the table as it was."""
     spec = TableSpec("lines", {"l_orderkey": "bigint", "l_quantity": "decimal(10,2)"}, not_null=("l_orderkey",), checks=(LINE_RULES[0],))
-    path, lines = fresh_folder(spark, "lines"), table(spark, sf, "lineitem")
-    try:
-        overwrite(check_table(lines, spec), path)
-    except RuleViolation:
-        overwrite(check_table(expect_or_drop(lines, [LINE_RULES[0]]), spec), path)
-    kept = spark.read.parquet(path)
-    return kept.agg(
-        F.count_if(F.col("l_orderkey").isNotNull()).alias("in_lineitem"),
-        F.count(F.lit(1)).alias("accepted"),
-        F.count_if(~F.col("l_quantity").between(1, 45)).alias("refused"),
-    )
+    path, lines, out = fresh_folder(spark, "lines"), table(spark, sf, "lineitem"), None
+    for name, batch in (("rows inside the rule", expect_or_drop(lines, [LINE_RULES[0]])), ("all rows", lines)):
+        try:
+            check_table(batch, spec).write.mode("append").parquet(path)
+            outcome = "stored"
+        except RuleViolation:
+            outcome = "refused"
+        row = spark.read.parquet(path).agg(F.lit(name).alias("batch"), F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("n_rows"))
+        row = materialise(row, "batch")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @case(
