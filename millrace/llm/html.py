@@ -85,10 +85,14 @@ def _part(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
     main = main or role in ("main", "article")
     if tag in ("html", "body"):
         return False, False
-    named = {w.lower() for w in WORDS.findall(found.get("class", "") + " " + found.get("id", ""))}
-    if tag not in MAIN_TAGS and (named & SIDE_WORDS or (named & HEADER_WORDS and not in_main)):
+    names = found.get("class", "") + " " + found.get("id", "")
+    named = {w.lower() for w in WORDS.findall(names)}
+    if tag in MAIN_TAGS:  # "comments-open" is said of an article, "comment" says what it is
+        return bool(SIDE_WORDS.intersection(names.lower().split())), True
+    main = main or bool(named & MAIN_WORDS)
+    if named & SIDE_WORDS or (named & HEADER_WORDS and not in_main and not main):
         return True, False
-    return False, main or bool(named & MAIN_WORDS)
+    return False, main
 
 
 class _Page:

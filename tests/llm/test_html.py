@@ -38,6 +38,8 @@ def test_cut_off_pages():
         ("<nav>only a menu</nav>", ""), ("<script>x", ""), ("a < b and b > c.", "a < b and b > c."), ("&lt;b&gt; stays.", "<b> stays."),
         ("<article><h1>T</h1><b>loose.<p>x</b> y.</article>", "T\n\nloose.\n\nx y."),
         ("<article><table><tr><td>a<td>b.<tr><td>c</table></article>", "a b.\n\nc"),
+        ('<article class="post comments-open"><p>Text, here.</p></article><article class="comment"><p>No, there.</p></article>', "Text, here."),
+        ('<div class="article-header"><h1>Title</h1></div><div class="header">Site</div><div class="article-body"><p>Text, here.</p></div>', "Title\n\nText, here."),
         ("<article><p>Text, here.</p><footer>By me.</footer></article><p>More text, there.</p>", "Text, here."),
     ],
 )
