@@ -266,17 +266,16 @@ class Encoder:
 
 
 def encoding(spark: SparkSession, model_path: str) -> Callable[[Column | str], Column]:
-    """A column function: text to (n_tokens, ids, decoded)."""
+    """A column function: text to (ids, decoded); the ids end with the end id."""
     shared = spark.sparkContext.broadcast(load(model_path))  # the vocabulary: some MB
 
-    @F.pandas_udf("n_tokens long, ids string, decoded string")
+    @F.pandas_udf("ids array<int>, decoded string")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(shared.value)  # what it remembers goes with the task
         for texts in batches:
             rows = list(encoder.encode_all(texts))
-            yield pd.DataFrame(
-                {"n_tokens": [i.count(" ") + 1 for i, _ in rows], "ids": [i for i, _ in rows], "decoded": [d for _, d in rows]}
-            )
+            ids = [np.array(i.split(), dtype=np.int32) for i, _ in rows]
+            yield pd.DataFrame({"ids": ids, "decoded": [d for _, d in rows]})
 
     return encode
 

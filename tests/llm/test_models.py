@@ -90,6 +90,13 @@ def test_language_kernel_counts_common_grams():
     assert np.allclose(kernel.max(axis=1), 1)
 
 
+def test_presence_of_long_texts_is_that_of_the_whole(monkeypatch):
+    text = "".join(random.Random(1).choice("abcé ßx") for _ in range(500))
+    whole, _ = langid.presence([text, "", "a"])
+    monkeypatch.setattr(langid, "CHARACTERS_AT_ONCE", 7)
+    assert (langid.presence([text, "", "a"])[0] == whole).all()
+
+
 def test_language_of_texts_that_were_held_out(spark, corpus):
     rows, _ = corpus
     got = {r.doc_id: r for r in langid.predict_documents(frame(spark, rows)).collect()}
