@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from millrace.llm.common import portions
+from millrace.session import materialise
 
 SAMPLE, PER_LANG = 3000, 600  # texts the model is fitted on, at most: in all and of one language
 LANDMARKS = 160
@@ -42,10 +43,14 @@ def letter_classes() -> np.ndarray:
 _classes: list[np.ndarray] = []
 
 
-def _class_of(text: str) -> np.ndarray:
+def _stretches(text: str) -> Iterator[np.ndarray]:
+    """Classes of a lower-cased text between two boundaries, in stretches that share two characters."""
     if not _classes:
         _classes.append(letter_classes())
-    return _classes[0][np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)]
+    text = f" {text.lower()} "
+    for i in range(0, max(1, len(text) - 2), CHARACTERS_AT_ONCE):
+        points = text[i : i + CHARACTERS_AT_ONCE + 2].encode("utf-32-le", "replace")
+        yield _classes[0][np.frombuffer(points, dtype=np.uint32)].astype(np.int32)
 
 
 def presence(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,15 +60,14 @@ def presence(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """
     rows = np.zeros((len(texts), GRAMS), dtype=np.uint8)
     lettered = np.zeros(len(texts), dtype=bool)
-    for row, text in zip(range(len(texts)), texts):
-        c = np.r_[np.uint8(0), _class_of(text or ""), np.uint8(0)].astype(np.int32)
-        lettered[row] = c.any()
-        two = c[:-1] * LETTERS + c[1:]
-        three = two[:-1] * LETTERS + c[2:]
-        here = rows[row]
-        here[c] = 1
-        here[LETTERS + two] = 1
-        here[LETTERS + LETTERS**2 + three] = 1
+    for k, text in enumerate(texts):
+        here = rows[k]
+        for c in _stretches(text or ""):
+            lettered[k] |= c.any()
+            two = c[:-1] * LETTERS + c[1:]
+            here[c] = 1
+            here[LETTERS + two] = 1
+            here[LETTERS + LETTERS**2 + two[:-1] * LETTERS + c[2:]] = 1
     return rows, lettered
 
 
@@ -140,7 +144,7 @@ def learned(docs: DataFrame) -> Model:
     usable = docs.filter(~held_out() & F.col("lang").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
     digest = F.md5(F.col("doc_id").cast("string"))
     ids = usable.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), digest.alias("place"))
-    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     share = F.conv(F.substring("place", 1, 8), 16, 10).cast("double") / 2**32
     few = ids.join(counts, "lang").filter(share < F.lit(2.0 * PER_LANG) / F.col("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "text_key"))
