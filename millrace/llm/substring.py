@@ -222,7 +222,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # equal segments are one piece with a weight; any of them can lend its words
     lend = [F.first(c).alias(c) for c in ("h1", "h2", "first", "windows")]
     distinct = materialise(occurrences.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("weight"), *lend), "distinct")
-    busy = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BUSY)
+    # few, and written, so that their size is known and the segments need not be shuffled to meet them
+    busy = materialise(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BUSY), "busy")
     marked = distinct.join(busy.select("anchor", F.lit(True).alias("busy")), "anchor", "left")
     wanted = F.struct("anchor", "segment", "weight", "first", "windows", F.coalesce("busy", F.lit(False)).alias("busy"))
     per_document = marked.groupBy("h1", "h2").agg(F.collect_list(wanted).alias("wanted"))
