@@ -6,6 +6,8 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.functions.ordering import sortable_columns
+
 # A word, wherever an operator speaks of words: a run of anything but these six spaces.
 # Fixed value, given by the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,21 +43,15 @@ def portions(lengths: Sequence[int], most: int) -> Iterator[slice]:
         yield slice(first, len(lengths))
 
 
-def with_text(rows: DataFrame, text: Column, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` from the struct ``doc``, with another text; ``n_chars`` follows it."""
-    new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return rows.select(*[(col_in_doc(c) if new.get(c) is None else new[c]).alias(c) for c in docs.columns])
-
-
-def col_in_doc(name: str) -> Column:
-    return F.col("doc")[name]
+def row_key(*more: str) -> Column:
+    """128 bits that stand for doc_id, text and ``more`` columns, never NULL; a null text counts as an empty one."""
+    parts = [F.coalesce(col(c).cast("string"), F.lit("null")) for c in ("doc_id", *more)]
+    return F.md5(F.concat(*[x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)], F.coalesce(F.col("text"), F.lit(""))))
 
 
-def row_key() -> Column:
-    """128 bits that stand for doc_id and text, never NULL; a null text counts as an empty one."""
-    return F.md5(
-        F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col("text"), F.lit("")))
-    )
+def copy_number(docs: DataFrame, key: str) -> Column:
+    """1, 2 ... for the rows of a key, in a fixed order of all their columns that can be hashed."""
+    return F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*[col(c) for c in sortable_columns(docs)])))
 
 
 def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -64,6 +60,5 @@ def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
     The one shuffle of whole rows serves both the join and the choice among repeated rows.
     """
     key, n = unused(docs, "_key"), unused(docs, "_n")
-    same = Window.partitionBy(key).orderBy(F.xxhash64(*[col(c) for c in docs.columns if c in ("doc_id", "text", "lang", "source")]))
     kept = docs.withColumn(key, row_key()).join(keys.select(F.col("row_key").alias(key)), key)
-    return kept.withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1).select(*[col(c) for c in docs.columns])
+    return kept.withColumn(n, copy_number(docs, key)).filter(F.col(n) == 1).select(*[col(c) for c in docs.columns])

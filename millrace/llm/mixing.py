@@ -16,15 +16,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from millrace.llm.common import WORD, col, with_text, words
+from millrace.llm.common import WORD, col, copy_number, row_key, unused, words
 from millrace.session import materialise
 
 BLOCK = 64  # words
 SHARD_WORDS = 1 << 20
 SHARD_ROWS = 1 << 16
-SHARD_BYTES = 1 << 24
 TIMES = 2  # how often a word may be taken
 
 
@@ -110,7 +109,7 @@ def _select(shard: pa.Table, block: int, seed: str) -> tuple[np.ndarray, np.ndar
     Returns their order in the table, the words taken from each, the passes over the whole
     shard, and what is taken once more: the positions of its words as first, end, first, end.
     """
-    order = np.lexsort([shard["text_key"].to_numpy(), shard["order"].to_numpy(zero_copy_only=False).astype(str)])
+    order = np.lexsort([shard[c].to_numpy().astype(str) for c in ("key", "order")])
     size = shard["size"].to_numpy()[order]
     end = np.cumsum(size)
     start = end - size
@@ -136,20 +135,20 @@ def _select(shard: pa.Table, block: int, seed: str) -> tuple[np.ndarray, np.ndar
 
 
 def _with_quotas(docs: DataFrame, weights: Sequence[float], share: float, block: int, seed: str) -> DataFrame:
-    """Every row as ``doc``, with its source's numbers, its shard, and the words the shard is to give."""
+    """A narrow row for every document: its key and size, its source's numbers, its shard, and the
+    words the shard is to give. Texts are read, not kept."""
     spark = docs.sparkSession
-    facts = docs.select(
-        F.col("source"),
-        word_count("text").alias("size"),
-        F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"))).alias("order"),
-        F.xxhash64("text").alias("text_key"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
-        F.struct(*[col(c) for c in docs.columns]).alias("doc"),
+    sized = materialise(
+        docs.select(
+            "doc_id",
+            "source",
+            word_count("text").alias("size"),
+            F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"))).alias("order"),
+            row_key("source").alias("key"),
+        ),
+        "sizes",
     )
-    # counts only: the texts are read again for the mix itself
-    sized = materialise(facts.drop("doc"), "sizes")
-    totals = (F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"))
-    per_source = sized.groupBy("source").agg(*totals).collect()
+    per_source = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")).collect()
     ordered = sorted(per_source, key=lambda r: (r.source is None, (r.source or "").encode("utf-8")))
     size = {i: r.words for i, r in enumerate(ordered)}
     wanted = targets(size, {i: weights[i % len(weights)] for i in size}, share * sum(size.values()))
@@ -157,15 +156,13 @@ def _with_quotas(docs: DataFrame, weights: Sequence[float], share: float, block:
     blocks = apportion(votes, round(sum(votes) / block), [-(-TIMES * size[i] // block) for i in size])
     plan = []
     for i, r in enumerate(ordered):
-        shards = max(1, -(-r.words // SHARD_WORDS), -(-r.rows // SHARD_ROWS), -(-r.bytes // SHARD_BYTES))
+        shards = max(1, -(-r.words // SHARD_WORDS), -(-r.rows // SHARD_ROWS))
         plan.append((r.source, i, int(r.words), float(wanted[i]), blocks[i], int(shards)))
     schema = "source string, number int, source_size long, target double, blocks long, shards int"
     sources = F.broadcast(spark.createDataFrame(plan, schema)).alias("s")  # one row per source
-
-    def placed(rows: DataFrame) -> DataFrame:
-        joined = rows.alias("d").join(sources, F.col("d.source").eqNullSafe(F.col("s.source")))
-        shard = (F.conv(F.substring("order", 1, 8), 16, 10).cast("long") % F.col("shards")).cast("int")
-        return joined.select("d.*", "number", "source_size", "target", "blocks", shard.alias("shard"))
+    joined = sized.alias("d").join(sources, F.col("d.source").eqNullSafe(F.col("s.source")))
+    shard = (F.conv(F.substring("order", 1, 8), 16, 10).cast("long") % F.col("shards")).cast("int")
+    placed = joined.select("doc_id", "size", "order", "key", "number", "source_size", "target", "blocks", shard.alias("shard"))
 
     def quotas(cells: pd.DataFrame) -> pd.DataFrame:
         """The blocks of one source, by the words of its shards."""
@@ -175,9 +172,9 @@ def _with_quotas(docs: DataFrame, weights: Sequence[float], share: float, block:
         cells["quota"] = [min(g * block, TIMES * t) for g, t in zip(got, total)]
         return cells[["number", "shard", "quota"]]
 
-    cells = placed(sized).groupBy("number", "shard", "blocks").agg(F.sum("size").alias("words"))
+    cells = placed.groupBy("number", "shard", "blocks").agg(F.sum("size").alias("words"))
     cells = cells.groupBy("number").applyInPandas(quotas, "number int, shard int, quota long")
-    return placed(facts).drop("source", "bytes", "blocks").join(cells, ["number", "shard"])
+    return placed.drop("blocks").join(cells, ["number", "shard"])
 
 
 def mix(
@@ -190,20 +187,28 @@ def mix(
     blocks times the block size. A null or empty text has size 0 and gives nothing; repeated
     rows are documents of their own; other columns are left out. Reruns agree.
 
-    The driver sees one row per source. A shard holds about a million words, 16 MB or
-    65,536 rows, so a source with a third of all rows is many shards.
+    The driver sees one row per source. A shard holds about a million words or 65,536 rows,
+    so a source with a third of all rows is many shards.
     """
-    rows = _with_quotas(docs.select("doc_id", "source", "text"), weights, share, block, seed)
-    rows = rows.withColumn("doc", F.struct("doc.doc_id"))
+    rows = _with_quotas(docs, weights, share, block, seed)
+    kept = ["doc_id", "size", "source_size", "target"]
 
     def select(shard: pa.Table) -> pa.Table:
         order, taken, _, _ = _select(shard, block, seed)
-        kept = shard.select(["doc", "size", "source_size", "target"]).take(pa.array(order))
-        return kept.append_column("taken", pa.array(taken, pa.int64()))
+        return shard.select(kept).take(pa.array(order)).append_column("taken", pa.array(taken, pa.int64()))
+
+    fields = StructType([rows.schema[c] for c in kept]).add("taken", "long")
+    return rows.groupBy("number", "shard").applyInArrow(select, fields)
+
 
-    fields = StructType([rows.schema[c] for c in ("doc", "size", "source_size", "target")]).add("taken", "long")
-    mixed = rows.groupBy("number", "shard").applyInArrow(select, fields)
-    return mixed.select("doc.doc_id", "size", "source_size", "target", "taken")
+@F.pandas_udf(StringType())
+def cut(texts: pd.Series, stretches: pd.Series) -> pd.Series:
+    """The words of a text at first, end, first, end ..., joined by one space."""
+    out = []
+    for text, pairs in zip(texts, stretches):
+        w = words(text)
+        out.append(b" ".join(x for a, b in zip(pairs[::2], pairs[1::2]) for x in w[a:b]).decode("utf-8", "replace"))
+    return pd.Series(out, dtype=object)
 
 
 def mixed_documents(
@@ -213,25 +218,34 @@ def mixed_documents(
 
     A document that is taken whole comes as it is, once for each time; a document of which
     some words are taken comes with these words, joined by one space, and ``n_chars``, where
-    there is such a column, counts them. Otherwise like ``mix``.
+    there is such a column, counts them. Otherwise like ``mix``. What is taken is decided on
+    narrow rows and meets the texts by a key, which shuffles them once.
     """
     rows = _with_quotas(docs, weights, share, block, seed)
+    fields = StructType([rows.schema["key"], StructField("passes", IntegerType()), StructField("stretches", ArrayType(LongType()))])
 
     def select(shard: pa.Table) -> pa.Table:
         order, _, passes, more = _select(shard, block, seed)
-        texts = shard["doc"].combine_chunks().field("text")
-        sizes = shard["size"].to_numpy()
-        at, new = [], []
-        for k, row in enumerate(order.tolist()):
-            whole = passes * int(sizes[row] > 0) + (more[k] == [0, sizes[row]])
-            at += [row] * whole
-            new += [None] * whole
-            if more[k] and more[k] != [0, sizes[row]]:
-                parts, w = more[k], words(texts[row].as_py())
-                at.append(row)
-                new.append(b" ".join(x for a, b in zip(parts[::2], parts[1::2]) for x in w[a:b]).decode("utf-8", "replace"))
-        kept = shard.select(["doc"]).take(pa.array(at, pa.int64()))
-        return kept.append_column("part", pa.array(new, pa.string()))
-
-    mixed = rows.groupBy("number", "shard").applyInArrow(select, StructType([rows.schema["doc"]]).add("part", "string"))
-    return with_text(mixed, F.coalesce("part", "doc.text"), docs)
+        size = shard["size"].to_numpy()[order].tolist()
+        whole = [passes * (n > 0) + (m == [0, n]) for n, m in zip(size, more)]
+        part = [[] if m == [0, n] else m for n, m in zip(size, more)]
+        chosen = shard.select(["key"]).take(pa.array(order))
+        chosen = chosen.append_column("passes", pa.array(whole, pa.int32()))
+        return chosen.append_column("stretches", pa.array(part, pa.list_(pa.int64())))
+
+    chosen = rows.groupBy("number", "shard").applyInArrow(select, fields).filter((F.col("passes") > 0) | (F.size("stretches") > 0))
+    # rows that are alike share a key; which of them gets which part makes no difference
+    chosen = chosen.groupBy("key").agg(F.collect_list(F.struct("passes", "stretches")).alias("parts"))
+    key, parts, n, text = (unused(docs, c) for c in ("_key", "_parts", "_n", "_text"))
+    numbered = docs.withColumn(key, row_key("source")).withColumn(n, copy_number(docs, key))
+    joined = numbered.join(chosen.select(F.col("key").alias(key), F.col("parts").alias(parts)), key)
+    own = F.get(col(parts), col(n) - 1)
+    joined = joined.withColumn(parts, own).filter(col(parts).isNotNull())
+    some = F.when(F.size(col(parts)["stretches"]) > 0, F.array(cut("text", col(parts)["stretches"])))
+    whole = F.array_repeat(F.lit(None).cast("string"), col(parts)["passes"])
+    taken = joined.withColumn(text, F.explode(F.concat(whole, F.coalesce(some, F.array().cast("array<string>")))))
+    new = {"text": F.coalesce(col(text), F.col("text"))}
+    if "n_chars" in docs.columns:
+        length = F.length(col(text)).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(col(text).isNotNull(), length).otherwise(F.col("n_chars"))
+    return taken.select(*[new.get(c, col(c)).alias(c) for c in docs.columns])

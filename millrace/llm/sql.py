@@ -23,12 +23,12 @@ def mix(weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, block: int = m
 
     return f"""
 with recursive sized as (
-  select doc_id, source, len({WORDS})::bigint as size, coalesce(octet_length(encode(text)), 0) as bytes,
+  select doc_id, source, len({WORDS})::bigint as size,
          md5(concat_ws('/', '{seed}', doc_id::varchar)) as o, text
   from documents
 ), per_source as (
   select *, row_number() over (order by source is null, encode(source)) - 1 as number from (
-    select source, sum(size)::bigint as words, count(*) as rows, sum(bytes)::bigint as bytes from sized group by source)
+    select source, sum(size)::bigint as words, count(*) as rows from sized group by source)
 ), weighed as (select *, {weight}::double as weight from per_source
 ), rounds as (
   select number, words, weight, {share} * sum(words) over () as total, {share} * sum(words) over () as unfixed,
@@ -46,7 +46,7 @@ with recursive sized as (
   from rounds where round = (select count(*) from per_source)
 ), sources as (
   select w.*, t.target,
-         greatest(1, -(-words // {mixing.SHARD_WORDS}), -(-rows // {mixing.SHARD_ROWS}), -(-bytes // {mixing.SHARD_BYTES})) as shards
+         greatest(1, -(-words // {mixing.SHARD_WORDS}), -(-rows // {mixing.SHARD_ROWS})) as shards
   from weighed w join targets t using (number)
 ), source_votes as (
   select 0 as everything, number as party, target as votes, words, round_even((sum(target) over ()) / {block}, 0)::bigint as seats from sources

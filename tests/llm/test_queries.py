@@ -155,3 +155,16 @@ def test_stages_take_odd_rows(spark, odd_rows, odd_docs, no_docs):
             if name != "sentencepiece":
                 assert got.columns == docs.columns
             assert (got.count() > 0) == (docs is odd_docs)
+
+
+def test_stages_keep_columns_of_any_type(spark):
+    """Maps, structs, binary, long numbers beside nulls: every stage gives them back as they were."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr(
+        "*", "map('a', doc_id) as m", "named_struct('text', doc_id, 'p', array(1, null)) as st", "X'0102' as b",
+        "if(doc_id % 2 = 0, 1152921504606846977L, null) as big", "timestamp_ntz'2024-01-01 00:00:00' as ts", "1.5 as d",
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.schema.simpleString() == docs.schema.simpleString(), name
+        kept = "m['a'] = doc_id and st.text = doc_id and (big = 1152921504606846977L or doc_id % 2 = 1)"
+        assert got.selectExpr("count(*) > 0", f"every({kept})").first() == (True, True), name
