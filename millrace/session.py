@@ -61,15 +61,16 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, *, few_files: bool = False) -> DataFrame:
     """Write to a fresh table in the shared folder and read it back.
 
     For a result that feeds several branches of a plan: it is computed once, a lost
     executor does not bring it back, and its file size tells the optimizer whether it
-    may be broadcast.
+    may be broadcast. With ``few_files`` the narrow result of a wide scan is rebalanced into
+    files of full size instead of a small one per task.
     """
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.hint("rebalance") if few_files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
