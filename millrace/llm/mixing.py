@@ -147,6 +147,7 @@ def _with_quotas(docs: DataFrame, weights: Sequence[float], share: float, block:
             row_key("source").alias("key"),
         ),
         "sizes",
+        few_files=True,
     )
     per_source = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")).collect()
     ordered = sorted(per_source, key=lambda r: (r.source is None, (r.source or "").encode("utf-8")))

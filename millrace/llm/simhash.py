@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
     rows are rows of one component; other columns are left out.
     """
     made = docs.select("doc_id", row_key().alias("row_key"), fingerprint_of("text").alias("code"))
-    made = materialise(made, "fingerprints")
+    made = materialise(made, "fingerprints", few_files=True)
     codes = materialise(made.groupBy("code").agg(F.min("doc_id").alias("least")), "codes")
     roots = materialise(components(links(codes.select("code"), bits)), "roots")
     joined = codes.join(roots.withColumnRenamed("node", "code"), "code", "left").withColumn("root", F.coalesce("root", "code"))

@@ -107,6 +107,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> tu
             slot_of("doc_id", slots).alias("virtual_slot"),
         ),
         "sized",
+        few_files=True,
     )
     now = first_map(spark, shards, slots)
     versions = now.unionByName(grow(now, shards)).join(load_of(sized), "virtual_slot", "left")
