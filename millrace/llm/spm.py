@@ -24,9 +24,9 @@ from millrace.llm.common import portions
 
 SPACE = "▁"  # how the model writes a space
 NONE = np.int64(1) << 40  # rank of a pair that is no piece
-WORDS_KEPT = 250_000  # distinct words a task remembers before it starts anew
+WORDS_KEPT = 150_000  # distinct words a task remembers before it starts anew
 SYMBOLS_AT_ONCE = 1 << 18
-CHARACTERS_AT_ONCE = 1 << 21
+CHARACTERS_AT_ONCE = 1 << 20
 
 
 @dataclass
