@@ -3,8 +3,10 @@
 A page is read into blocks of text, each with its path of tags from the root. For every
 path, text without links and punctuation are counted per block; both ratios are smoothed
 over the tree of paths, fused, and the paths above a share of the best are the content.
-Parts of a page that say what they are (navigation, footer, adverts, forms, comments and
-so on) never become blocks.
+Parts of a page that say what they are by their tag or role (navigation, footer, forms and
+so on) never become blocks. Parts that say so by name are left out if the whole name is such a
+word, unless they hold a main part or nothing else is left; a name that merely contains the
+word weighs less.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ SIDE_WORDS = frozenset(
     "comment comments commentlist reply replies respond disqus feedback".split()
 )
 HEADER_WORDS = frozenset("header head".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LEAVES = HEADINGS | frozenset("p li dt dd pre blockquote figcaption caption td th tr".split())  # elements of text, not parts of a page
 MAIN_TAGS = frozenset("article main".split())
 MAIN_WORDS = frozenset("article main content post entry story maincontent".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？؟،]")
@@ -53,7 +57,11 @@ CLOSES = {
     "option": (("option",), ("select",)),
 }
 
-MAIN_WEIGHT, LEAST_SHARE, FADING = 10.0, 0.2, 0.5
+MAIN_WEIGHT, SIDE_WEIGHT, LEAST_SHARE, FADING = 10.0, 0.3, 0.2, 0.5
+SIDE_SHARE = 1 / 3  # a part with more of the page's unlinked text is no side part, whatever its name contains
+
+# How an element is left out: not at all, weighing less, by its name, for good.
+KEPT, WEAK, NAMED, GONE = range(4)
 
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
@@ -67,32 +75,43 @@ WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _part(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
-    """Whether an element is left out, and whether it is a main part."""
+def _part(tag: str, attributes: str, in_main: bool) -> tuple[int, bool, bool]:
+    """How an element is left out, whether it is a main part, and whether what holds it is to stay."""
     if tag in LEFT_OUT or (tag == "header" and not in_main):
-        return True, False
+        return GONE, False, False
     main = tag in MAIN_TAGS
     if not attributes or attributes.isspace():
-        return False, main
+        return KEPT, main, main
     found = {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
     if re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", ATTRIBUTE.sub(" ", attributes)) or "hidden" in found:
-        return True, False
+        return GONE, False, False
     if found.get("aria-hidden", "").lower() == "true" or HIDDEN.search(found.get("style", "")):
-        return True, False
+        return GONE, False, False
     role = found.get("role", "").lower()
     if role in ROLES:
-        return True, False
-    main = main or role in ("main", "article")
+        return GONE, False, False
     if tag in ("html", "body"):
-        return False, False
-    names = found.get("class", "") + " " + found.get("id", "")
-    named = {w.lower() for w in WORDS.findall(names)}
-    if tag in MAIN_TAGS:  # "comments-open" is said of an article, "comment" says what it is
-        return bool(SIDE_WORDS.intersection(names.lower().split())), True
-    main = main or bool(named & MAIN_WORDS)
-    if named & SIDE_WORDS or (named & HEADER_WORDS and not in_main and not main):
-        return True, False
-    return False, main
+        return KEPT, False, False
+    of_class, of_id = found.get("class", ""), found.get("id", "")
+    whole = set(f"{of_class} {of_id}".lower().split())
+    named = {w.lower() for w in WORDS.findall(f"{of_class} {of_id}")}
+    if tag == "main" or role == "main":
+        return KEPT, True, True
+    if tag == "article" or role == "article":  # "comments-open" is said of an article, "comment" says what it is
+        if whole & SIDE_WORDS:
+            return NAMED, True, False
+        return KEPT, True, not named & SIDE_WORDS or bool(named & MAIN_WORDS)
+    main = bool(named & MAIN_WORDS)
+    if tag in INLINE or tag in HEADINGS:
+        return KEPT, main, False
+    header = HEADER_WORDS if not in_main and not main else frozenset()
+    if whole & SIDE_WORDS or whole & header:
+        return NAMED, main, False
+    if tag in LEAVES:
+        return KEPT, main, False
+    if tag == "section" or in_main:  # an id made of words is the address of what is said there
+        named = {w.lower() for w in WORDS.findall(of_class)}
+    return (WEAK if named & SIDE_WORDS or named & header else KEPT), main, False
 
 
 class _Page:
@@ -100,10 +119,11 @@ class _Page:
 
     def __init__(self) -> None:
         self.parent, self.child = [-1], {}  # the tree of paths; 0 is the root
-        self.main_path = [False]
-        self.blocks: list[tuple[int, str, int]] = []
-        # open elements: tag, path, left out, main part, link, block
-        self.open: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+        self.main_path, self.weak_path = [False], [False]
+        self.names: list[list] = []  # elements left out by name: the one around it, whether it is to stay
+        self.blocks: list[tuple[int, str, int, int]] = []  # and the nearest of names, or -1
+        # open elements: tag, path, gone, main part, link, nearest of names
+        self.open: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, -1)]
         self.count: dict[str, int] = {}
         self.text: list[str] = []
         self.linked = 0
@@ -112,7 +132,7 @@ class _Page:
         if self.text:
             text = " ".join(entities.unescape("".join(self.text)).split())
             if text:
-                self.blocks.append((self.open[-1][1], text, min(self.linked, len(text))))
+                self.blocks.append((self.open[-1][1], text, min(self.linked, len(text)), self.open[-1][5]))
             self.text, self.linked = [], 0
 
     def add(self, raw: str) -> None:
@@ -134,20 +154,41 @@ class _Page:
             self.close(("p",), ("article", "section", "td", "th", "button", "table", "blockquote", "li", "div"))
         if tag in VOID:
             return
-        _, path, out, main, link = self.open[-1]
+        _, path, out, main, link, name = self.open[-1]
+        how = KEPT
         if not out:
-            left, here = _part(tag, attributes, main)
-            out, main = left, main or here
+            how, here, holds = _part(tag, attributes, main)
+            out, main = how == GONE, main or here
+            if holds:
+                self.stay(name)
+            if how == NAMED:
+                self.flush()
+                self.names.append([name, False])
+                name = len(self.names) - 1
         if tag not in INLINE and tag not in CELLS and not out:
-            key = (path, tag, main)
+            key = (path, tag, main, how)
             if key not in self.child:
                 self.child[key] = len(self.parent)
                 self.parent.append(path)
                 self.main_path.append(main)
+                # None: a main element is never part of a weak one
+                self.weak_path.append(None if tag == "main" else how in (WEAK, NAMED))
             path = self.child[key]
-        self.open.append((tag, path, out, main, link or tag == "a"))
+        self.open.append((tag, path, out, main, link or tag == "a", name))
         self.count[tag] = self.count.get(tag, 0) + 1
 
+    def stay(self, name: int) -> None:
+        """Elements left out by name that hold a main part are to stay."""
+        while name >= 0 and not self.names[name][1]:
+            self.names[name][1] = True
+            name = self.names[name][0]
+
+    def left(self, name: int) -> bool:
+        """Whether a block is left out by the name of an element around it."""
+        while name >= 0 and self.names[name][1]:
+            name = self.names[name][0]
+        return name >= 0
+
     def close(self, which: tuple[str, ...], until: tuple[str, ...]) -> None:
         """Close the nearest open element of ``which`` unless one of ``until`` is nearer."""
         if not any(self.count.get(t) for t in which):
@@ -161,6 +202,8 @@ class _Page:
                 return
 
     def cut(self, i: int) -> None:
+        if self.open[-1][5] != self.open[i - 1][5]:
+            self.flush()
         for tag, *_ in self.open[i:]:
             self.count[tag] -= 1
         del self.open[i:]
@@ -217,16 +260,28 @@ def _smooth(values: list[float], parent: list[int]) -> list[float]:
     return out
 
 
-def main_text(page: str | None) -> str:
-    """The blocks of the content paths, in page order, joined by two line feeds."""
-    if not page:
-        return ""
-    found = read(page)
-    if not found.blocks:
-        return ""
+def _weak(found: _Page, blocks: list[tuple[int, str, int, int]]) -> list[bool]:
+    """Which paths weigh less: below a name that contains a side word, without much of the text."""
+    held = [0] * len(found.parent)
+    for path, text, link, _ in blocks:
+        held[path] += len(text) - link
+    for i in range(len(held) - 1, 0, -1):
+        held[found.parent[i]] += held[i]
+    weak = [False] * len(held)
+    for i in range(1, len(held)):
+        own = found.weak_path[i]
+        weak[i] = own is not None and (weak[found.parent[i]] or (own and held[i] < SIDE_SHARE * held[0]))
+    return weak
+
+
+def _chosen(found: _Page, all_blocks: list[tuple[int, str, int, int]]) -> list[str]:
+    """The texts of the blocks whose path reaches a share of the best."""
+    if not all_blocks:
+        return []
     n = len(found.parent)
+    weak = _weak(found, all_blocks)
     blocks, length, linked, marks = [0] * n, [0] * n, [0] * n, [0] * n
-    for path, text, link in found.blocks:
+    for path, text, link, _ in all_blocks:
         blocks[path] += 1
         length[path] += len(text)
         linked[path] += link
@@ -236,11 +291,23 @@ def main_text(page: str | None) -> str:
     fused = []
     for i in range(n):
         share = linked[i] / length[i] if length[i] else 0.0
-        weight = MAIN_WEIGHT if found.main_path[i] else 1.0
+        weight = (MAIN_WEIGHT if found.main_path[i] else 1.0) * (SIDE_WEIGHT if weak[i] else 1.0)
         # no punctuation anywhere still leaves the text ratio
         fused.append(weight * (1 - share) ** 2 * math.log1p(text_ratio[i]) * math.log1p(0.5 + mark_ratio[i]))
     least = LEAST_SHARE * max(f for f, b in zip(fused, blocks) if b)
-    return "\n\n".join(text for path, text, _ in found.blocks if fused[path] >= least and fused[path] > 0)
+    return [text for path, text, *_ in all_blocks if fused[path] >= least and fused[path] > 0]
+
+
+def main_text(page: str | None) -> str:
+    """The blocks of the content paths, in page order, joined by two line feeds.
+
+    What is left out by name counts only if nothing else is found.
+    """
+    if not page:
+        return ""
+    found = read(page)
+    kept = [b for b in found.blocks if not found.left(b[3])]
+    return "\n\n".join(_chosen(found, kept) or _chosen(found, found.blocks))
 
 
 @F.pandas_udf(StringType())

@@ -72,3 +72,29 @@ def test_odd_rows(spark):
     got = sorted(map(tuple, extract(df).collect()), key=str)
     assert got == sorted([(1, "u", "", 0), (1, "u", "", 0), (None, None, "x, y.", 5), (2, "", "", 0)], key=str)
     assert extract(df.limit(0)).count() == 0
+
+
+LONG = "One sentence, of some words, that goes on for a while; it ends here. " * 3
+BODY = f"<p>{LONG}</p><p>{LONG}</p>"
+WHOLE = f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<div class="content-sidebar-wrap"><main><article>{BODY}</article></main></div><p>Site, rights.</p>', WHOLE),
+        (f'<div id="page" class="has-sidebar"><div>{BODY}</div></div>', WHOLE),
+        (f'<div class="rail"><main>{BODY}</main></div><p>Site, rights.</p>', WHOLE),
+        (f'<div class="overlay"><article>{BODY}</article></div>', WHOLE),
+        (f'<div class="modal">{BODY}</div><p><a href=1>Home</a></p>', WHOLE),
+        (f'<article>{BODY}<section id="search-algorithms"><h2 id="related-work">Work</h2><p id="notice-period">Short, so.</p></section></article>',
+         f"{WHOLE}\n\nWork\n\nShort, so."),
+        (f'<article>{BODY}<p>We <span class="alert">must not</span> fail.</p><pre>x = 1 <span class="hljs-comment"># one</span></pre></article>',
+         f"{WHOLE}\n\nWe must not fail.\n\nx = 1 # one"),
+        (f'<div>{BODY}</div><div class="related">{LONG}</div><div class="cookie-bar">Cookies, here.</div>', WHOLE),
+        (f'<div>{BODY}</div><div id="comments"><article class="comment-body"><p>{LONG}</p></article></div>', WHOLE),
+        ('<article><table><tr><td class="menu">a.<td>b, c.</table></article>', "b, c."),
+    ],
+)
+def test_names_of_parts(page, text):
+    assert main_text(page) == text
