@@ -58,10 +58,14 @@ CLOSES = {
 }
 
 MAIN_WEIGHT, SIDE_WEIGHT, LEAST_SHARE, FADING = 10.0, 0.3, 0.2, 0.5
+# Shares of the unlinked text from which main parts weigh more: by their tag, or with those by name.
+TAG_SHARE, NAME_SHARE = 1 / 3, 1 / 2
 SIDE_SHARE = 1 / 3  # a part with more of the page's unlinked text is no side part, whatever its name contains
 
 # How an element is left out: not at all, weighing less, by its name, for good.
 KEPT, WEAK, NAMED, GONE = range(4)
+# What made a path a main part: nothing, its tag or role, the name of a part, the name of one block.
+NONE, TAG, NAME, LEAF = range(4)
 
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
@@ -75,33 +79,33 @@ WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _part(tag: str, attributes: str, in_main: bool) -> tuple[int, bool, bool]:
-    """How an element is left out, whether it is a main part, and whether what holds it is to stay."""
+def _part(tag: str, attributes: str, in_main: bool) -> tuple[int, int, bool]:
+    """How an element is left out, what makes it a main part, and whether what holds it is to stay."""
     if tag in LEFT_OUT or (tag == "header" and not in_main):
-        return GONE, False, False
-    main = tag in MAIN_TAGS
+        return GONE, NONE, False
     if not attributes or attributes.isspace():
-        return KEPT, main, main
+        main = tag in MAIN_TAGS
+        return KEPT, TAG if main else NONE, main
     found = {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
     if re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", ATTRIBUTE.sub(" ", attributes)) or "hidden" in found:
-        return GONE, False, False
+        return GONE, NONE, False
     if found.get("aria-hidden", "").lower() == "true" or HIDDEN.search(found.get("style", "")):
-        return GONE, False, False
+        return GONE, NONE, False
     role = found.get("role", "").lower()
     if role in ROLES:
-        return GONE, False, False
+        return GONE, NONE, False
     if tag in ("html", "body"):
-        return KEPT, False, False
+        return KEPT, NONE, False
     of_class, of_id = found.get("class", ""), found.get("id", "")
     whole = set(f"{of_class} {of_id}".lower().split())
     named = {w.lower() for w in WORDS.findall(f"{of_class} {of_id}")}
     if tag == "main" or role == "main":
-        return KEPT, True, True
+        return KEPT, TAG, True
     if tag == "article" or role == "article":  # "comments-open" is said of an article, "comment" says what it is
         if whole & SIDE_WORDS:
-            return NAMED, True, False
-        return KEPT, True, not named & SIDE_WORDS or bool(named & MAIN_WORDS)
-    main = bool(named & MAIN_WORDS)
+            return NAMED, TAG, False
+        return KEPT, TAG, not named & SIDE_WORDS or bool(named & MAIN_WORDS)
+    main = NONE if tag in INLINE or not named & MAIN_WORDS else LEAF if tag in LEAVES else NAME
     if tag in INLINE or tag in HEADINGS:
         return KEPT, main, False
     header = HEADER_WORDS if not in_main and not main else frozenset()
@@ -119,11 +123,11 @@ class _Page:
 
     def __init__(self) -> None:
         self.parent, self.child = [-1], {}  # the tree of paths; 0 is the root
-        self.main_path, self.weak_path = [False], [False]
+        self.main_path, self.weak_path = [NONE], [False]
         self.names: list[list] = []  # elements left out by name: the one around it, whether it is to stay
         self.blocks: list[tuple[int, str, int, int]] = []  # and the nearest of names, or -1
         # open elements: tag, path, gone, main part, link, nearest of names
-        self.open: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, -1)]
+        self.open: list[tuple[str, int, bool, int, bool, int]] = [("", 0, False, NONE, False, -1)]
         self.count: dict[str, int] = {}
         self.text: list[str] = []
         self.linked = 0
@@ -157,8 +161,9 @@ class _Page:
         _, path, out, main, link, name = self.open[-1]
         how = KEPT
         if not out:
-            how, here, holds = _part(tag, attributes, main)
-            out, main = how == GONE, main or here
+            how, here, holds = _part(tag, attributes, bool(main))
+            # the tag says more than a name, a part more than a block
+            out, main = how == GONE, min(main, here) if main and here else main or here
             if holds:
                 self.stay(name)
             if how == NAMED:
@@ -274,12 +279,33 @@ def _weak(found: _Page, blocks: list[tuple[int, str, int, int]]) -> list[bool]:
     return weak
 
 
+def _main(found: _Page, blocks: list[tuple[int, str, int, int]], weak: list[bool]) -> bool:
+    """Whether main parts hold enough of the unlinked text to weigh more.
+
+    Blocks that are marked by themselves, and a named part of a single block, do not count.
+    """
+    top, held, count = list(range(len(found.parent))), [0] * len(found.parent), [0] * len(found.parent)
+    for i in range(1, len(top)):
+        if found.main_path[i] == found.main_path[found.parent[i]] != NONE:
+            top[i] = top[found.parent[i]]
+    whole = 0
+    for path, text, link, _ in blocks:
+        if not weak[path]:
+            whole += len(text) - link
+            held[top[path]] += len(text) - link
+            count[top[path]] += 1
+    tags = sum(h for h, m in zip(held, found.main_path) if m == TAG)
+    names = sum(h for h, m, c in zip(held, found.main_path, count) if m == NAME and c > 1)
+    return bool(tags + names) and (tags >= TAG_SHARE * whole or tags + names >= NAME_SHARE * whole)
+
+
 def _chosen(found: _Page, all_blocks: list[tuple[int, str, int, int]]) -> list[str]:
     """The texts of the blocks whose path reaches a share of the best."""
     if not all_blocks:
         return []
     n = len(found.parent)
     weak = _weak(found, all_blocks)
+    heavy = _main(found, all_blocks, weak)
     blocks, length, linked, marks = [0] * n, [0] * n, [0] * n, [0] * n
     for path, text, link, _ in all_blocks:
         blocks[path] += 1
@@ -291,10 +317,12 @@ def _chosen(found: _Page, all_blocks: list[tuple[int, str, int, int]]) -> list[s
     fused = []
     for i in range(n):
         share = linked[i] / length[i] if length[i] else 0.0
-        weight = (MAIN_WEIGHT if found.main_path[i] else 1.0) * (SIDE_WEIGHT if weak[i] else 1.0)
+        weight = (MAIN_WEIGHT if heavy and found.main_path[i] else 1.0) * (SIDE_WEIGHT if weak[i] else 1.0)
         # no punctuation anywhere still leaves the text ratio
         fused.append(weight * (1 - share) ** 2 * math.log1p(text_ratio[i]) * math.log1p(0.5 + mark_ratio[i]))
-    least = LEAST_SHARE * max(f for f, b in zip(fused, blocks) if b)
+    # a block that is marked by itself does not set the bound for others
+    bound = [f for f, b, m in zip(fused, blocks, found.main_path) if b and not (heavy and m == LEAF)]
+    least = LEAST_SHARE * max(bound)
     return [text for path, text, *_ in all_blocks if fused[path] >= least and fused[path] > 0]
 
 

@@ -98,3 +98,17 @@ WHOLE = f"{LONG.strip()}\n\n{LONG.strip()}"
 )
 def test_names_of_parts(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<p class="article-lead">Lead, here. {LONG}</p>{BODY}', f"Lead, here. {LONG.strip()}\n\n{WHOLE}"),
+        (f'<div><p class="story-intro">{LONG}</p><p>Body, all of it. And more, here.</p></div>', f"{LONG.strip()}\n\nBody, all of it. And more, here."),
+        (f'<div class="entry">Lead, here.</div>{BODY}', f"Lead, here.\n\n{WHOLE}"),
+        (f'<h1 class="post-title">Title</h1><div class="post-body">{BODY}</div><p>Site, rights.</p>', f"Title\n\n{WHOLE}"),
+        (f'<div class="post-body">{BODY}</div><p>Site, rights.</p>', WHOLE),
+    ],
+)
+def test_one_marked_block(page, text):
+    assert main_text(page) == text
