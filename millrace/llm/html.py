@@ -3,8 +3,8 @@
 A page is read into blocks of text, each with its path of tags from the root. For every
 path, text without links and punctuation are counted per block; both ratios are smoothed
 over the tree of paths, fused, and the paths above a share of the best are the content.
-Parts of a page that say what they are by their tag or role (navigation, footer, forms and
-so on) never become blocks. Parts that say so by name are left out if the whole name is such a
+Parts of a page that say what they are by their tag or role (navigation, footer, fields and
+so on) never become blocks, nor do forms that are short or made of fields. Parts that say so by name are left out if the whole name is such a
 word, unless they hold a main part or nothing else is left; a name that merely contains the
 word weighs less.
 """
@@ -22,16 +22,21 @@ from pyspark.sql.types import StringType
 
 # HTML's elements by what they mean for text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
-INLINE = frozenset(
+RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg".split())
+MATH = frozenset(
+    "math mrow mi mo mn ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split()
+)
+APART = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts mtr mlabeledtr mtable".split())  # 1 2 is not 12
+INLINE = MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img br".split()
 )
 CELLS = frozenset("td th".split())  # cells of a row are one block
 LEFT_OUT = frozenset(
-    "head nav footer aside form button select datalist object canvas video audio dialog menu map frameset applet".split()
+    "head nav footer aside button select annotation annotation-xml datalist object canvas video audio dialog menu map frameset applet".split()
 )
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 # Words of class and id.
 SIDE_WORDS = frozenset(
     "nav navbar navigation menu menus submenu breadcrumb breadcrumbs pagination pager topbar toolbar masthead footer foot "
@@ -62,8 +67,10 @@ MAIN_WEIGHT, SIDE_WEIGHT, LEAST_SHARE, FADING = 10.0, 0.3, 0.2, 0.5
 TAG_SHARE, NAME_SHARE = 1 / 3, 1 / 2
 SIDE_SHARE = 1 / 3  # a part with more of the page's unlinked text is no side part, whatever its name contains
 
-# How an element is left out: not at all, weighing less, by its name, for good.
-KEPT, WEAK, NAMED, GONE = range(4)
+# A form is kept if it has so many characters outside links, or half of the page's, and so many for each field.
+FORM_TEXT, FIELD_TEXT = 250, 40
+# How an element is left out: not at all, weighing less, as a form, by its name, for good.
+KEPT, WEAK, FORM, NAMED, GONE = range(5)
 # What made a path a main part: nothing, its tag or role, the name of a part, the name of one block.
 NONE, TAG, NAME, LEAF = range(4)
 
@@ -76,6 +83,14 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
+# What ends an svg, or shows that it was never closed: elements of a page, outside foreignObject.
+SVG = re.compile(
+    r"</svg(?=[\s/>]|\Z)[^>]*(?:>|\Z)|<foreignObject(?=[\s/>])"
+    r"|</?(?:p|div|h[1-6]|ul|ol|li|dl|dt|dd|table|tbody|tr|td|th|pre|blockquote|section|article|main|aside|nav|header|footer|form"
+    r"|button|label|span|b|i|em|strong|code|center|figure|hr|br|img|body|html)(?=[\s/>])",
+    re.I,
+)
+FOREIGN_END = re.compile(r"</foreignObject\s*>", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -85,7 +100,7 @@ def _part(tag: str, attributes: str, in_main: bool) -> tuple[int, int, bool]:
         return GONE, NONE, False
     if not attributes or attributes.isspace():
         main = tag in MAIN_TAGS
-        return KEPT, TAG if main else NONE, main
+        return FORM if tag == "form" else KEPT, TAG if main else NONE, main
     found = {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
     if re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", ATTRIBUTE.sub(" ", attributes)) or "hidden" in found:
         return GONE, NONE, False
@@ -96,8 +111,11 @@ def _part(tag: str, attributes: str, in_main: bool) -> tuple[int, int, bool]:
         return GONE, NONE, False
     if tag in ("html", "body"):
         return KEPT, NONE, False
+    form = tag == "form" or role == "form"
     of_class, of_id = found.get("class", ""), found.get("id", "")
     whole = set(f"{of_class} {of_id}".lower().split())
+    if form:
+        return NAMED if whole & SIDE_WORDS - {"form"} else FORM, NONE, False
     named = {w.lower() for w in WORDS.findall(f"{of_class} {of_id}")}
     if tag == "main" or role == "main":
         return KEPT, TAG, True
@@ -124,7 +142,8 @@ class _Page:
     def __init__(self) -> None:
         self.parent, self.child = [-1], {}  # the tree of paths; 0 is the root
         self.main_path, self.weak_path = [NONE], [False]
-        self.names: list[list] = []  # elements left out by name: the one around it, whether it is to stay
+        # elements left out by name and forms: the one around it, whether it holds a main part, fields of a form or None
+        self.names: list[list] = []
         self.blocks: list[tuple[int, str, int, int]] = []  # and the nearest of names, or -1
         # open elements: tag, path, gone, main part, link, nearest of names
         self.open: list[tuple[str, int, bool, int, bool, int]] = [("", 0, False, NONE, False, -1)]
@@ -147,7 +166,7 @@ class _Page:
                 self.linked += len(raw)
 
     def start(self, tag: str, attributes: str) -> None:
-        if tag == "br" or tag in CELLS:
+        if tag == "br" or tag in CELLS or (tag in MATH and self.open[-1][0] in APART):
             self.add(" ")
         elif tag not in INLINE:
             self.flush()
@@ -156,7 +175,9 @@ class _Page:
             self.close(which, until)
         if tag not in INLINE and self.count.get("p"):
             self.close(("p",), ("article", "section", "td", "th", "button", "table", "blockquote", "li", "div"))
-        if tag in VOID:
+        if tag in ("input", "select", "button"):
+            self.field(attributes)
+        if tag in VOID or (tag in MATH and attributes.endswith("/")):
             return
         _, path, out, main, link, name = self.open[-1]
         how = KEPT
@@ -164,11 +185,13 @@ class _Page:
             how, here, holds = _part(tag, attributes, bool(main))
             # the tag says more than a name, a part more than a block
             out, main = how == GONE, min(main, here) if main and here else main or here
+            if tag == "label" and self.form() >= 0:
+                how, out = GONE, True
             if holds:
                 self.stay(name)
-            if how == NAMED:
+            if how in (FORM, NAMED):
                 self.flush()
-                self.names.append([name, False])
+                self.names.append([name, False, 0 if how == FORM else None])
                 name = len(self.names) - 1
         if tag not in INLINE and tag not in CELLS and not out:
             key = (path, tag, main, how)
@@ -177,7 +200,7 @@ class _Page:
                 self.parent.append(path)
                 self.main_path.append(main)
                 # None: a main element is never part of a weak one
-                self.weak_path.append(None if tag == "main" else how in (WEAK, NAMED))
+                self.weak_path.append(None if tag == "main" else how in (WEAK, FORM, NAMED))
             path = self.child[key]
         self.open.append((tag, path, out, main, link or tag == "a", name))
         self.count[tag] = self.count.get(tag, 0) + 1
@@ -188,11 +211,35 @@ class _Page:
             self.names[name][1] = True
             name = self.names[name][0]
 
-    def left(self, name: int) -> bool:
-        """Whether a block is left out by the name of an element around it."""
-        while name >= 0 and self.names[name][1]:
+    def form(self) -> int:
+        """The nearest form around, or -1."""
+        name = self.open[-1][5]
+        while name >= 0 and self.names[name][2] is None:
             name = self.names[name][0]
-        return name >= 0
+        return name
+
+    def field(self, attributes: str) -> None:
+        form = self.form()
+        if form >= 0 and not re.search(r"type\s*=\s*[\"']?hidden", attributes, re.I):
+            self.names[form][2] += 1
+
+    def kept(self, by_name: bool) -> list[tuple[int, str, int, int]]:
+        """The blocks outside forms that are short or made of fields and, if so wished, outside what is left out by name."""
+        held = [0] * (len(self.names) + 1)  # the last is the page
+        for _, text, link, name in self.blocks:
+            held[name] += len(text) - link
+        whole, stay = sum(held), [True] * len(held)
+        for i in range(len(self.names) - 1, -1, -1):
+            around, main, fields = self.names[i]
+            if fields is None:
+                stay[i] = main or not by_name
+            else:
+                stay[i] = main or (held[i] >= FIELD_TEXT * fields and 0 < min(FORM_TEXT, whole / 2) <= held[i])
+            if stay[i]:
+                held[around] += held[i]
+        for i, (around, *_) in enumerate(self.names):
+            stay[i] = stay[i] and stay[around]
+        return [b for b in self.blocks if stay[b[3]]]
 
     def close(self, which: tuple[str, ...], until: tuple[str, ...]) -> None:
         """Close the nearest open element of ``which`` unless one of ``until`` is nearer."""
@@ -228,9 +275,20 @@ class _Page:
             self.cut(i)
 
 
+def _after_svg(page: str, at: int, last: int) -> int:
+    """Where an svg ends; ``last`` is the last end of a foreignObject."""
+    while m := SVG.search(page, at):
+        if m[0][:5].lower() == "</svg":
+            return m.end()
+        if m[0].lower() != "<foreignobject":
+            return m.start()
+        at = FOREIGN_END.search(page, m.end()).end() if m.end() <= last else m.end()
+    return len(page)
+
+
 def read(page: str) -> _Page:
     """The blocks of a page."""
-    found, at, end = _Page(), 0, len(page)
+    found, at, end, last = _Page(), 0, len(page), None
     while at < end:
         m = MARKUP.search(page, at)
         if m is None:
@@ -245,10 +303,16 @@ def read(page: str) -> _Page:
         tag, closing, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
             found.end(tag)
+        elif tag == "svg":
+            if not attributes.endswith("/"):
+                if last is None:
+                    last = max((f.start() for f in FOREIGN_END.finditer(page)), default=-1)
+                at = _after_svg(page, at, last)
         elif tag in RAW:
-            if not attributes.endswith("/") or tag not in ("svg", "math"):
-                stop = re.compile(f"</{tag}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(page, at)
-                at = stop.end() if stop else end
+            if tag == "textarea":
+                found.field(attributes)
+            stop = re.compile(f"</{tag}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(page, at)
+            at = stop.end() if stop else end
         else:
             found.start(tag, attributes)
     found.flush()
@@ -334,8 +398,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = read(page)
-    kept = [b for b in found.blocks if not found.left(b[3])]
-    return "\n\n".join(_chosen(found, kept) or _chosen(found, found.blocks))
+    return "\n\n".join(_chosen(found, found.kept(True)) or _chosen(found, found.kept(False)))
 
 
 @F.pandas_udf(StringType())

@@ -112,3 +112,31 @@ def test_names_of_parts(page, text):
 )
 def test_one_marked_block(page, text):
     assert main_text(page) == text
+
+
+FIELDS = '<input type="hidden" name="__VIEWSTATE" value="x">' * 9 + '<label>Find.</label><input name="q"><button>Go, now.</button><select><option>One.</select>'
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<body><form id="aspnetForm" runat="server">{FIELDS}<div>{BODY}</div></form></body>', WHOLE),
+        (f'<form class="form">{FIELDS}<article>{BODY}</article></form><p>Site, rights.</p>', WHOLE),
+        (f'<form>{FIELDS}<div class="overlay">{BODY}</div></form>', WHOLE),
+        ("<form><p>Only a few words, and no more.</p></form>", "Only a few words, and no more."),
+        (f'{BODY}<form><p>Tell us, please.</p><input></form>', WHOLE),
+        (f"{BODY}<form>{'<p>Name of it, please, and more of it.</p><input>' * 20}</form>", WHOLE),
+        ("<p>So <math><mi>E</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><mspace/><annotation>\\frac</annotation></math> holds.</p>", "So E= 1 2 holds."),
+        (f"<p>Let <math><mi>x</mi> be.</p>{BODY}", f"Let x be.\n\n{WHOLE}"),
+        (f"<div><svg><path d=1>{BODY}</div>", WHOLE),
+        (f"<div><svg><path d=1></div>{BODY}<svg><text>no</text></svg>", WHOLE),
+        (f"<svg><foreignObject><p>{LONG}</p></foreignObject><text>no.</text></svg>{BODY}", WHOLE),
+    ],
+)
+def test_forms_formulas_and_drawings(page, text):
+    assert main_text(page) == text
+
+
+def test_large_odd_forms_and_drawings_end():
+    for page in ("<svg><foreignObject><p>" * 20000, "<form><p>a." * 20000, '<div class="menu"><main>a.' * 10000, "<math><mi>" * 20000, "<svg>" * 20000):
+        main_text(page)
