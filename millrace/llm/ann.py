@@ -24,8 +24,8 @@ SAMPLE = 8192  # vectors the parts are learned from, at most
 PER_PART = 32  # sampled vectors in a part, at least
 NEIGHBOURS = 12
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 128, 40, 256, 0.003, 11
-TRIALS, WANTED = 512, 0.95  # sampled queries, and the recall they must reach
-SPARE = 1  # parts searched beyond what the sample asks for
+TRIALS, WANTED = 512, 0.95  # queries nothing is learned from, a tenth of the sample at most, and the recall they must reach
+SPARE = 1  # parts searched beyond what the trials ask for
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 1024
 
 
@@ -142,7 +142,7 @@ def train(x: np.ndarray, target: np.ndarray, seed: int = SEED) -> Router:
 
 
 def fit(x: np.ndarray, parts: int, top: int = TOP) -> Router:
-    """Parts, router and the number of parts to search, which is measured on sampled queries."""
+    """Parts, router and the number of parts to search as far as the sample tells; ``measure`` tells it of all vectors."""
     if len(x) < 2 * PER_PART or parts < 2:
         return Router(np.zeros((x.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
     graph = neighbours(x, min(NEIGHBOURS, len(x) - 1))
@@ -164,6 +164,38 @@ def fit(x: np.ndarray, parts: int, top: int = TOP) -> Router:
     return router
 
 
+def measure(rows: DataFrame, router: Router, ids: np.ndarray, trials: np.ndarray, top: int) -> int:
+    """The number of parts to search, by the true neighbours of the trial queries among all vectors.
+
+    One pass over the vectors; of each task the ``top`` of each trial query are shuffled.
+    """
+    parts, d = len(router.offset), trials.shape[1]
+    shared = rows.sparkSession.sparkContext.broadcast((router, ids, trials))  # TRIALS vectors
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, asking, queries = shared.value
+        best = None
+        for batch in batches:
+            x = np.array(batch["x"].tolist(), dtype=np.float64).reshape(-1, d)
+            there = nearest(asking, queries, batch["vec_id"].to_numpy(np.int64), x, top)
+            part = pd.Series(model.parts(x, 1)[:, 0].astype(np.int32), index=batch["vec_id"].to_numpy(np.int64))
+            there["part"] = part.reindex(there["vec_id"]).to_numpy(np.int32)
+            best = there if best is None else pd.concat([best, there])
+            best = best.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(top)
+        if best is not None:
+            yield best
+
+    found = rows.select("vec_id", "x").mapInPandas(compare, "query_id long, vec_id long, score double, part int")
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    near = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top).select("query_id", "part").toPandas()
+    ranked = pd.Series(list(router.parts(trials, parts)), index=ids)
+    place = np.array([int(np.argmax(ranked[q] == p)) for q, p in zip(near["query_id"], near["part"])])
+    for probes in range(1, parts + 1):
+        if (place < probes).mean() >= WANTED:
+            break
+    return min(parts, probes + SPARE)
+
+
 def neighbours_of(x: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     score = x[rows] @ x.T
     score[np.arange(len(rows)), rows] = -np.inf
@@ -212,12 +244,18 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, parts: int | No
     rows = rows.filter(F.size("x") == d)
     place = F.md5(F.col("vec_id").cast("string"))
     share = F.conv(F.substring(place, 1, 8), 16, 10).cast("double") / 2**32
-    drawn = rows.filter(share < 2.0 * SAMPLE / max(n, 1)).orderBy(place).limit(SAMPLE).select("x").toPandas()
+    most = SAMPLE + TRIALS
+    drawn = rows.filter(share < 2.0 * most / max(n, 1)).orderBy(place).limit(most).select("vec_id", "x").toPandas()
+    held_out = min(TRIALS, len(drawn) // 10)
+    drawn_ids = drawn["vec_id"].to_numpy(np.int64)
     sample = np.array(drawn["x"].tolist(), dtype=np.float64).reshape(-1, d)
+    trials, sample = sample[:held_out], sample[held_out : held_out + SAMPLE]
     if parts is None:
         parts = max(8, 2 ** round(math.log2(max(1.0, math.sqrt(n) / 3))))
     parts = max(1, min(parts, 1 << max(0, (len(sample) // PER_PART).bit_length() - 1)))
     router = fit(sample, parts, top)
+    if len(router.offset) > 1:
+        router.probes = measure(rows, router, drawn_ids[:held_out], trials, top)
     shared = spark.sparkContext.broadcast(router)  # parts x HIDDEN numbers
 
     @F.pandas_udf(ArrayType(IntegerType()))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import dataclasses
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +78,17 @@ def test_blocks_of_a_crowded_part(spark, monkeypatch):
     for q, near in got.items():
         assert [v for _, v, _ in near] == [v for _, v, _ in brute(np.arange(900), x, q)]
     assert len(got) == 45
+
+
+def test_recall_beyond_the_sample(spark, monkeypatch):
+    """Nearly all vectors are unseen by the router, and what the sample says of itself is too good."""
+    monkeypatch.setattr(ann, "SAMPLE", 512)
+    fit = ann.fit
+    monkeypatch.setattr(ann, "fit", lambda *args: dataclasses.replace(fit(*args), probes=1))
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 12))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(6000)], "vec_id long, embedding array<double>")
+    got = found(ann.search(df, F.col("vec_id") % 20 == 0))
+    want = {q: {v for _, v, _ in brute(np.arange(6000), x, q)} for q in range(0, 6000, 20)}
+    recall = [len({v for _, v, _ in got[q]} & near) / 20 for q, near in want.items()]
+    assert np.mean(recall) >= 0.94
