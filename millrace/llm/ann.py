@@ -233,6 +233,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, parts: int | No
     stands for one vector: of several rows the least vector counts. The parts number about
     a third of the root of the vectors unless given. A part is compared in blocks of
     BLOCK_VECTORS by BLOCK_QUERIES, so a part with a third of all vectors is many tasks.
+    A query has ``top`` rows, or as many as there are other vectors.
     """
     spark = vectors.sparkSession
     rows = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
@@ -265,8 +266,14 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, parts: int | No
             yield pd.Series(list(found.astype(np.int32)))
 
     routed = materialise(rows.select("vec_id", "x", route("x").alias("parts"), is_query.alias("asks")), "routed")
-    held = routed.groupBy(F.col("parts")[0].alias("part")).agg(F.count(F.lit(1)).alias("held"))
-    asked = routed.filter("asks").select(F.explode("parts").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("asked"))
+    held = materialise(routed.groupBy(F.col("parts")[0].alias("part")).agg(F.count(F.lit(1)).alias("held")), "held")
+    # a query whose parts hold too few vectors searches all; its own part holds few, so such queries are few
+    sizes = {r.part: r.held for r in held.collect()}  # one row per part
+    size = F.array(*[F.lit(sizes.get(p, 0)).cast("long") for p in range(len(router.offset))])
+    reached = F.aggregate("parts", F.lit(0).cast("long"), lambda total, p: total + F.get(size, p))
+    every_part = F.sequence(F.lit(0), F.lit(len(router.offset) - 1))
+    searched = F.when(reached < min(top + 1, n), every_part).otherwise(F.col("parts"))
+    asked = routed.filter("asks").select(F.explode(searched).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("asked"))
     blocks = held.join(asked, "part").select(  # one row per part
         "part",
         F.ceil(F.col("held") / BLOCK_VECTORS).cast("int").alias("cuts"),
@@ -275,7 +282,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, parts: int | No
     mine, every = F.pmod(F.xxhash64("vec_id"), F.col("cuts")).cast("int"), lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     stored = routed.select(F.col("parts")[0].alias("part"), "vec_id", "x").join(blocks, "part")
     stored = stored.select("part", mine.alias("cut"), every("turns").alias("turn"), F.col("vec_id").alias("id"), F.col("x").alias("there"))
-    asking = routed.filter("asks").select(F.explode("parts").alias("part"), "vec_id", "x").join(blocks, "part")
+    asking = routed.filter("asks").select(F.explode(searched).alias("part"), "vec_id", "x").join(blocks, "part")
     turn = F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int")
     asking = asking.select("part", every("cuts").alias("cut"), turn.alias("turn"), F.col("vec_id").alias("query_id"), F.col("x").alias("here"))
 

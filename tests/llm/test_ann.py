@@ -92,3 +92,16 @@ def test_recall_beyond_the_sample(spark, monkeypatch):
     want = {q: {v for _, v, _ in brute(np.arange(6000), x, q)} for q in range(0, 6000, 20)}
     recall = [len({v for _, v, _ in got[q]} & near) / 20 for q, near in want.items()]
     assert np.mean(recall) >= 0.94
+
+
+def test_full_lists_from_uneven_parts(spark, monkeypatch):
+    """A third of the vectors are one vector, so that other routed parts hold very few; each query searches one part."""
+    monkeypatch.setattr(ann, "WANTED", 0.0)
+    monkeypatch.setattr(ann, "SPARE", 0)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 6))
+    x[::3] = x[0]
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(900)], "vec_id long, embedding array<double>")
+    got = found(ann.search(df, F.lit(True), parts=16))
+    assert sorted(got) == list(range(900))
+    assert all([r for r, _, _ in near] == list(range(1, 21)) for near in got.values())
