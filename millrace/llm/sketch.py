@@ -7,10 +7,12 @@ resemblance, containment and the number of distinct shingles.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from millrace.session import materialise
 
@@ -101,14 +103,21 @@ def written(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
-def _cuts(docs: DataFrame) -> list[float]:
-    """doc_ids at which the documents are cut into stretches of about TASK_BYTES of text."""
-    seen = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+def _cuts(docs: DataFrame) -> tuple[list[float], dict[int, int], int]:
+    """doc_ids at which the documents are cut into stretches of about TASK_BYTES of text, and by how many
+    stretches the rows of one doc_id, and those of none, are cut further."""
+    size = F.octet_length("text")
+    without = F.sum(F.when(F.col("doc_id").isNull(), size))
+    seen = docs.agg(*[F.coalesce(x, F.lit(0)).alias(n) for x, n in ((F.sum(size), "bytes"), (without, "without"))]).first()
     parts = max(1, -(-int(seen.bytes) // TASK_BYTES))
     if parts == 1:
-        return []
+        return [], {}, 1
     ids = docs.select(F.col("doc_id").cast("double").alias("id")).filter("id is not null")
-    return sorted(set(ids.approxQuantile("id", [i / parts for i in range(1, parts)], 1 / (8 * parts))))
+    cuts = ids.approxQuantile("id", [i / parts for i in range(1, parts)], 1 / (8 * parts))
+    # a cut that comes again is a doc_id with the rows of a stretch; as a double it must be one doc_id
+    whole = isinstance(docs.schema["doc_id"].dataType, IntegralType)
+    often = {int(c): n + 1 for c, n in Counter(cuts).items() if n > 1 and whole and abs(c) < 2**53}
+    return sorted(set(cuts)), often, min(1 << 20, max(1, -(-int(seen.without) // TASK_BYTES)))
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -116,16 +125,32 @@ def in_order(docs: DataFrame) -> DataFrame:
 
     Stretches of doc_id are put in order side by side, in one shuffle of the texts. Behind
     each stretch stands a copy of the first document of the next one. Rows with one doc_id
-    follow each other by a hash of the text; a null doc_id comes last.
+    follow each other by a hash of the text, by which very many of them are several stretches;
+    a null doc_id comes last.
     """
     key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64("text").alias("h")]
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = _cuts(rows)
-    if cuts:
-        at = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_id", outputCol="part", handleInvalid="keep")
+    cuts, often, without = _cuts(rows)
+    if cuts or without > 1:
         last = len(cuts) + 1
-        placed = at.transform(rows.withColumn("_id", F.col("doc_id").cast("double"))).drop("_id")
-        placed = placed.withColumn("part", F.when(F.col("doc_id").isNull(), last).otherwise(F.col("part")).cast("int"))
+        if cuts:
+            at = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_id", outputCol="part", handleInvalid="keep")
+            placed = at.transform(rows.withColumn("_id", F.col("doc_id").cast("double"))).drop("_id")
+        else:
+            placed = rows.withColumn("part", F.lit(0))
+        part = F.when(F.col("doc_id").isNull(), last).otherwise(F.col("part")).cast("long")
+
+        def turn(n: int | Column) -> Column:
+            """The place of the hash among ``n`` equal ranges."""
+            return F.least(F.floor((F.xxhash64("text") / HASHES + 0.5) * n), (n if isinstance(n, Column) else F.lit(n)) - 1)
+
+        # a stretch begins with the doc_id it is cut at; rows of other doc_ids follow
+        others = F.lit((1 << 20) - 1).cast("long")
+        if often:
+            n = F.try_element_at(F.create_map(*[F.lit(x).cast("long") for pair in often.items() for x in pair]), F.col("doc_id").cast("long"))
+            others = F.when(n.isNotNull(), turn(n)).otherwise(others)
+        within = F.when(F.col("doc_id").isNull(), turn(without) + (1 << 20)).otherwise(others)
+        placed = placed.withColumn("part", part * (1 << 21) + within)
     else:
         placed = rows.withColumn("part", F.lit(0))
     placed = placed.select("part", "doc_id", "text", *key[::2])

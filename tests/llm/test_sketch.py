@@ -84,3 +84,20 @@ def test_sketches_of_parts_merge_into_that_of_the_whole(spark):
     hashes = {r.g: set(r.h) for r in df.select("g", sketch.shingle_hashes(F.col("t")).alias("h")).groupBy("g").agg(F.flatten(F.collect_list("h")).alias("h")).collect()}
     assert got == {g: sorted(h)[: sketch.K] for g, h in hashes.items()}
     assert got[2] == []
+
+
+def test_rows_of_one_doc_id_are_several_stretches(spark, monkeypatch):
+    """A third of the rows have no doc_id and a third share one; no task holds all of either, and the order is the same."""
+    monkeypatch.setattr(sketch, "TASK_BYTES", 600)
+    rows = [([None, 7, i][i % 3], f"text {i} of many words, number {i * i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = sketch.in_order(docs).select("*", F.spark_partition_id().alias("task"), F.xxhash64("text").alias("h")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    found.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h))
+    assert [r.next_text for r in found] == [r.text for r in found[1:] + found[:1]]
+    for one in (None, 7):
+        tasks = [r.task for r in found if r.doc_id == one]
+        assert max(map(tasks.count, set(tasks))) < len(tasks) / 2
