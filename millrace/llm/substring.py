@@ -235,9 +235,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     alone = single.groupBy("anchor", "segment").agg(F.sum("weight").alias("weight"), F.first("words").alias("words"))
     size = distinct.agg(F.sum(F.col("windows") + (window - 1))).first()[0] or 0
     shards = max(1, -(-size // SHARD_WORDS))
+    # windows overlap, so together they have many times the words of their segments
+    windows = pieces.filter("place >= 0").select("anchor", "segment").distinct().count()
+    window_shards = max(1, -(-windows * window // SHARD_WORDS))
     # a segment and a window may have equal hashes, but never equal words: windows have shards of their own
     dealt = plain.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).unionByName(
-        alone.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)) + shards)
+        alone.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(window_shards)) + shards)
     )
     result = StructType([*SEGMENT.fields[:2], StructField("hits", LongType()), StructField("shard", LongType())])
 

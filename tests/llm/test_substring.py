@@ -108,3 +108,23 @@ def test_matching_statistics():
             low, high = index.extend(low, high, np.array([symbol]))
         plain = sum(p[i : i + least] == pieces[0][:least] for p in pieces for i in range(len(p)))
         assert int(high[0] - low[0]) == plain
+
+
+def test_windows_of_busy_anchors_have_shards_enough(spark, monkeypatch):
+    """Boilerplate in many variants, each in two documents: its windows are many times the words of its segments."""
+    monkeypatch.setattr(substring, "BUSY", 5)
+    monkeypatch.setattr(substring, "SHARD_WORDS", 2000)
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(50)]
+    rows = []
+    for i in range(80):
+        text = " ".join([*common[:25], f"v{i}", *common[25:]])
+        rows += [(2 * i + j, " ".join(f"o{rng.randrange(10**6)}" for _ in range(5)) + " " + text, "en", "a", 1) for j in range(2)]
+    seen, write = {}, substring.materialise
+    monkeypatch.setattr(substring, "materialise", lambda df, label, **more: seen.setdefault(label, write(df, label, **more)))
+    check(rows, substring.report(frame(spark, rows)).collect())
+    # every window that is searched alone occurs twice here, so the hits show how many words a shard had
+    busy = seen["pieces"].filter("place >= 0").select("anchor", "segment").distinct()
+    per_shard = seen["hits"].join(busy, ["anchor", "segment"]).groupBy("shard").count().collect()
+    assert sum(r["count"] for r in per_shard) * 35 > 10 * 2000
+    assert max(r["count"] for r in per_shard) * 35 < 2 * 2000
