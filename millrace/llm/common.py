@@ -43,6 +43,15 @@ def portions(lengths: Sequence[int], most: int) -> Iterator[slice]:
         yield slice(first, len(lengths))
 
 
+def within(sizes: Sequence[int], most: int) -> list[bool]:
+    """Which items are taken in turn, up to ``most`` together; one that no longer fits is passed over."""
+    taken, total = [], 0
+    for n in sizes:
+        taken.append(total + n <= most)
+        total += n * taken[-1]
+    return taken
+
+
 def row_key(*more: str) -> Column:
     """128 bits that stand for doc_id, text and ``more`` columns, never NULL; a null text counts as an empty one."""
     parts = [F.coalesce(col(c).cast("string"), F.lit("null")) for c in ("doc_id", *more)]

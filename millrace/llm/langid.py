@@ -17,12 +17,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from millrace.llm.common import portions
+from millrace.llm.common import portions, within
 from millrace.session import materialise
 
 SAMPLE, PER_LANG = 3000, 600  # texts the model is fitted on, at most: in all and of one language
 LANDMARKS = 160
-SAMPLE_BYTES = 1 << 15  # longer texts are not drawn for the fit; every text is scored whole
+SAMPLE_BYTES = 1 << 15  # of a drawn text on average, at most; every text is scored whole
 RIDGE = 1e-3
 LETTERS = 64  # classes of characters: 0 for whatever is no letter
 GRAMS = LETTERS + LETTERS**2 + LETTERS**3
@@ -139,11 +139,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def learned(docs: DataFrame) -> Model:
     """Fitted on up to PER_LANG texts of each language that are not held out, SAMPLE in all, by a hash of the id.
 
+    Together they have up to SAMPLE * SAMPLE_BYTES bytes; a text that no longer fits is passed over.
     Languages are counted first, so that only about twice the wanted rows of each are ranked.
     """
-    usable = docs.filter(~held_out() & F.col("lang").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
+    usable = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     digest = F.md5(F.col("doc_id").cast("string"))
-    ids = usable.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), digest.alias("place"))
+    ids = usable.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), digest.alias("place"), F.octet_length("text").alias("size"))
     counts = materialise(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     share = F.conv(F.substring("place", 1, 8), 16, 10).cast("double") / 2**32
     few = ids.join(counts, "lang").filter(share < F.lit(2.0 * PER_LANG) / F.col("n"))
@@ -151,8 +152,12 @@ def learned(docs: DataFrame) -> Model:
     drawn = few.distinct().withColumn("rank", rank).filter(F.col("rank") <= PER_LANG).orderBy("rank", "lang").limit(SAMPLE)
     keys = ["doc_id", "lang", "text_key"]
     rows = usable.select("doc_id", "lang", "text", F.xxhash64("text").alias("text_key"))
-    sample = rows.join(F.broadcast(drawn.select(*keys, "rank")), keys).limit(2 * SAMPLE).toPandas()
-    sample = sample.drop_duplicates(keys).sort_values(["rank", "lang"])
+    drawn = drawn.select(*keys, "rank", "size")
+    found = drawn.collect()  # bounded by SAMPLE
+    fits = within([r["size"] for r in found], SAMPLE * SAMPLE_BYTES)
+    chosen = docs.sparkSession.createDataFrame([r for r, fit in zip(found, fits) if fit], drawn.schema).drop("size")
+    sample = rows.join(F.broadcast(chosen), keys).groupBy(*keys, "rank").agg(F.first("text").alias("text"))
+    sample = sample.toPandas().sort_values(["rank", "lang"])
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 
 

@@ -13,13 +13,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from millrace.llm.common import portions
+from millrace.llm.common import portions, within
 
 FILTERS, WIDTH, CHUNK = 16, 6, 256
 SAMPLE = 3000  # labelled rows that the network is trained on, at most
-SAMPLE_BYTES = 1 << 15  # longer texts are not drawn for training; every text is scored whole
+SAMPLE_BYTES = 1 << 15  # of a drawn text on average, at most; every text is scored whole
 EPOCHS, BATCH, RATE, SEED = 14, 32, 0.01, 7
 BYTES_AT_ONCE = 1 << 21
 THRESHOLD = 0.3
@@ -150,13 +150,24 @@ def train(texts: Sequence[str], labels: Sequence[int], epochs: int = EPOCHS, see
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int = SAMPLE) -> pd.DataFrame:
-    """text, quality of up to ``most`` labelled documents that ``learn`` (on doc_id) admits, by a hash of the id."""
+    """text, quality of up to ``most`` labelled documents that ``learn`` (on doc_id) admits, by a hash of the id.
+
+    Together they have up to ``most * SAMPLE_BYTES`` bytes: a document that no longer fits is passed
+    over. Of several texts of a doc_id the shortest is drawn.
+    """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & learn)
     drawn = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     drawn = drawn.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(most)  # bounded by ``most``
-    short = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "text")
-    rows = short.join(F.broadcast(drawn), "doc_id").limit(2 * most).toPandas()
-    return rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
+    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    sized = texts.select("doc_id", "text_key", F.octet_length("text").alias("size")).join(F.broadcast(drawn), "doc_id")
+    sized = sized.groupBy("doc_id", "quality").agg(F.min(F.struct("size", "text_key")).alias("least"))
+    found = sized.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").collect()  # bounded by ``most``
+    fits = within([r.least["size"] for r in found], most * SAMPLE_BYTES)
+    schema = StructType([texts.schema["doc_id"], StructField("text_key", LongType()), drawn.schema["quality"]])
+    taken = [(r.doc_id, r.least.text_key, r.quality) for r, fit in zip(found, fits) if fit]
+    chosen = docs.sparkSession.createDataFrame(taken, schema)
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "text_key"]).groupBy("doc_id", "quality").agg(F.first("text").alias("text"))
+    return rows.toPandas().sort_values("doc_id")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -127,3 +127,21 @@ def test_given_texts(spark):
     scored = quality.score_documents(docs, labels).join(labels, "doc_id").filter("held_out").select("score", "quality").collect()
     good, bad = [r.score for r in scored if r.quality], [r.score for r in scored if not r.quality]
     assert np.mean([g > b for g in good for b in bad]) >= 0.95
+
+
+def test_long_texts_are_learned_from(spark):
+    """All texts are longer than 32 KiB: quality and languages are learned from them and told apart among held-out ones."""
+    rng = random.Random(6)
+    of_lang = {"en": "the weather of this town was rather good and warm".split(), "fi": "hyvää päivää tässä on pitkä teksti joka jatkuu".split()}
+    rows, marks = [], []
+    for i in range(60):
+        lang, good = ("en", "fi")[i % 2], i // 2 % 2
+        text = " ".join(rng.choice(of_lang[lang]) + ("" if good else "$$ 99 !!") for _ in range(8000))
+        rows.append((i, text, lang, "a", len(text)))
+        marks.append((i, good, 0))
+    assert min(len(r[1]) for r in rows) > 1 << 15
+    docs, labels = frame(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    scores = {r.doc_id: r.score for r in quality.score_documents(docs, labels).collect() if r.held_out}
+    assert min(s for i, s in scores.items() if i // 2 % 2) > 0.6 > 0.4 > max(s for i, s in scores.items() if not i // 2 % 2)
+    langs = {r.doc_id: r.lang_pred for r in langid.predict_documents(docs).collect() if r.held_out}
+    assert langs and all(lang == ("en", "fi")[i % 2] for i, lang in langs.items())
