@@ -122,3 +122,29 @@ with split as (
   from (select s.doc_id, s.w, c.places from split s left join covered c using (r))
 )
 select doc_id, len(w)::bigint as n_words, (len(w) - len(k))::bigint as n_removed, sha256(array_to_string(k, ' ')) as kept_sha256 from kept"""
+
+
+def infill() -> str:
+    """Tokens as a list, parts as slices of it; the restored text is the text."""
+    return """
+with cut as (
+  select doc_id, coalesce(text, '') as text, sha256('42:' || doc_id) as h,
+         regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') as t
+  from documents
+), drawn as (
+  select *, len(t)::bigint as n, [('0x' || substr(h, 1 + 8 * k, 8))::bigint for k in [0, 1, 2, 3]] as draw from cut
+), formed as (
+  select *, least(draw[1] % (n + 1), draw[2] % (n + 1)) as a, greatest(draw[1] % (n + 1), draw[2] % (n + 1)) as b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or draw[3] % 100 >= 50
+              then 'plain' when draw[4] % 100 < 80 then 'spm' else 'psm' end as form
+  from drawn
+), parts as (
+  select *, array_to_string(t[1 : a], '') as prefix, array_to_string(t[a + 1 : b], '') as middle, array_to_string(t[b + 1 :], '') as suffix
+  from formed
+)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end::bigint as prefix_chars,
+       case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts"""

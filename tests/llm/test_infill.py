@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from millrace.llm import infill
+
+TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def drawn(doc_id):
+    digest = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    return [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+
+
+def plainly(doc_id, text, rate=50, spm_share=80):
+    """n, form, prefix_chars, middle_chars and output, by cutting strings."""
+    h, text = drawn(doc_id), text or ""
+    tokens = TOKEN.findall(text)
+    n = len(tokens)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = "".join(tokens[:a]), "".join(tokens[a:b]), "".join(tokens[b:])
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return n, "plain", None, None, text
+    if h[3] % 100 < spm_share:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+@pytest.mark.parametrize("step", [1, 7, 1 << 20])
+def test_batches_against_strings(monkeypatch, step):
+    monkeypatch.setattr(infill, "STEP", step)
+    rng = random.Random(step)
+    parts = ["a", "é", "日本", " ", "  ", "\n", "\t", "<", "P>", "<P>", "S>", "<M", "\x85", " ", "\U0001f600", "\x0b", "\x1c", "<S"]
+    for _ in range(150):
+        texts = [None if rng.random() < 0.05 else "".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(1, 20))]
+        ids = [rng.randrange(1000) for _ in texts]
+        for column in (pa.array(texts), pa.array(["before", *texts, "after"]).slice(1, len(texts))):
+            made = infill.cut_and_scatter(infill.flat(column), np.array([drawn(i) for i in ids]), 50, 80)
+            assert list(zip(*[v.to_pylist() for v in made.values()])) == [plainly(i, t) for i, t in zip(ids, texts)]
+            form = np.array([infill.FORMS.index(f) for f in made["form"].to_pylist()])
+            assert infill.gather(infill.flat(made["output"]), form).to_pylist() == [t or "" for t in texts]
+
+
+def test_outputs_without_their_marks_are_refused():
+    with pytest.raises(ValueError, match="three marks"):
+        infill.gather(infill.flat(pa.array(["<P>a<S>b"])), np.array([1]))
+
+
+def test_rows(spark, odd_rows, odd_docs, no_docs):
+    rows = infill.restored(infill.transform(odd_docs))
+    assert rows.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output", "restored"]
+    got = sorted(map(tuple, rows.collect()), key=str)
+    assert got == sorted(((d[0], *plainly(d[0], d[1]), d[1] or "") for d in odd_rows), key=str)
+    assert infill.digests(no_docs).collect() == []
+
+
+def test_all_texts_in_one_form(spark, odd_rows, odd_docs):
+    """With a rate of 100 every text that may be cut is cut; without spm all of them are psm."""
+    rows = infill.transform(odd_docs, rate=100, spm_share=0).collect()
+    cut = [d for d in odd_rows if d[1] and not any(m in d[1] for m in ("<P>", "<S>", "<M>"))]
+    assert sum(r.form == "psm" for r in rows) == len(cut)
+
+
+def test_many_portions(spark, monkeypatch):
+    texts = [f"word{i} " * (i % 50) for i in range(200)]
+    column = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    monkeypatch.setattr(infill, "BYTES_AT_ONCE", 1000)
+    parts = list(infill._portions(column, "text"))
+    assert len(parts) > 20 and [t for p in parts for t in p.column("text").to_pylist()] == texts
