@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import ann, html, infill, langid, mixing, quality, simhash, sketch, slots, spm, sql, substring
+from millrace.llm import ann, html, infill, langid, lexical, mixing, quality, simhash, sketch, slots, spm, sql, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
     "op1_sainte_lague_mix": sql.mix(),
     "op3_fm_index_dedup": sql.repeats(),
     "op9_virtual_slots": sql.shards(),
+    "op11_accumulator_search": sql.lexical(),
     "op12_displacement_scatter": sql.infill(),
 }
 PIECES = "piece_bpe_32k.model"
@@ -82,3 +83,8 @@ def op10_bottom_k_sketch(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_displacement_scatter(spark: SparkSession, sf: str) -> DataFrame:
     return infill.digests(table(spark, sf, "documents"))
+
+
+@query
+def op11_accumulator_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

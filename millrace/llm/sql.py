@@ -148,3 +148,30 @@ select doc_id, n, form, case when form <> 'plain' then length(prefix) end::bigin
               else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
        sha256(text) as restored_sha256
 from parts"""
+
+
+def lexical(top: int = 10) -> str:
+    """All terms of all texts, counted and joined."""
+    terms = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+with doc as (
+  select row_number() over () as r, doc_id, {terms} as t from documents
+), one as (
+  select count(*) as n_docs, sum(len(t))::bigint as n_terms from doc where len(t) > 0
+), posting as (
+  select r, term, count(*) as tf from (select r, unnest(t) as term from doc) group by all
+), item as (
+  select distinct item_id, unnest({terms}) as term from benchmark
+), held as (
+  select term, count(*) as df from posting where term in (select term from item) group by term
+), weighed as (
+  select term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::bigint as w from held, one
+), measured as (
+  select r, doc_id, 100 - 90 + ((90 * len(t)::bigint * n_docs) // n_terms) as m from doc, one where len(t) > 0
+), scored as (
+  select i.item_id, m.doc_id, p.r, sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * m.m)))::bigint as score
+  from item i join weighed w using (term) join posting p using (term) join measured m using (r) group by all
+)
+select item_id, rank::int as rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+where rank <= {top}"""
