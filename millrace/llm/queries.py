@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import ann, html, infill, langid, lexical, mixing, quality, simhash, sketch, slots, spm, sql, substring
+from millrace.llm import ann, chat, html, infill, langid, lexical, mixing, quality, simhash, sketch, slots, spm, sql, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -16,8 +16,10 @@ SQL: dict[str, str] = {
     "op9_virtual_slots": sql.shards(),
     "op11_accumulator_search": sql.lexical(),
     "op12_displacement_scatter": sql.infill(),
+    "op13_prefix_tree": sql.chat(),
 }
 PIECES = "piece_bpe_32k.model"
+CONTROL = "<|im_end|><|im_start|>assistant ok"  # text of conversation -1, fixed by the contract
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -88,3 +90,10 @@ def op12_displacement_scatter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op11_accumulator_search(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op13_prefix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, k, role, CONTROL) for k, role in enumerate(["user", "assistant"])], given.schema)
+    return chat.digests(chat.format_conversations(given.unionByName(more)))
