@@ -64,7 +64,8 @@ def apply_changes(
 
     Rows that did not change, and history, pass through; so the same batch applied
     again changes nothing. With ``null_safe`` a change from or to NULL counts too;
-    by default ``<>`` decides and NULL never counts as changed.
+    by default ``<>`` decides and NULL never counts as changed. A change that is older than
+    the version it would close is refused: ``changelog.apply_late_changes`` takes those.
     """
     if check:
         require_unique(updates, keys)
@@ -82,6 +83,8 @@ def apply_changes(
 
     current = dim.filter("is_current").alias("d")
     u = updates.alias("u")
+    late = F.raise_error(F.concat(F.lit("late change: the version it would close starts at "), F.col("d.valid_from").cast("string")))
+    changed = F.when(changed & (now < F.col("d.valid_from")), late.cast("boolean")).otherwise(changed)
 
     # One row per update that meets a current row; from here on only the batch is joined.
     matched = u.join(current, same_key).select(*[F.col(f"u.{c}").alias(c) for c in updates.columns], changed.alias("_changed"))

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from millrace.operators.changelog import apply_late_changes, build_history, overlapping
 from millrace.operators.dedup import (
     distinct_per_group,
     drop_duplicates,
@@ -291,3 +292,67 @@ def scd2_default_clock(spark, sf):
         F.count_if(F.col("dc_key").isNotNull() & F.col("valid_to").isNull()).alias("with_version"),
         F.count_if(F.col("end") != F.col("at")).alias("overlaps"),
     )
+
+
+# What a customer's orders say about it: its priority from the date of an order on. An order that is
+# finished and has no price above 50,000 ends the customer.
+ORDER_LOG_SQL = f"""with entries as (
+    select o_custkey, o_orderdate as at, o_orderpriority, o_orderstatus = 'F' and o_totalprice <= 50000 as gone
+    from orders qualify row_number() over (partition by o_custkey, o_orderdate order by o_orderkey desc) = 1),
+states as (
+    select *, case when gone then 'gone' else 'is ' || o_orderpriority end as state from entries),
+runs as (
+    select * from states
+    qualify state is distinct from coalesce(lag(state) over (partition by o_custkey order by at), 'gone')),
+versions as (
+    select *, lead(at) over (partition by o_custkey order by at) as until from runs),
+dim as (
+    select o_custkey, o_orderpriority, at as valid_from, until as valid_to, until is null as is_current
+    from versions where not gone)
+"""
+ORDER_VERSIONS_SQL = ORDER_LOG_SQL + f"""select o_custkey, o_orderpriority, strftime(valid_from, {STAMP}) as valid_from,
+    strftime(valid_to, {STAMP}) as valid_to, cast(is_current as varchar) as is_current from dim"""
+
+
+def _order_log(spark, sf):
+    gone = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") <= 50000)
+    return table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority", gone.alias("gone"))
+
+
+LOG = {"keys": ["o_custkey"], "tracked": ["o_orderpriority"], "at": "o_orderdate", "sequence": ["o_orderkey"], "deleted": "gone"}
+
+
+@case(ORDER_VERSIONS_SQL)
+def scd2_change_log(spark, sf):
+    """Versions of all customers from the whole log at once."""
+    return build_history(_order_log(spark, sf), **LOG)
+
+
+def _late_batches(spark, sf):
+    """The log in four batches that share customers and times, the last orders first, each into the dimension before it."""
+    log = _order_log(spark, sf)
+    parts = [log.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == k) for k in range(3)]
+    parts = [parts[0].filter("o_orderdate >= date'1997-01-01'"), parts[2], parts[1], parts[0].filter("o_orderdate < date'1997-01-01'")]
+    columns = "c_key long, o_custkey long, o_orderpriority string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
+    dim, applied = spark.createDataFrame([], columns), log.limit(0)
+    for part in parts:
+        dim = materialise(apply_late_changes(dim, applied, part, surrogate="c_key", **LOG), "customers")
+        applied = applied.unionByName(part)
+    return dim
+
+
+@case(ORDER_VERSIONS_SQL)
+def scd2_late_changes(spark, sf):
+    """The same in late batches: whatever the order of the batches, the versions are those of the whole log."""
+    return _late_batches(spark, sf).drop("c_key")
+
+
+@case(
+    ORDER_LOG_SQL
+    + """select count(*) as n_versions, count(*) as surrogates, cast(0 as bigint) as overlaps, count(*) filter (is_current) as open from dim"""
+)
+def scd2_late_sound(spark, sf):
+    """Every version has a surrogate key of its own and none reaches into another."""
+    dim = _late_batches(spark, sf)
+    counts = dim.agg(F.count(F.lit(1)).alias("n_versions"), F.count_distinct("c_key").alias("surrogates"), F.count_if("is_current").alias("open"))
+    return counts.withColumn("overlaps", overlapping(dim, ["o_custkey"]).agg(F.count(F.lit(1))).scalar())
