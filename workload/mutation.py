@@ -297,17 +297,17 @@ def scd2_default_clock(spark, sf):
 # What a customer's orders say about it: its priority from the date of an order on. An order that is
 # finished and has no price above 50,000 ends the customer.
 ORDER_LOG_SQL = f"""with entries as (
-    select o_custkey, o_orderdate as at, o_orderpriority, o_orderstatus = 'F' and o_totalprice <= 50000 as gone
+    select o_custkey, o_orderdate as since, o_orderpriority, o_orderstatus = 'F' and o_totalprice <= 50000 as gone
     from orders qualify row_number() over (partition by o_custkey, o_orderdate order by o_orderkey desc) = 1),
 states as (
     select *, case when gone then 'gone' else 'is ' || o_orderpriority end as state from entries),
 runs as (
     select * from states
-    qualify state is distinct from coalesce(lag(state) over (partition by o_custkey order by at), 'gone')),
+    qualify state is distinct from coalesce(lag(state) over (partition by o_custkey order by since), 'gone')),
 versions as (
-    select *, lead(at) over (partition by o_custkey order by at) as until from runs),
+    select *, lead(since) over (partition by o_custkey order by since) as until from runs),
 dim as (
-    select o_custkey, o_orderpriority, at as valid_from, until as valid_to, until is null as is_current
+    select o_custkey, o_orderpriority, since as valid_from, until as valid_to, until is null as is_current
     from versions where not gone)
 """
 ORDER_VERSIONS_SQL = ORDER_LOG_SQL + f"""select o_custkey, o_orderpriority, strftime(valid_from, {STAMP}) as valid_from,
