@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from millrace.functions.calendar import calendar
 from millrace.operators.dedup import keep_latest
@@ -14,10 +14,11 @@ from millrace.operators.quality import check_table, expect_or_drop, expect_or_fa
 from millrace.operators.timejoin import hourly_fact
 from millrace.session import materialise, side_by_side
 from millrace.sources import files
-from millrace.sources.batches import BatchTable
+from millrace.sources.batches import BatchTable, run_of
+from millrace.sources.slices import SliceTable
 from millrace.sources.writers import overwrite
 from millrace.spec import Rule, TableSpec
-from millrace.streaming.cdc import apply_changes_stream, clean_stream
+from millrace.streaming.cdc import clean_stream
 
 # Expectations of the pipeline.
 PRICE_DROP = (
@@ -106,6 +107,27 @@ def datacenter_snapshot(readings: DataFrame, as_of: dt.datetime | None = None) -
     return open_rows(readings.select("site_id", "site_name", "country", "bidding_zone"), as_of)
 
 
+# Columns and types of the hourly fact.
+FACT = TableSpec(
+    "consumption_hourly",
+    {
+        "site_id": "string",
+        "bidding_zone": "string",
+        "date": "date",
+        "hour": "int",
+        "avg_consumption_kwh": "decimal(10,2)",
+        "avg_power_kw": "decimal(10,2)",
+        "avg_pue": "decimal(5,3)",
+        "cost_per_hour": "decimal(10,2)",
+    },
+)
+
+
+def _by(day: Column) -> dict[str, Column]:
+    """Readings and fact have the same slices: a zone and a date."""
+    return {"zone": F.col("bidding_zone"), "date": day}
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     """Folders of the layers."""
@@ -116,14 +138,21 @@ class Lakehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def readings(self) -> BatchTable:
-        """Silver readings as they came, whichever refresh wrote them; ``read`` gives the newest of each event."""
-        return BatchTable(self.spark, self.path("silver", "sensor_data"))
+    def readings(self) -> SliceTable:
+        """Silver readings: one row for each event, in the slice of its zone and date."""
+        return SliceTable(self.spark, self.path("silver", "sensor_data"), READINGS.schema(), _by(F.to_date("timestamp_utc")))
+
+    def consumption(self) -> SliceTable:
+        """The hourly fact of a slice follows from its readings and prices alone."""
+        return SliceTable(self.spark, self.path("gold", "consumption_hourly"), FACT.schema(), _by(F.col("date")))
+
+    def event_slices(self) -> BatchTable:
+        """For every event the slices it has ever been put into; narrow, so that looking events up does not read silver."""
+        return BatchTable(self.spark, self.path("silver", "sensor_data_slices"))
 
     def read(self, layer: str, name: str) -> DataFrame:
-        if (layer, name) == ("silver", "sensor_data"):
-            return keep_latest(self.readings().read(), READINGS.keys, "ingestion_ts")
-        return self.spark.read.parquet(self.path(layer, name))
+        sliced = {("silver", "sensor_data"): self.readings, ("gold", "consumption_hourly"): self.consumption}.get((layer, name))
+        return sliced().read() if sliced else self.spark.read.parquet(self.path(layer, name))
 
     def store(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         overwrite(df, self.path(layer, name))
@@ -136,36 +165,35 @@ def full_refresh(
     """Rebuild silver and gold from bronze and return the fact.
 
     Every table is written once and read back, so no step is computed twice and a lost
-    executor never reaches back further than the last table. The readings become the only
-    batch of their table, so incremental refreshes can go on from there.
+    executor never reaches back further than the last table. Incremental refreshes can go
+    on from there.
     """
     silver = check_table_lazily(readings_silver(bronze_readings, as_of), READINGS)
-
-    def store_readings() -> DataFrame:
-        house.readings().replace(silver.sortWithinPartitions("bidding_zone", "timestamp_utc"))
-        return house.readings().read()
-
     prices = check_table_lazily(prices_silver(bronze_prices, as_of), PRICES)
-    readings, prices = side_by_side(store_readings, lambda: house.store(prices, "silver", "prices"))
+    readings, prices = side_by_side(lambda: materialise(silver, "readings"), lambda: house.store(prices, "silver", "prices"))
+
+    counts = house.readings().counts(readings)
 
     def consumption() -> DataFrame:
-        _write_slices(house, hourly_fact(readings, prices), "static")
+        house.consumption().replace(hourly_fact(readings, prices), counts)
         return _dates(house)
 
-    def sites() -> None:
-        house.store(house.store(datacenter_snapshot(readings, as_of), "silver", "datacenter"), "gold", "dim_datacenter")
-
-    return side_by_side(consumption, sites)[0]
+    return side_by_side(
+        consumption,
+        lambda: house.readings().replace(readings, counts),
+        lambda: house.event_slices().replace(_placed(house, readings)),
+        lambda: house.store(house.store(datacenter_snapshot(readings, as_of), "silver", "datacenter"), "gold", "dim_datacenter"),
+    )[0]
 
 
 def incremental_refresh(
     house: Lakehouse, bronze_prices: DataFrame, bronze_readings: DataFrame, as_of: dt.datetime | None = None
 ) -> DataFrame:
-    """The same with the readings as a stream: only new ones are read, cleaned and added to silver.
+    """The same with the readings as a stream: only new ones are read, cleaned and merged into silver.
 
-    The rules of the table hold here as in the full refresh. The fact is recomputed for the
-    zones and dates that new readings or changed prices touch; a second stream, over the
-    files of silver, remembers which readings it has already seen.
+    The rules of the table hold here as in the full refresh. What is read and written of silver
+    and of the fact are the zones and dates that new readings, events that move, or changed
+    prices touch. A batch that is repeated after a crash merges the same rows into the same slices.
     """
     cleaned = clean_stream(
         bronze_readings,
@@ -175,89 +203,78 @@ def incremental_refresh(
     )
     silver = check_table_lazily(cleaned.withColumn("silver_processed_ts", _processed(as_of)), READINGS)
     changed = _changed_prices(house, check_table_lazily(prices_silver(bronze_prices, as_of), PRICES))
-    apply_changes_stream(silver, house.readings(), checkpoint=house.path("state", "sensor_data"))
-    if not house.readings().exists():
-        house.readings().replace(house.spark.createDataFrame([], silver.schema))
-    if not files.exists(house.spark, house.path("gold", "consumption_hourly")):
-        _write_slices(house, hourly_fact(house.read("silver", "sensor_data").limit(0), house.read("silver", "prices")), "static")
+    checkpoint = house.path("state", "sensor_data")
+    run = run_of(house.spark, checkpoint)
 
     def refresh(batch: DataFrame, number: int) -> None:
-        new = batch.select("event_id", "site_id", "site_name", "country", "bidding_zone")
-        rows = materialise(new, "new-readings")
-        _refresh_slices(house, _slices_of(house, rows.select("event_id")))
-        _add_sites(house, rows, as_of)
-
-    new_files = house.spark.readStream.schema(silver.schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    query = (
-        new_files.parquet(house.readings().path)
-        .writeStream.foreachBatch(refresh)
-        .option("checkpointLocation", house.path("state", "consumption_hourly"))
-        .trigger(availableNow=True)
-        .start()
-    )
+        rows = materialise(keep_latest(batch, READINGS.keys, "ingestion_ts"), "new-readings")
+        merged, new_places, touched = _merged(house, rows)
+        counts = house.readings().counts(merged)
+        side_by_side(
+            lambda: _refresh_fact(house, merged, counts, touched),
+            lambda: house.readings().put(merged, counts, touched),
+            lambda: house.event_slices().write(new_places, run, number),
+            lambda: _add_sites(house, rows, as_of),
+        )
+
+    query = silver.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    if changed is not None:
-        _refresh_slices(house, changed)
+    if changed:
+        held = house.readings().read_slices(changed)
+        _refresh_fact(house, held, house.readings().counts(held), changed)
+    if not house.consumption().exists():  # nothing has come yet
+        house.readings().replace(house.readings().read(), {})
+        house.consumption().replace(house.consumption().read(), {})
+    house.event_slices().pack()
     return _dates(house)
 
 
-SLICE = ("bidding_zone", "date")
-
+def _placed(house: Lakehouse, readings: DataFrame) -> DataFrame:
+    """Events and the names of their slices."""
+    table = house.readings()
+    return table.located(readings).select("event_id", *table.by)
 
-def _day(ts: str) -> Column:
-    return F.to_date(ts).alias("date")
 
+def _merged(house: Lakehouse, rows: DataFrame) -> tuple[DataFrame, DataFrame, list[Row]]:
+    """What the slices that settled rows touch will hold, what is new for the index, and those slices.
 
-def _write_slices(house: Lakehouse, fact: DataFrame, mode: str) -> None:
-    """One folder per zone and date; in dynamic mode only those that the rows have are replaced."""
-    rows = fact.hint("rebalance", *[F.col(c) for c in SLICE])
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*SLICE)
-    writer.parquet(house.path("gold", "consumption_hourly"))
+    Touched are the slices of the rows and those in which the index has earlier versions of the same
+    events. Only they are read, and settled by the newest of each event.
+    """
+    table, index = house.readings(), house.event_slices()
+    now = _placed(house, rows)
+    known = now.limit(0)
+    if index.exists():
+        known = materialise(index.read().join(now.select("event_id"), "event_id", "left_semi"), "known-events", few_files=True)
+    places = now.select(*table.by).unionByName(known.select(*table.by)).distinct().collect()
+    merged = keep_latest(table.read_slices(places).unionByName(rows), READINGS.keys, "ingestion_ts")
+    return materialise(merged, "merged"), now.join(known, now.columns, "left_anti"), places
 
 
 def _dates(house: Lakehouse) -> DataFrame:
     fact = house.read("gold", "consumption_hourly")
-    fact = fact.select("site_id", "bidding_zone", F.col("date").cast("date").alias("date"), *[c for c in fact.columns if c not in ("site_id", *SLICE)])
     house.store(calendar(fact), "gold", "dim_date")
     return fact
 
 
-def _changed_prices(house: Lakehouse, prices: DataFrame) -> DataFrame | None:
-    """Store the new prices; the zones and dates in which they differ from the stored ones, None before any."""
+def _changed_prices(house: Lakehouse, prices: DataFrame) -> list[Row]:
+    """Store the new prices; the slices in which they differ from the stored ones, none before any."""
     key = ["bidding_zone", "timestamp_utc", "price"]
     before = None
     if files.exists(house.spark, house.path("silver", "prices")):
         before = materialise(house.read("silver", "prices").select(*key), "prices-before")
     after = house.store(prices, "silver", "prices").select(*key)
     if before is None:
-        return None
-    differ = before.exceptAll(after).unionByName(after.exceptAll(before))
-    return materialise(differ.select("bidding_zone", _day("timestamp_utc")).distinct(), "price-slices")
-
-
-def _slices_of(house: Lakehouse, events: DataFrame) -> DataFrame:
-    """Zones and dates that any version of these events lies in."""
-    versions = house.readings().read().join(events.distinct(), "event_id", "left_semi")
-    return materialise(versions.select("bidding_zone", _day("timestamp_utc")).distinct(), "slices")
+        return []
+    return house.readings().slices(before.exceptAll(after).unionByName(after.exceptAll(before)))
 
 
-def _refresh_slices(house: Lakehouse, slices: DataFrame) -> None:
-    """Recompute the fact of these zones and dates.
-
-    An event counts where its newest version lies, so the events that ever lay in the slices
-    are settled first.
-    """
-    everything = house.readings().read().withColumn("date", F.to_date("timestamp_utc"))
-    events = everything.join(slices, list(SLICE), "left_semi").select("event_id").distinct()
-    latest = keep_latest(everything.join(events, "event_id", "left_semi"), READINGS.keys, "ingestion_ts")
-    readings = latest.join(slices, list(SLICE), "left_semi").drop("date")
-    prices = house.read("silver", "prices").withColumn("date", F.to_date("timestamp_utc"))
-    prices = prices.join(slices, list(SLICE), "left_semi").drop("date")
-    fact = materialise(hourly_fact(readings, prices), "fact-slices")
-    _write_slices(house, fact, "dynamic")
-    # slices that lost their last reading
-    for zone, date in slices.join(fact.select(*SLICE), list(SLICE), "left_anti").collect():
-        files.delete(house.spark, f"{house.path('gold', 'consumption_hourly')}/bidding_zone={zone}/date={date}")
+def _refresh_fact(house: Lakehouse, readings: DataFrame, counts: dict[tuple, int], places: list[Row]) -> None:
+    """The fact of these slices anew, from all their readings and prices; it has rows where they have."""
+    by = house.readings().by
+    wanted = house.spark.createDataFrame(places, ", ".join(f"{c} string" for c in by))
+    prices = house.readings().located(house.read("silver", "prices")).join(wanted, list(by), "left_semi")
+    house.consumption().put(hourly_fact(readings, prices), counts, places)
 
 
 def _add_sites(house: Lakehouse, rows: DataFrame, as_of: dt.datetime | None) -> None:

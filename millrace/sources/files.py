@@ -33,6 +33,22 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and bytes of the data files directly in a folder."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [(s.getPath().toString(), s.getLen()) for s in fs.listStatus(p) if s.isFile()]
+    return sorted(f for f in found if f[0].rsplit("/", 1)[1][0] not in "._")
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder its final name; fails if that is taken."""
+    fs, p = _fs(spark, path)
+    if fs.exists(_fs(spark, to)[1]) or not fs.rename(p, _fs(spark, to)[1]):
+        raise OSError(f"{path} could not become {to}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)

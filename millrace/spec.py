@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,9 @@ class TableSpec:
         """NOT NULL columns first, then the CHECK rules, which must be true: NULL breaks them too."""
         return [*[Rule(f"{c}_not_null", f"`{c}` IS NOT NULL") for c in self.not_null], *self.checks]
 
+    def schema(self) -> StructType:
+        return StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in self.columns.items()))
+
     def conform(self, df: DataFrame) -> DataFrame:
         """The declared columns in the declared order and types; a bad cast raises."""
         return df.select(*[F.col(c).cast(t).alias(c) for c, t in self.columns.items()])

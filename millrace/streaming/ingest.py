@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from millrace.sources import files
 from millrace.sources.batches import BatchTable, run_of
 from millrace.sources.readers import with_audit
+from millrace.sources.schemas import SchemaMemory
 from millrace.streaming.rescue import parse_with_rescue, unseen_fields
 
 
@@ -19,28 +18,6 @@ class SchemaChanged(RuntimeError):
     """A batch holds fields the remembered schema did not know; they are stored now, run again."""
 
 
-class SchemaMemory:
-    """The schema of a landing folder, kept as numbered JSON files."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _latest(self) -> str | None:
-        kept = files.names(self.spark, self.path)
-        return kept[-1] if kept else None
-
-    def load(self) -> StructType:
-        latest = self._latest()
-        if latest is None:
-            return StructType()
-        return StructType.fromJson(json.loads(files.read_text(self.spark, f"{self.path}/{latest}")))
-
-    def save(self, schema: StructType) -> None:
-        latest = self._latest()
-        number = int(latest.split(".")[0]) + 1 if latest else 0
-        files.create_text(self.spark, f"{self.path}/{number:06d}.json", schema.json())
-
-
 def ingest_json(
     spark: SparkSession,
     landing: str,

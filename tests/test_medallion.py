@@ -5,9 +5,14 @@ import json
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.plans import medallion
 from millrace.plans.medallion import Lakehouse, full_refresh, incremental_refresh
+from millrace.session import materialise
+from millrace.sources import slices
 from millrace.sources.readers import stream_files
+from millrace.sources.slices import SliceTable
 from tests.conftest import rows
 from workload.gold import BRONZE_READING
 
@@ -98,3 +103,53 @@ def test_changed_prices_refresh_their_slices(spark, folder):
     later = incremental_refresh(house, prices(spark, ("PL", NOON, 50)), stream(spark, folder), AS_OF)
     assert fact(later) == [("PL", "2026-01-05", 12, 2.0, 0.1), ("PL", "2026-01-08", 12, 2.0, None)]
     assert files() == before
+
+
+@pytest.mark.parametrize("zone", ["007", "01", "a:b", "a/b%c", "", "~", "ż *"])
+def test_zones_keep_their_name_and_emptied_slices_go(spark, folder, zone):
+    house = Lakehouse(spark, f"{folder}/house")
+    land(folder, "a.json", reading("e1", 2.0, zone=zone), reading("e2", 3.0, zone="PL"))
+    first = fact(incremental_refresh(house, prices(spark, (zone, NOON, 10)), stream(spark, folder), AS_OF))
+    assert sorted(r[0] for r in first) == sorted([zone, "PL"])
+    assert house.read("gold", "consumption_hourly").schema["bidding_zone"].dataType.simpleString() == "string"
+    land(folder, "b.json", reading("e1", 2.0, zone="FR", seen=9))
+    later = incremental_refresh(house, prices(spark, (zone, NOON, 10)), stream(spark, folder), AS_OF)
+    assert fact(later) == [("FR", "2026-01-05", 12, 2.0, None), ("PL", "2026-01-05", 12, 3.0, None)]
+    assert len(list(pathlib.Path(f"{folder}/house/gold/consumption_hourly").rglob("*.parquet"))) == 2
+
+
+def test_a_run_reads_and_writes_only_the_slices_it_touches(spark, folder, monkeypatch):
+    house = Lakehouse(spark, f"{folder}/house")
+    days = [reading(f"e{d}", 1.0, ts=f"2026-01-{d:02d}T12:00:00Z") for d in range(1, 21)]
+    land(folder, "a.json", *days)
+    incremental_refresh(house, prices(spark), stream(spark, folder), AS_OF)
+
+    def stored():
+        return {str(p): p.stat().st_mtime_ns for layer in ("silver/sensor_data", "gold/consumption_hourly") for p in pathlib.Path(f"{folder}/house/{layer}").rglob("*.parquet")}
+
+    before, opened = stored(), []
+    plain = SliceTable._files
+    monkeypatch.setattr(SliceTable, "_files", lambda self, *paths: opened.append(plain(self, *paths)) or opened[-1])
+    land(folder, "b.json", reading("new", 5.0, ts="2026-01-07T12:30:00Z"), reading("e3", 4.0, ts="2026-01-09T12:00:00Z", seen=5))
+    later = incremental_refresh(house, prices(spark), stream(spark, folder), AS_OF)
+    kept = {p for p, t in before.items() if stored().get(p) == t}
+    assert len(before) == 40 and len(kept) == 2 * (20 - 3)  # the 3rd, 7th and 9th
+    silver = [df for df in opened if "event_id" in df.columns]
+    assert [sorted(f.split("slice_date=")[1][:10] for f in df.inputFiles()) for df in silver] == [["2026-01-03", "2026-01-07", "2026-01-09"]]
+    assert {r[1] for r in fact(later)} == {f"2026-01-{d:02d}" for d in range(1, 21) if d != 3}
+    # a repeated batch changes nothing, neither rows nor index
+    rows_before, index = rows(house.readings().read()), house.event_slices().read().count()
+    batch = materialise(house.readings().read().filter("event_id in ('new', 'e3')"), "batch")
+    merged, new, places = medallion._merged(house, batch)
+    assert new.count() == 0 and index == 22
+    house.readings().put(merged, house.readings().counts(merged), places)
+    assert rows(house.readings().read()) == rows_before
+
+
+def test_large_slices_are_several_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(slices, "ROWS_PER_FILE", 100)
+    df = spark.range(1000).selectExpr("id", "case when id < 750 then 'hot' else 'z' || id % 5 end as z")
+    table = SliceTable(spark, f"{folder}/t", df.schema, {"z": F.col("z")})
+    table.replace(df, table.counts(df))
+    files = [len(list(p.glob("*.parquet"))) for p in pathlib.Path(f"{folder}/t").iterdir() if p.is_dir()]
+    assert max(files) > 1 and sum(files) < 20 and rows(table.read()) == rows(df)

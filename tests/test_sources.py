@@ -7,7 +7,7 @@ import pytest
 
 from millrace.operators.schema import SchemaMismatch
 from millrace.sources import files
-from millrace.sources.batches import BatchTable
+from millrace.sources.batches import BatchTable, first_fit
 from millrace.sources.messages import READING_SCHEMA, message_stream, parse_messages
 from millrace.sources.price_documents import price_points, root_tag
 from millrace.sources.readers import read_csv, read_json, read_table, stream_table, with_audit, with_provenance
@@ -111,6 +111,69 @@ def test_batches_are_overwritten_by_their_replay(spark, folder):
     assert rows(table.read()) == [(5, "z")]
 
 
+def test_small_batches_are_packed(spark, folder):
+    table = BatchTable(spark, folder)
+    for k in range(60):
+        table.write(spark.range(k * 10, k * 10 + 10).selectExpr("id", "string(id) as v"), "r", k)
+    before, bytes_before = rows(table.read()), files.size(spark, f"{folder}/stream_run=r")
+    target = 20_000
+    table.pack(target)
+    left = [n for n in files.names(spark, f"{folder}/stream_run=r")]
+    parts = [f for n in left for f in files.sizes(spark, f"{folder}/stream_run=r/{n}")]
+    assert len(parts) <= -(-bytes_before // target) + 1 and max(size for _, size in parts) < 2 * target
+    assert rows(table.read()) == before and table.exists()
+    assert table.pack(target) == 0  # what is packed stays
+    with pytest.raises(ValueError, match="packed already"):
+        table.write(spark.range(1).selectExpr("id", "string(id) as v"), "r", 7)
+    table.write(spark.range(600, 610).selectExpr("id", "string(id) as v", "id as extra"), "r", 60)
+    assert table.read().count() == 610 and table.read().filter("extra is null").count() == 600
+    table.pack(target)
+    assert table.read().count() == 610 and table.read().filter("extra is null").count() == 600
+
+
+def test_readers_see_every_row_once_whatever_is_packed(spark, folder):
+    table, seen = BatchTable(spark, f"{folder}/t"), []
+
+    def work(batch, number):
+        seen.extend(r.id for r in batch.collect())
+
+    def write(*numbers):
+        for k in numbers:
+            table.write(spark.range(k * 10, k * 10 + 10), "r", k)
+
+    write(0, 1, 2)
+    table.drain("copy", f"{folder}/c", work)
+    write(3, 4, 5)
+    assert table.pack() == 1  # the first three; the others are still to be read
+    assert sum(n.startswith("stream_batch=") for n in files.names(spark, f"{folder}/t/stream_run=r")) == 3
+    table.drain("copy", f"{folder}/c", work)
+    table.pack()
+    table.drain("copy", f"{folder}/c", work)
+    assert sorted(seen) == list(range(60)) and sorted(r.id for r in table.read().collect()) == list(range(60))
+
+
+def test_packing_goes_on_after_a_crash(spark, folder, monkeypatch):
+    table = BatchTable(spark, folder)
+    for k in range(5):
+        table.write(spark.range(k * 10, k * 10 + 10), "r", k)
+    delete = files.delete
+    with monkeypatch.context() as broken:
+        broken.setattr(files, "delete", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            table.pack()
+    assert table.read().count() == 50  # packed, but the old folders are still there
+    table.pack()
+    assert table.read().count() == 50 and files.delete is delete
+    assert [n for n in files.names(spark, f"{folder}/stream_run=r") if n.startswith("stream_batch=")] == ["stream_batch=000000000004"]
+
+
+def test_first_fit_decreasing():
+    sizes = [50, 30, 70, 20, 30, 100, 250]
+    bins = first_fit(sizes, 100)
+    assert sorted(i for b in bins for i in b) == list(range(7))
+    assert [sum(sizes[i] for i in b) for b in bins] == [250, 100, 100, 100]
+
+
 def test_appends_of_other_columns_are_refused_or_merged(spark, folder):
     overwrite(spark.createDataFrame([(1, "a")], "k int, v string"), f"{folder}/t")
     wider = spark.createDataFrame([(2, "b", 3)], "k int, v string, extra int")

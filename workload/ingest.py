@@ -264,6 +264,49 @@ def stream_cdc_apply(spark, sf):
     return current(store, ["user_id"], "ts")
 
 
+@case(
+    """select event_type, count(*) as n_rows, count(distinct event_id) as events, count(*) as handed_over,
+           count(distinct event_id) as copied from events group by 1"""
+)
+def stream_pack_batches(spark, sf):
+    """Daily files in small batches; they are packed between the runs of a stream that copies the table.
+
+    What the table holds beside what the copy was handed: nothing is lost, and nothing packed comes twice.
+    """
+    landing, copy = fresh_folder(spark, "landing"), fresh_folder(spark, "copy")
+    store, checkpoint, reading = BatchTable(spark, fresh_folder(spark, "bronze")), fresh_folder(spark, "state"), fresh_folder(spark, "state")
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+
+    def append(batch, number):
+        batch.write.mode("overwrite").parquet(f"{copy}/batch={number}")
+
+    for part in ("ts < timestamp'2024-01-20'", "ts >= timestamp'2024-01-20'"):
+        land_partitions(events.filter(part).withColumn("day", F.to_date("ts")), landing, ["day"], fmt="parquet")
+        stream = stream_files(spark, landing, events.schema, fmt="parquet", files_per_trigger=3)
+        apply_changes_stream(stream, store, checkpoint=checkpoint)
+        store.drain("copy", reading, append)
+        store.pack()
+    store.drain("copy", reading, append)
+
+    def per_type(df, rows, keys):
+        return df.groupBy("event_type").agg(F.count(F.lit(1)).alias(rows), F.count_distinct("event_id").alias(keys))
+
+    return per_type(store.read(), "n_rows", "events").join(per_type(spark.read.parquet(copy), "handed_over", "copied"), "event_type")
+
+
+@case(
+    """select strftime(ts, '%Y-%m-%d') as load_date, count(*) as n_rows, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_ts,
+           strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as last_ts from events group by 1"""
+)
+def ingested_table_audit(spark, sf):
+    """The audit of a table that ingest filled: rows and times by the day of the file they came in."""
+    landing, bronze, state = _land(spark, sf, "landing", *EVENT_HINTS.names), BatchTable(spark, fresh_folder(spark, "bronze")), fresh_folder(spark, "state")
+    ingest_json(spark, landing, bronze, state, hints=EVENT_HINTS, files_per_trigger=FILES_PER_TRIGGER)
+    day = F.regexp_extract("source_path", "day=([0-9-]+)", 1).alias("load_date")
+    rows = bronze.read().select(day, F.col("ts").cast("timestamp").alias("ts"))
+    return ingestion_audit(rows, ["load_date"], "ts")
+
+
 def _documents(spark, sf):
     """One market document per order, by status: quarter hours, hours, or an acknowledgement without prices.
 
