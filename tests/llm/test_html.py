@@ -140,3 +140,57 @@ def test_forms_formulas_and_drawings(page, text):
 def test_large_odd_forms_and_drawings_end():
     for page in ("<svg><foreignObject><p>" * 20000, "<form><p>a." * 20000, '<div class="menu"><main>a.' * 10000, "<math><mi>" * 20000, "<svg>" * 20000):
         main_text(page)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><p>One, two.</p><p><a title=it's href=x>Link</a> and more, here.</p><p>It's \"so\".</p>{BODY}</article>",
+         f"One, two.\n\nLink and more, here.\n\nIt's \"so\".\n\n{WHOLE}"),
+        (f'<article><p class="lead"">Lead, of it.</p><p>Second, one.</p><p>Third "quoted" one.</p>{BODY}</article>',
+         f'Lead, of it.\n\nSecond, one.\n\nThird "quoted" one.\n\n{WHOLE}'),
+        ('<p title="a>b" lang=x>One, two.</p><p data-x=a"b>Three, four.</p>', "One, two.\n\nThree, four."),
+        ("<p title = 'a>b'>One, two.<p title= >Three, four.", "One, two.\n\nThree, four."),
+    ],
+)
+def test_a_stray_quote_does_not_swallow_text(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<article><header><h1>TITLE</h1></header><div class="body">{BODY}</div></article>', f"TITLE\n\n{WHOLE}"),
+        (f"<article><ul><li><p>item</p></li><li><p>two</p></li></ul>{BODY}</article>", f"item\n\ntwo\n\n{WHOLE}"),
+        (f"<article>{BODY}<table><tr><td>1</td><td>2</td></tr></table></article>", f"{WHOLE}\n\n1 2"),
+        (f"<article>{BODY}<div><div><p>So</p></div></div></article>", f"{WHOLE}\n\nSo"),
+        (f"<article>{BODY}<section><header><h2>Head</h2></header>{BODY}</section></article>", f"{WHOLE}\n\nHead\n\n{WHOLE}"),
+        (f"<div>{BODY}<section><header><h2>Head</h2></header>{BODY}</section></div>", f"{WHOLE}\n\nHead\n\n{WHOLE}"),
+        (f"<div><ul><li><p>item</p></li></ul>{BODY}<table><tr><td>1</td></tr></table><div><div><p>So</p></div></div></div><div><a href=1>Home</a></div>",
+         f"item\n\n{WHOLE}\n\n1\n\nSo"),
+        (f'<article>{BODY}<div class="widget"><table><tr><td>1<td>2</table></div></article>', f"{WHOLE}\n\n1 2"),
+        (f"<article>{BODY}<object data=x><p>Fallback, of it.</p></object></article>", f"{WHOLE}\n\nFallback, of it."),
+        (f"<article>{BODY}<aside>A word beside it.</aside>{BODY}</article>", f"{WHOLE}\n\nA word beside it.\n\n{WHOLE}"),
+        (f"<article>{BODY}<blockquote><p>Said so.</p><footer>Someone</footer></blockquote><footer>By me.</footer></article>",
+         f"{WHOLE}\n\nSaid so.\n\nSomeone"),
+        (f'<article><header><h1>T</h1></header><div class="entry-content">{BODY}<ul><li>x</ul></div></article>', f"T\n\n{WHOLE}\n\nx"),
+    ],
+)
+def test_all_below_the_content_node_stays(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<main><article>{BODY}</article><aside>Side story, long enough to matter.</aside></main>",
+        f'<article>{BODY}<aside class="related">More, here.</aside><aside><a href=1>One story</a> <a href=2>Two</a></aside></article>',
+        f'<article>{BODY}<div class="widget"><a href=1>One</a></div><div class="share"><a>Tweet</a> it, now.</div></article>',
+        f'<article>{BODY}<section class="comments"><p>I disagree, strongly.</p></section><form><label>Say.</label><input></form></article>',
+        f'<div class="widget"><p>Weather, today.</p></div><article>{BODY}</article><object><p>Player, missing.</p></object>',
+        f'<header><h2>Site, of news</h2></header><article>{BODY}</article>',
+        f'<article>{BODY}<nav>Next, previous</nav><div hidden>Not, seen.</div><aside role="complementary">Side, of it.</aside></article>',
+    ],
+)
+def test_what_is_no_part_of_the_article_stays_out(page):
+    assert main_text(page) == WHOLE
