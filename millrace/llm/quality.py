@@ -20,8 +20,9 @@ from millrace.llm.common import portions, within
 FILTERS, WIDTH, CHUNK = 16, 6, 256
 SAMPLE = 3000  # labelled rows that the network is trained on, at most
 SAMPLE_BYTES = 1 << 15  # of a drawn text on average, at most; every text is scored whole
-EPOCHS, BATCH, RATE, SEED = 14, 32, 0.01, 7
+EPOCHS, STEPS, BATCH, RATE, SEED = (6, 14), 560, 32, 0.02, 7  # as many epochs as give so many steps, within bounds
 BYTES_AT_ONCE = 1 << 21
+ROWS_AT_ONCE = 64
 THRESHOLD = 0.3
 
 
@@ -55,21 +56,20 @@ def chunks(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def pooled(network: Network, rows: np.ndarray, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """The maximum of every filter in every chunk, not below zero, and on demand where it is."""
-    # two taps at a time: a table over pairs of bytes
-    first, second = network.taps[0::2], network.taps[1::2]
-    tables = [(a[:, None, :] + b[None, :, :]).reshape(65536, -1) for a, b in zip(first, second)]
+    # two taps at a time: a table over pairs of symbols
+    first, second, symbols = network.taps[0::2], network.taps[1::2], network.taps.shape[1]
+    tables = [(a[:, None, :] + b[None, :, :]).reshape(symbols * symbols, -1) for a, b in zip(first, second)]
     best = np.empty((len(rows), network.bias.shape[0]), dtype=np.float32)
     where = np.empty(best.shape, dtype=np.int64) if places else None
-    step = 64
-    for i in range(0, len(rows), step):
-        part = rows[i : i + step].astype(np.int32)
-        pair = part[:, :-1] << 8 | part[:, 1:]
-        total = tables[0][pair[:, :CHUNK]]
+    for i in range(0, len(rows), ROWS_AT_ONCE):
+        part = rows[i : i + ROWS_AT_ONCE].astype(np.intp)
+        pair = part[:, :-1] * symbols + part[:, 1:]
+        total = tables[0].take(pair[:, :CHUNK], axis=0)
         for k in range(1, len(tables)):
-            total += tables[k][pair[:, 2 * k : 2 * k + CHUNK]]
-        best[i : i + step] = total.max(axis=1)
+            total += tables[k].take(pair[:, 2 * k : 2 * k + CHUNK], axis=0)
+        best[i : i + ROWS_AT_ONCE] = total.max(axis=1)
         if places:
-            where[i : i + step] = total.argmax(axis=1)
+            where[i : i + ROWS_AT_ONCE] = total.argmax(axis=1)
     return np.maximum(best + network.bias, 0), where
 
 
@@ -91,10 +91,12 @@ def probability(network: Network, texts: Sequence[str | None]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def train(texts: Sequence[str], labels: Sequence[int], epochs: int = EPOCHS, seed: int = SEED) -> Network:
+def train(texts: Sequence[str], labels: Sequence[int], epochs: int | None = None, seed: int = SEED) -> Network:
     """Stochastic gradient descent (Adam) on the log loss, both labels with equal weight.
 
-    Only the window that gave a maximum gets its gradient, so a step touches few taps.
+    Only the window that gave a maximum gets its gradient, so a step touches few taps. Bytes that
+    occur nowhere in the texts keep the taps they start with; the others are numbered densely, so that
+    tables and gradients have no more rows than the texts have different bytes.
     """
     rng = np.random.default_rng(seed)
     network = Network(
@@ -110,7 +112,26 @@ def train(texts: Sequence[str], labels: Sequence[int], epochs: int = EPOCHS, see
         network.offset = 4.0 if share else -4.0
         return network
     weight = np.where(label == 1, 0.5 / share, 0.5 / (1 - share))
+    if epochs is None:
+        epochs = min(EPOCHS[1], max(EPOCHS[0], STEPS // -(-len(texts) // BATCH)))
     data = [chunks([t]) for t in texts]
+    used = np.flatnonzero(np.sum([np.bincount(rows.ravel(), minlength=256) for rows, _ in data], axis=0))
+    symbol = np.zeros(256, dtype=np.uint8)
+    symbol[used] = np.arange(len(used))
+    data = [(symbol[rows], counts) for rows, counts in data]
+    dense = Network(np.ascontiguousarray(network.taps[:, used]), network.bias, network.weights, 0.0)
+    _descend(dense, data, label, weight, epochs, rng)
+    network.taps[:, used] = dense.taps
+    # the weights made both labels alike in number: put the real share back
+    network.offset = dense.offset + float(np.log(share / (1 - share)))
+    return network
+
+
+def _descend(
+    network: Network, data: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, weight: np.ndarray, epochs: int, rng: np.random.Generator
+) -> None:
+    """Train the network in place."""
+    symbols = network.taps.shape[1]
     params = [network.taps, network.bias, network.weights]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     beta, gamma, step = 0.9, 0.99, 0
@@ -133,37 +154,36 @@ def train(texts: Sequence[str], labels: Sequence[int], epochs: int = EPOCHS, see
                 network.weights[:FILTERS] * top / ways + network.weights[FILTERS:] / counts[text, None]
             )
             back = (back * (best > 0)).astype(np.float32)
-            grad = np.zeros_like(network.taps)
             lane = np.broadcast_to(np.arange(FILTERS), where.shape)
-            for j in range(WIDTH):
-                byte = np.take_along_axis(rows, where + j, axis=1)
-                np.add.at(grad[j], (byte, lane), back)
+            places = np.stack([np.take_along_axis(rows, where + j, axis=1) for j in range(WIDTH)]).astype(np.int64)
+            places += symbols * np.arange(WIDTH)[:, None, None]
+            flat = (places * FILTERS + lane).ravel()
+            grad = np.bincount(flat, weights=np.tile(back.ravel(), WIDTH), minlength=network.taps.size)
+            grad = grad.reshape(network.taps.shape).astype(np.float32)
             step += 1
             for p_, g, (m, v) in zip(params, (grad, back.sum(axis=0), features.T @ delta + 1e-4 * network.weights), moments):
                 m += (1 - beta) * (g - m)
                 v += (1 - gamma) * (g * g - v)
                 p_ -= (rate * (m / (1 - beta**step)) / (np.sqrt(v / (1 - gamma**step)) + 1e-7)).astype(p_.dtype)
             network.offset -= rate * float(delta.sum()) * 10
-    # the weights made both labels alike in number: put the real share back
-    network.offset += float(np.log(share / (1 - share)))
-    return network
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int = SAMPLE) -> pd.DataFrame:
     """text, quality of up to ``most`` labelled documents that ``learn`` (on doc_id) admits, by a hash of the id.
 
-    Together they have up to ``most * SAMPLE_BYTES`` bytes: a document that no longer fits is passed
-    over. Of several texts of a doc_id the shortest is drawn.
+    Labels without a document are nothing to draw from, however many they are. The drawn ones have up to
+    ``most * SAMPLE_BYTES`` bytes together: a document that no longer fits is passed over. Of several
+    texts of a doc_id the shortest is drawn.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & learn)
-    drawn = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    drawn = drawn.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(most)  # bounded by ``most``
+    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    sized = texts.select("doc_id", "text_key", F.octet_length("text").alias("size")).join(F.broadcast(drawn), "doc_id")
-    sized = sized.groupBy("doc_id", "quality").agg(F.min(F.struct("size", "text_key")).alias("least"))
-    found = sized.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").collect()  # bounded by ``most``
+    sized = texts.filter(learn).select("doc_id", F.struct(F.octet_length("text").alias("size"), "text_key").alias("least"))
+    sized = sized.groupBy("doc_id").agg(F.min("least").alias("least"))
+    drawn = sized.join(known, "doc_id").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(most)
+    found = drawn.collect()  # bounded by ``most``
     fits = within([r.least["size"] for r in found], most * SAMPLE_BYTES)
-    schema = StructType([texts.schema["doc_id"], StructField("text_key", LongType()), drawn.schema["quality"]])
+    schema = StructType([texts.schema["doc_id"], StructField("text_key", LongType()), known.schema["quality"]])
     taken = [(r.doc_id, r.least.text_key, r.quality) for r, fit in zip(found, fits) if fit]
     chosen = docs.sparkSession.createDataFrame(taken, schema)
     rows = texts.join(F.broadcast(chosen), ["doc_id", "text_key"]).groupBy("doc_id", "quality").agg(F.first("text").alias("text"))

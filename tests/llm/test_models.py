@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import langid, quality
 from tests.llm.conftest import frame
@@ -79,6 +80,19 @@ def test_quality_of_odd_rows(spark, odd_rows, odd_docs, no_docs):
     assert quality.score_documents(no_docs, odd).count() == 0
 
 
+def test_labels_without_documents_do_not_crowd_out_the_sample(spark):
+    """A hundred times as many labels of other documents: every labelled document that fits is still learned from."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["good", "plain", "words"] if i % 2 else ["$$", "!!", "99"]) for _ in range(40)), "en", "a", 1) for i in range(90)]
+    docs = frame(spark, rows)
+    own = [(i, i % 2, 0) for i in range(90)]
+    foreign = [(1000 + i, 1, 0) for i in range(9000)]
+    sample = quality.labelled_sample(docs, spark.createDataFrame(own + foreign, "doc_id long, quality int, toxic int"), F.lit(True), most=80)
+    assert len(sample) == 80 and set(sample["doc_id"]) <= set(range(90))
+    scores = {r.doc_id: r.score for r in quality.score_documents(docs, spark.createDataFrame(own + foreign, "doc_id long, quality int, toxic int")).collect()}
+    assert min(s for i, s in scores.items() if i % 2) > max(s for i, s in scores.items() if not i % 2)
+
+
 def test_language_kernel_counts_common_grams():
     rows, lettered = langid.presence(["ab", "abc", "12", None])
     assert lettered.tolist() == [True, True, False, False]
