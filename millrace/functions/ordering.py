@@ -1,4 +1,4 @@
-"""Cuts in the real order of a column, slots between them, and bit interleaving."""
+"""Cuts in the real order of a column, slots between them, and curves through the slots of several columns."""
 
 from __future__ import annotations
 
@@ -60,3 +60,41 @@ def interleave(slots: Sequence[Column], bits: int) -> Column:
             shift = bit * len(slots) + (len(slots) - 1 - position)
             value = value.bitwiseOR(F.shiftleft(one, shift))
     return value
+
+
+def with_hilbert_value(df: DataFrame, name: str, slots: Sequence[Column], bits: int) -> DataFrame:
+    """Add the place of the slots, ``2**bits`` for each of one to four columns, on the Hilbert curve.
+
+    Neighbours on the curve are neighbours in space, which the Z curve, with its jumps, does not keep. The
+    axes are turned bit by bit from the highest (Skilling's transpose form): a step exchanges or inverts
+    the low bits of the first axis and one other. Every step is a projection of plain integer
+    operations, so the whole chain is compiled code.
+    """
+    if len(slots) * bits > 62:
+        raise ValueError("more than 62 bits do not fit one bigint")
+    axes = []
+    for i in range(len(slots)):
+        axis = f"_axis{i}"
+        while axis.lower() in {c.lower() for c in df.columns}:
+            axis = f"_{axis}"
+        axes.append(axis)
+    df = df.withColumns({axis: slot.cast("bigint") for axis, slot in zip(axes, slots)})
+    first = F.col(axes[0])
+    for bit in range(bits - 1, 0, -1):
+        high, low = F.lit(1 << bit).cast("bigint"), F.lit((1 << bit) - 1).cast("bigint")
+        for axis in axes:
+            this = F.col(axis)
+            inverted = this.bitwiseAND(high) != 0
+            exchanged = first.bitwiseXOR(this).bitwiseAND(low)
+            turned = {axes[0]: first.bitwiseXOR(F.when(inverted, low).otherwise(exchanged))}
+            if axis != axes[0]:
+                turned[axis] = F.when(inverted, this).otherwise(this.bitwiseXOR(exchanged))
+            df = df.withColumns(turned)
+    for before, axis in zip(axes, axes[1:]):  # Gray code along the axes
+        df = df.withColumn(axis, F.col(axis).bitwiseXOR(F.col(before)))
+    last = F.col(axes[-1])
+    turn = F.lit(0).cast("bigint")
+    for bit in range(bits - 1, 0, -1):
+        turn = turn.bitwiseXOR(F.when(last.bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0, F.lit((1 << bit) - 1)).otherwise(F.lit(0)).cast("bigint"))
+    df = df.withColumns({axis: F.col(axis).bitwiseXOR(turn) for axis in axes})
+    return df.withColumn(name, interleave([F.col(axis) for axis in axes], bits)).drop(*axes)

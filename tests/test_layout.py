@@ -1,11 +1,27 @@
 from __future__ import annotations
 
+import datetime as dt
+import itertools
 import math
+import pathlib
 
+import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.ordering import cuts, interleave, slot_of
-from millrace.operators.layout import append_clustered, bits_for, cluster, compact, layout_report, scatter, skipping_report, write_layout
+from millrace.functions.ordering import cuts, interleave, slot_of, with_hilbert_value
+from millrace.operators.layout import (
+    append_clustered,
+    bits_for,
+    boxes_report,
+    cluster,
+    compact,
+    current_bounds,
+    layout_report,
+    rows_scanned,
+    scatter,
+    skipping_report,
+    write_layout,
+)
 from tests.conftest import rows
 
 
@@ -109,3 +125,65 @@ def test_one_name_lies_in_few_files(spark, folder):
     report = {r.table_name: r for r in skipping_report(spark, {"one": f"{folder}/one", "two": f"{folder}/two"}, wanted).collect()}
     assert report["one"].files_read <= 2 and report["one"].files_total == 16
     assert report["two"].files_read <= 8
+
+
+@pytest.mark.parametrize("axes, bits", [(1, 3), (2, 4), (3, 3), (4, 2)])
+def test_neighbours_on_the_hilbert_curve_are_neighbours(spark, axes, bits):
+    names = [f"k{i}" for i in range(axes)]
+    df = spark.createDataFrame(list(itertools.product(range(2**bits), repeat=axes)), ", ".join(f"{n} int" for n in names)).withColumn("_axis0", F.lit("x"))
+    cells = with_hilbert_value(df, "place", [F.col(n) for n in names], bits).orderBy("place").collect()
+    assert [c.place for c in cells] == list(range(2 ** (bits * axes))) and cells[0]._axis0 == "x"
+    for a, b in zip(cells, cells[1:]):
+        assert sum(abs(a[n] - b[n]) for n in names) == 1
+
+
+def test_the_hilbert_layout_reads_fewer_files(spark, folder):
+    df = _orders(spark)
+    for curve in ("z", "hilbert"):
+        write_layout(cluster(df, ["restaurant", "day"], 64, curve=curve), f"{folder}/{curve}", ["restaurant", "amount"])
+    days = [dt.date(2025, 1, 1) + dt.timedelta(days=k * 11 % 300) for k in range(40)]
+    boxes = [{"restaurant": (k * 7 % 440, k * 7 % 440 + 50), "day": (day, day)} for k, day in enumerate(days)]
+    report = {r.table_name: r for r in boxes_report(spark, {c: f"{folder}/{c}" for c in ("z", "hilbert")}, boxes).collect()}
+    assert report["hilbert"].files_read < report["z"].files_read < report["z"].files_total / 4
+    with pytest.raises(ValueError, match="curve"):
+        cluster(df, ["restaurant", "day"], 4, curve="peano")
+
+
+def test_bounds_follow_every_writer(spark, folder):
+    path, box = f"{folder}/t", {"k": (5, 5)}
+    low, high = (spark.range(a, a + 10).selectExpr("id as k", "id as v") for a in (0, 100))
+
+    def report():
+        r = skipping_report(spark, {"t": path}, box).first()
+        return r.files_total, r.files_read
+
+    write_layout(cluster(low, ["k"], 2), path, ["k"])
+    assert report() == (2, 1)
+    append_clustered(high, path, ["k"], 2)
+    assert report() == (4, 1) and spark.read.parquet(f"{path}-bounds").count() == 4
+    low.coalesce(1).write.mode("append").parquet(path)  # by somebody else
+    assert report() == (5, 2) and spark.read.parquet(f"{path}-bounds").count() == 4
+    for p in pathlib.Path(path).glob("*.parquet"):
+        if spark.read.parquet(str(p)).filter("k >= 100").count():
+            p.unlink()
+    assert report() == (3, 2)
+    assert {r.lo_v for r in current_bounds(spark, path, ["v"]).collect()} == {0, 5}  # a column without stored bounds is scanned
+    write_layout(high.coalesce(1), path)
+    assert report() == (1, 0) and not pathlib.Path(f"{path}-bounds").exists()
+    write_layout(cluster(low, ["k"], 2), path, ["k"])
+    compact(spark, path, path + "2")
+    assert skipping_report(spark, {"t": path + "2"}, box).first().files_read == 1
+
+
+def test_lookups_read_few_rows(spark, folder):
+    df = spark.range(40000).selectExpr("id * 7919 % 1000003 as k", "id as v")
+    write_layout(scatter(df, 100), f"{folder}/plain")
+    write_layout(scatter(df, 100), f"{folder}/bloom", lookup=["k"], rows_per_file=500)
+    read = {}
+    for name in ("plain", "bloom"):
+        hits = [spark.read.parquet(f"{folder}/{name}").filter(F.col("k") == v * 7919 % 1000003) for v in range(0, 40000, 8000)]
+        assert [[r.v for r in h.collect()] for h in hits] == [[v] for v in range(0, 40000, 8000)]
+        read[name] = sum(rows_scanned(h) for h in hits) / len(hits)
+    assert read["bloom"] < 0.02 * 40000 < read["plain"]
+    none = spark.read.parquet(f"{folder}/bloom").filter("k = -5")
+    assert none.collect() == [] and rows_scanned(none) < 0.02 * 40000
