@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import uuid
+
+import pytest
+
+from millrace.operators.policies import bind_policies, set_groups
+from millrace.operators.security import REGIONAL_FILTER, SITE_ID_MASK, MaskPolicy, RowPolicy, column_mask, row_filter
+from tests.conftest import rows
+
+ROWS = [(1, "DC-PL-1", "PL"), (2, "DC-FR-1", "FR"), (3, "DC-FR-2", "PL"), (4, None, "PL"), (5, "DC-PL-2", None)]
+ROW_POLICIES = {"zone": [REGIONAL_FILTER, RowPolicy(frozenset({"it's"}), "FR")]}
+
+
+@pytest.fixture
+def facts(spark, folder):
+    name = f"facts_{uuid.uuid4().hex[:8]}"
+    df = spark.createDataFrame(ROWS, "id long, site string, zone string")
+    df.write.parquet(f"{folder}/facts")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}/facts'")
+    yield name, df
+    spark.sql(f"DROP VIEW IF EXISTS {name}_seen")
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("groups", [(), ("Poland",), ("Poland", "admins"), ("it's",), ("Poland", "admins", "it's")])
+def test_a_view_shows_what_the_data_operators_show(spark, facts, groups):
+    name, df = facts
+    set_groups(spark, ())
+    bind_policies(spark, f"{name}_seen", name, rows=ROW_POLICIES, masks={"site": SITE_ID_MASK})
+    set_groups(spark, groups)
+    want = column_mask(row_filter(df, "zone", ROW_POLICIES["zone"], groups), "site", SITE_ID_MASK, groups)
+    assert rows(spark.table(f"{name}_seen")) == rows(want)
+
+
+def test_predicates_with_side_effects_see_nothing_hidden(spark, facts):
+    name, _ = facts
+    set_groups(spark, ("Poland", "admins"))
+    bind_policies(spark, f"{name}_seen", name, rows=ROW_POLICIES, masks={"site": SITE_ID_MASK})
+    for test in ("zone = 'FR'", "site = 'DC-FR-2'", "id IN (2, 5)"):
+        seen = spark.sql(f"SELECT * FROM {name}_seen WHERE if({test}, raise_error(concat('leak ', id)), true)")
+        assert [r.id for r in seen.orderBy("id").collect()] == [1, 3, 4]
+    with pytest.raises(Exception, match="leak 3"):
+        spark.sql(f"SELECT * FROM {name}_seen WHERE if(id = 3, raise_error('leak 3'), true)").collect()
+
+
+def test_a_stored_view_takes_the_groups_of_the_user(spark, facts, folder):
+    name, _ = facts
+    user = spark.sql("SELECT current_user()").first()[0]
+    spark.createDataFrame([(user, "Poland"), ("other", "admins")], "user_name string, group_name string").write.parquet(f"{folder}/members")
+    spark.sql(f"CREATE TABLE {name}_members USING parquet LOCATION '{folder}/members'")
+    bind_policies(spark, f"{name}_seen", name, rows={"zone": [RowPolicy(frozenset({"Poland"}), "PL")]}, masks={"site": SITE_ID_MASK}, memberships=f"{name}_members")
+    other = spark.newSession()  # knows nothing but the name
+    assert rows(other.table(f"{name}_seen")) == [(1, "DC-PL-1", "PL"), (3, "**-**-**", "PL"), (4, "**-**-**", "PL")]
+    spark.createDataFrame([("other", "Poland")], "user_name string, group_name string").write.mode("overwrite").parquet(f"{folder}/members")
+    other.sql(f"REFRESH TABLE {name}_members")  # each session keeps its own list of files
+    assert rows(other.table(f"{name}_seen")) == []
+    spark.sql(f"DROP TABLE {name}_members")
+
+
+def test_policies_for_columns_that_cannot_have_them_are_refused(spark, facts):
+    name, _ = facts
+    with pytest.raises(ValueError, match="no"):
+        bind_policies(spark, f"{name}_seen", name, rows={}, masks={"nothing": SITE_ID_MASK})
+    with pytest.raises(TypeError, match="text"):
+        bind_policies(spark, f"{name}_seen", name, rows={}, masks={"id": MaskPolicy("g", "%", "x")})

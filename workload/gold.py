@@ -11,6 +11,7 @@ from millrace.operators.history import current_rows
 from millrace.operators.metrics import filter_values, star
 from millrace.operators.timejoin import fill_rate, hourly_fact, time_bucket_join
 from millrace.plans import dashboard
+from millrace.plans.cube import Cube, widget
 from millrace.plans.medallion import Lakehouse, datacenter_snapshot, full_refresh, incremental_refresh
 from millrace.session import fresh_folder, materialise
 from millrace.sources.readers import read_json, read_table, stream_files
@@ -360,3 +361,62 @@ def zones_in_order_of_cost(spark, sf):
     totals = dashboard.total_cost_by_zone(fact(spark, sf))
     order = Window.orderBy(F.col("total_cost").desc(), "bidding_zone")  # a handful of zones
     return totals.select(F.row_number().over(order).alias("position"), "bidding_zone", "total_cost")
+
+
+def _widget_sql(where: str) -> str:
+    """All questions in long form: widget, two keys and a value."""
+    cost, kwh, pue = (half_up(f"sum({c})", d, f"count({c})", d + 4) for c, d in (("cost_u", 2), ("kwh_u", 2), ("pue_u", 3)))
+    rows = f"(select * from fact where {where})"
+    return f"""
+    select 'avg_kwh_by_site_hour' as widget, site_id as key1, hour::varchar as key2, {units(kwh, 6)} as value from {rows} group by all
+    union all select 'avg_pue_by_site_hour', site_id, hour::varchar, {units(pue, 7)} from {rows} group by all
+    union all select 'total_cost_by_zone', bidding_zone, null, {units("sum(cost_u)", 2)} from {rows} group by all
+    union all select 'avg_cost_by_site_date', site_id, strftime(date, '%Y-%m-%d'), {units(cost, 6)} from {rows} group by all
+    union all select 'total_cost_by_weekday', strftime(date, '%A'), null, {units("sum(cost_u)", 2)} from {rows} group by all
+    union all select 'counters', strftime(max(date), '%Y-%m-%d'), strftime(max(date), '%A'), {units("sum(cost_u)", 2)} from {rows}
+    union all select 'avg_pue', null, null, {units(pue, 7)} from {rows}"""
+
+
+CHOICES = {"all": "true", "PL": "bidding_zone = 'PL'", "DE_LU": "bidding_zone = 'DE_LU'"}
+CUBE_SQL = fact_sql() + " union all ".join(f"select '{name}' as choice, * from ({_widget_sql(where)})" for name, where in CHOICES.items())
+KEYS = {
+    "avg_kwh_by_site_hour": ("site_id", "hour", "avg_kwh"), "avg_pue_by_site_hour": ("site_id", "hour", "avg_pue"),
+    "total_cost_by_zone": ("bidding_zone", None, "total_cost"), "avg_cost_by_site_date": ("site_id", "date", "avg_cost"),
+    "total_cost_by_weekday": ("day_of_week_name", None, "total_cost"), "counters": ("latest_date", "latest_weekday", "total_cost"),
+    "avg_pue": (None, None, "avg_pue"),
+}
+
+
+def _answers(cube):
+    """Every widget under every choice of the zone filter, from the stored cube alone."""
+    out = None
+    for choice in CHOICES:
+        for name, (first, second, value) in KEYS.items():
+            rows = widget(cube, "counters" if name == "avg_pue" else name, {"bidding_zone": None if choice == "all" else choice})
+            keys = [(F.col(c).cast("string") if c else F.lit(None).cast("string")).alias(f"key{k}") for k, c in ((1, first), (2, second))]
+            rows = rows.select(F.lit(choice).alias("choice"), F.lit(name).alias("widget"), *keys, F.col(value).cast("double").alias("value"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@case(CUBE_SQL)
+def dashboard_cube(spark, sf):
+    """All widgets under three filter choices from one cube, which one scan of the fact filled."""
+    cube = Cube(spark, fresh_folder(spark, "cube"))
+    cube.rebuild(fact(spark, sf))
+    return _answers(cube)
+
+
+@case(CUBE_SQL)
+def dashboard_cube_by_slices(spark, sf):
+    """The cube of the fact's first twenty days, then only the months of the zones that later slices touch."""
+    house = Lakehouse(spark, fresh_folder(spark, "lakehouse"))
+    rows, stored = materialise(fact(spark, sf), "fact"), house.consumption()
+    early, late = rows.filter("day(date) <= 20"), rows.filter("day(date) > 20")
+    stored.replace(early, stored.counts(early))
+    cube = Cube(spark, house.path("gold", "dashboard_cube"))
+    cube.rebuild(stored.read())
+    changed = stored.slices(late)
+    stored.put(late, stored.counts(late), changed)
+    cube.refresh(stored, changed)
+    return _answers(cube)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -21,9 +22,11 @@ from millrace.operators.quality import (
     volume_alert,
     volume_by_day,
 )
+from millrace.operators.policies import bind_policies, set_groups
 from millrace.operators.schema import SchemaMismatch, add_column, drop_column, merge_append, rename_column
 from millrace.operators.security import (
     REGIONAL_FILTER,
+    RowPolicy,
     SITE_ID_MASK,
     column_mask,
     create_sql_function,
@@ -410,3 +413,57 @@ def scalar_functions_orders(spark, sf):
         F.element_at(words, position).alias("status_word"),
         F.quarter("o_orderdate").alias("quarter"),
     )
+
+
+POLICY_SQL = fact_sql() + "".join(
+    f"""{' union all ' if k else ''}select '{who}' as reader, site_id, bidding_zone, count(*) as n_rows, {AVG_COST} as avg_cost
+    from (select {site} as site_id, bidding_zone, cost_u from fact where {where}) group by all"""
+    for k, (who, site, where) in enumerate([
+        ("Poland,admins", MASKED, "bidding_zone = 'PL'"), ("Poland", MASKED, "false"), ("France", "site_id", "bidding_zone = 'FR'"),
+    ])
+)
+
+
+def _policy_table(spark, sf):
+    """The fact as a table of the catalog, in a folder of its own."""
+    path, name = fresh_folder(spark, "fact"), f"consumption_{uuid.uuid4().hex[:12]}"
+    fact(spark, sf).write.parquet(path)
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    return name
+
+
+FRANCE = RowPolicy(frozenset({"France"}), "FR")
+
+
+@case(POLICY_SQL)
+def bound_policies(spark, sf):
+    """One query by the name of a view, under three sets of groups."""
+    name = _policy_table(spark, sf)
+    set_groups(spark, [])
+    bind_policies(spark, f"{name}_seen", name, rows={"bidding_zone": [REGIONAL_FILTER, FRANCE]}, masks={"site_id": SITE_ID_MASK})
+    query = f"SELECT site_id, bidding_zone, count(*) AS n_rows, avg(cost_per_hour) AS avg_cost FROM {name}_seen GROUP BY ALL"
+    out = None
+    for groups in (["Poland", "admins"], ["Poland"], ["France"]):
+        set_groups(spark, groups)
+        rows = materialise(spark.sql(query).select(F.lit(",".join(groups)).alias("reader"), "*"), "seen")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@case(
+    fact_sql()
+    + """select count(*) filter (bidding_zone = 'PL') as seen, count(*) filter (bidding_zone = 'PL' and cost_u > 0) as dear,
+    'false' as leaked from fact"""
+)
+def bound_policies_leak_nothing(spark, sf):
+    """Predicates that fail on what they are shown find no hidden row to fail on, nor a site behind its mask."""
+    name = _policy_table(spark, sf)
+    set_groups(spark, ["Poland", "admins"])
+    bind_policies(spark, f"{name}_seen", name, rows={"bidding_zone": [REGIONAL_FILTER]}, masks={"site_id": SITE_ID_MASK})
+    tests = ["bidding_zone <> 'PL'", "site_id LIKE 'DC-FR%' OR site_id LIKE 'DC-ES%'", "hash(bidding_zone, cost_per_hour) IS NULL"]
+    probes = " AND ".join(f"if({t}, raise_error(concat('leak: ', site_id)), true)" for t in tests)
+    seen = spark.sql(f"SELECT count(*) AS seen, count_if(cost_per_hour > 0) AS dear FROM {name}_seen WHERE {probes}")
+    try:
+        return materialise(seen.withColumn("leaked", F.lit(False)), "seen")
+    except Exception as error:
+        return spark.createDataFrame([(0, 0, "leak:" in str(error))], "seen long, dear long, leaked boolean")
