@@ -60,7 +60,7 @@ def apportion(votes: Sequence[float], seats: int, most: Sequence[int]) -> list[i
     left = seats
     while open_ and left > 0:  # parties that are full leave the even share to the others
         even = left / sum(votes[i] for i in open_)
-        full = [i for i in open_ if math.floor(votes[i] * even + 0.5) >= most[i]]
+        full = {i for i in open_ if math.floor(votes[i] * even + 0.5) >= most[i]}
         if not full:
             for i in open_:
                 got[i] = math.floor(votes[i] * even + 0.5)
@@ -68,7 +68,7 @@ def apportion(votes: Sequence[float], seats: int, most: Sequence[int]) -> list[i
         for i in full:
             got[i] = most[i]
             left -= most[i]
-        open_ = [i for i in open_ if i not in set(full)]
+        open_ = [i for i in open_ if i not in full]
     short = seats - sum(got)
     if short > 0:
         heap = [(-v / (2 * got[i] + 1), i) for i, v in enumerate(votes) if v > 0 and got[i] < most[i]]
