@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import cleaning as c
+from millrace.operators.spelling import nearest_spelling
 from millrace.plans.incidents import clean_incidents, closed_case_report
 from workload.inputs import table
 from workload.registry import case, half_up, units
@@ -184,3 +185,39 @@ def age_bands(spark, sf):
         c.band(c.in_range("victim_age", 0, 120)).alias("victim_age_group"),
     )
     return bands.groupBy(*bands.columns).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# Nation names with up to three edits, by rules of the customer's number; and the names as they are.
+MISSPELT_SQL = """misspelt as (
+    select c_custkey, case c_custkey % 6
+        when 0 then n
+        when 1 then substr(n, 1, p - 1) || substr(n, p + 1)
+        when 2 then substr(n, 1, p) || 'Q' || substr(n, p + 1)
+        when 3 then substr(n, 1, p - 1) || 'J' || substr(n, p + 1, q) || substr(n, p + q + 2)
+        when 4 then 'X' || substr(n, 1, p - 1) || 'Y' || substr(n, p + 1) || 'Z'
+        else substr(n, 1, q + 1) end as written
+    from (select c_custkey, upper(n_name) as n, cast(1 + c_custkey // 7 % length(n_name) as int) as p, cast(c_custkey // 11 % 5 as int) as q
+          from customer join nation on c_nationkey = n_nationkey))"""
+
+
+@case(
+    f"""with {MISSPELT_SQL}, pairs as (
+        select distinct written, upper(n_name) as word, levenshtein(written, upper(n_name)) as distance
+        from (select distinct written from misspelt), nation),
+    best as (select written, word, distance from pairs where distance <= 2
+        qualify rank() over (partition by written order by distance) = 1),
+    chosen as (select written, case when count(*) = 1 then min(word) end as corrected, min(distance)::int as distance from best group by 1)
+    select c_custkey, m.written, corrected, distance from misspelt m left join chosen using (written)"""
+)
+def typos_corrected(spark, sf):
+    """Misspelt nations to the one nearest name within two edits; ties and strangers stay open."""
+    nations = table(spark, sf, "nation").select("n_nationkey", F.upper("n_name").alias("n"))
+    rows = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.selectExpr("c_custkey", "n", "cast(1 + c_custkey div 7 % length(n) as int) as p", "cast(c_custkey div 11 % 5 as int) as q")
+    written = """case c_custkey % 6 when 0 then n when 1 then substr(n, 1, p - 1) || substr(n, p + 1)
+        when 2 then substr(n, 1, p) || 'Q' || substr(n, p + 1)
+        when 3 then substr(n, 1, p - 1) || 'J' || substr(n, p + 1, q) || substr(n, p + q + 2)
+        when 4 then 'X' || substr(n, 1, p - 1) || 'Y' || substr(n, p + 1) || 'Z' else substr(n, 1, q + 1) end as written"""
+    misspelt = rows.selectExpr("c_custkey", written)
+    near = nearest_spelling(misspelt, "written", nations, "n")
+    return misspelt.join(near, F.col("written") == F.col("value"), "left").select("c_custkey", "written", "corrected", "distance")
