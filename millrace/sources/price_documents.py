@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The document kind that carries prices, its element names, its time format.
 PUBLICATION = "Publication_MarketDocument"
 START_FORMAT = "yyyy-MM-dd'T'HH:mm'Z'"
 QUARTER_HOUR = "PT15M"
-DOCUMENT_SCHEMA = """
-    TimeSeries array<struct<
-        `currency_Unit.name`: string,
-        `price_Measure_Unit.name`: string,
-        Period: array<struct<
-            timeInterval: struct<start: string>,
-            resolution: string,
-            Point: array<struct<position: int, `price.amount`: double>>
-        >>
+SERIES = "TimeSeries"
+SERIES_SCHEMA = """
+    `currency_Unit.name` string,
+    `price_Measure_Unit.name` string,
+    Period array<struct<
+        timeInterval: struct<start: string>,
+        resolution: string,
+        Point: array<struct<position: int, `price.amount`: double>>
     >>
 """
+DOCUMENT_SCHEMA = f"{SERIES} array<struct<{SERIES_SCHEMA}>>"
+# The start tag of a series with attributes, and what is left of its end tag before the cut.
+SERIES_START = rf"(?s)^.*<(?:[\w.-]+:)?{SERIES}\s[^>]*>"
+SERIES_END = r"</(?:[\w.-]+:)?$"
 # The first element after an XML declaration and comments, without its namespace prefix.
 ROOT_TAG = r"^\s*(?:(?:<\?[\s\S]*?\?>|<!--[\s\S]*?-->)\s*)*<(?:[\w.-]+:)?([\w.-]+)"
 
@@ -38,7 +41,30 @@ def price_points(df: DataFrame, document: str, keep: list[str] | None = None) ->
     parsed = df.filter(root_tag(document) == PUBLICATION).select(
         *keep, F.from_xml(document, DOCUMENT_SCHEMA, {"ignoreNamespace": "true"}).alias("doc")
     )
-    series = parsed.select(*keep, F.explode("doc.TimeSeries").alias("s"))
+    return _points(parsed.select(*keep, F.explode(f"doc.{SERIES}").alias("s")), keep)
+
+
+def price_points_of_files(spark: SparkSession, path: str, keep_file: str | None = None) -> DataFrame:
+    """``price_points`` of XML files, one document each, of any size.
+
+    A file is cut behind every tag of a series, which Spark's text source does in parallel within a file, so
+    a document larger than a task is read by many and no task holds more than a series. (The XML source
+    with a row tag gives the same series but reads a file in one task.) The first element is looked up by
+    file: series of documents of another kind are left out. With ``keep_file`` that column names the file.
+    """
+    pieces = spark.read.option("lineSep", f"{SERIES}>").option("recursiveFileLookup", True).text(path)
+    pieces = pieces.select("value", F.col("_metadata.file_path").alias("_file"))
+    publications = pieces.filter(root_tag("value") == PUBLICATION).select("_file").distinct()
+    # the piece of a series is what lies before its end tag; with attributes its start tag is no cut and still there
+    inside = F.regexp_replace(F.regexp_replace("value", SERIES_END, ""), SERIES_START, "")
+    whole = F.concat(F.lit(f"<{SERIES}>"), inside, F.lit(f"</{SERIES}>"))
+    series = pieces.filter(F.col("value").rlike(SERIES_END)).join(publications, "_file", "left_semi")
+    parsed = series.select(F.col("_file").alias(keep_file or "_file"), F.from_xml(whole, SERIES_SCHEMA, {"ignoreNamespace": "true"}).alias("s"))
+    return _points(parsed, [keep_file] if keep_file else [])
+
+
+def _points(series: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per point of the series ``s``."""
     periods = series.select(
         *keep,
         F.col("s.`currency_Unit.name`").alias("currency"),

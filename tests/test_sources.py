@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import pathlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators.schema import SchemaMismatch
 from millrace.sources import files
 from millrace.sources.batches import BatchTable, first_fit
 from millrace.sources.messages import READING_SCHEMA, message_stream, parse_messages
-from millrace.sources.price_documents import price_points, root_tag
+from millrace.sources.price_documents import SERIES, price_points, price_points_of_files, root_tag
 from millrace.sources.readers import read_csv, read_json, read_table, stream_table, with_audit, with_provenance
 from millrace.sources.writers import append, clone, drop_table, export_json, land_partitions, overwrite, seed_once, stream_to_files, truncate
 from tests.conftest import rows
@@ -213,3 +215,31 @@ def test_values_json_and_drop(spark, folder):
     values.createOrReplaceTempView("inline_values")
     assert read_table(spark, "inline_values").count() == 2
     drop_table(spark, "never_there")
+
+
+def test_price_points_of_files(spark, folder):
+    """Whole files give the rows of their text: with prefix, attributes, declaration, and of other kinds none."""
+    prefixed = re.sub(r"<(/?)(?=[A-Za-z])", r"<\1ns:", PUBLICATION.split("?>")[-1]).replace("xmlns=", "xmlns:ns=")
+    marked = PUBLICATION.replace(f"<{SERIES}>", f'<{SERIES} id="1">')
+    spread = PUBLICATION.replace("><", ">\n  <")
+    other = PUBLICATION.replace("Publication_MarketDocument", "Balancing_MarketDocument")
+    documents = {"plain": PUBLICATION, "prefixed": prefixed, "marked": marked, "spread": spread, "other": other, "empty": "", "ack": "<Acknowledgement_MarketDocument/>"}
+    for name, text in documents.items():
+        (pathlib.Path(folder) / f"{name}.xml").write_text(text)
+    got = price_points_of_files(spark, folder, "file").withColumn("file", F.regexp_extract("file", "([a-z]+).xml", 1))
+    want = price_points(spark.createDataFrame(list(documents.items()), "file string, body string"), "body", ["file"])
+    assert rows(got) == rows(want) and {r.file for r in got.collect()} == {"plain", "prefixed", "marked", "spread"}
+
+
+def test_a_large_document_is_read_by_several_tasks(spark, folder):
+    point = "".join(f"<Point><position>{k}</position><price.amount>{k}.5</price.amount></Point>" for k in range(1, 501))
+    series = f"<{SERIES}><currency_Unit.name>EUR</currency_Unit.name><Period><timeInterval><start>2026-01-01T00:00Z</start></timeInterval><resolution>PT60M</resolution>{point}</Period></{SERIES}>"
+    (pathlib.Path(folder) / "a.xml").write_text(f"<Publication_MarketDocument>{series * 200}</Publication_MarketDocument>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        points = price_points_of_files(spark, folder).withColumn("task", F.spark_partition_id())
+        per_task = [r["count"] for r in points.groupBy("task").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(per_task) == 100_000 and len(per_task) >= 4 and max(per_task) < 50_000

@@ -12,7 +12,7 @@ from millrace.operators.quality import gate_report, require_gate
 from millrace.session import fresh_folder, materialise
 from millrace.sources.batches import BatchTable
 from millrace.sources.messages import message_stream, parse_messages
-from millrace.sources.price_documents import price_points
+from millrace.sources.price_documents import price_points, price_points_of_files
 from millrace.sources.readers import read_csv, stream_files, stream_table, with_audit, with_provenance
 from millrace.sources.writers import land_partitions, stream_to_files
 from millrace.spec import Rule
@@ -352,3 +352,27 @@ def _documents(spark, sf):
 )
 def xml_points_explode(spark, sf):
     return price_points(_documents(spark, sf), "body", ["o_orderkey"])
+
+
+@case(
+    """select strftime(o_orderdate + to_minutes(cast((position - 1) * case when o_orderstatus = 'O' then 15 else 60 end as bigint)),
+        '%Y-%m-%dT%H:%M:%SZ') as timestamp_utc, cast(cast(o_totalprice as decimal(12,2)) + position as double) as price,
+        'EUR' as currency, 'MWH' as unit
+    from orders, (select unnest([1, 2, 3, 4]) as position)
+    where o_orderstatus <> 'P' and not (o_orderpriority = '1-URGENT' and position = 3)"""
+)
+def xml_files_explode(spark, sf):
+    """The same documents put together in files: a series per order, a document per month, status and prefix."""
+    body = _documents(spark, sf).join(table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"), "o_orderkey")
+    prefix = F.when((F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderstatus") != "P"), "m").otherwise("")
+    doc = F.concat_ws("-", F.date_format("o_orderdate", "yyyy-MM"), "o_orderstatus", prefix).alias("doc")
+    parts = [F.regexp_extract("body", r"(?s)^(.*?)(<(?:m:)?TimeSeries>.*TimeSeries>)(.*)$", k) for k in (1, 2, 3)]
+    cut = body.select(doc, "o_orderkey", "body", *[p.alias(n) for p, n in zip(parts, ("head", "series", "foot"))])
+    series = cut.filter("series <> ''").select("doc", F.col("o_orderkey").cast("long").alias("at"), F.col("series").alias("value"))
+    whole = F.when(F.col("series") == "", F.col("body"))
+    ends = cut.groupBy("doc").agg(F.min(F.coalesce(whole, "head")).alias("head"), F.min("foot").alias("foot"))
+    ends = ends.select("doc", F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("at"), F.col("head").alias("value")), F.struct(F.lit(2**62).alias("at"), F.col("foot").alias("value")))).alias("e"))
+    lines = series.unionByName(ends.select("doc", "e.*"))
+    path = fresh_folder(spark, "documents")
+    lines.repartition("doc").sortWithinPartitions("doc", "at").select("doc", "value").write.partitionBy("doc").text(path)
+    return price_points_of_files(spark, path)
