@@ -143,9 +143,8 @@ def _with_quotas(docs: DataFrame, weights: Sequence[float], share: float, block:
             "doc_id",
             "source",
             word_count("text").alias("size"),
-            F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"))).alias("order"),
             row_key("source").alias("key"),
-        ),
+        ).withColumn("order", F.md5(F.concat_ws("/", F.lit(seed), "key"))),
         "sizes",
         few_files=True,
     )
@@ -189,7 +188,8 @@ def mix(
     rows are documents of their own; other columns are left out. Reruns agree.
 
     The driver sees one row per source. A shard holds about a million words or 65,536 rows,
-    so a source with a third of all rows is many shards.
+    so a source with a third of all rows is many shards. Rows are dealt by doc_id and text together,
+    so those of one doc_id, or of none, lie in different shards unless they are alike in both.
     """
     rows = _with_quotas(docs, weights, share, block, seed)
     kept = ["doc_id", "size", "source_size", "target"]

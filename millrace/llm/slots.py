@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.operators.numbering import number_rows
 from millrace.session import materialise
+from millrace.sources.writers import overwrite
 
 SLOTS = 4096
 
@@ -85,7 +86,7 @@ def rebalance(slot_map: DataFrame, load: DataFrame) -> DataFrame:
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Documents with their shard, and the stored map.
 
     First: doc_id, size, text_crc32, law, shard, slot (the place in the shard, from 0
@@ -94,8 +95,9 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> tu
     doc_id has a slot like any other key; repeated rows lie in one shard, each at a place
     of its own. Other columns are left out, whatever their names.
 
-    Second: one row per version and slot with its shard, bytes and rows, written to the
-    shared folder; this is what a later edit starts from.
+    Second: one row per version and slot with its shard, bytes and rows, written to
+    ``map_path``, where a later edit finds it; without a path it lives as long as the
+    shared folder.
     """
     spark = docs.sparkSession
     # Sizes only, written once: the texts are read one time and never shuffled.
@@ -111,7 +113,10 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> tu
     )
     now = first_map(spark, shards, slots)
     versions = now.unionByName(grow(now, shards)).join(load_of(sized), "virtual_slot", "left")
-    stored = materialise(versions.fillna(0, ["slot_bytes", "slot_rows"]), "slot-map")
+    versions = versions.fillna(0, ["slot_bytes", "slot_rows"])
+    if map_path:
+        overwrite(versions, map_path)
+    stored = spark.read.schema(versions.schema).parquet(map_path) if map_path else materialise(versions, "slot-map")
     at = {v: stored.filter(F.col("version") == v).select("virtual_slot", "shard") for v in (1, 2)}
     placed = sized.join(F.broadcast(at[1]), "virtual_slot").join(  # as many rows as there are slots
         F.broadcast(at[2].withColumnRenamed("shard", "grown_shard")), "virtual_slot"

@@ -24,8 +24,8 @@ def mix(weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, block: int = m
     return f"""
 with recursive sized as (
   select doc_id, source, len({WORDS})::bigint as size,
-         md5(concat_ws('/', '{seed}', doc_id::varchar)) as o, text
-  from documents
+         md5('{seed}/' || md5(length(d) || ':' || d || length(s) || ':' || s || coalesce(text, ''))) as o, text
+  from (select *, coalesce(doc_id::varchar, 'null') as d, coalesce(source, 'null') as s from documents)
 ), per_source as (
   select *, row_number() over (order by source is null, encode(source)) - 1 as number from (
     select source, sum(size)::bigint as words, count(*) as rows from sized group by source)

@@ -81,3 +81,19 @@ def test_documents_of_the_mix(odd_rows, odd_docs, no_docs):
 def test_sources_without_words(spark, text):
     df = spark.createDataFrame([(1, text, "a"), (2, text, None)], "doc_id long, text string, source string")
     assert [(r.size, r.target, r.taken) for r in mixing.mix(df).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_rows_without_an_id_are_dealt_to_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_ROWS", 100)
+    df = spark.range(3000).selectExpr("cast(null as long) as doc_id", "concat('text ', id) as text", "'a' as source")
+    rows = mixing._with_quotas(df, (3, 1, 2), 1.5, mixing.BLOCK, "mix")
+    sizes = [r["count"] for r in rows.groupBy("shard").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 200
+
+
+def test_a_million_shards_have_their_seats():
+    rng = random.Random(3)
+    votes = [rng.random() * 1000 for _ in range(200_000)]
+    most = [rng.randrange(60) for _ in votes]
+    got = mixing.apportion(votes, 4_000_000, most)
+    assert sum(got) == 4_000_000 and all(g <= m for g, m in zip(got, most))

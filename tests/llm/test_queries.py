@@ -97,6 +97,11 @@ def test_op2_op4_op6(spark, docs):
     assert run(spark, "op6_").join(pages, ["page_id", "url"]).count() == pages.count()
 
 
+def row_key(row):
+    parts = ["null" if x is None else str(x) for x in (row[0], row[3])]
+    return hashlib.md5(("".join(f"{len(p)}:{p}" for p in parts) + (row[1] or "")).encode()).hexdigest()
+
+
 def mixed(rows):
     """The texts of the mix, by walking through its rules word by word; one shard per source."""
     by_source = {}
@@ -109,7 +114,7 @@ def mixed(rows):
     seats = naive([target[i] for i in size], round(sum(target.values()) / block), [-(-2 * size[i] // block) for i in size])
     out = []
     for i, s in enumerate(sources):
-        order = sorted(by_source[s], key=lambda r: hashlib.md5(f"mix/{r[0]}".encode()).hexdigest())
+        order = sorted(by_source[s], key=lambda r: hashlib.md5(f"mix/{row_key(r)}".encode()).hexdigest())
         line = [(k, w) for k, r in enumerate(order) for w in words(r[1])]
         quota = min(seats[i] * block, 2 * size[i])
         passes, rest = divmod(quota, max(1, size[i]))

@@ -56,3 +56,12 @@ def test_rebalancing_moves_whole_slots_until_bytes_are_even(spark):
     assert new.filter("version = 2").count() == 64
     moved = old.join(new.withColumnRenamed("shard", "to"), "virtual_slot").filter("shard <> to").select("shard").distinct()
     assert [r.shard for r in moved.collect()] == [0]
+
+
+def test_the_map_is_stored_where_it_is_asked_for(spark, odd_docs, tmp_path):
+    rows, stored = slots.shard_documents(odd_docs, map_path=f"{tmp_path}/map")
+    later = spark.read.parquet(f"{tmp_path}/map")  # by another run
+    assert sorted(map(tuple, later.collect())) == sorted(map(tuple, stored.collect()))
+    assert rows.count() == odd_docs.count() and later.filter("version = 2").count() == slots.SLOTS
+    plain = slots.shard_documents(odd_docs)[0]
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
