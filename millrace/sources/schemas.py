@@ -32,12 +32,12 @@ class SchemaMemory:
         files.create_text(self.spark, f"{self.path}/{number:06d}.json", schema.json())
 
     def widen(self, schema: StructType) -> None:
-        """Remember the columns that are new; a known one must have its type."""
+        """Remember the columns that are new; a known one must have its type, whatever may be NULL in it."""
         known = self.load()
-        kinds = {f.name: f.dataType for f in known.fields}
+        kinds = {f.name: f.dataType.simpleString() for f in known.fields}
         for f in schema.fields:
-            if f.name in kinds and kinds[f.name] != f.dataType:
-                raise TypeError(f"{f.name} is {kinds[f.name].simpleString()}, not {f.dataType.simpleString()}")
+            if kinds.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString():
+                raise TypeError(f"{f.name} is {kinds[f.name]}, not {f.dataType.simpleString()}")
         new = [StructField(f.name, f.dataType) for f in schema.fields if f.name not in kinds]
         if new:
             self.save(StructType(known.fields + new))

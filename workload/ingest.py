@@ -363,7 +363,8 @@ def xml_points_explode(spark, sf):
 )
 def xml_files_explode(spark, sf):
     """The same documents put together in files: a series per order, a document per month, status and prefix."""
-    body = _documents(spark, sf).join(table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"), "o_orderkey")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    body = _documents(spark, sf).join(orders, "o_orderkey")
     prefix = F.when((F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderstatus") != "P"), "m").otherwise("")
     doc = F.concat_ws("-", F.date_format("o_orderdate", "yyyy-MM"), "o_orderstatus", prefix).alias("doc")
     parts = [F.regexp_extract("body", r"(?s)^(.*?)(<(?:m:)?TimeSeries>.*TimeSeries>)(.*)$", k) for k in (1, 2, 3)]
@@ -371,7 +372,8 @@ def xml_files_explode(spark, sf):
     series = cut.filter("series <> ''").select("doc", F.col("o_orderkey").cast("long").alias("at"), F.col("series").alias("value"))
     whole = F.when(F.col("series") == "", F.col("body"))
     ends = cut.groupBy("doc").agg(F.min(F.coalesce(whole, "head")).alias("head"), F.min("foot").alias("foot"))
-    ends = ends.select("doc", F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("at"), F.col("head").alias("value")), F.struct(F.lit(2**62).alias("at"), F.col("foot").alias("value")))).alias("e"))
+    both = [F.struct(F.lit(at).cast("long").alias("at"), F.col(c).alias("value")) for at, c in ((-1, "head"), (2**62, "foot"))]
+    ends = ends.select("doc", F.explode(F.array(*both)).alias("e"))
     lines = series.unionByName(ends.select("doc", "e.*"))
     path = fresh_folder(spark, "documents")
     lines.repartition("doc").sortWithinPartitions("doc", "at").select("doc", "value").write.partitionBy("doc").text(path)
