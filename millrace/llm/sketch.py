@@ -18,7 +18,7 @@ from millrace.session import materialise
 
 K = 128
 SHINGLE = 5  # words
-TASK_BYTES = 1 << 22  # text that is put in order in one task, about
+TASK_BYTES = 1 << 24  # text that is put in order in one task, about
 HASHES = 2.0**64
 
 
@@ -167,8 +167,10 @@ def in_order(docs: DataFrame) -> DataFrame:
         F.col("before").alias("part"), "doc_id", "text", F.lit(True).alias("none"), F.xxhash64("text").alias("h"), F.lit(True).alias("copy")
     )
     together = placed.withColumn("copy", F.lit(False)).unionByName(copies)
-    # sketches are made after the shuffle, so that they are not shuffled themselves
-    dealt = together.repartition("part").withColumn("fp", sketch("text"))
+    # A range for each stretch: hashed, several would meet in one task. Sketches are made after the
+    # shuffle, so that they are not shuffled themselves.
+    stretches = len(cuts) + 1 + sum(often.values()) + without
+    dealt = together.repartitionByRange(stretches, "part").withColumn("fp", sketch("text"))
     follow = Window.partitionBy("part").orderBy("copy", "none", "doc_id", "h")
     found = dealt.withColumns({"next_text": F.lead("text").over(follow), "next_fp": F.lead("fp").over(follow)})
     return found.filter(~F.col("copy")).select("doc_id", "text", "fp", "next_text", "next_fp")
