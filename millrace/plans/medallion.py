@@ -207,6 +207,7 @@ def incremental_refresh(
     run = run_of(house.spark, checkpoint)
 
     def refresh(batch: DataFrame, number: int) -> None:
+        house.event_slices().remove(run, number)  # what an earlier attempt at this batch noted is not known yet
         rows = materialise(keep_latest(batch, READINGS.keys, "ingestion_ts"), "new-readings")
         merged, new_places, touched = _merged(house, rows)
         counts = house.readings().counts(merged)

@@ -153,3 +153,19 @@ def test_large_slices_are_several_files(spark, folder, monkeypatch):
     table.replace(df, table.counts(df))
     files = [len(list(p.glob("*.parquet"))) for p in pathlib.Path(f"{folder}/t").iterdir() if p.is_dir()]
     assert max(files) > 1 and sum(files) < 20 and rows(table.read()) == rows(df)
+
+
+def test_a_batch_that_failed_half_way_is_merged_again(spark, folder, monkeypatch):
+    house = Lakehouse(spark, f"{folder}/house")
+    land(folder, "a.json", reading("e1", 2.0), reading("e2", 3.0, zone="FR"))
+    with monkeypatch.context() as broken:
+        broken.setattr(medallion, "_add_sites", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            incremental_refresh(house, prices(spark), stream(spark, folder), AS_OF)
+    assert house.event_slices().read().count() == 2  # the other steps were done
+    again = incremental_refresh(house, prices(spark), stream(spark, folder), AS_OF)
+    assert fact(again) == [("FR", "2026-01-05", 12, 3.0, None), ("PL", "2026-01-05", 12, 2.0, 0.02)]
+    assert house.event_slices().read().count() == 2
+    land(folder, "b.json", reading("e1", 2.0, ts="2026-01-09T08:00:00Z", seen=9))
+    moved = incremental_refresh(house, prices(spark), stream(spark, folder), AS_OF)
+    assert fact(moved) == [("FR", "2026-01-05", 12, 3.0, None), ("PL", "2026-01-09", 8, 2.0, None)]
