@@ -12,6 +12,7 @@ from millrace.functions.ordering import cuts, interleave, slot_of, sortable_colu
 from millrace.sources import files
 
 TARGET_BYTES = 256 * 1024 * 1024
+ROWS_PER_FILE = 1_000_000  # one task shuffles, sorts and writes them
 LOOKUP_ERROR = 0.001  # share of row groups that a lookup reads in vain
 
 
@@ -214,3 +215,8 @@ def compact(
 def files_for(total_bytes: int, target_bytes: int = TARGET_BYTES) -> int:
     """How many files a rewrite of that size should have."""
     return max(1, math.ceil(total_bytes / target_bytes))
+
+
+def files_for_rows(n_rows: int, least: int = 1) -> int:
+    """How many files a layout of so many rows should have, so that no task's share grows with the table."""
+    return max(least, math.ceil(n_rows / ROWS_PER_FILE))

@@ -187,3 +187,22 @@ def test_lookups_read_few_rows(spark, folder):
     assert read["bloom"] < 0.02 * 40000 < read["plain"]
     none = spark.read.parquet(f"{folder}/bloom").filter("k = -5")
     assert none.collect() == [] and rows_scanned(none) < 0.02 * 40000
+
+
+def test_files_follow_the_number_of_rows(spark, folder, monkeypatch):
+    import millrace.operators.layout as layout
+    from workload import layouts
+
+    day = F.when(F.col("id") % 2 == 0, F.lit(dt.datetime(1997, 1, 1))).otherwise(F.lit(dt.datetime(2000, 1, 1)))
+    lines = spark.range(8000).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") * 7919 % 4000).alias("l_partkey"), (F.col("id") * 31 % 1000).alias("l_suppkey"),
+        day.alias("l_shipdate"), F.lit("A").alias("l_returnflag"),
+    )
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(layout, "ROWS_PER_FILE", 100, raising=False)
+    monkeypatch.setattr(layouts, "fresh_folder", lambda spark, label: f"{folder}/{label}")
+    found = layouts.layout_changed_keys(spark, folder).collect()
+    assert all(r[2] and r[3] for r in found) and len(found) == 3
+    sizes = spark.read.parquet(f"{folder}/changed-keys").groupBy(F.col("_metadata.file_name")).count()
+    assert sizes.agg(F.sum("count")).first()[0] == 8000
+    assert sizes.agg(F.max("count")).first()[0] < 200
