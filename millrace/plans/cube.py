@@ -23,6 +23,7 @@ from millrace.sources.slices import PREFIX, SliceTable
 GRAINS = (("bidding_zone", "month", "date"), ("bidding_zone", "month", "site_id", "hour"), ("bidding_zone", "month", "site_id", "date"))
 MEASURES = {"kwh": ("avg_consumption_kwh", 2), "pue": ("avg_pue", 3), "cost": ("cost_per_hour", 2)}  # column of the fact, its digits
 DIMENSIONS = ("bidding_zone", "month", "site_id", "date", "hour")
+ROWS_PER_TASK = 500_000  # of the fact; a task keeps their groups of all grains in memory
 
 Filters = Mapping[str, object] | None
 
@@ -33,8 +34,13 @@ def cube_schema() -> StructType:
 
 
 def build_cube(fact: DataFrame) -> DataFrame:
-    """Sums in units and counts of every measure, at every grain; a dimension that a grain lacks is NULL."""
-    rows = fact.withColumn("month", F.date_format("date", "yyyy-MM"))
+    """Sums in units and counts of every measure, at every grain; a dimension that a grain lacks is NULL.
+
+    The fact should be stored, as its rows are counted first. They are dealt by site, so the groups of
+    the fine grains are whole in one task, and no task has more of them than a table of any size gives.
+    """
+    tasks = max(fact.sparkSession.sparkContext.defaultParallelism, -(-fact.count() // ROWS_PER_TASK))
+    rows = fact.repartition(tasks, "bidding_zone", "site_id").withColumn("month", F.date_format("date", "yyyy-MM"))
     units = [F.sum(to_units(F.col(c), digits)).alias(m) for m, (c, digits) in MEASURES.items()]
     counts = [F.count(c).alias(f"n_{m}") for m, (c, _) in MEASURES.items()]
     sets = [[F.col(c) for c in grain] for grain in GRAINS]
@@ -50,7 +56,7 @@ class Cube:
         self.table = SliceTable(spark, path, cube_schema(), {"zone": F.col("bidding_zone"), "month": F.col("month")})
 
     def rebuild(self, fact: DataFrame) -> None:
-        rows = materialise(build_cube(fact), "cube")
+        rows = materialise(build_cube(materialise(fact, "fact")), "cube")
         self.table.replace(rows, self.table.counts(rows))
 
     def refresh(self, fact: SliceTable, changed: Iterable[Row]) -> None:

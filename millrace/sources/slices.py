@@ -6,6 +6,7 @@ come from stay in the files, with their types. A folder is found by its name, wi
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
@@ -79,15 +80,33 @@ class SliceTable:
     def _write(self, df: DataFrame, counts: Mapping[tuple, int], mode: str) -> None:
         """Every slice by one task, or a large one by several, so that no folder gets many small files."""
         rows = self.located(df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields]))
-        parts = {place: -(-n // ROWS_PER_FILE) for place, n in counts.items()}
-        large = [(*place, n) for place, n in parts.items() if n > 1]
-        salt = F.lit(0)
-        if large:
+        tasks, dealt = _dealt(counts, self.spark.sparkContext.defaultParallelism)
+        task = F.pmod(F.xxhash64(*self.by), F.lit(tasks))  # of a slice that counts lacks
+        if dealt:
             kinds = ", ".join(f"{c} string" for c in self.by)
-            rows = rows.join(self.spark.createDataFrame(large, f"{kinds}, _parts long"), list(self.by), "left")
-            whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in self.schema.fields])
-            salt = F.pmod(whole, F.coalesce("_parts", F.lit(1)))
-        total = sum(parts.values())
-        tasks = max(1, min(total, max(self.spark.sparkContext.defaultParallelism, total // 4)))
-        rows = rows.repartition(tasks, *self.by, salt).drop("_parts")
+            known = self.spark.createDataFrame([(*place, own) for place, own in dealt.items()], f"{kinds}, _tasks array<int>")
+            rows = rows.join(F.broadcast(known), list(self.by), "left")
+            salt = F.lit(0)
+            if any(len(own) > 1 for own in dealt.values()):
+                whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in self.schema.fields])
+                salt = F.pmod(whole, F.size("_tasks"))
+            task = F.coalesce(F.get("_tasks", salt.cast("int")), task)
+        rows = rows.withColumn("_task", task.cast("int")).drop("_tasks").repartitionById(tasks, "_task").drop("_task")
         rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*self.by).parquet(self.path)
+
+
+def _dealt(counts: Mapping[tuple, int], cores: int) -> tuple[int, dict[tuple, list[int]]]:
+    """How many tasks write, and the tasks that share each slice: the next largest part goes to the task with the fewest rows.
+
+    A writer sorts all rows of its task, so a task gets about the rows of one file, however large the table.
+    """
+    shares = {place: max(1, -(-n // ROWS_PER_FILE)) for place, n in counts.items()}
+    parts = sorted(((counts[place] / k, place) for place, k in shares.items() for _ in range(k)), reverse=True)
+    tasks = max(1, min(len(parts), max(cores, len(parts) // 4, 2 * sum(counts.values()) // ROWS_PER_FILE)))
+    loads = [(0.0, task) for task in range(tasks)]
+    dealt: dict[tuple, list[int]] = {}
+    for size, place in parts:
+        load, task = heapq.heappop(loads)
+        dealt.setdefault(place, []).append(task)
+        heapq.heappush(loads, (load + size, task))
+    return tasks, dealt

@@ -155,6 +155,19 @@ def test_large_slices_are_several_files(spark, folder, monkeypatch):
     assert max(files) > 1 and sum(files) < 20 and rows(table.read()) == rows(df)
 
 
+def test_tasks_that_write_slices_have_even_loads(spark, folder, monkeypatch):
+    monkeypatch.setattr(slices, "ROWS_PER_FILE", 100)
+    df = spark.range(5000).selectExpr("id", "case when id < 1000 then 'hot' else 'z' || id % 40 end as z")
+    table = SliceTable(spark, f"{folder}/t", df.schema, {"z": F.col("z")})
+    table.replace(df, table.counts(df))
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)-", 1)
+    loads = table.read().groupBy(task).count().agg(F.max("count"), F.sum("count")).first()
+    assert loads[0] <= 200 and loads[1] == 5000
+    late = spark.range(300).selectExpr("id", "'new ' || id % 3 as z")  # slices that counts does not name
+    table.put(late, {("z0",): 1}, [])
+    assert rows(table.read()) == rows(df.unionByName(late))
+
+
 def test_a_batch_that_failed_half_way_is_merged_again(spark, folder, monkeypatch):
     house = Lakehouse(spark, f"{folder}/house")
     land(folder, "a.json", reading("e1", 2.0), reading("e2", 3.0, zone="FR"))
