@@ -193,7 +193,8 @@ def test_files_follow_the_number_of_rows(spark, folder, monkeypatch):
     import millrace.operators.layout as layout
     from workload import layouts
 
-    day = F.when(F.col("id") % 2 == 0, F.lit(dt.datetime(1997, 1, 1))).otherwise(F.lit(dt.datetime(2000, 1, 1)))
+    days = F.array(*[F.lit(dt.datetime(y, 6, 1)) for y in (1996, 1997, 1998, 2000)])
+    day = F.get(days, F.floor(F.col("id") / 7 % 4).cast("int"))
     lines = spark.range(8000).select(
         F.col("id").alias("l_orderkey"), (F.col("id") * 7919 % 4000).alias("l_partkey"), (F.col("id") * 31 % 1000).alias("l_suppkey"),
         day.alias("l_shipdate"), F.lit("A").alias("l_returnflag"),
