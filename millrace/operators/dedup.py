@@ -15,14 +15,17 @@ def _total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str]) -> li
     return [F.col(f"`{c}`").desc_nulls_last() for c in [*first, *rest]]
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], sequence: str | Sequence[str]) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], sequence: str | Sequence[str], *, few_copies: bool = False) -> DataFrame:
     """One row per key, the one with the highest ``sequence``; ties go by the other columns.
 
     ``row_number() = 1`` is planned with a per-partition limit before the shuffle, so a
-    key that holds a large share of the rows sends one row per input partition only.
+    key that holds a large share of the rows sends one row per input partition only. That limit
+    sorts every row once more; ``few_copies`` leaves it out where no key can have more than a few rows.
     """
     first = [sequence] if isinstance(sequence, str) else list(sequence)
     w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*_total_order(df, keys, first))
+    if few_copies:
+        return df.withColumn("_newer", F.lag(F.lit(True)).over(w)).filter("_newer is null").drop("_newer")
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from millrace.functions.calendar import calendar
 from millrace.operators.dedup import keep_latest
@@ -243,13 +245,24 @@ def _merged(house: Lakehouse, rows: DataFrame) -> tuple[DataFrame, DataFrame, li
     events. Only they are read, and settled by the newest of each event.
     """
     table, index = house.readings(), house.event_slices()
-    now = _placed(house, rows)
-    known = now.limit(0)
+    new = now = _placed(house, rows)
+    held = now.select(*table.by)
     if index.exists():
-        known = materialise(index.read().join(now.select("event_id"), "event_id", "left_semi"), "known-events", few_files=True)
-    places = now.select(*table.by).unionByName(known.select(*table.by)).distinct().collect()
-    merged = keep_latest(table.read_slices(places).unionByName(rows), READINGS.keys, "ingestion_ts")
-    return materialise(merged, "merged"), now.join(known, now.columns, "left_anti"), places
+        was = {c: f"was_{c}" for c in table.by}
+        pairs = now.join(index.read().withColumnsRenamed(was), "event_id", "left")
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(w)) for c, w in was.items()])
+        of_event = Window.partitionBy("event_id", *table.by).orderBy(*was.values())  # the join has dealt and sorted by event
+        pairs = pairs.withColumns({
+            "_noted": F.max(same).over(of_event.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+            "_place": F.row_number().over(of_event),
+        })
+        pairs = materialise(pairs, "places-of-events")
+        new = pairs.filter("_place = 1 and not _noted").select(now.columns)
+        earlier = pairs.filter(F.col(next(iter(was.values()))).isNotNull()).select(*[F.col(w).alias(c) for c, w in was.items()])
+        held = pairs.select(*table.by).unionByName(earlier)
+    places = held.distinct().collect()
+    merged = keep_latest(table.read_slices(places).unionByName(rows), READINGS.keys, "ingestion_ts", few_copies=True)
+    return materialise(merged, "merged"), new, places
 
 
 def _dates(house: Lakehouse) -> DataFrame:
@@ -273,7 +286,7 @@ def _changed_prices(house: Lakehouse, prices: DataFrame) -> list[Row]:
 def _refresh_fact(house: Lakehouse, readings: DataFrame, counts: dict[tuple, int], places: list[Row]) -> None:
     """The fact of these slices anew, from all their readings and prices; it has rows where they have."""
     by = house.readings().by
-    wanted = house.spark.createDataFrame(places, ", ".join(f"{c} string" for c in by))
+    wanted = house.readings().known(places)
     prices = house.readings().located(house.read("silver", "prices")).join(wanted, list(by), "left_semi")
     house.consumption().put(hourly_fact(readings, prices), counts, places)
 

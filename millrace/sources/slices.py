@@ -7,6 +7,7 @@ come from stay in the files, with their types. A folder is found by its name, wi
 from __future__ import annotations
 
 import heapq
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
@@ -19,9 +20,14 @@ ROWS_PER_FILE = 2_000_000
 
 
 def folder_name(value: Column) -> Column:
-    """A value as part of a folder name, reversible; no store has to escape anything in it."""
-    safe = F.replace(F.replace(F.url_encode(value.cast("string")), F.lit("%"), F.lit("~")), F.lit("*"), F.lit("~2A"))
-    return F.when(value.isNull(), "~null").when(safe == "", "~").otherwise(safe)
+    """A value as part of a folder name, reversible; no store has to escape anything in it.
+
+    Most values have nothing to escape, and to see that is much cheaper than to escape them.
+    """
+    text = value.cast("string")
+    plain = text.rlike(r"^[A-Za-z0-9._-]+\z")
+    safe = F.replace(F.replace(F.url_encode(text), F.lit("%"), F.lit("~")), F.lit("*"), F.lit("~2A"))
+    return F.when(value.isNull(), "~null").when(plain, text).when(text == "", "~").otherwise(safe)
 
 
 class SliceTable:
@@ -38,7 +44,15 @@ class SliceTable:
 
     def slices(self, df: DataFrame) -> list[Row]:
         """The slices that the rows lie in; one row each, as there is one folder each."""
-        return self.located(df).select(*self.by).distinct().collect()
+        return [Row(**dict(zip(self.by, place))) for place in self.counts(df)]
+
+    def known(self, rows: Iterable[tuple], *more: str) -> DataFrame:
+        """Slices and what is known of them, as a constant of the plan: no Python worker starts for it."""
+        fields = [*[f"{c} string" for c in self.by], *more]
+        names = [f.split(" ")[0] for f in fields]
+        text = json.dumps([dict(zip(names, row)) for row in rows])
+        parsed = F.from_json(F.lit(text), f"array<struct<{', '.join(f.replace(' ', ': ', 1) for f in fields)}>>")
+        return self.spark.range(0, 1, 1, 1).select(F.inline(parsed))
 
     def folder(self, place: Row) -> str:
         return "/".join([self.path, *[f"{name}={place[name]}" for name in self.by]])
@@ -57,9 +71,13 @@ class SliceTable:
         return self.spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(*paths)
 
     def counts(self, df: DataFrame) -> dict[tuple, int]:
-        """Rows in each slice; one entry per folder."""
-        found = self.located(df).groupBy(*self.by).count().collect()
-        return {tuple(r)[:-1]: r["count"] for r in found}
+        """Rows in each slice; one entry per folder. Folder names are made for each value, not for each row."""
+        values = df.groupBy(*[value.cast("string").alias(name) for name, value in self.by.items()]).count()
+        found = values.withColumns({name: folder_name(F.col(name)) for name in self.by}).collect()
+        totals: dict[tuple, int] = {}
+        for r in found:
+            totals[tuple(r)[:-1]] = totals.get(tuple(r)[:-1], 0) + r["count"]
+        return totals
 
     def replace(self, df: DataFrame, counts: Mapping[tuple, int]) -> None:
         """All rows anew. ``counts`` has the slices of ``df`` and about how many rows each holds."""
@@ -83,8 +101,7 @@ class SliceTable:
         tasks, dealt = _dealt(counts, self.spark.sparkContext.defaultParallelism)
         task = F.pmod(F.xxhash64(*self.by), F.lit(tasks))  # of a slice that counts lacks
         if dealt:
-            kinds = ", ".join(f"{c} string" for c in self.by)
-            known = self.spark.createDataFrame([(*place, own) for place, own in dealt.items()], f"{kinds}, _tasks array<int>")
+            known = self.known([(*place, own) for place, own in dealt.items()], "_tasks array<int>")
             rows = rows.join(F.broadcast(known), list(self.by), "left")
             salt = F.lit(0)
             if any(len(own) > 1 for own in dealt.values()):

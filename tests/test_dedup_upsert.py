@@ -27,6 +27,15 @@ def test_keep_latest_drops_repeats_of_a_hot_key_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_keep_latest_of_few_copies_sorts_once_and_keeps_the_same_rows(spark):
+    data = [("PL", 1, T1, 5.0), ("PL", 1, T2, 6.0), ("PL", 1, T2, 7.0), ("FR", 1, None, 1.0), (None, 1, T1, 9.0), (None, 1, T1, 9.0), (None, None, None, None)]
+    df = spark.createDataFrame(data, SCHEMA)
+    few = keep_latest(df, ["zone", "ts"], "seq", few_copies=True)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan and plan.count("Sort [") == 1
+    assert rows(few) == rows(keep_latest(df, ["zone", "ts"], "seq")) and few.columns == df.columns
+
+
 def test_duplicate_counts_ignore_incomplete_keys_like_count_distinct(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "b")], "k int, v string")
     assert rows(duplicate_summary(df, ["k", "v"])) == [(5, 2, 3)]

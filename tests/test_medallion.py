@@ -182,3 +182,38 @@ def test_a_batch_that_failed_half_way_is_merged_again(spark, folder, monkeypatch
     land(folder, "b.json", reading("e1", 2.0, ts="2026-01-09T08:00:00Z", seen=9))
     moved = incremental_refresh(house, prices(spark), stream(spark, folder), AS_OF)
     assert fact(moved) == [("FR", "2026-01-05", 12, 3.0, None), ("PL", "2026-01-09", 8, 2.0, None)]
+
+
+def test_places_of_events_come_from_one_join_with_the_index(spark, folder, monkeypatch):
+    house = Lakehouse(spark, f"{folder}/house")
+    days = {"a": "05", "b": "06", "c": "07"}
+    for seen, moves in enumerate([{"e1": "a", "e2": "a"}, {"e1": "b"}, {"e1": "c"}, {"e1": "a", "e2": "b", "e3": "c"}]):
+        land(folder, f"{seen}.json", *[reading(e, 1.0, ts=f"2026-01-{days[d]}T12:00:00Z", seen=seen) for e, d in moves.items()])
+        incremental_refresh(house, prices(spark), stream(spark, folder), AS_OF)
+    index = house.event_slices().read()
+    noted = [("e1", "2026-01-05"), ("e1", "2026-01-06"), ("e1", "2026-01-07"), ("e2", "2026-01-05"), ("e2", "2026-01-06"), ("e3", "2026-01-07")]
+    assert rows(index.select("event_id", "slice_date")) == noted  # e1 came back to a slice it had been in
+    assert rows(house.readings().read().selectExpr("event_id", "string(to_date(timestamp_utc))")) == [("e1", "2026-01-05"), ("e2", "2026-01-06"), ("e3", "2026-01-07")]
+    written = []
+    monkeypatch.setattr(medallion, "materialise", lambda df, label, **kw: written.append(label) or materialise(df, label, **kw))
+    batch = house.readings().read().withColumn("timestamp_utc", F.col("timestamp_utc") + F.expr("interval 30 days"))
+    merged, new, places = medallion._merged(house, materialise(batch, "batch"))
+    assert written == ["places-of-events", "merged"] and merged.count() == 3
+    assert rows(new.select("event_id", "slice_date")) == [("e1", "2026-02-04"), ("e2", "2026-02-05"), ("e3", "2026-02-06")]
+    assert sorted(p["slice_date"] for p in places) == ["2026-01-05", "2026-01-06", "2026-01-07", "2026-02-04", "2026-02-05", "2026-02-06"]
+
+
+def test_slices_are_named_without_python_workers_and_by_value(spark, folder):
+    odd = [None, "", "~", "~null", "a b", "a+b", "50% *", "PL", "PL\n", "x.y_z-1", "ż/ó:", "a\\b"]
+    df = spark.createDataFrame([(i, z) for i, z in enumerate(odd * 2)], "id int, z string")
+    table = SliceTable(spark, f"{folder}/t", df.schema, {"z": F.col("z")})
+    counts = table.counts(df)
+    escaped = F.replace(F.replace(F.url_encode("z"), F.lit("%"), F.lit("~")), F.lit("*"), F.lit("~2A"))
+    plain = df.select(F.when(F.col("z").isNull(), "~null").when(escaped == "", "~").otherwise(escaped))
+    assert sorted(counts) == sorted({tuple(r) for r in plain.collect()}) and set(counts.values()) == {2}
+    assert sorted(map(tuple, table.slices(df))) == sorted(counts)
+    known = table.known([(*place, [n]) for place, n in counts.items()], "_n array<int>")
+    assert {tuple(r)[:-1]: r["_n"][0] for r in known.collect()} == counts
+    assert "RDD" not in known._jdf.queryExecution().executedPlan().toString()
+    table.replace(df, counts)
+    assert rows(table.read()) == rows(df)
