@@ -131,3 +131,21 @@ def test_control_strings_stay_text(spark):
     stream = "".join(n.segment for n in forest.nodes.orderBy("node").collect())
     assert stream.count("<|im_start|>") == stream.count("<|im_end|>") == 2
     assert [tuple(r) for r in chat.digests(forest).collect()] == expected(rows)
+
+
+@pytest.mark.parametrize(("row", "block"), [(1, 2), (3, 4), (256, 4096)])
+def test_long_starts_are_shared(spark, monkeypatch, row, block):
+    """Shared starts of any length are written once, however many rows they are."""
+    monkeypatch.setattr(chat, "ROW", row, raising=False)
+    monkeypatch.setattr(chat, "BLOCK", block)
+    rng = random.Random(row)
+    base = [("assistant" if k % 2 else "user", f"turn {rng.randrange(9)}") for k in range(560)]
+    rows = []
+    for conv, (shared, own) in enumerate([(560, 0), (560, 0), (560, 3), (559, 1), (513, 40), (512, 0), (512, 2), (400, 300), (400, 1), (300, 0), (257, 5), (256, 5), (256, 0), (255, 9), (7, 300)]):
+        rows += [(conv, k, *t) for k, t in enumerate(base[:shared] + [("user", f"own {rng.randrange(3)}") for _ in range(own)])]
+    rows += [(None, k, *t) for k, t in enumerate(base[:300] + base[:300])]  # the same turns again, at other places
+    rows += [(50 + c, 0, "user", f"turn {c}") for c in range(4)]
+    rng.shuffle(rows)
+    forest = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    check(forest, rows, stretch=len(rows))
+    assert sorted(map(tuple, chat.digests(forest).collect()), key=str) == expected(rows)
